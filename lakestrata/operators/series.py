@@ -6,8 +6,8 @@ built so that no single key has to fit in one task:
 1. Rows are windowed per (key, bucket), where the bucket is a coarse,
    order-preserving function of the first order column (the day, by
    default).  A key with years of data is spread over many tasks.
-2. The last row of every (key, bucket) is found with ``max_by`` — a partial
-   aggregate, so each task ships at most one row per (key, bucket).
+2. The window also marks the last row of every (key, bucket); those rows
+   alone (one per bucket) leave the window's partitions.
 3. A window over those tails (one row per bucket, not per input row) gives
    each bucket the last value of the bucket before it.
 4. The first row of each bucket takes that value; the rest keep the
@@ -27,6 +27,7 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 _B = "__series_bucket"
 _K = "__series_key"
 _FIRST = "__series_first"
+_LAST = "__series_last"
 PREV = "__prev_"
 
 
@@ -75,21 +76,21 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     key_struct = F.struct(*[F.col(k) for k in keys], F.col(_B))
     x = df.withColumn(_B, b).withColumn(_K, key_struct)
     w_in = Window.partitionBy(_K).orderBy(*order)
+    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     inner = {f"__in_{c}": _prev_expr(c, w_in, ignore_nulls) for c in cols}
-    if not ignore_nulls:
-        inner[_FIRST] = F.row_number().over(w_in) == F.lit(1)
+    # The value a later bucket carries forward: the row's own value, or the
+    # last non-NULL one so far; it is read on the bucket's last row only.
+    inner.update({f"__tail_{c}": (F.last(F.col(c), ignorenulls=True).over(running)
+                                  if ignore_nulls else F.col(c)) for c in cols})
+    inner[_FIRST] = F.row_number().over(w_in) == F.lit(1)
+    inner[_LAST] = F.lead(F.lit(1)).over(w_in).isNull()
     x = x.withColumns(inner)
 
-    order_struct = F.struct(*[F.col(o) for o in order])
-    if ignore_nulls:
-        last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c)
-                for c in cols]
-    else:
-        last = [F.max_by(F.col(c), order_struct).alias(c) for c in cols]
-    needed = list(dict.fromkeys([*keys, *order, *cols]))
-    tails = df.select(*needed, b.alias(_B)).groupBy(*keys, _B).agg(*last)
+    # One row per (key, bucket), taken from the windowed rows: the shuffle
+    # that fed the window is reused, nothing is scanned twice.
+    tails = x.filter(F.col(_LAST)).select(*keys, _B, *[f"__tail_{c}" for c in cols])
     w_b = Window.partitionBy(*keys).orderBy(F.col(_B))
-    carried = {f"__tb_{c}": _prev_expr(c, w_b, ignore_nulls) for c in cols}
+    carried = {f"__tb_{c}": _prev_expr(f"__tail_{c}", w_b, ignore_nulls) for c in cols}
     tails = tails.withColumns(carried).select(
         F.struct(*[F.col(k) for k in keys], F.col(_B)).alias(_K), *carried.keys())
 
