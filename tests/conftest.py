@@ -1,0 +1,34 @@
+import os
+import sys
+import tempfile
+
+import pytest
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+
+@pytest.fixture(scope="session")
+def spark():
+    from pyspark.sql import SparkSession
+    s = (SparkSession.builder.master("local[*]")
+         .config("spark.sql.shuffle.partitions", "8")
+         .config("spark.sql.adaptive.enabled", "true")
+         .config("spark.ui.enabled", "false")
+         .config("spark.sql.session.timeZone", "UTC")
+         .getOrCreate())
+    s.sparkContext.setLogLevel("ERROR")
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakestrata-test-ckpt-"))
+    yield s
+
+
+@pytest.fixture
+def workdir():
+    return tempfile.mkdtemp(prefix="lakestrata-test-")
+
+
+def rows(df, *cols):
+    """Rows as tuples, sorted with NULLs first, for order-free comparison."""
+    sel = df.select(*cols) if cols else df
+    out = [tuple(r) for r in sel.collect()]
+    return sorted(out, key=lambda t: tuple((v is not None, v) for v in t))

@@ -1,0 +1,40 @@
+"""Every catalogue query against its DuckDB SQL on the smallest test tables."""
+
+import os
+
+import pytest
+
+from tests.oracle_compare import compare, duck
+
+SF = "/root/testdata/sf0.001"
+
+
+def _names():
+    from __spark_entry__ import queries
+    return list(queries())
+
+
+@pytest.fixture(scope="module")
+def con():
+    return duck(SF)
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+@pytest.mark.parametrize("name", _names())
+def test_query_matches_oracle(spark, con, name):
+    r = compare(spark, name, SF, con)
+    assert r["status"] in ("exact", "close"), r
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_entry_runs(spark):
+    from __spark_entry__ import entry
+    df = entry(spark)
+    assert df.count() > 0
+    assert df.columns == ["LOCATION_KEY", "DATE_ID", "FONTE", "o_orderkey", "TOTALPRICE",
+                          "TOTALPRICE_AC", "DATE_KEY_PART"]
+
+
+def test_every_query_has_sql():
+    from __spark_entry__ import oracle_sql, queries
+    assert set(queries()) == set(oracle_sql())

@@ -1,0 +1,125 @@
+import datetime as dt
+import glob
+import os
+from decimal import Decimal
+
+from pyspark.sql import functions as F
+
+from lakestrata import schemas as S
+from lakestrata.operators.quality import COVID_RULES, report
+from lakestrata.plans.refined import null_date_rows, publish_refined, read_trusted, refine
+from lakestrata.plans.trusted import harmonise_reports, quality_table, raw_to_trusted, run_trusted
+from lakestrata.sources.csv import read_csv_strings
+from tests.conftest import rows
+
+GENERAL_HEADER = ("FIPS,Admin2,Province_State,Country_Region,Last_Update,Lat,Long_,Confirmed,"
+                  "Deaths,Recovered,Active,Combined_Key,Incident_Rate,Case_Fatality_Ratio")
+US_HEADER = ("Province_State,Country_Region,Last_Update,Lat,Long_,Confirmed,Deaths,Recovered,"
+             "Active,FIPS,Incident_Rate,Total_Test_Results,Mortality_Rate")
+
+GENERAL_DAY1 = [
+    ',,S1,C1,2021-01-01 05:22:33,45.5,10.1,10,1,0,9,"S1, C1",12.5,10.0',
+    '1001,CountyX,S1,C1,2021-01-01 05:22:33,45.5,10.1,999,9,0,990,"x",1,1',
+    ',,,C2,2021-01-01 04:00:00,-20,30,5,0,0,5,C2,-2.5,0',
+    ',,S3,C3,2021-01-01 04:00:00,90.7,200,123.0,0,0,0,"S3, C3",1,0',
+    ',,S4,C4,1/22/2020 17:00,abc,,0,0,0,0,"S4, C4",99999999999,0',
+]
+GENERAL_DAY2 = [
+    ',,S1,C1,2021-01-02 05:22:33,45.5,10.1,15,1,0,14,"S1, C1",13,6.67',
+    ',,,C2,2021-01-02 04:00:00,-20,30,4,0,0,4,C2,0,0',
+    ',,S5,,2021-01-02 04:00:00,1,1,2,0,0,2,S5,0,0',
+]
+US_DAY1 = ["Texas,US,2021-01-01 04:30:00,31,-100,100,2,,98,48,5,1000,2.0"]
+US_DAY2 = ["Texas,US,2021-01-02 04:30:00,31,-100,130,3,,127,48,6,1100,2.3",
+           "S1,C1,2021-01-02 06:00:00,45.5,10.1,14,1,0,13,,13,1,7.14"]
+
+
+def write_raw(root):
+    def put(path, header, lines):
+        os.makedirs(os.path.dirname(path), exist_ok=True)
+        with open(path, "w") as f:
+            f.write(header + "\n" + "\n".join(lines) + "\n")
+    put(f"{root}/general/01-01-2021.csv", GENERAL_HEADER, GENERAL_DAY1)
+    put(f"{root}/general/01-02-2021.csv", GENERAL_HEADER, GENERAL_DAY2)
+    put(f"{root}/us/01-01-2021.csv", US_HEADER, US_DAY1)
+    put(f"{root}/us/01-02-2021.csv", US_HEADER, US_DAY2)
+
+
+def raw(spark, root):
+    return (read_csv_strings(spark, f"{root}/general"), read_csv_strings(spark, f"{root}/us"))
+
+
+def test_harmonised_types_and_casts(spark, workdir):
+    write_raw(workdir)
+    h = harmonise_reports(*raw(spark, workdir))
+    assert h.columns == S.HARMONISED_COLUMNS
+    assert h.count() == 10  # county row dropped
+    got = {(r["STATE"], r["COUNTRY"], r["DATE_ID"]): r for r in h.collect()}
+    s1 = got[("S1", "C1", dt.date(2021, 1, 1))]
+    assert s1["INCIDENT_RATE"] == Decimal("13") and s1["CASE_FATALITY_RATIO"] == Decimal("10")
+    assert got[(None, "C2", dt.date(2021, 1, 1))]["INCIDENT_RATE"] == Decimal("-3")
+    assert got[("S3", "C3", dt.date(2021, 1, 1))]["CONFIRMED"] == 123
+    s4 = got[("S4", "C4", None)]
+    assert s4["INCIDENT_RATE"] is None
+    assert got[("Texas", "US", dt.date(2021, 1, 1))]["FONTE"] == "US"
+    assert got[("Texas", "US", dt.date(2021, 1, 1))]["CASE_FATALITY_RATIO"] == Decimal("2")
+    with_fmt = harmonise_reports(*raw(spark, workdir), date_formats=["M/d/yyyy H:mm"])
+    assert with_fmt.filter(F.col("STATE") == "S4").first()["DATE_ID"] == dt.date(2020, 1, 22)
+
+
+def test_quality_labels_on_raw_edges(spark, workdir):
+    write_raw(workdir)
+    q = quality_table(harmonise_reports(*raw(spark, workdir)))
+    by_state = {r["STATE"]: r for r in q.filter(F.col("DATE_ID") == dt.date(2021, 1, 1)).collect()}
+    assert by_state["S3"]["teste_range_lat"] == "latitude_fora_range"
+    assert by_state["S3"]["teste_range_long"] == "long_fora_range"
+    s4 = q.filter(F.col("STATE") == "S4").first()
+    assert s4["teste_range_lat"] == "latitude_fora_range"
+    assert s4["teste_completude_long"] == "sem_longitude"
+    assert s4["teste_incident_rate"] == "incident_rate_nulos"
+    assert s4["NEW_CASE_FATALITY_RATIO"] is None
+    assert by_state["S1"]["NEW_CASE_FATALITY_RATIO"] == 10.0
+    assert by_state["S1"]["check_calc_case_fatality_ratio"] is True
+    rep = report(q, [r.name for r in COVID_RULES]).groupBy("RULE").agg(F.sum("N").alias("n"))
+    assert {r["n"] for r in rep.collect()} == {q.count()}
+
+
+def test_trusted_daily_values(spark, workdir):
+    write_raw(workdir)
+    t = raw_to_trusted(*raw(spark, workdir))
+    assert t.columns == S.TRUSTED_COLUMNS
+    assert [f.dataType.simpleString() for f in t.schema.fields] == \
+        [f.dataType.simpleString() for f in S.TRUSTED.fields]
+    got = {(r["FONTE"], r["STATE"], r["COUNTRY"], r["DATE_ID"]): (r["CONFIRMED_AC"], r["CONFIRMED"])
+           for r in t.collect()}
+    assert got[("GENERAL", "S1", "C1", dt.date(2021, 1, 2))] == (15, 5)
+    assert got[("US", "S1", "C1", dt.date(2021, 1, 2))] == (14, -1)
+    assert got[("GENERAL", None, "C2", dt.date(2021, 1, 2))] == (4, -1)
+    assert got[("US", "Texas", "US", dt.date(2021, 1, 2))] == (130, 30)
+    assert got[("GENERAL", "S4", "C4", None)] == (0, 0)
+    assert t.filter(F.col("STATE") == "S1").first()["CASE_FATALITY_RATIO"] == 10.0
+
+
+def test_refined_star_and_invariants(spark, workdir):
+    write_raw(workdir)
+    run_trusted(spark, f"{workdir}/general", f"{workdir}/us", f"{workdir}/trusted", raw_sep=",")
+    assert os.path.isdir(f"{workdir}/trusted/DATE_ID=__HIVE_DEFAULT_PARTITION__")
+    trusted = read_trusted(spark, f"{workdir}/trusted")
+    assert trusted.count() == 10
+    tables = refine(trusted)
+    fact, loc, cal = tables["fato_covid"], tables["dim_location"], tables["dim_calendar"]
+    assert fact.columns == S.FACT_COLUMNS + [S.FACT_PARTITION]
+    assert loc.columns == S.DIM_LOCATION_COLUMNS
+    assert loc.count() == loc.select("LOCATION_KEY").distinct().count()
+    assert fact.join(loc, fact.LOCATION_KEY.eqNullSafe(loc.LOCATION_KEY), "left_anti").count() == 0
+    keys = {r[0] for r in loc.select("LOCATION_KEY").collect()}
+    assert keys == {"S1C1", "C2", "S3C3", "S4C4", None, "TexasUS"}
+    assert cal.count() == 3  # two days and the NULL date
+    assert rows(null_date_rows(spark, trusted), "STATE") == [("S4",)]
+    publish_refined(tables, f"{workdir}/refined")
+    assert len(glob.glob(f"{workdir}/refined/fato_covid/DATE_KEY_PART=*")) == 3
+    again = spark.read.parquet(f"{workdir}/refined/dim_location")
+    assert rows(again) == rows(loc)
+    # per series without NULLs, the daily values add up to the last cumulative value
+    s1 = trusted.filter((F.col("STATE") == "Texas")).agg(F.sum("CONFIRMED")).first()[0]
+    assert s1 == 130

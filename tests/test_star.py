@@ -1,0 +1,49 @@
+import datetime as dt
+
+from lakestrata.functions.calendar import DAY_OF_WEEK, MONTH_NAME, WEEK_OF_YEAR, YEAR
+from lakestrata.operators.star import calendar_dim, fact, first_per_key, location_dim, with_location_key
+from tests.conftest import rows
+
+
+def test_calendar_year_end_and_null(spark):
+    df = spark.createDataFrame([(dt.date(2020, 12, 31),), (dt.date(2021, 1, 3),),
+                                (dt.date(2021, 1, 4),), (dt.date(2021, 1, 4),), (None,)],
+                               "DATE_ID date")
+    cal = {r["DATE_ID"]: r for r in calendar_dim(df).collect()}
+    assert len(cal) == 4
+    assert [cal[dt.date(2020, 12, 31)][WEEK_OF_YEAR], cal[dt.date(2021, 1, 3)][WEEK_OF_YEAR],
+            cal[dt.date(2021, 1, 4)][WEEK_OF_YEAR]] == [53, 53, 1]
+    assert [cal[dt.date(2020, 12, 31)][DAY_OF_WEEK], cal[dt.date(2021, 1, 3)][DAY_OF_WEEK],
+            cal[dt.date(2021, 1, 4)][DAY_OF_WEEK]] == [5, 1, 2]
+    assert cal[dt.date(2021, 1, 4)][MONTH_NAME] == "January"
+    assert cal[dt.date(2021, 1, 4)]["Nome do Dia"] == "Monday"
+    assert cal[None][YEAR] is None
+    assert calendar_dim(df).columns == ["DATE_ID", "Ano", "Nome do Mês", "Mês", "Trimestre",
+                                        "Semana do Ano", "Nome do Dia", "Dia da Semana"]
+
+
+def test_location_dim_one_row_per_key_deterministic(spark):
+    data = [("S", "C", "1", "2", dt.date(2021, 1, 2)), ("S", "C", "9", "9", dt.date(2021, 1, 1)),
+            (None, "C", "3", "4", dt.date(2021, 1, 1)), ("S", None, "5", "6", dt.date(2021, 1, 1)),
+            ("T", None, "7", "8", dt.date(2021, 1, 1))]
+    df = with_location_key(spark.createDataFrame(
+        data, "STATE string, COUNTRY string, LAT string, LONG string, DATE_ID date"))
+    dim = location_dim(df)
+    assert dim.columns == ["LOCATION_KEY", "COUNTRY", "STATE", "LAT", "LONG"]
+    got = rows(dim)
+    assert got == [(None, None, "S", "5", "6"), ("C", "C", None, "3", "4"),
+                   ("SC", "C", "S", "9", "9")]
+
+
+def test_first_per_key_ties_resolve_by_values(spark):
+    df = spark.createDataFrame([("k", 1, "b"), ("k", 1, "a"), ("k", 2, "0")],
+                               "k string, o int, v string")
+    for _ in range(3):
+        assert rows(first_per_key(df.repartition(3), "k", ["o"], ["v"])) == [("k", "a")]
+
+
+def test_fact_partition_copy(spark):
+    df = spark.createDataFrame([("K", dt.date(2021, 1, 1), 5)], "LOCATION_KEY string, DATE_ID date, X int")
+    out = fact(df, ["LOCATION_KEY", "DATE_ID", "X"])
+    assert out.columns == ["LOCATION_KEY", "DATE_ID", "X", "DATE_KEY_PART"]
+    assert out.first()["DATE_KEY_PART"] == dt.date(2021, 1, 1)
