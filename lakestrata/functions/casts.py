@@ -4,8 +4,7 @@ Raw snapshot files arrive as text.  The casts below give the same answers as
 Spark's lenient (non-ANSI) casts the layered lake was written for, while
 running under ANSI mode: a bad value becomes NULL instead of failing the job.
 
-* int: directly, else through double, so ``"123.0"`` is 123 and ``"123.7"``
-  is 123.
+* int: through double, so ``"123.0"`` is 123 and ``"123.7"`` is 123.
 * decimal(p, s): HALF_UP rounding to the scale, NULL on overflow.
 * date: ISO date with an optional time part; more patterns may be given.
 """
@@ -30,13 +29,21 @@ def as_double(c: str | Column) -> Column:
     return _c(c).try_cast("double")
 
 
+# A failed text -> integer try_cast is slow (it fails by exception), while
+# text -> double fails fast and is exact for every int and every long below
+# 2**53.  So integers go through double, and only longs beyond 2**53 are
+# cast directly (to keep every digit).
+_EXACT_IN_DOUBLE = float(2 ** 53)
+
+
 def as_int(c: str | Column) -> Column:
-    return F.coalesce(_c(c).try_cast("int"), _c(c).try_cast("double").try_cast("int"))
+    return _c(c).try_cast("double").try_cast("int")
 
 
 def as_long(c: str | Column) -> Column:
-    # Integral text is cast directly, so keys above 2**53 keep every digit.
-    return F.coalesce(_c(c).try_cast("long"), _c(c).try_cast("double").try_cast("long"))
+    d = _c(c).try_cast("double")
+    return F.when(F.abs(d) < F.lit(_EXACT_IN_DOUBLE), d.try_cast("long")).otherwise(
+        _c(c).try_cast("long"))
 
 
 def as_decimal(c: str | Column, precision: int = 10, scale: int = 0) -> Column:

@@ -34,8 +34,20 @@ from lakestrata.sources.sinks import write_csv, write_single_csv
 Query = Callable[[SparkSession, str], DataFrame]
 
 
+_TABLES: dict[tuple[int, str], DataFrame] = {}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """The table as a DataFrame, listed and its footer read once per session.
+
+    A DataFrame is an immutable plan, so queries can share it; the file
+    index it holds is not rebuilt for every query that reads the table.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    key = (id(spark._jsparkSession), path)
+    if key not in _TABLES:
+        _TABLES[key] = spark.read.parquet(path)
+    return _TABLES[key]
 
 
 # --------------------------------------------------------------------------
