@@ -3,16 +3,18 @@
 ``previous_values`` is ``lag`` over ``PARTITION BY keys ORDER BY order``,
 built so that no single key has to fit in one task:
 
-1. Rows are windowed per (key, bucket), where the bucket is a coarse,
-   order-preserving function of the first order column (the day, by
-   default).  A key with years of data is spread over many tasks.
-2. The window also marks the last row of every (key, bucket); those rows
-   alone (one per bucket) leave the window's partitions.
-3. A window over those tails (one row per bucket, not per input row) gives
-   each bucket the last value of the bucket before it.
-4. The first row of each bucket takes that value; the rest keep the
-   in-bucket lag.  The join is on the very column the rows are already
-   hash-partitioned by, so only the small tail table moves.
+1. Each key's rows are cut into buckets, a coarse and order-preserving
+   function of the first order column (the day, by default).  The last
+   value of every (key, bucket) is found with ``max_by``, reduced inside
+   each task before it is shuffled: at most one row per (key, bucket) per
+   task crosses the network.
+2. A window over those tails (one row per bucket, not per input row) gives
+   every bucket the value it inherits from the bucket before it, as a head
+   row that sorts before the bucket's own rows.
+3. Rows and heads are windowed together per (key, bucket).  The first row of
+   a bucket sees the head as its predecessor; the heads are then dropped.
+   This is the only shuffle of the full rows, as in a plain window, but a
+   key with years of data is spread over many tasks.
 
 Without a bucket the operator is the plain single window.
 """
@@ -25,9 +27,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 _B = "__series_bucket"
-_K = "__series_key"
-_FIRST = "__series_first"
-_LAST = "__series_last"
+_M = "__series_row"
 PREV = "__prev_"
 
 
@@ -73,36 +73,27 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols})
 
-    key_struct = F.struct(*[F.col(k) for k in keys], F.col(_B))
-    x = df.withColumn(_B, b).withColumn(_K, key_struct)
-    w_in = Window.partitionBy(_K).orderBy(*order)
-    running = w_in.rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    inner = {f"__in_{c}": _prev_expr(c, w_in, ignore_nulls) for c in cols}
-    # The value a later bucket carries forward: the row's own value, or the
-    # last non-NULL one so far; it is read on the bucket's last row only.
-    inner.update({f"__tail_{c}": (F.last(F.col(c), ignorenulls=True).over(running)
-                                  if ignore_nulls else F.col(c)) for c in cols})
-    inner[_FIRST] = F.row_number().over(w_in) == F.lit(1)
-    inner[_LAST] = F.lead(F.lit(1)).over(w_in).isNull()
-    x = x.withColumns(inner)
-
-    # One row per (key, bucket), taken from the windowed rows: the shuffle
-    # that fed the window is reused, nothing is scanned twice.
-    tails = x.filter(F.col(_LAST)).select(*keys, _B, *[f"__tail_{c}" for c in cols])
+    order_struct = F.struct(*[F.col(o) for o in order])
+    # 1. The last value of every (key, bucket), reduced inside each task
+    #    before the (small) shuffle.
+    if ignore_nulls:
+        last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c)
+                for c in cols]
+    else:
+        last = [F.max_by(F.col(c), order_struct).alias(c) for c in cols]
+    needed = list(dict.fromkeys([*keys, *order, *cols]))
+    tails = df.select(*needed, b.alias(_B)).groupBy(*keys, _B).agg(*last)
+    # 2. What each bucket inherits from the buckets before it: one head row
+    #    per (key, bucket), ordered before the bucket's own rows.
     w_b = Window.partitionBy(*keys).orderBy(F.col(_B))
-    carried = {f"__tb_{c}": _prev_expr(f"__tail_{c}", w_b, ignore_nulls) for c in cols}
-    tails = tails.withColumns(carried).select(
-        F.struct(*[F.col(k) for k in keys], F.col(_B)).alias(_K), *carried.keys())
-
-    j = x.join(tails, on=_K, how="left")
-    out = {}
-    for c in cols:
-        if ignore_nulls:
-            out[prefix + c] = F.coalesce(F.col(f"__in_{c}"), F.col(f"__tb_{c}"))
-        else:
-            out[prefix + c] = F.when(F.col(_FIRST), F.col(f"__tb_{c}")).otherwise(
-                F.col(f"__in_{c}"))
-    return j.withColumns(out).select(*df.columns, *out.keys())
+    heads = tails.select(*keys, _B, *[_prev_expr(c, w_b, ignore_nulls).alias(c) for c in cols],
+                         F.lit(0).alias(_M))
+    # 3. Rows and heads together, one window per (key, bucket): the only
+    #    shuffle of the full rows.
+    both = df.withColumns({_B: b, _M: F.lit(1)}).unionByName(heads, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, _B).orderBy(F.col(_M), *order)
+    prev = {prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols}
+    return both.withColumns(prev).filter(F.col(_M) == 1).select(*df.columns, *prev.keys())
 
 
 def lag_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
