@@ -4,7 +4,8 @@
 built so that no single key has to fit in one task:
 
 1. Each key's rows are cut into buckets, a coarse and order-preserving
-   function of the first order column (the day, by default).  The last
+   function of the first order column (by default the day of a date, the
+   hour of a timestamp).  The last
    value of every (key, bucket) is found with ``max_by``, reduced inside
    each task before it is shuffled: at most one row per (key, bucket) per
    task crosses the network.
@@ -36,7 +37,7 @@ def _auto_bucket(df: DataFrame, order: Sequence[str]) -> Column | None:
     if isinstance(first, DateType):
         return F.col(order[0])
     if isinstance(first, (TimestampType, TimestampNTZType)):
-        return F.to_date(F.col(order[0]))
+        return F.date_trunc("hour", F.col(order[0]))
     return None
 
 
@@ -64,8 +65,11 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     order is total, else equal rows may come in any order (as with any
     window).  ``ignore_nulls`` takes the last non-NULL value before the row
     instead of the previous row's value.  ``bucket`` is ``"auto"`` (the day
-    of a date/timestamp first order column), ``None`` (one plain window), a
-    column name or a Column; it must not decrease along the order.
+    of a date, the hour of a timestamp first order column), ``None`` (one
+    plain window), a column name or a Column; it must not decrease along the
+    order.  A bucket holds one key's rows of one period, so it bounds the
+    largest task; the number of buckets per key is bounded by the time range
+    over the bucket width, not by the data size.
     """
     keys, order, cols = list(keys), list(order), list(cols)
     b = _resolve_bucket(df, order, bucket)

@@ -103,3 +103,16 @@ def test_lag_value_with_custom_bucket(spark):
     b = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P", bucket=None)
     assert rows(a) == rows(b)
     assert a.columns == df.columns + ["P"]
+
+
+def test_timestamp_order_hour_buckets_equal_one_window(spark):
+    rnd = random.Random(11)
+    base = dt.datetime(2024, 1, 1)
+    data = [(rnd.choice([1, 1, 1, 2, 3]), base + dt.timedelta(minutes=rnd.randint(0, 60 * 72)), i,
+             None if rnd.random() < 0.1 else rnd.random()) for i in range(2000)]
+    df = spark.createDataFrame(data, "user_id long, ts timestamp, event_id long, value double")
+    for ignore in (False, True):
+        a = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"], ignore_nulls=ignore)
+        b = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"], bucket=None,
+                            ignore_nulls=ignore)
+        assert rows(a) == rows(b)
