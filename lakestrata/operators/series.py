@@ -72,6 +72,8 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     over the bucket width, not by the data size.
     """
     keys, order, cols = list(keys), list(order), list(cols)
+    if set(cols) & (set(keys) | set(order)):
+        raise ValueError("value columns must not be key or order columns")
     b = _resolve_bucket(df, order, bucket)
     if b is None:
         w = Window.partitionBy(*keys).orderBy(*order)

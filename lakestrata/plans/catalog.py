@@ -10,6 +10,7 @@ total a counter snapshot, an order key a file key.  Each ``q_*`` takes
 
 from __future__ import annotations
 
+import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -34,7 +35,8 @@ from lakestrata.sources.sinks import write_csv, write_single_csv
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_TABLES: dict[tuple[int, str], DataFrame] = {}
+_TABLES: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = \
+    weakref.WeakKeyDictionary()
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,10 +46,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     index it holds is not rebuilt for every query that reads the table.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    key = (id(spark._jsparkSession), path)
-    if key not in _TABLES:
-        _TABLES[key] = spark.read.parquet(path)
-    return _TABLES[key]
+    known = _TABLES.setdefault(spark, {})
+    if path not in known:
+        known[path] = spark.read.parquet(path)
+    return known[path]
 
 
 # --------------------------------------------------------------------------

@@ -10,6 +10,7 @@ from lakestrata import schemas as S
 from lakestrata.operators.harmonise import SourceMap, harmonise
 from lakestrata.operators.quality import COVID_GATE, COVID_RULES, annotate, gate, ratio, ratio_check
 from lakestrata.operators.series import cumulative_to_daily
+from lakestrata.session import scratch_path
 from lakestrata.sources.csv import read_csv_strings
 from lakestrata.sources.sinks import write_table
 
@@ -33,17 +34,17 @@ def quality_table(harmonised: DataFrame, ratio_tolerance: float = 0.0) -> DataFr
     })
 
 
-def raw_to_trusted(general: DataFrame, us: DataFrame, *, date_formats: Iterable[str] = (),
-                   tiebreak: Sequence[str] = ("FONTE",), ignore_null_gaps: bool = False,
-                   apply_gate: bool = False, bucket="auto") -> DataFrame:
-    """The trusted table: cumulative counters as ``*_AC``, daily ones in their place.
+def trusted_from_quality(q: DataFrame, *, tiebreak: Sequence[str] = ("FONTE",),
+                         ignore_null_gaps: bool = False, apply_gate: bool = False,
+                         bucket="auto") -> DataFrame:
+    """The trusted table from the labelled one: cumulative counters as ``*_AC``,
+    daily ones in their place, the recomputed ratio as CASE_FATALITY_RATIO.
 
     The series key is (STATE, COUNTRY) ordered by DATE_ID; rows of both
     sources for one key and day are ordered by ``tiebreak`` so every run
     gives the same deltas.  The gate (all of the first eight labels pass) is
     off by default, as in the published pipeline.
     """
-    q = quality_table(harmonise_reports(general, us, date_formats))
     if apply_gate:
         q = gate(q, COVID_GATE)
     q = q.select(*[c for c in S.HARMONISED_COLUMNS if c != "CASE_FATALITY_RATIO"],
@@ -53,11 +54,30 @@ def raw_to_trusted(general: DataFrame, us: DataFrame, *, date_formats: Iterable[
     return daily.select(*S.TRUSTED_COLUMNS)
 
 
+def raw_to_trusted(general: DataFrame, us: DataFrame, *, date_formats: Iterable[str] = (),
+                   **kwargs) -> DataFrame:
+    """Raw frames -> trusted, as one lazy plan (see ``trusted_from_quality``)."""
+    return trusted_from_quality(quality_table(harmonise_reports(general, us, date_formats)),
+                                **kwargs)
+
+
 def run_trusted(spark: SparkSession, general_dir: str, us_dir: str, trusted_path: str, *,
-                raw_sep: str = "|", fmt: str = "parquet", **kwargs) -> DataFrame:
-    """Read both raw folders, build trusted and write it partitioned by DATE_ID."""
+                quality_path: str | None = None, raw_sep: str = "|", fmt: str = "parquet",
+                date_formats: Iterable[str] = (), **kwargs) -> dict[str, str]:
+    """Raw folders -> labelled table -> trusted table, both written.
+
+    The labelled, typed table is written first (Parquet, below the shared
+    checkpoint folder unless a path is given): the raw text is parsed once,
+    the labels stay available for ``report``, and the series step, which
+    reads its input twice (rows and per-bucket tails), reads only the
+    columns it needs from it.  Writing it also cuts the lineage, so a lost
+    executor later on does not send Spark back to the raw files.
+    """
     general = read_csv_strings(spark, general_dir, sep=raw_sep)
     us = read_csv_strings(spark, us_dir, sep=raw_sep)
-    trusted = raw_to_trusted(general, us, **kwargs)
+    quality_path = quality_path or scratch_path(spark, "quality")
+    labelled = quality_table(harmonise_reports(general, us, date_formats))
+    write_table(labelled, quality_path, fmt="parquet")
+    trusted = trusted_from_quality(spark.read.parquet(quality_path), **kwargs)
     write_table(trusted, trusted_path, fmt=fmt, partition_by=["DATE_ID"])
-    return trusted
+    return {"quality": quality_path, "trusted": trusted_path}

@@ -49,6 +49,17 @@ def _norm(v, close: bool):
     return v
 
 
+_DUCK_NAMES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR",
+               "date": "DATE", "timestamp_ntz": "TIMESTAMP", "timestamp": "TIMESTAMP WITH TIME ZONE",
+               "boolean": "BOOLEAN", "float": "FLOAT", "smallint": "SMALLINT"}
+
+
+def spark_type_as_duck(t: str) -> str:
+    if t.startswith("decimal"):
+        return t.upper()
+    return _DUCK_NAMES.get(t, t.upper())
+
+
 def _rows(cols, rows, close):
     order = sorted(range(len(cols)), key=lambda i: cols[i])
     return Counter(tuple(_norm(r[i], close) for i in order) for r in rows)
@@ -76,6 +87,11 @@ def compare(spark, name: str, sf_dir: str, con=None) -> dict:
         out["spark_cols"], out["duck_cols"] = s_cols, d_cols
         out["status"] = "cols"
         return out
+    s_types = {f.name: spark_type_as_duck(f.dataType.simpleString()) for f in df.schema.fields}
+    d_types = {c[0]: str(c[1]) for c in res.description}
+    diff = {c: (s_types[c], d_types[c]) for c in s_cols if s_types[c] != d_types[c]}
+    if diff:
+        out["type_diff"] = diff
     exact = _rows(s_cols, s_rows, False) == _rows(d_cols, d_rows, False)
     close = exact or _rows(s_cols, s_rows, True) == _rows(d_cols, d_rows, True)
     out["status"] = "exact" if exact else ("close" if close else "DIFF")

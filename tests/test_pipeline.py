@@ -102,8 +102,12 @@ def test_trusted_daily_values(spark, workdir):
 
 def test_refined_star_and_invariants(spark, workdir):
     write_raw(workdir)
-    run_trusted(spark, f"{workdir}/general", f"{workdir}/us", f"{workdir}/trusted", raw_sep=",")
+    paths = run_trusted(spark, f"{workdir}/general", f"{workdir}/us", f"{workdir}/trusted",
+                        raw_sep=",")
     assert os.path.isdir(f"{workdir}/trusted/DATE_ID=__HIVE_DEFAULT_PARTITION__")
+    labelled = spark.read.parquet(paths["quality"])
+    assert labelled.count() == 10
+    assert {r.name for r in COVID_RULES} <= set(labelled.columns)
     trusted = read_trusted(spark, f"{workdir}/trusted")
     assert trusted.count() == 10
     tables = refine(trusted)
