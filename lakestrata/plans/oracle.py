@@ -72,6 +72,13 @@ _SNAP = """
 _W_CUST = "PARTITION BY o_custkey ORDER BY DATE_ID, o_orderkey"
 _GAP_TOTAL = "CASE WHEN o_orderstatus = 'P' THEN NULL ELSE o_totalprice END"
 
+_ORDERS_TEXT = """
+  SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+         o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
+         strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
+  FROM orders
+"""
+
 _TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events",
            "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]
 
@@ -187,12 +194,9 @@ ORACLE: dict[str, str] = {
     "file_listing_keys": "SELECT name || '.parquet' AS Cam_Lake, name AS DATE_KEY, "
                          "'raw/' || name || '.csv' AS SOURCE_URL FROM (VALUES "
                          + ", ".join(f"('{t}')" for t in _TABLES) + ") t(name)",
-    "csv_scan_strings": """
-        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
-               o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice,
-               strftime(o_orderdate, '%Y-%m-%d %H:%M:%S') AS o_orderdate, o_orderpriority
-        FROM orders""",
-    "csv_scan_inferred": "SELECT * FROM orders",
+    "csv_scan_strings": _ORDERS_TEXT,
+    "csv_scan_inferred": _ORDERS_TEXT,
+    "csv_scan_typed": "SELECT * FROM orders",
     "csv_roundtrip": "SELECT * FROM part",
     "csv_single_file_roundtrip": _MISSING_ORDERS,
     "csv_partitioned_scan": "SELECT * FROM orders WHERE o_orderstatus = 'F'",
