@@ -194,6 +194,12 @@ def q_lag_value(spark, sf_dir):
     return lag_value(ev, ["user_id"], ["ts", "event_id"], "value", "PREV_VALUE")
 
 
+def q_lag_hot_key(spark, sf_dir):
+    """Lag per event type: five keys, each a fifth of the table."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE")
+
+
 def _snapshots(spark, sf_dir, gaps: bool):
     o = table(spark, sf_dir, "orders")
     total = F.col("o_totalprice")
@@ -425,6 +431,7 @@ QUERIES: dict[str, Query] = {
     "quality_gate": q_quality_gate,
     "quality_report": q_quality_report,
     "lag_value": q_lag_value,
+    "lag_hot_key": q_lag_hot_key,
     "cumulative_to_daily": q_cumulative_to_daily,
     "cumulative_to_daily_gaps": q_cumulative_to_daily_gaps,
     "cumulative_to_daily_skip_gaps": q_cumulative_to_daily_skip_gaps,
