@@ -127,3 +127,18 @@ def test_refined_star_and_invariants(spark, workdir):
     # per series without NULLs, the daily values add up to the last cumulative value
     s1 = trusted.filter((F.col("STATE") == "Texas")).agg(F.sum("CONFIRMED")).first()[0]
     assert s1 == 130
+
+
+def test_csv_zones_round_trip(spark, workdir):
+    write_raw(workdir)
+    run_trusted(spark, f"{workdir}/general", f"{workdir}/us", f"{workdir}/trusted_csv",
+                raw_sep=",", fmt="csv")
+    assert glob.glob(f"{workdir}/trusted_csv/DATE_ID=2021-01-01/*.csv")
+    back = read_trusted(spark, f"{workdir}/trusted_csv", fmt="csv")
+    assert [f.dataType for f in back.schema.fields] == [f.dataType for f in S.TRUSTED.fields]
+    direct = raw_to_trusted(*raw(spark, workdir))
+    assert rows(back) == rows(direct)
+    tables = refine(back)
+    publish_refined(tables, f"{workdir}/refined_csv", fmt="csv")
+    cal = spark.read.option("header", True).option("sep", "|").csv(f"{workdir}/refined_csv/dim_calendar")
+    assert cal.count() == 3 and "Nome do Mês" in cal.columns
