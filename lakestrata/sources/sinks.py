@@ -40,10 +40,13 @@ def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = Tr
 
     A single file means a single writing task, so the row count is checked
     first; above ``max_rows`` the rows are written in parallel instead, and
-    reading the folder gives the same table.  Returns the row count.
+    reading the folder gives the same table.  ``repartition(1)``, not
+    ``coalesce(1)``: the work that produces the rows (a join over large
+    inputs, say) keeps its parallelism, only the small result is gathered.
+    Returns the row count.
     """
     n = df.count()
-    out = df.coalesce(1) if n <= max_rows else df
+    out = df.repartition(1) if n <= max_rows else df
     write_csv(out, path, sep=sep, header=header, rebalance=n > max_rows)
     return n
 
