@@ -15,7 +15,11 @@ DATE_FORMAT = "yyyy-MM-dd"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
 
 
-def _rebalanced(df: DataFrame, partition_by: Sequence[str], rebalance: bool) -> DataFrame:
+def _rebalanced(df: DataFrame, partition_by: Sequence[str], rebalance: bool | None) -> DataFrame:
+    """Rebalance partitioned writes by default; unpartitioned ones only on request
+    (it costs a shuffle, worth it only after a skewed stage)."""
+    if rebalance is None:
+        rebalance = bool(partition_by)
     if not rebalance:
         return df
     return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
@@ -23,7 +27,7 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str], rebalance: bool) ->
 
 def write_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True,
               mode: str = "overwrite", partition_by: Sequence[str] = (),
-              rebalance: bool = True) -> None:
+              rebalance: bool | None = None) -> None:
     """CSV with a header; ``mode='overwrite'`` replaces the whole table."""
     w = (_rebalanced(df, partition_by, rebalance).write.mode(mode).option("header", header)
          .option("sep", sep).option("dateFormat", DATE_FORMAT)
@@ -47,12 +51,12 @@ def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = Tr
     """
     n = df.count()
     out = df.repartition(1) if n <= max_rows else df
-    write_csv(out, path, sep=sep, header=header, rebalance=n > max_rows)
+    write_csv(out, path, sep=sep, header=header, rebalance=False)
     return n
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] = (), rebalance: bool = True,
+                partition_by: Sequence[str] = (), rebalance: bool | None = None,
                 sep: str = "|") -> None:
     """A zone table as Parquet (default) or CSV."""
     if fmt == "csv":
