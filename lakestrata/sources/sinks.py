@@ -25,16 +25,21 @@ def _rebalanced(df: DataFrame, partition_by: Sequence[str], rebalance: bool | No
     return df.hint("rebalance", *partition_by) if partition_by else df.hint("rebalance")
 
 
+def _overwrite_mode(w, dynamic: bool):
+    return w.option("partitionOverwriteMode", "dynamic") if dynamic else w
+
+
 def write_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True,
               mode: str = "overwrite", partition_by: Sequence[str] = (),
-              rebalance: bool | None = None) -> None:
-    """CSV with a header; ``mode='overwrite'`` replaces the whole table."""
+              rebalance: bool | None = None, dynamic_overwrite: bool = False) -> None:
+    """CSV with a header; ``mode='overwrite'`` replaces the whole table, or
+    with ``dynamic_overwrite`` only the partitions present in ``df``."""
     w = (_rebalanced(df, partition_by, rebalance).write.mode(mode).option("header", header)
          .option("sep", sep).option("dateFormat", DATE_FORMAT)
          .option("timestampFormat", TIMESTAMP_FORMAT)
          .option("timestampNTZFormat", TIMESTAMP_FORMAT))
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = _overwrite_mode(w.partitionBy(*partition_by), dynamic_overwrite)
     w.csv(path)
 
 
@@ -57,12 +62,13 @@ def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = Tr
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), rebalance: bool | None = None,
-                sep: str = "|") -> None:
+                sep: str = "|", dynamic_overwrite: bool = False) -> None:
     """A zone table as Parquet (default) or CSV."""
     if fmt == "csv":
-        write_csv(df, path, sep=sep, mode=mode, partition_by=partition_by, rebalance=rebalance)
+        write_csv(df, path, sep=sep, mode=mode, partition_by=partition_by, rebalance=rebalance,
+                  dynamic_overwrite=dynamic_overwrite)
         return
     w = _rebalanced(df, partition_by, rebalance).write.mode(mode).format(fmt)
     if partition_by:
-        w = w.partitionBy(*partition_by)
+        w = _overwrite_mode(w.partitionBy(*partition_by), dynamic_overwrite)
     w.save(path)

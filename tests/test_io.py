@@ -87,3 +87,15 @@ def test_page_links_title_pattern(spark):
     pages = spark.createDataFrame([(1, html)], "page_id long, html string")
     got = rows(page_links(pages, tipo="US"), "Cam_Git", "DATE_KEY", "Tipo")
     assert got == [("01-22-2020.csv", "01-22-2020", "US")]
+
+
+def test_dynamic_overwrite_replaces_only_given_partitions(spark, workdir):
+    from lakestrata.sources.sinks import write_table
+    schema = "K string, D string"
+    first = spark.createDataFrame([("a", "1"), ("b", "2")], schema)
+    write_table(first, f"{workdir}/t", partition_by=["D"])
+    update = spark.createDataFrame([("c", "2")], schema)
+    write_table(update, f"{workdir}/t", partition_by=["D"], dynamic_overwrite=True)
+    assert rows(spark.read.parquet(f"{workdir}/t"), "K", "D") == [("a", 1), ("c", 2)]
+    write_table(update, f"{workdir}/t", partition_by=["D"])
+    assert rows(spark.read.parquet(f"{workdir}/t"), "K", "D") == [("c", 2)]
