@@ -142,3 +142,26 @@ def test_csv_zones_round_trip(spark, workdir):
     publish_refined(tables, f"{workdir}/refined_csv", fmt="csv")
     cal = spark.read.option("header", True).option("sep", "|").csv(f"{workdir}/refined_csv/dim_calendar")
     assert cal.count() == 3 and "Nome do Mês" in cal.columns
+
+
+def test_run_lake_end_to_end_and_incremental(spark, workdir):
+    from lakestrata.plans.lake import LakePaths, run_lake
+    src = f"{workdir}/src"
+    os.makedirs(f"{src}/general"); os.makedirs(f"{src}/us")
+    write_raw(src)
+    paths = LakePaths(f"{workdir}/lake")
+    dirs = {"general": f"{src}/general", "us": f"{src}/us"}
+    first = run_lake(spark, paths, dirs)
+    assert first == {"missing": {"general": 2, "us": 2}, "loaded": True}
+    fact = spark.read.parquet(f"{paths.refined}/fato_covid")
+    assert fact.count() == 10
+    again = run_lake(spark, paths, dirs)
+    assert again == {"missing": {"general": 0, "us": 0}, "loaded": False}
+    with open(f"{src}/general/01-03-2021.csv", "w") as f:
+        f.write(GENERAL_HEADER + "\n" + ',,S1,C1,2021-01-03 05:00:00,45.5,10.1,21,1,0,20,"S1, C1",13,4.76\n')
+    third = run_lake(spark, paths, dirs)
+    assert third == {"missing": {"general": 1, "us": 0}, "loaded": True}
+    trusted = read_trusted(spark, paths.trusted)
+    got = trusted.filter((F.col("STATE") == "S1") & (F.col("DATE_ID") == dt.date(2021, 1, 3)))
+    assert [(r["CONFIRMED_AC"], r["CONFIRMED"]) for r in got.collect()] == [(21, 7)]
+    assert spark.read.parquet(f"{paths.refined}/fato_covid").count() == 11
