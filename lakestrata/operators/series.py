@@ -3,21 +3,25 @@
 ``previous_values`` is ``lag`` over ``PARTITION BY keys ORDER BY order``,
 built so that no single key has to fit in one task:
 
-1. Each key's rows are cut into buckets, a coarse and order-preserving
+0. One cheap job counts rows per key (by a 64-bit hash of the key, a
+   fixed-width partial aggregate) and fetches at most ``max_hot_keys``
+   hashes of keys above ``split_above`` rows.  Keys below stay in the plain
+   window, one task per key, with nothing added.  A hash collision can only
+   mark an extra key hot, which costs a little and changes no value.
+1. A hot key's rows are cut into buckets, a coarse and order-preserving
    function of the first order column (by default the day of a date, the
-   hour of a timestamp).  The last
-   value of every (key, bucket) is found with ``max_by``, reduced inside
-   each task before it is shuffled: at most one row per (key, bucket) per
-   task crosses the network.
-2. A window over those tails (one row per bucket, not per input row) gives
-   every bucket the value it inherits from the bucket before it, as a head
-   row that sorts before the bucket's own rows.
+   hour of a timestamp).  The last value of every (hot key, bucket) is
+   found with ``max_by``, reduced inside each task before it is shuffled.
+2. A window over those tails (one row per bucket, bounded by the time range
+   over the bucket width, not by the data size) gives every bucket the
+   value it inherits from the bucket before it, as a head row that sorts
+   before the bucket's own rows.
 3. Rows and heads are windowed together per (key, bucket).  The first row of
    a bucket sees the head as its predecessor; the heads are then dropped.
-   This is the only shuffle of the full rows, as in a plain window, but a
-   key with years of data is spread over many tasks.
+   This is the only shuffle of the full rows, as in a plain window.
 
-Without a bucket the operator is the plain single window.
+With more hot keys than ``max_hot_keys`` every key is bucketed (no list of
+keys is fetched then); with ``bucket=None`` the operator is the plain window.
 """
 
 from __future__ import annotations
@@ -29,8 +33,12 @@ from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 _B = "__series_bucket"
 _M = "__series_row"
+_H = "__series_key_hash"
 PREV = "__prev_"
 
+SPLIT_ABOVE = 2_000_000
+MAX_HOT_KEYS = 10_000
+
 
 def _auto_bucket(df: DataFrame, order: Sequence[str]) -> Column | None:
     first = df.schema[order[0]].dataType
@@ -56,9 +64,27 @@ def _prev_expr(c: str, w: Window, ignore_nulls: bool) -> Column:
     return F.lag(F.col(c)).over(w)
 
 
+def _key_hash(keys: Sequence[str]) -> Column:
+    return F.xxhash64(*[F.col(k) for k in keys])
+
+
+def hot_key_hashes(df: DataFrame, keys: Sequence[str], split_above: int = SPLIT_ABOVE,
+                   max_hot_keys: int = MAX_HOT_KEYS) -> list[int] | None:
+    """Hashes of the keys with more than ``split_above`` rows.
+
+    At most ``max_hot_keys + 1`` hashes reach the driver; ``None`` means
+    there are more than ``max_hot_keys`` of them.
+    """
+    counts = df.select(_key_hash(keys).alias(_H)).groupBy(_H).agg(F.count(F.lit(1)).alias("n"))
+    found = [r[0] for r in counts.filter(F.col("n") > F.lit(split_above))
+             .select(_H).limit(max_hot_keys + 1).collect()]
+    return None if len(found) > max_hot_keys else found
+
+
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     cols: Sequence[str], *, bucket="auto", ignore_nulls: bool = False,
-                    prefix: str = PREV) -> DataFrame:
+                    prefix: str = PREV, split_above: int = SPLIT_ABOVE,
+                    max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
     """Add ``prefix + c`` = the value of ``c`` on the previous row of its key.
 
     ``order`` is ascending with NULLs first; give it a tie-breaker so the
@@ -66,21 +92,26 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     window).  ``ignore_nulls`` takes the last non-NULL value before the row
     instead of the previous row's value.  ``bucket`` is ``"auto"`` (the day
     of a date, the hour of a timestamp first order column), ``None`` (one
-    plain window), a column name or a Column; it must not decrease along the
-    order.  A bucket holds one key's rows of one period, so it bounds the
-    largest task; the number of buckets per key is bounded by the time range
-    over the bucket width, not by the data size.
+    plain window, no key is split), a column name or a Column; it must not
+    decrease along the order.  Keys with more than ``split_above`` rows are
+    split into buckets (``split_above=0`` splits every key).
     """
     keys, order, cols = list(keys), list(order), list(cols)
     if set(cols) & (set(keys) | set(order)):
         raise ValueError("value columns must not be key or order columns")
     b = _resolve_bucket(df, order, bucket)
-    if b is None:
+    hot: list[int] | None = []
+    if b is not None:
+        hot = None if split_above <= 0 else hot_key_hashes(df, keys, split_above, max_hot_keys)
+    if b is None or hot == []:
         w = Window.partitionBy(*keys).orderBy(*order)
         return df.withColumns({prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols})
 
+    split = F.lit(True) if hot is None else _key_hash(keys).isin(hot)
+    bucket_col = F.when(split, b)  # NULL, one bucket, for keys that stay whole
+
     order_struct = F.struct(*[F.col(o) for o in order])
-    # 1. The last value of every (key, bucket), reduced inside each task
+    # 1. The last value of every (hot key, bucket), reduced inside each task
     #    before the (small) shuffle.
     if ignore_nulls:
         last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c)
@@ -88,31 +119,33 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     else:
         last = [F.max_by(F.col(c), order_struct).alias(c) for c in cols]
     needed = list(dict.fromkeys([*keys, *order, *cols]))
-    tails = df.select(*needed, b.alias(_B)).groupBy(*keys, _B).agg(*last)
+    tails = (df.filter(split).select(*needed, b.alias(_B))
+             .groupBy(*keys, _B).agg(*last))
     # 2. What each bucket inherits from the buckets before it: one head row
-    #    per (key, bucket), ordered before the bucket's own rows.
+    #    per (hot key, bucket), ordered before the bucket's own rows.
     w_b = Window.partitionBy(*keys).orderBy(F.col(_B))
     heads = tails.select(*keys, _B, *[_prev_expr(c, w_b, ignore_nulls).alias(c) for c in cols],
                          F.lit(0).alias(_M))
     # 3. Rows and heads together, one window per (key, bucket): the only
     #    shuffle of the full rows.
-    both = df.withColumns({_B: b, _M: F.lit(1)}).unionByName(heads, allowMissingColumns=True)
+    both = (df.withColumns({_B: bucket_col, _M: F.lit(1)})
+            .unionByName(heads, allowMissingColumns=True))
     w = Window.partitionBy(*keys, _B).orderBy(F.col(_M), *order)
     prev = {prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols}
     return both.withColumns(prev).filter(F.col(_M) == 1).select(*df.columns, *prev.keys())
 
 
 def lag_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
-              alias: str, *, bucket="auto") -> DataFrame:
+              alias: str, **kwargs) -> DataFrame:
     """Previous row's ``col`` per key as ``alias`` (NULL on the first row)."""
-    out = previous_values(df, keys, order, [col], bucket=bucket, prefix="__lag_")
+    out = previous_values(df, keys, order, [col], prefix="__lag_", **kwargs)
     return out.withColumnRenamed(f"__lag_{col}", alias)
 
 
 def cumulative_to_daily(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                         counters: Sequence[str], *, tiebreak: Sequence[str] = (),
-                        ignore_null_gaps: bool = False, bucket="auto",
-                        cumulative_suffix: str = "_AC") -> DataFrame:
+                        ignore_null_gaps: bool = False, cumulative_suffix: str = "_AC",
+                        **kwargs) -> DataFrame:
     """Turn cumulative counters into per-step values.
 
     Each counter ``c`` is renamed ``c + cumulative_suffix`` in place and a new
@@ -120,10 +153,10 @@ def cumulative_to_daily(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     the row after a NULL, it falls back to the cumulative value.  Drops stay
     negative.  ``ignore_null_gaps`` subtracts the last non-NULL value instead,
     so 10, 15, NULL, 20 gives 10, 5, NULL, 5 rather than 10, 5, NULL, 20.
+    Other keyword arguments go to ``previous_values`` (bucket, split_above).
     """
     full_order = list(order) + [t for t in tiebreak if t not in order]
-    x = previous_values(df, keys, full_order, counters, bucket=bucket,
-                        ignore_nulls=ignore_null_gaps)
+    x = previous_values(df, keys, full_order, counters, ignore_nulls=ignore_null_gaps, **kwargs)
     daily = [F.coalesce(F.try_subtract(F.col(c), F.col(PREV + c)), F.col(c)).alias(c)
              for c in counters]
     kept = [F.col(c).alias(c + cumulative_suffix) if c in counters else F.col(c)

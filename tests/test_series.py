@@ -23,10 +23,10 @@ def daily(spark, data, **kw):
 def test_gap_returns_full_value(spark):
     data = [("S", "C", d(0), "G", 10), ("S", "C", d(1), "G", 15),
             ("S", "C", d(2), "G", None), ("S", "C", d(3), "G", 20)]
-    for bucket in ("auto", None):
-        got = [r[-1] for r in daily(spark, data, bucket=bucket)]
+    for kw in ({"split_above": 0}, {"bucket": None}, {}):
+        got = [r[-1] for r in daily(spark, data, **kw)]
         assert got == [10, 5, None, 20]
-        got = [r[-1] for r in daily(spark, data, bucket=bucket, ignore_null_gaps=True)]
+        got = [r[-1] for r in daily(spark, data, ignore_null_gaps=True, **kw)]
         assert got == [10, 5, None, 5]
 
 
@@ -89,17 +89,30 @@ def test_two_level_lag_equals_one_window(spark):
     for seed in (1, 2):
         df = _random_series(spark, seed)
         for ignore in (False, True):
-            a = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID", "FONTE"], ["CONFIRMED"],
-                                bucket="auto", ignore_nulls=ignore)
             b = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID", "FONTE"], ["CONFIRMED"],
                                 bucket=None, ignore_nulls=ignore)
-            assert rows(a) == rows(b)
+            for split_above in (0, 100):  # every key split / only the hot one
+                a = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID", "FONTE"],
+                                    ["CONFIRMED"], ignore_nulls=ignore, split_above=split_above)
+                assert rows(a) == rows(b)
+
+
+def test_hot_keys_found_by_count(spark):
+    from lakestrata.operators.series import hot_key_hashes
+    df = _random_series(spark, 1)
+    hot = hot_key_hashes(df, ["STATE", "COUNTRY"], split_above=100)
+    assert len(hot) == 1
+    assert hot_key_hashes(df, ["STATE", "COUNTRY"], split_above=1, max_hot_keys=2) is None
+    assert hot_key_hashes(df, ["STATE", "COUNTRY"], split_above=10_000) == []
+    plan = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID"], ["CONFIRMED"],
+                           split_above=10_000)._jdf.queryExecution().optimizedPlan().toString()
+    assert "__series_bucket" not in plan
 
 
 def test_lag_value_with_custom_bucket(spark):
     df = _random_series(spark, 5, 600)
     a = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P",
-                  bucket=F.date_trunc("week", F.col("DATE_ID")))
+                  bucket=F.date_trunc("week", F.col("DATE_ID")), split_above=0)
     b = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P", bucket=None)
     assert rows(a) == rows(b)
     assert a.columns == df.columns + ["P"]
@@ -112,7 +125,9 @@ def test_timestamp_order_hour_buckets_equal_one_window(spark):
              None if rnd.random() < 0.1 else rnd.random()) for i in range(2000)]
     df = spark.createDataFrame(data, "user_id long, ts timestamp, event_id long, value double")
     for ignore in (False, True):
-        a = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"], ignore_nulls=ignore)
         b = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"], bucket=None,
                             ignore_nulls=ignore)
-        assert rows(a) == rows(b)
+        for split_above in (0, 500):
+            a = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"],
+                                ignore_nulls=ignore, split_above=split_above)
+            assert rows(a) == rows(b)
