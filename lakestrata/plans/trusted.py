@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
 from lakestrata.operators.harmonise import SourceMap, harmonise
-from lakestrata.operators.quality import COVID_GATE, COVID_RULES, annotate, gate, ratio, ratio_check
+from lakestrata.operators.quality import (
+    COVID_GATE, COVID_RULES, annotate, gate, ratio, ratio_check, report,
+)
 from lakestrata.operators.series import cumulative_to_daily
 from lakestrata.session import scratch_path
 from lakestrata.sources.csv import read_csv_strings
@@ -81,3 +83,9 @@ def run_trusted(spark: SparkSession, general_dir: str, us_dir: str, trusted_path
     trusted = trusted_from_quality(spark.read.parquet(quality_path), **kwargs)
     write_table(trusted, trusted_path, fmt=fmt, partition_by=["DATE_ID"])
     return {"quality": quality_path, "trusted": trusted_path}
+
+
+def quality_summary(spark: SparkSession, quality_path: str) -> DataFrame:
+    """(RULE, LABEL, N) over the labelled table ``run_trusted`` wrote."""
+    labelled = spark.read.parquet(quality_path)
+    return report(labelled, [r.name for r in COVID_RULES])

@@ -108,6 +108,10 @@ def test_refined_star_and_invariants(spark, workdir):
     labelled = spark.read.parquet(paths["quality"])
     assert labelled.count() == 10
     assert {r.name for r in COVID_RULES} <= set(labelled.columns)
+    from lakestrata.plans.trusted import quality_summary
+    summary = {(r["RULE"], r["LABEL"]): r["N"] for r in quality_summary(spark, paths["quality"]).collect()}
+    assert summary[("teste_range_lat", "latitude_fora_range")] == 2
+    assert summary[("teste_completude_long", "sem_longitude")] == 1
     trusted = read_trusted(spark, f"{workdir}/trusted")
     assert trusted.count() == 10
     tables = refine(trusted)
