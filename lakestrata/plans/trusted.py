@@ -38,21 +38,22 @@ def quality_table(harmonised: DataFrame, ratio_tolerance: float = 0.0) -> DataFr
 
 def trusted_from_quality(q: DataFrame, *, tiebreak: Sequence[str] = ("FONTE",),
                          ignore_null_gaps: bool = False, apply_gate: bool = False,
-                         bucket="auto") -> DataFrame:
+                         **series_kwargs) -> DataFrame:
     """The trusted table from the labelled one: cumulative counters as ``*_AC``,
     daily ones in their place, the recomputed ratio as CASE_FATALITY_RATIO.
 
     The series key is (STATE, COUNTRY) ordered by DATE_ID; rows of both
     sources for one key and day are ordered by ``tiebreak`` so every run
     gives the same deltas.  The gate (all of the first eight labels pass) is
-    off by default, as in the published pipeline.
+    off by default, as in the published pipeline.  ``series_kwargs`` go to
+    ``previous_values`` (bucket, split_above, max_hot_keys).
     """
     if apply_gate:
         q = gate(q, COVID_GATE)
     q = q.select(*[c for c in S.HARMONISED_COLUMNS if c != "CASE_FATALITY_RATIO"],
                  F.col("NEW_CASE_FATALITY_RATIO").alias("CASE_FATALITY_RATIO"))
     daily = cumulative_to_daily(q, S.LOCATION, ["DATE_ID"], S.COUNTERS, tiebreak=tiebreak,
-                                ignore_null_gaps=ignore_null_gaps, bucket=bucket)
+                                ignore_null_gaps=ignore_null_gaps, **series_kwargs)
     return daily.select(*S.TRUSTED_COLUMNS)
 
 
