@@ -51,3 +51,26 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str = "scratch") -> str:
     """A fresh, never reused folder below the checkpoint root."""
     return f"{checkpoint_root(spark)}/lakestrata/{name}-{uuid.uuid4().hex}"
+
+
+# Runtime SQL settings for large inputs: AQE sizes shuffle partitions from
+# measured map output (start high, coalesce down), splits skewed join and
+# rebalance partitions, and broadcasts only sides measured to be small.
+SCALE_CONF = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.shuffle.partitions": "4000",
+    "spark.sql.sources.parallelPartitionDiscovery.threshold": "32",
+}
+
+
+def tune_for_scale(spark: SparkSession, overrides: dict | None = None) -> None:
+    """Apply ``SCALE_CONF`` (and overrides) to a running session."""
+    for k, v in {**SCALE_CONF, **(overrides or {})}.items():
+        spark.conf.set(k, v)

@@ -99,3 +99,18 @@ def test_dynamic_overwrite_replaces_only_given_partitions(spark, workdir):
     assert rows(spark.read.parquet(f"{workdir}/t"), "K", "D") == [("a", 1), ("c", 2)]
     write_table(update, f"{workdir}/t", partition_by=["D"])
     assert rows(spark.read.parquet(f"{workdir}/t"), "K", "D") == [("c", 2)]
+
+
+def test_tune_for_scale_sets_runtime_conf(spark):
+    from lakestrata.session import SCALE_CONF, tune_for_scale
+    before = {k: spark.conf.get(k, None) for k in SCALE_CONF}
+    try:
+        tune_for_scale(spark, {"spark.sql.shuffle.partitions": "123"})
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "123"
+        assert spark.conf.get("spark.sql.adaptive.skewJoin.enabled") == "true"
+    finally:
+        for k, v in before.items():
+            if v is None:
+                spark.conf.unset(k)
+            else:
+                spark.conf.set(k, v)
