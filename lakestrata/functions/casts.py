@@ -65,8 +65,48 @@ _KINDS = {
 }
 
 
+def quote_ident(name: str) -> str:
+    """A column name as a SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def quote_str(value: str) -> str:
+    """A Python string as a SQL string literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def typed_sql(name: str, kind: str, date_formats: Iterable[str] = ()) -> str:
+    """The safe cast of a named column as SQL text (same results as ``typed``)."""
+    x = quote_ident(name)
+    kind = kind.replace(" ", "").lower()
+    if kind.startswith("decimal"):
+        spec = "(10,0)" if kind == "decimal" else kind[len("decimal"):]
+        return f"TRY_CAST({x} AS DECIMAL{spec})"
+    if kind == "string":
+        return f"CAST({x} AS STRING)"
+    if kind == "double":
+        return f"TRY_CAST({x} AS DOUBLE)"
+    if kind == "int":
+        return f"TRY_CAST(TRY_CAST({x} AS DOUBLE) AS INT)"
+    if kind == "long":
+        d = f"TRY_CAST({x} AS DOUBLE)"
+        return (f"CASE WHEN abs({d}) < {_EXACT_IN_DOUBLE!r}D THEN TRY_CAST({d} AS BIGINT) "
+                f"ELSE TRY_CAST({x} AS BIGINT) END")
+    if kind == "date":
+        alts = [f"to_date(try_to_timestamp({x}, {quote_str(f)}))" for f in date_formats]
+        base = f"TRY_CAST({x} AS DATE)"
+        return f"COALESCE({base}, {', '.join(alts)})" if alts else base
+    raise ValueError(f"unknown cast kind {kind!r}")
+
+
 def typed(c: str | Column, kind: str, date_formats: Iterable[str] = ()) -> Column:
-    """Cast by a short type name: string, double, int, long, date, decimal(p,s)."""
+    """Cast by a short type name: string, double, int, long, date, decimal(p,s).
+
+    A column given by name is cast through one SQL expression, which the
+    driver builds in a single call; a Column goes through the functions above.
+    """
+    if isinstance(c, str):
+        return F.expr(typed_sql(c, kind, date_formats))
     kind = kind.replace(" ", "").lower()
     if kind.startswith("decimal"):
         if kind == "decimal":

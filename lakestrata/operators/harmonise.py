@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from lakestrata.functions.casts import cast_columns
+from lakestrata.functions.casts import typed
 
 
 @dataclass(frozen=True)
@@ -30,33 +30,46 @@ def keep_null(df: DataFrame, column: str) -> DataFrame:
     return df.filter(F.col(column).isNull())
 
 
-def map_source(df: DataFrame, mapping: SourceMap, columns: Sequence[str],
-               tag_col: str) -> DataFrame:
+def map_source(df: DataFrame, mapping: SourceMap, columns: Sequence[str], tag_col: str,
+               casts: Mapping[str, str] | None = None,
+               date_formats: Iterable[str] = ()) -> DataFrame:
+    """Filter, then one projection: renamed, tagged and cast columns in order."""
     if mapping.keep is not None:
         df = df.filter(mapping.keep)
-    if mapping.rename:
-        df = df.withColumnsRenamed(dict(mapping.rename))
-    wanted = [c for c in columns if c != tag_col]
-    absent = [c for c in wanted if c not in df.columns]
+    present = {c.lower(): c for c in df.columns}
+    source_of = {dst.lower(): src for src, dst in mapping.rename.items()
+                 if src.lower() in present}
+    fmts = tuple(date_formats)
+    exprs, absent = [], []
+    for c in columns:
+        if c == tag_col:
+            e = F.lit(mapping.tag)
+            if casts and c in casts:
+                e = typed(e, casts[c], fmts)
+        else:
+            src = source_of.get(c.lower(), c)
+            if src.lower() not in present:
+                absent.append(c)
+                continue
+            name = present[src.lower()]
+            e = typed(name, casts[c], fmts) if casts and c in casts else F.col(name)
+        exprs.append(e.alias(c))
     if absent:
         raise ValueError(f"source {mapping.tag!r} lacks columns {absent}")
-    out = [F.lit(mapping.tag).alias(tag_col) if c == tag_col else F.col(c) for c in columns]
-    return df.select(*out)
+    return df.select(*exprs)
 
 
 def harmonise(sources: Iterable[tuple[DataFrame, SourceMap]], columns: Sequence[str],
               casts: Mapping[str, str] | None = None, tag_col: str = "FONTE",
               date_formats: Iterable[str] = ()) -> DataFrame:
-    """Tag, filter, rename and project each source, union them by name, cast.
+    """Tag, filter, rename, project and cast each source, then union by name.
 
     The union is by name, so a source whose columns come in another order
     cannot shift values into the wrong column.  It is a narrow operator: no
     shuffle, each source keeps its partitions.
     """
-    frames = [map_source(df, m, columns, tag_col) for df, m in sources]
+    fmts = tuple(date_formats)
+    frames = [map_source(df, m, columns, tag_col, casts, fmts) for df, m in sources]
     if not frames:
         raise ValueError("no sources")
-    out = reduce(lambda a, b: a.unionByName(b), frames)
-    if casts:
-        out = cast_columns(out, casts, date_formats)
-    return out
+    return reduce(lambda a, b: a.unionByName(b), frames)

@@ -15,6 +15,8 @@ from operator import and_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from lakestrata.functions.casts import quote_ident, quote_str
+
 # Fixed value: the label of a passed test.
 PASS = "correto"
 
@@ -38,21 +40,26 @@ class Rule:
     lo: float | None = None
     hi: float | None = None
 
-    def label(self) -> Column:
-        c = F.col(self.column)
+    def sql(self) -> str:
+        """The label as a SQL CASE expression."""
+        x, ok = quote_ident(self.column), quote_str(PASS)
+        missing = f"WHEN {x} IS NULL THEN {quote_str(self.null_label)}"
         if self.kind == "present":
-            return F.when(c.isNull(), F.lit(self.null_label)).otherwise(F.lit(PASS))
+            return f"CASE {missing} ELSE {ok} END"
         if self.kind == "range":
-            v = c.try_cast("double")
-            return (F.when(c.isNull(), F.lit(self.null_label))
-                    .when(v.between(F.lit(self.lo), F.lit(self.hi)), F.lit(PASS))
-                    .otherwise(F.lit(self.fail_label)))
+            lo, hi = float(self.lo), float(self.hi)
+            return (f"CASE {missing} WHEN TRY_CAST({x} AS DOUBLE) BETWEEN {lo!r}D AND {hi!r}D "
+                    f"THEN {ok} ELSE {quote_str(self.fail_label)} END")
         if self.kind == "non_negative":
-            return (F.when(c.isNull(), F.lit(self.null_label))
-                    .when(c < F.lit(0), F.lit(self.fail_label))
-                    .otherwise(F.lit(PASS)))
+            return (f"CASE {missing} WHEN {x} < 0 THEN {quote_str(self.fail_label)} "
+                    f"ELSE {ok} END")
         raise ValueError(f"unknown rule kind {self.kind!r}")
 
+    def label(self) -> Column:
+        # One SQL expression: built on the driver in one call, whatever the
+        # number of branches.
+        return F.expr(self.sql())
+
 
 def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """Add every rule's label column in one projection."""

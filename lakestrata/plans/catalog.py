@@ -16,7 +16,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import LongType, StructField, StructType
 
-from lakestrata.functions.casts import as_date, typed
+from lakestrata.functions.casts import as_date, quote_ident, typed
 from lakestrata.functions.keys import source_url
 from lakestrata.operators.harmonise import SourceMap, harmonise, keep_null
 from lakestrata.operators.quality import Rule, annotate, gate, ratio, ratio_check, report
@@ -63,7 +63,8 @@ ENTITY_CASTS = {"ENTITY_KEY": "long", "NAME": "string", "NATION_KEY": "int",
 
 def _as_text(df: DataFrame) -> DataFrame:
     """Every column as text, the way a raw CSV arrives."""
-    return df.select(*[F.col(c).cast("string").alias(c) for c in df.columns])
+    return df.selectExpr(*[f"CAST({quote_ident(c)} AS STRING) AS {quote_ident(c)}"
+                           for c in df.columns])
 
 
 def entities(spark: SparkSession, sf_dir: str) -> DataFrame:
