@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 
 from lakestrata.operators.reconcile import has_pending
+from lakestrata.plans.checks import verify_star
 from lakestrata.plans.ingest import (
     find_missing, ingest_missing, lake_listing, read_missing, write_missing,
 )
@@ -73,20 +74,27 @@ def load(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, str])
 
 def run_lake(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, str], *,
              offered: Mapping[str, DataFrame] | None = None, fmt: str = "parquet",
-             date_formats: Iterable[str] = (), **trusted_kwargs) -> dict[str, object]:
+             date_formats: Iterable[str] = (), verify: bool = False,
+             **trusted_kwargs) -> dict[str, object]:
     """Reconcile -> load -> trusted -> refined.
 
     ``source_dirs`` maps ``general`` and ``us`` to folders of daily CSV files
     (``,``-separated, one file per day); ``offered`` may give the source
     listings instead (e.g. from ``plans.ingest.source_listing`` over pages).
-    Trusted and refined are rebuilt only when something was loaded.
+    Trusted and refined are rebuilt only when something was loaded;
+    ``verify`` adds the violation counts of the star's invariants.
     """
     offered = offered or {src: offered_by_folder(spark, d) for src, d in source_dirs.items()}
     counts = reconcile(spark, paths, offered)
     loaded = load(spark, paths, source_dirs)
+    out: dict[str, object] = {"missing": counts, "loaded": loaded}
     if loaded:
         run_trusted(spark, paths.raw(GENERAL), paths.raw(US), paths.trusted,
                     quality_path=paths.quality, raw_sep="|", fmt=fmt,
                     date_formats=date_formats, **trusted_kwargs)
-        publish_refined(refine(read_trusted(spark, paths.trusted, fmt)), paths.refined, fmt)
-    return {"missing": counts, "loaded": loaded}
+        trusted = read_trusted(spark, paths.trusted, fmt)
+        tables = refine(trusted)
+        publish_refined(tables, paths.refined, fmt)
+        if verify:
+            out["violations"] = verify_star(tables, trusted)
+    return out

@@ -1,0 +1,27 @@
+import datetime as dt
+
+from pyspark.sql import functions as F
+
+from lakestrata.operators.series import cumulative_to_daily
+from lakestrata.plans.checks import duplicate_keys, orphan_keys, series_mismatch
+from tests.conftest import rows
+
+
+def test_orphans_and_duplicates(spark):
+    fact = spark.createDataFrame([("A",), ("B",), (None,), ("A",)], "LOCATION_KEY string")
+    dim = spark.createDataFrame([("A",), (None,), ("A",)], "LOCATION_KEY string")
+    assert rows(orphan_keys(fact, dim)) == [("B",)]
+    assert rows(duplicate_keys(dim)) == [("A", 2)]
+
+
+def test_series_mismatch_finds_broken_series(spark):
+    d = dt.date(2021, 1, 1)
+    data = [("S", "C", d + dt.timedelta(days=i), "G", v) for i, v in enumerate([3, 5, 9])]
+    data += [("T", "C", d, "G", 4), ("T", "C", d + dt.timedelta(days=1), "G", None)]
+    df = spark.createDataFrame(data, "STATE string, COUNTRY string, DATE_ID date, FONTE string, CONFIRMED int")
+    daily = cumulative_to_daily(df, ["STATE", "COUNTRY"], ["DATE_ID"], ["CONFIRMED"], tiebreak=["FONTE"])
+    ok = series_mismatch(daily, counters=["CONFIRMED"])
+    assert ok.count() == 0  # T has a NULL and is skipped; S adds up
+    broken = daily.withColumn("CONFIRMED", F.when(F.col("DATE_ID") == d, 1).otherwise(F.col("CONFIRMED")))
+    got = rows(series_mismatch(broken, counters=["CONFIRMED"]), "STATE", "DAILY_SUM", "LAST_CUMULATIVE")
+    assert got == [("S", 7, 9)]

@@ -155,8 +155,10 @@ def test_run_lake_end_to_end_and_incremental(spark, workdir):
     write_raw(src)
     paths = LakePaths(f"{workdir}/lake")
     dirs = {"general": f"{src}/general", "us": f"{src}/us"}
-    first = run_lake(spark, paths, dirs)
-    assert first == {"missing": {"general": 2, "us": 2}, "loaded": True}
+    first = run_lake(spark, paths, dirs, verify=True)
+    assert first == {"missing": {"general": 2, "us": 2}, "loaded": True,
+                     "violations": {"orphan_location_keys": 0, "duplicate_location_keys": 0,
+                                    "duplicate_dates": 0, "series_mismatch": 0}}
     fact = spark.read.parquet(f"{paths.refined}/fato_covid")
     assert fact.count() == 10
     again = run_lake(spark, paths, dirs)
