@@ -70,3 +70,38 @@ def test_composite_key(spark):
     keys = [r[0] for r in df.select(composite_key(["STATE"], ["COUNTRY"], sep="|")).collect()]
     assert keys == ["AB|C", "A|BC", "|C", None]
     assert one(spark, F.concat(F.lit("x"), F.col("v")), None) is None
+
+
+def test_casts_match_python_model_on_random_text(spark):
+    import random
+    from decimal import ROUND_HALF_UP, Decimal as D
+    rnd = random.Random(7)
+    texts = []
+    for _ in range(400):
+        digits = rnd.randint(1, 12)
+        whole = str(rnd.randint(0, 10 ** digits - 1))
+        frac = "".join(rnd.choice("0123456789") for _ in range(rnd.randint(0, 4)))
+        sign = rnd.choice(["", "-"])
+        texts.append(f"{sign}{whole}.{frac}" if frac else f"{sign}{whole}")
+    texts += ["0.5", "-0.5", "1.5", "2.5", "-2.5", "2147483647", "2147483648", "-2147483649"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    got = df.select("v", as_int("v").alias("i"), as_decimal("v").alias("d"),
+                    as_long("v").alias("l")).collect()
+    for r in got:
+        exact = D(r["v"])
+        rounded = exact.quantize(D(1), rounding=ROUND_HALF_UP)
+        assert r["d"] == (rounded if abs(rounded) < D(10) ** 10 else None), r
+        truncated = int(float(r["v"]))
+        assert r["i"] == (truncated if -2 ** 31 <= truncated < 2 ** 31 else None), r
+        assert r["l"] == truncated, r
+
+
+def test_sql_and_column_cast_paths_agree(spark):
+    from lakestrata.functions.casts import typed
+    texts = ["12.5", "-2.5", "123.0", "abc", None, "99999999999", "9007199254740993",
+             "2021-01-02 05:22:33", "1/22/2020 17:00", " 7 ", "1e3", "-0.0"]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    for kind in ["string", "double", "int", "long", "decimal(10,0)", "decimal(12,2)", "date"]:
+        fmts = ["M/d/yyyy H:mm"] if kind == "date" else []
+        out = df.select(typed("v", kind, fmts).alias("a"), typed(F.col("v"), kind, fmts).alias("b"))
+        assert all(r["a"] == r["b"] for r in out.collect()), kind
