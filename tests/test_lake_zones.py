@@ -171,3 +171,13 @@ def test_run_lake_end_to_end_and_incremental(spark, workdir):
     got = trusted.filter((F.col("STATE") == "S1") & (F.col("DATE_ID") == dt.date(2021, 1, 3)))
     assert [(r["CONFIRMED_AC"], r["CONFIRMED"]) for r in got.collect()] == [(21, 7)]
     assert spark.read.parquet(f"{paths.refined}/fato_covid").count() == 11
+
+
+def test_command_line_run(spark, workdir):
+    from lakestrata.__main__ import main
+    src = f"{workdir}/src"
+    write_raw(src)
+    out = main(["--root", f"{workdir}/lake", "--general", f"{src}/general", "--us", f"{src}/us",
+                "--verify", "--no-tune"])
+    assert out["loaded"] is True
+    assert set(out["violations"].values()) == {0}
