@@ -8,6 +8,9 @@ key list passes through the driver: everything is an anti- or semi-join.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
@@ -50,15 +53,33 @@ def read_missing(spark: SparkSession, path: str) -> DataFrame:
                          S.MISSING_LIST)
 
 
-def keyed_source(spark: SparkSession, source_dir: str, sep: str = ",",
-                 ext: str = ".csv") -> DataFrame:
-    """Source files with the key of the file each row comes from."""
-    df = read_csv_strings(spark, source_dir, sep=sep)
-    return df.withColumn(KEY, strip_suffix(file_name(F.col("_metadata.file_path")), ext))
-
-
-def ingest_missing(spark: SparkSession, source_dir: str, lake_dir: str, missing: DataFrame,
-                   src_sep: str = ",", lake_sep: str = "|") -> None:
-    """Append the rows of the missing keys to the raw zone, one folder per key."""
-    rows = load_missing(keyed_source(spark, source_dir, sep=src_sep), missing, KEY)
+def keyed_source(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
+                 sep: str = ",", ext: str = ".csv") -> DataFrame:
+    """Source files with the key of the file each row comes from.
+
+    ``source`` is a folder, or a list of layout groups (folders or file
+    lists whose files share one header): each group is read on its own and
+    the groups are unioned by column name, so a reordered header cannot move
+    values between columns.
+    """
+    groups = [source] if isinstance(source, str) else list(source)
+    frames = [read_csv_strings(spark, g, sep=sep).withColumn(
+        KEY, strip_suffix(file_name(F.col("_metadata.file_path")), ext)) for g in groups]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def ingest_missing(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
+                   lake_dir: str, missing: DataFrame, src_sep: str = ",",
+                   lake_sep: str = "|", columns: Sequence[str] | None = None) -> None:
+    """Append the rows of the missing keys to the raw zone, one folder per key.
+
+    With ``columns`` the raw files are written with exactly those columns,
+    taken by name (absent ones as NULL), so every file of the zone has the
+    same header whatever layout its source file had.
+    """
+    rows = load_missing(keyed_source(spark, source, sep=src_sep), missing, KEY)
+    if columns is not None:
+        present = {c.lower(): c for c in rows.columns}
+        rows = rows.select(*[F.col(present[c.lower()]).alias(c) if c.lower() in present
+                             else F.lit(None).cast("string").alias(c) for c in columns], KEY)
     write_csv(rows, lake_dir, sep=lake_sep, mode="append", partition_by=[KEY])

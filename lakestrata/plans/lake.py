@@ -7,11 +7,14 @@ can be rerun alone and lineage never reaches back across zones.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 
+from lakestrata import schemas as S
+
 from lakestrata.operators.reconcile import has_pending
 from lakestrata.plans.checks import verify_star
 from lakestrata.plans.ingest import (
@@ -24,6 +27,7 @@ from lakestrata.sources.listing import file_keys
 # The two report sources of the lake.
 GENERAL = "general"
 US = "us"
+RAW_COLUMNS = {GENERAL: S.RAW_GENERAL_COLUMNS, US: S.RAW_US_COLUMNS}
 
 
 @dataclass(frozen=True)
@@ -49,9 +53,14 @@ class LakePaths:
         return f"{self.root}/refined"
 
 
-def offered_by_folder(spark: SparkSession, source_dir: str) -> DataFrame:
-    """What a source offers, listed from its folder: (Cam_Lake, DATE_KEY)."""
-    return file_keys(spark, source_dir)
+Source = str | Sequence[str]
+
+
+def offered_by_folder(spark: SparkSession, source: Source) -> DataFrame:
+    """What a source offers, listed from its folder (or layout folders):
+    (Cam_Lake, DATE_KEY)."""
+    groups = [source] if isinstance(source, str) else list(source)
+    return reduce(lambda a, b: a.union(b), [file_keys(spark, g) for g in groups])
 
 
 def reconcile(spark: SparkSession, paths: LakePaths,
@@ -62,25 +71,30 @@ def reconcile(spark: SparkSession, paths: LakePaths,
             for src, listing in offered.items()}
 
 
-def load(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, str]) -> bool:
-    """Load the listed missing keys of every source; False when nothing was due."""
+def load(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, Source]) -> bool:
+    """Load the listed missing keys of every source; False when nothing was due.
+
+    Each source's raw files get that source's fixed column set, by name.
+    """
     missing = {src: read_missing(spark, paths.missing(src)) for src in source_dirs}
     if not has_pending(*missing.values()):
         return False
     for src, src_dir in source_dirs.items():
-        ingest_missing(spark, src_dir, paths.raw(src), missing[src])
+        ingest_missing(spark, src_dir, paths.raw(src), missing[src],
+                       columns=RAW_COLUMNS.get(src))
     return True
 
 
-def run_lake(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, str], *,
+def run_lake(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, Source], *,
              offered: Mapping[str, DataFrame] | None = None, fmt: str = "parquet",
              date_formats: Iterable[str] = (), verify: bool = False,
              **trusted_kwargs) -> dict[str, object]:
     """Reconcile -> load -> trusted -> refined.
 
     ``source_dirs`` maps ``general`` and ``us`` to folders of daily CSV files
-    (``,``-separated, one file per day); ``offered`` may give the source
-    listings instead (e.g. from ``plans.ingest.source_listing`` over pages).
+    (``,``-separated, one file per day), or to lists of folders, one per
+    header layout; ``offered`` may give the source listings instead (e.g.
+    from ``plans.ingest.source_listing`` over pages).
     Trusted and refined are rebuilt only when something was loaded;
     ``verify`` adds the violation counts of the star's invariants.
     """

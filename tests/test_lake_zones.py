@@ -181,3 +181,19 @@ def test_command_line_run(spark, workdir):
                 "--verify", "--no-tune"])
     assert out["loaded"] is True
     assert set(out["violations"].values()) == {0}
+
+
+def test_run_lake_with_two_general_layouts(spark, workdir):
+    from lakestrata.plans.lake import LakePaths, run_lake
+    src = f"{workdir}/src"
+    write_raw(src)
+    swapped = GENERAL_HEADER.replace("Confirmed,Deaths", "Deaths,Confirmed")
+    os.makedirs(f"{src}/general_v2")
+    with open(f"{src}/general_v2/01-03-2021.csv", "w") as f:
+        f.write(swapped + "\n" + ',,S1,C1,2021-01-03 05:00:00,45.5,10.1,2,21,0,20,"S1, C1",13,4.76\n')
+    paths = LakePaths(f"{workdir}/lake")
+    out = run_lake(spark, paths, {"general": [f"{src}/general", f"{src}/general_v2"],
+                                  "us": f"{src}/us"}, verify=True)
+    assert out["missing"] == {"general": 3, "us": 2}
+    t = read_trusted(spark, paths.trusted).filter(F.col("DATE_ID") == dt.date(2021, 1, 3)).first()
+    assert (t["CONFIRMED_AC"], t["DEATHS_AC"], t["CONFIRMED"]) == (21, 2, 7)

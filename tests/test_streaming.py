@@ -48,3 +48,16 @@ def test_batch_ingest_plan(spark, workdir):
     assert find_missing(offered, lake_listing(spark, lake)).count() == 0
     loaded = read_csv(spark, lake, sep="|")
     assert rows(loaded, "DATE_KEY", "Confirmed") == [("01-01-2021", "1"), ("01-02-2021", "3")]
+
+
+def test_batch_ingest_reads_each_layout_by_name(spark, workdir):
+    from lakestrata.plans.ingest import find_missing, ingest_missing, source_listing
+    old, new, lake = f"{workdir}/old", f"{workdir}/new", f"{workdir}/lake"
+    put(f"{old}/01-01-2021.csv", "Province_State,Confirmed\nA,1\n")
+    put(f"{new}/01-02-2021.csv", "Confirmed,Province_State,Deaths\n3,A,0\n")
+    html = "".join(f'<a title="{k}.csv">{k}.csv</a>' for k in ["01-01-2021", "01-02-2021"])
+    offered = source_listing(spark.createDataFrame([(html,)], "html string"), "General")
+    ingest_missing(spark, [old, new], lake, find_missing(offered, lake_listing(spark, lake)))
+    loaded = read_csv(spark, lake, sep="|")
+    assert rows(loaded, "DATE_KEY", "Province_State", "Confirmed", "Deaths") == [
+        ("01-01-2021", "A", "1", None), ("01-02-2021", "A", "3", "0")]
