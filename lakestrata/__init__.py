@@ -6,6 +6,6 @@ differently laid out sources, data-quality labels, cumulative -> daily series
 and a star schema.  Every operator takes and returns a ``DataFrame``.
 """
 
-from lakestrata.session import build_session, scratch_path
+from lakestrata.session import build_session, scratch_path, tune_for_scale
 
-__all__ = ["build_session", "scratch_path"]
+__all__ = ["build_session", "scratch_path", "tune_for_scale"]

@@ -1 +1,2 @@
-"""Plans: the lake's three steps, and the operator catalogue on the test tables."""
+"""Plans: the lake's steps and whole run, its checks, and the operator
+catalogue on the test tables with its SQL oracle."""
