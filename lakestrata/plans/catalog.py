@@ -25,6 +25,7 @@ from lakestrata.operators.reconcile import (
 )
 from lakestrata.operators.series import cumulative_to_daily, lag_value
 from lakestrata.operators.star import calendar_dim, fact, location_dim, with_location_key
+from lakestrata.plans.ingest import lake_listing
 from lakestrata.session import scratch_path
 from lakestrata.sources.csv import (
     read_csv, read_csv_strings, read_or_empty, read_partitioned_csv,
@@ -355,6 +356,16 @@ def q_file_listing_keys(spark, sf_dir):
     return keys.withColumn("SOURCE_URL", source_url("raw/", "DATE_KEY", ".csv"))
 
 
+def q_partition_listing_keys(spark, sf_dir):
+    """Orders written as one folder per month key, keys read back from the
+    folder listing (the way the raw zone's loaded days are listed)."""
+    orders = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("DATE_KEY"), "o_orderkey", "o_totalprice")
+    path = scratch_path(spark, "orders-by-month")
+    write_csv(orders, path, partition_by=["DATE_KEY"])
+    return lake_listing(spark, path, partition_column="DATE_KEY").select("DATE_KEY").distinct()
+
+
 # --------------------------------------------------------------------------
 # CSV round trips (written below the session's checkpoint folder)
 
@@ -448,6 +459,7 @@ QUERIES: dict[str, Query] = {
     "pending_count": q_pending_count,
     "page_links": q_page_links,
     "file_listing_keys": q_file_listing_keys,
+    "partition_listing_keys": q_partition_listing_keys,
     "csv_scan_strings": q_csv_scan_strings,
     "csv_scan_inferred": q_csv_scan_inferred,
     "csv_scan_typed": q_csv_scan_typed,

@@ -198,6 +198,8 @@ ORACLE: dict[str, str] = {
     "file_listing_keys": "SELECT name || '.parquet' AS Cam_Lake, name AS DATE_KEY, "
                          "'raw/' || name || '.csv' AS SOURCE_URL FROM (VALUES "
                          + ", ".join(f"('{t}')" for t in _TABLES) + ") t(name)",
+    "partition_listing_keys": """
+        SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS DATE_KEY FROM orders""",
     "csv_scan_strings": _ORDERS_TEXT,
     "csv_scan_inferred": _ORDERS_TEXT,
     "csv_scan_typed": "SELECT * FROM orders",
