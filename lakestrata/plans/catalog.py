@@ -197,7 +197,8 @@ def q_lag_value(spark, sf_dir):
 
 
 def q_lag_hot_key(spark, sf_dir):
-    """Lag per event type: five keys, each a fifth of the table."""
+    """Lag per event type: five keys, each a fifth of the table.  Once a key
+    passes ``split_above`` rows it is cut into hour buckets (see series)."""
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE")
 
