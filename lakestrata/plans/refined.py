@@ -38,13 +38,17 @@ def null_date_rows(spark: SparkSession, trusted: DataFrame,
     return spark.sql(f"SELECT * FROM {view} WHERE DATE_ID IS NULL")
 
 
-def publish_refined(tables: dict[str, DataFrame], root: str, fmt: str = "parquet") -> None:
+def publish_refined(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
+                    fact_rebalance: bool = False) -> None:
     """Write the star: the fact partitioned by its date copy, the rest whole.
 
     The trusted input is columnar, so the four writes each scan their own
-    columns instead of holding the whole table in memory between them.
+    columns instead of holding the whole table in memory between them.  It
+    is also stored one folder per DATE_ID, so every scan task already holds
+    few dates and the fact (partitioned by the same date) is written without
+    a shuffle; pass ``fact_rebalance=True`` for an input not laid out by date.
     """
     write_table(tables["fato_covid"], f"{root}/fato_covid", fmt=fmt,
-                partition_by=[S.FACT_PARTITION])
+                partition_by=[S.FACT_PARTITION], rebalance=fact_rebalance)
     for name in ("dim_location", "dim_calendar", "base_trusted"):
         write_table(tables[name], f"{root}/{name}", fmt=fmt)
