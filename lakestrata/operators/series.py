@@ -95,6 +95,10 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     plain window, no key is split), a column name or a Column; it must not
     decrease along the order.  Keys with more than ``split_above`` rows are
     split into buckets (``split_above=0`` splits every key).
+
+    The key count is one extra job over ``df``: when ``df`` is costly to
+    compute (a join, a CSV parse), write it first and pass the written table,
+    as ``plans.trusted.run_trusted`` does.
     """
     keys, order, cols = list(keys), list(order), list(cols)
     if set(cols) & (set(keys) | set(order)):
