@@ -203,6 +203,14 @@ def q_lag_hot_key(spark, sf_dir):
     return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE")
 
 
+def q_lag_bucketed(spark, sf_dir):
+    """The same lag with every key cut into hour buckets (``split_above=0``):
+    the carried-head path, checked against the same SQL."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
+    return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE",
+                     split_above=0)
+
+
 def _snapshots(spark, sf_dir, gaps: bool):
     o = table(spark, sf_dir, "orders")
     total = F.col("o_totalprice")
@@ -445,6 +453,7 @@ QUERIES: dict[str, Query] = {
     "quality_report": q_quality_report,
     "lag_value": q_lag_value,
     "lag_hot_key": q_lag_hot_key,
+    "lag_bucketed": q_lag_bucketed,
     "cumulative_to_daily": q_cumulative_to_daily,
     "cumulative_to_daily_gaps": q_cumulative_to_daily_gaps,
     "cumulative_to_daily_skip_gaps": q_cumulative_to_daily_skip_gaps,

@@ -79,6 +79,12 @@ _ORDERS_TEXT = """
   FROM orders
 """
 
+_LAG_BY_TYPE = """
+  SELECT event_id, event_type, ts, value,
+         LAG(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS PREV_VALUE
+  FROM events
+"""
+
 _TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events",
            "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]
 
@@ -116,10 +122,8 @@ ORACLE: dict[str, str] = {
         SELECT event_id, user_id, ts, value,
                LAG(value) OVER (PARTITION BY user_id ORDER BY ts, event_id) AS PREV_VALUE
         FROM events""",
-    "lag_hot_key": """
-        SELECT event_id, event_type, ts, value,
-               LAG(value) OVER (PARTITION BY event_type ORDER BY ts, event_id) AS PREV_VALUE
-        FROM events""",
+    "lag_hot_key": _LAG_BY_TYPE,
+    "lag_bucketed": _LAG_BY_TYPE,
     "cumulative_to_daily": f"""
         SELECT o_custkey, DATE_ID, o_orderkey, TOTALPRICE AS TOTALPRICE_AC,
                COALESCE(TOTALPRICE - LAG(TOTALPRICE) OVER ({_W_CUST}), TOTALPRICE) AS TOTALPRICE
