@@ -114,3 +114,14 @@ def test_tune_for_scale_sets_runtime_conf(spark):
                 spark.conf.unset(k)
             else:
                 spark.conf.set(k, v)
+
+
+def test_read_some_partition_folders_keeps_the_column(spark, workdir):
+    schema = StructType([StructField("K", StringType()), StructField("DATE_ID", DateType())])
+    df = spark.createDataFrame([("a", dt.date(2021, 1, 1)), ("b", dt.date(2021, 1, 2)),
+                                ("c", dt.date(2021, 1, 3))], schema)
+    write_csv(df, f"{workdir}/t", partition_by=["DATE_ID"])
+    some = read_partitioned_csv(spark, f"{workdir}/t", schema,
+                                paths=[f"{workdir}/t/DATE_ID=2021-01-02",
+                                       f"{workdir}/t/DATE_ID=2021-01-03"])
+    assert rows(some) == [("b", dt.date(2021, 1, 2)), ("c", dt.date(2021, 1, 3))]
