@@ -67,7 +67,9 @@ def annotate(df: DataFrame, rules: Sequence[Rule]) -> DataFrame:
 
 
 def gate(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:
-    """Keep rows that pass every listed label."""
+    """Keep rows that pass every listed label (all rows when none is listed)."""
+    if not label_cols:
+        return df
     return df.filter(reduce(and_, [F.col(c) == F.lit(PASS) for c in label_cols]))
 
 

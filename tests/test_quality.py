@@ -75,3 +75,8 @@ def test_custom_rule_on_text(spark):
     df = spark.createDataFrame([("5",), ("5000.5",), (None,)], "v string")
     r = Rule("t", "v", "range", "none", "out", 0, 5000)
     assert labels(annotate(df, [r]), "t") == [PASS, "out", "none"]
+
+
+def test_gate_without_rules_keeps_all(spark):
+    df = frame(spark, [("1", "1", 1, 1, 1, 1, Decimal(1), Decimal(1))])
+    assert gate(df, []).count() == 1
