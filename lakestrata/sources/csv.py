@@ -7,7 +7,7 @@ from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StructField, StructType
 
 
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
@@ -31,9 +31,21 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
 
 
 def read_csv_strings(spark: SparkSession, path: str | Sequence[str], sep: str = ",",
-                     **options: str) -> DataFrame:
-    """Column names from the header, every value as text (no inference)."""
-    return read_csv(spark, path, None, sep=sep, header=True, infer=False, **options)
+                     check_headers: bool = True, **options: str) -> DataFrame:
+    """Column names from the header, every value as text (no inference).
+
+    A folder read takes its column names from one file and every other
+    file's values by position.  With ``check_headers`` each file's header is
+    compared with those names as the file is read, and a file laid out
+    differently fails the job instead of shifting its values into the wrong
+    columns; read such folders per layout (``read_csv_layouts``).
+    """
+    df = read_csv(spark, path, None, sep=sep, header=True, infer=False, **options)
+    if not check_headers:
+        return df
+    schema = StructType([StructField(f.name, f.dataType) for f in df.schema.fields])
+    return read_csv(spark, path, schema, sep=sep, header=True, enforceSchema="false",
+                    **options)
 
 
 def read_or_empty(spark: SparkSession, read: Callable[[], DataFrame],

@@ -125,3 +125,16 @@ def test_read_some_partition_folders_keeps_the_column(spark, workdir):
                                 paths=[f"{workdir}/t/DATE_ID=2021-01-02",
                                        f"{workdir}/t/DATE_ID=2021-01-03"])
     assert rows(some) == [("b", dt.date(2021, 1, 2)), ("c", dt.date(2021, 1, 3))]
+
+
+def test_mixed_headers_in_one_folder_fail_loudly(spark, workdir):
+    import pytest
+    write_text(f"{workdir}/mixed/1.csv", "A,B\n1,2\n")
+    write_text(f"{workdir}/mixed/2.csv", "B,A\n4,3\n")
+    with pytest.raises(Exception, match="(?i)header|schema"):
+        read_csv_strings(spark, f"{workdir}/mixed").collect()
+    loose = read_csv_strings(spark, f"{workdir}/mixed", check_headers=False)
+    assert loose.count() == 2
+    write_text(f"{workdir}/same/1.csv", "A,B\n1,2\n")
+    write_text(f"{workdir}/same/2.csv", "A,B\n3,4\n")
+    assert rows(read_csv_strings(spark, f"{workdir}/same")) == [("1", "2"), ("3", "4")]
