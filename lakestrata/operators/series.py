@@ -29,15 +29,20 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import (
+    DataType, DateType, NumericType, TimestampNTZType, TimestampType,
+)
 
 _B = "__series_bucket"
 _M = "__series_row"
 _H = "__series_key_hash"
+_HB = "__series_bucket_hash"
+_BOUNDS = "__series_bounds"
 PREV = "__prev_"
 
 SPLIT_ABOVE = 2_000_000
 MAX_HOT_KEYS = 10_000
+SUB_BUCKETS = 64
 
 
 def _auto_bucket(df: DataFrame, order: Sequence[str]) -> Column | None:
@@ -81,10 +86,58 @@ def hot_key_hashes(df: DataFrame, keys: Sequence[str], split_above: int = SPLIT_
     return None if len(found) > max_hot_keys else found
 
 
+
+def _quantile_type(t: DataType) -> bool:
+    return isinstance(t, (NumericType, DateType, TimestampType, TimestampNTZType))
+
+
+def _sub_column(df: DataFrame, order: Sequence[str], bucket_is_first: bool) -> str | None:
+    """The first order column that varies inside a bucket, if quantiles of it
+    can be taken: the second one when the bucket is the first column itself."""
+    if bucket_is_first:
+        if len(order) < 2 or not _quantile_type(df.schema[order[1]].dataType):
+            return None
+        return order[1]
+    return order[0] if _quantile_type(df.schema[order[0]].dataType) else None
+
+
+def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Column,
+               split: Column, bucket_is_first: bool, split_above: int, max_hot_keys: int,
+               sub_buckets: int) -> tuple[DataFrame, Column]:
+    """Cut each hot (key, bucket) into row-balanced ranges of the order.
+
+    Buckets of split keys with more than ``split_above`` rows (at most
+    ``max_hot_keys`` of them) get ``sub_buckets - 1`` approximate quantiles
+    of the first order column that varies inside them; a row's sub-bucket is
+    the number of quantiles below its value, which never decreases along the
+    order.  The quantile table has at most ``max_hot_keys`` rows, so it is
+    broadcast.  Returns the rows (with the quantiles joined) and the bucket.
+    """
+    sub_col = _sub_column(df, order, bucket_is_first) if sub_buckets > 1 else None
+    if sub_col is None:
+        return df, b
+    bucket_hash = F.xxhash64(*[F.col(k) for k in keys], b)
+    counts = (df.filter(split).select(bucket_hash.alias(_HB)).groupBy(_HB)
+              .agg(F.count(F.lit(1)).alias("n")))
+    found = [r[0] for r in counts.filter(F.col("n") > F.lit(split_above))
+             .select(_HB).limit(max_hot_keys + 1).collect()]
+    if not found or len(found) > max_hot_keys:
+        return df, b
+    probs = [i / sub_buckets for i in range(1, sub_buckets)]
+    bounds = (df.filter(split).withColumn(_HB, bucket_hash).filter(F.col(_HB).isin(found))
+              .groupBy(_HB).agg(F.percentile_approx(F.col(sub_col), probs, 10_000)
+                                .alias(_BOUNDS)))
+    x = df.withColumn(_HB, bucket_hash).join(F.broadcast(bounds), _HB, "left")
+    sub = F.when(F.col(_BOUNDS).isNotNull(),
+                 F.size(F.filter(F.col(_BOUNDS), lambda q: q < F.col(sub_col))))
+    return x, F.struct(b.alias("b"), sub.alias("s"))
+
+
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                     cols: Sequence[str], *, bucket="auto", ignore_nulls: bool = False,
                     prefix: str = PREV, split_above: int = SPLIT_ABOVE,
-                    max_hot_keys: int = MAX_HOT_KEYS) -> DataFrame:
+                    max_hot_keys: int = MAX_HOT_KEYS, sub_buckets: int = SUB_BUCKETS,
+                    bucket_split_above: int | None = None) -> DataFrame:
     """Add ``prefix + c`` = the value of ``c`` on the previous row of its key.
 
     ``order`` is ascending with NULLs first; give it a tie-breaker so the
@@ -94,7 +147,10 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     of a date, the hour of a timestamp first order column), ``None`` (one
     plain window, no key is split), a column name or a Column; it must not
     decrease along the order.  Keys with more than ``split_above`` rows are
-    split into buckets (``split_above=0`` splits every key).
+    split into buckets (``split_above=0`` splits every key), and buckets of
+    those keys with more than ``bucket_split_above`` rows (by default the
+    same threshold) into ``sub_buckets`` row-balanced ranges
+    (``sub_buckets=1`` turns that off).
 
     The key count is one extra job over ``df``: when ``df`` is costly to
     compute (a join, a CSV parse), write it first and pass the written table,
@@ -112,6 +168,12 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
         return df.withColumns({prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols})
 
     split = F.lit(True) if hot is None else _key_hash(keys).isin(hot)
+    bucket_is_first = (isinstance(bucket, str) and bucket == "auto"
+                       and isinstance(df.schema[order[0]].dataType, DateType))
+    if bucket_split_above is None:
+        bucket_split_above = split_above if split_above > 0 else SPLIT_ABOVE
+    x, b = _sub_split(df, keys, order, b, split, bucket_is_first,
+                      max(bucket_split_above, 1), max_hot_keys, sub_buckets)
     bucket_col = F.when(split, b)  # NULL, one bucket, for keys that stay whole
 
     order_struct = F.struct(*[F.col(o) for o in order])
@@ -123,7 +185,7 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
     else:
         last = [F.max_by(F.col(c), order_struct).alias(c) for c in cols]
     needed = list(dict.fromkeys([*keys, *order, *cols]))
-    tails = (df.filter(split).select(*needed, b.alias(_B))
+    tails = (x.filter(split).select(*needed, b.alias(_B))
              .groupBy(*keys, _B).agg(*last))
     # 2. What each bucket inherits from the buckets before it: one head row
     #    per (hot key, bucket), ordered before the bucket's own rows.
@@ -132,7 +194,7 @@ def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
                          F.lit(0).alias(_M))
     # 3. Rows and heads together, one window per (key, bucket): the only
     #    shuffle of the full rows.
-    both = (df.withColumns({_B: bucket_col, _M: F.lit(1)})
+    both = (x.withColumns({_B: bucket_col, _M: F.lit(1)})
             .unionByName(heads, allowMissingColumns=True))
     w = Window.partitionBy(*keys, _B).orderBy(F.col(_M), *order)
     prev = {prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols}

@@ -131,3 +131,20 @@ def test_timestamp_order_hour_buckets_equal_one_window(spark):
             a = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"],
                                 ignore_nulls=ignore, split_above=split_above)
             assert rows(a) == rows(b)
+
+
+def test_hot_bucket_is_cut_into_ranges(spark):
+    rnd = random.Random(5)
+    day = dt.date(2024, 3, 1)
+    data = [("K", day if rnd.random() < 0.9 else day + dt.timedelta(days=1), i,
+             None if rnd.random() < 0.1 else rnd.randint(0, 99)) for i in range(3000)]
+    data += [("Q", day, i, i) for i in range(3000, 3050)]
+    df = spark.createDataFrame(data, "k string, d date, t long, v int")
+    plain = previous_values(df, ["k"], ["d", "t"], ["v"], bucket=None)
+    for ignore in (False, True):
+        plain = previous_values(df, ["k"], ["d", "t"], ["v"], bucket=None, ignore_nulls=ignore)
+        split = previous_values(df, ["k"], ["d", "t"], ["v"], split_above=500, sub_buckets=8,
+                                ignore_nulls=ignore)
+        plan = split._jdf.queryExecution().optimizedPlan().toString()
+        assert "__series_bounds" in plan
+        assert rows(split) == rows(plain)
