@@ -20,6 +20,9 @@ built so that no single key has to fit in one task:
    a bucket sees the head as its predecessor; the heads are then dropped.
    This is the only shuffle of the full rows, as in a plain window.
 
+A bucket that is itself hot is cut into row-balanced ranges first (see
+``_sub_split``), which keeps every step above bounded.
+
 With more hot keys than ``max_hot_keys`` every key is bucketed (no list of
 keys is fetched then); with ``bucket=None`` the operator is the plain window.
 """
