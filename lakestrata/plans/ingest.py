@@ -2,8 +2,9 @@
 
 Source listing (links in the source's folder page) minus lake listing (files
 or date folders in the raw zone) = missing keys; the source rows of missing
-keys are appended to the raw zone, transcoded to the lake's separator.  No
-key list passes through the driver: everything is an anti- or semi-join.
+keys are appended to the raw zone, transcoded to the lake's separator.  The
+selection is an anti- and a semi-join; only the names of the missing files
+(bounded) reach the scan as a file filter, so loaded files are not reread.
 """
 
 from __future__ import annotations
@@ -54,30 +55,45 @@ def read_missing(spark: SparkSession, path: str) -> DataFrame:
 
 
 def keyed_source(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
-                 sep: str = ",", ext: str = ".csv") -> DataFrame:
+                 sep: str = ",", ext: str = ".csv",
+                 only_files: Sequence[str] | None = None) -> DataFrame:
     """Source files with the key of the file each row comes from.
 
     ``source`` is a folder, or a list of layout groups (folders or file
     lists whose files share one header): each group is read on its own and
     the groups are unioned by column name, so a reordered header cannot move
-    values between columns.
+    values between columns.  ``only_files`` (file names) filters on the
+    scan's file metadata, so the other files are not opened at all.
     """
     groups = [source] if isinstance(source, str) else list(source)
-    frames = [read_csv_strings(spark, g, sep=sep).withColumn(
-        KEY, strip_suffix(file_name(F.col("_metadata.file_path")), ext)) for g in groups]
+    frames = []
+    for g in groups:
+        df = read_csv_strings(spark, g, sep=sep)
+        if only_files is not None:
+            df = df.filter(F.col("_metadata.file_name").isin(list(only_files)))
+        frames.append(df.withColumn(KEY, strip_suffix(file_name(F.col("_metadata.file_path")), ext)))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
 def ingest_missing(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
                    lake_dir: str, missing: DataFrame, src_sep: str = ",",
-                   lake_sep: str = "|", columns: Sequence[str] | None = None) -> None:
+                   lake_sep: str = "|", columns: Sequence[str] | None = None,
+                   ext: str = ".csv", max_listed: int = 100_000) -> None:
     """Append the rows of the missing keys to the raw zone, one folder per key.
 
-    With ``columns`` the raw files are written with exactly those columns,
-    taken by name (absent ones as NULL), so every file of the zone has the
-    same header whatever layout its source file had.
+    The missing keys are file names, metadata of the source's own listing:
+    up to ``max_listed`` of them are handed to the scan as a file filter, so
+    only the missing files are read.  Beyond that every file is scanned.
+    The semi-join with the missing keys selects the rows either way.  With
+    ``columns`` the raw files are written with exactly those columns, taken
+    by name (absent ones as NULL), so every file of the zone has the same
+    header whatever layout its source file had.
     """
-    rows = load_missing(keyed_source(spark, source, sep=src_sep), missing, KEY)
+    listed = [r[0] for r in missing.select(KEY).where(F.col(KEY).isNotNull()).distinct()
+              .limit(max_listed + 1).collect()]
+    only = [k + ext for k in listed] if len(listed) <= max_listed else None
+    source_rows = keyed_source(spark, source, sep=src_sep, ext=ext, only_files=only)
+    rows = load_missing(source_rows, missing, KEY)
     if columns is not None:
         present = {c.lower(): c for c in rows.columns}
         rows = rows.select(*[F.col(present[c.lower()]).alias(c) if c.lower() in present

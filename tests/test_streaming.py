@@ -61,3 +61,17 @@ def test_batch_ingest_reads_each_layout_by_name(spark, workdir):
     loaded = read_csv(spark, lake, sep="|")
     assert rows(loaded, "DATE_KEY", "Province_State", "Confirmed", "Deaths") == [
         ("01-01-2021", "A", "1", None), ("01-02-2021", "A", "3", "0")]
+
+
+def test_batch_ingest_opens_only_missing_files(spark, workdir):
+    from lakestrata.plans.ingest import keyed_source
+    src = f"{workdir}/src"
+    for i in range(5):
+        put(f"{src}/01-0{i + 1}-2021.csv", f"Province_State,Confirmed\nA,{i}\n")
+    df = keyed_source(spark, src, only_files=["01-02-2021.csv", "01-04-2021.csv"])
+    assert rows(df, "DATE_KEY", "Confirmed") == [("01-02-2021", "1"), ("01-04-2021", "3")]
+    df.collect()
+    scans = df._jdf.queryExecution().executedPlan().collectLeaves()
+    files = [scans.apply(i).metrics().get("numFiles").get().value() for i in range(scans.size())
+             if scans.apply(i).metrics().contains("numFiles")]
+    assert files == [2]
