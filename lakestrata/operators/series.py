@@ -33,7 +33,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import (
-    DataType, DateType, NumericType, TimestampNTZType, TimestampType,
+    DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType,
 )
 
 _B = "__series_bucket"
@@ -94,14 +94,29 @@ def _quantile_type(t: DataType) -> bool:
     return isinstance(t, (NumericType, DateType, TimestampType, TimestampNTZType))
 
 
-def _sub_column(df: DataFrame, order: Sequence[str], bucket_is_first: bool) -> str | None:
-    """The first order column that varies inside a bucket, if quantiles of it
-    can be taken: the second one when the bucket is the first column itself."""
+def text_rank(c: str) -> Column:
+    """The first 7 UTF-8 bytes of a text as a number: never decreases along
+    Spark's (byte-wise) text order, so quantiles of it split a text range."""
+    head = F.hex(F.substring(F.encode(F.col(c), "UTF-8"), 1, 7))
+    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long")
+
+
+def _orderable(df: DataFrame, name: str) -> Column | None:
+    t = df.schema[name].dataType
+    if _quantile_type(t):
+        return F.col(name)
+    if isinstance(t, StringType):
+        return text_rank(name)
+    return None
+
+
+def _sub_column(df: DataFrame, order: Sequence[str], bucket_is_first: bool) -> Column | None:
+    """The first order column that varies inside a bucket, as a value that
+    quantiles can be taken of: the second one when the bucket is the first
+    column itself."""
     if bucket_is_first:
-        if len(order) < 2 or not _quantile_type(df.schema[order[1]].dataType):
-            return None
-        return order[1]
-    return order[0] if _quantile_type(df.schema[order[0]].dataType) else None
+        return _orderable(df, order[1]) if len(order) > 1 else None
+    return _orderable(df, order[0])
 
 
 def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Column,
@@ -113,8 +128,9 @@ def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Colu
     ``max_hot_keys`` of them) get ``sub_buckets - 1`` approximate quantiles
     of the first order column that varies inside them; a row's sub-bucket is
     the number of quantiles below its value, which never decreases along the
-    order.  The quantile table has at most ``max_hot_keys`` rows, so it is
-    broadcast.  Returns the rows (with the quantiles joined) and the bucket.
+    order (text is ranked by its first bytes, see ``text_rank``).  The
+    quantile table has at most ``max_hot_keys`` rows, so it is broadcast.
+    Returns the rows (with the quantiles joined) and the bucket.
     """
     sub_col = _sub_column(df, order, bucket_is_first) if sub_buckets > 1 else None
     if sub_col is None:
@@ -128,11 +144,10 @@ def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Colu
         return df, b
     probs = [i / sub_buckets for i in range(1, sub_buckets)]
     bounds = (df.filter(split).withColumn(_HB, bucket_hash).filter(F.col(_HB).isin(found))
-              .groupBy(_HB).agg(F.percentile_approx(F.col(sub_col), probs, 10_000)
-                                .alias(_BOUNDS)))
+              .groupBy(_HB).agg(F.percentile_approx(sub_col, probs, 10_000).alias(_BOUNDS)))
     x = df.withColumn(_HB, bucket_hash).join(F.broadcast(bounds), _HB, "left")
     sub = F.when(F.col(_BOUNDS).isNotNull(),
-                 F.size(F.filter(F.col(_BOUNDS), lambda q: q < F.col(sub_col))))
+                 F.size(F.filter(F.col(_BOUNDS), lambda q: q < sub_col)))
     return x, F.struct(b.alias("b"), sub.alias("s"))
 
 

@@ -148,3 +148,25 @@ def test_hot_bucket_is_cut_into_ranges(spark):
         plan = split._jdf.queryExecution().optimizedPlan().toString()
         assert "__series_bounds" in plan
         assert rows(split) == rows(plain)
+
+
+def test_hot_bucket_with_text_tiebreak_is_cut(spark):
+    rnd = random.Random(9)
+    day = dt.date(2024, 3, 1)
+    words = ["", "a", "ab", "abcdefgh", "abcdefgz", "b", "ção", "zz", "Z"]
+    data = [("K", day, f"{rnd.choice(words)}{i:05d}" if rnd.random() < 0.8 else rnd.choice(words) + str(i),
+             rnd.randint(0, 99)) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, d date, s string, v int")
+    plain = previous_values(df, ["k"], ["d", "s"], ["v"], bucket=None)
+    split = previous_values(df, ["k"], ["d", "s"], ["v"], split_above=300, sub_buckets=8)
+    assert "__series_bounds" in split._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(split) == rows(plain)
+
+
+def test_text_rank_never_decreases(spark):
+    from lakestrata.operators.series import text_rank
+    words = sorted(["", "a", "a\\x00", "ab", "abcdefgh", "abcdefgi", "b", "ção", "Z", "zz", "é"],
+                   key=lambda w: w.encode("utf-8"))
+    df = spark.createDataFrame([(w,) for w in words], "w string")
+    got = [r[0] for r in df.select(text_rank("w")).collect()]
+    assert got == sorted(got)
