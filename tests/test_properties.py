@@ -57,3 +57,35 @@ def test_calendar_matches_python(spark, dates):
         assert r["Dia da Semana"] == d.isoweekday() % 7 + 1
         assert r["Nome do Mês"] == calendar.month_name[d.month]
         assert r["Nome do Dia"] == calendar.day_name[d.weekday()]
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.sampled_from(["abc", "", "-90", "90", "90.7", "-90.0001"]),
+                          st.floats(-200, 200, allow_nan=False).map(repr)), max_size=25))
+def test_range_rule_matches_python(spark, values):
+    from lakestrata.operators.quality import PASS, Rule, annotate
+    rule = Rule("t", "v", "range", "missing", "out", -90, 90)
+    df = spark.createDataFrame([(v,) for v in values], "v string")
+
+    def model(v):
+        if v is None:
+            return "missing"
+        try:
+            x = float(v)
+        except ValueError:
+            return "out"
+        return PASS if -90 <= x <= 90 else "out"
+
+    assert [r[0] for r in annotate(df, [rule]).select("t").collect()] == [model(v) for v in values]
+
+
+@SETTINGS
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), max_size=25))
+def test_sign_and_presence_rules_match_python(spark, values):
+    from lakestrata.operators.quality import PASS, Rule, annotate
+    rules = [Rule("p", "v", "present", "missing"), Rule("s", "v", "non_negative", "nulo", "neg")]
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    got = [(r["p"], r["s"]) for r in annotate(df, rules).collect()]
+    want = [("missing" if v is None else PASS,
+             "nulo" if v is None else ("neg" if v < 0 else PASS)) for v in values]
+    assert got == want
