@@ -32,8 +32,11 @@ def ingest_new_files(spark: SparkSession, source_dir: str, schema: StructType, l
                      max_files_per_trigger: int | None = None,
                      wait: bool = True) -> StreamingQuery:
     """Append rows of not yet loaded files to ``lake_dir``, keyed by file name."""
+    # Every file's header is checked against the schema's names, so a file
+    # laid out otherwise stops the stream instead of shifting its values.
     reader = (spark.readStream.schema(schema).option("header", True).option("sep", src_sep)
-              .option("mode", "PERMISSIVE").option("pathGlobFilter", f"*{ext}"))
+              .option("enforceSchema", False).option("mode", "PERMISSIVE")
+              .option("pathGlobFilter", f"*{ext}"))
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     rows = reader.csv(source_dir).withColumn(

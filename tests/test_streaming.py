@@ -75,3 +75,11 @@ def test_batch_ingest_opens_only_missing_files(spark, workdir):
     files = [scans.apply(i).metrics().get("numFiles").get().value() for i in range(scans.size())
              if scans.apply(i).metrics().contains("numFiles")]
     assert files == [2]
+
+
+def test_stream_stops_on_a_reordered_header(spark, workdir):
+    import pytest
+    src, lake, ckpt = f"{workdir}/src", f"{workdir}/lake", f"{workdir}/ckpt"
+    put(f"{src}/01-01-2021.csv", "Confirmed,Province_State\n1,A\n")
+    with pytest.raises(Exception):
+        ingest_new_files(spark, src, SCHEMA, lake, ckpt)
