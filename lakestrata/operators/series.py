@@ -45,7 +45,7 @@ PREV = "__prev_"
 
 SPLIT_ABOVE = 2_000_000
 MAX_HOT_KEYS = 10_000
-SUB_BUCKETS = 64
+SUB_BUCKETS = 1024
 
 
 def _auto_bucket(df: DataFrame, order: Sequence[str]) -> Column | None:
@@ -125,8 +125,10 @@ def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Colu
     """Cut each hot (key, bucket) into row-balanced ranges of the order.
 
     Buckets of split keys with more than ``split_above`` rows (at most
-    ``max_hot_keys`` of them) get ``sub_buckets - 1`` approximate quantiles
-    of the first order column that varies inside them; a row's sub-bucket is
+    ``max_hot_keys`` of them) get approximate quantiles of the first order
+    column that varies inside them, as many as make ranges of about
+    ``split_above`` rows in the largest such bucket, at most
+    ``sub_buckets - 1``; a row's sub-bucket is
     the number of quantiles below its value, which never decreases along the
     order (text is ranked by its first bytes, see ``text_rank``).  The
     quantile table has at most ``max_hot_keys`` rows, so it is broadcast.
@@ -138,11 +140,12 @@ def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Colu
     bucket_hash = F.xxhash64(*[F.col(k) for k in keys], b)
     counts = (df.filter(split).select(bucket_hash.alias(_HB)).groupBy(_HB)
               .agg(F.count(F.lit(1)).alias("n")))
-    found = [r[0] for r in counts.filter(F.col("n") > F.lit(split_above))
-             .select(_HB).limit(max_hot_keys + 1).collect()]
-    if not found or len(found) > max_hot_keys:
+    hot = counts.filter(F.col("n") > F.lit(split_above)).limit(max_hot_keys + 1).collect()
+    if not hot or len(hot) > max_hot_keys:
         return df, b
-    probs = [i / sub_buckets for i in range(1, sub_buckets)]
+    found = [r[_HB] for r in hot]
+    ranges = min(sub_buckets, max(2, -(-max(r["n"] for r in hot) // split_above)))
+    probs = [i / ranges for i in range(1, ranges)]
     bounds = (df.filter(split).withColumn(_HB, bucket_hash).filter(F.col(_HB).isin(found))
               .groupBy(_HB).agg(F.percentile_approx(sub_col, probs, 10_000).alias(_BOUNDS)))
     x = df.withColumn(_HB, bucket_hash).join(F.broadcast(bounds), _HB, "left")
