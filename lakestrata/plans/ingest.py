@@ -62,16 +62,19 @@ def keyed_source(spark: SparkSession, source: str | Sequence[str | Sequence[str]
     ``source`` is a folder, or a list of layout groups (folders or file
     lists whose files share one header): each group is read on its own and
     the groups are unioned by column name, so a reordered header cannot move
-    values between columns.  ``only_files`` (file names) filters on the
-    scan's file metadata, so the other files are not opened at all.
+    values between columns.  ``only_files`` (file names, any letter case)
+    filters on the scan's file metadata, so the other files are not opened
+    at all.
     """
     groups = [source] if isinstance(source, str) else list(source)
     frames = []
     for g in groups:
         df = read_csv_strings(spark, g, sep=sep)
         if only_files is not None:
-            df = df.filter(F.col("_metadata.file_name").isin(list(only_files)))
-        frames.append(df.withColumn(KEY, strip_suffix(file_name(F.col("_metadata.file_path")), ext)))
+            names = [n.lower() for n in only_files]
+            df = df.filter(F.lower(F.col("_metadata.file_name")).isin(names))
+        key = strip_suffix(file_name(F.col("_metadata.file_path")), ext, case_insensitive=True)
+        frames.append(df.withColumn(KEY, key))
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 

@@ -30,14 +30,20 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
     return reader.load(path).select("path", "length")
 
 
+def _any_case(ext: str) -> str:
+    """A glob matching ``ext`` in any letter case (``.csv`` -> ``.[cC][sS][vV]``)."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext)
+
+
 def file_keys(spark: SparkSession, path: str, ext: str = ".csv", name_col: str = "Cam_Lake",
               key_col: str = "DATE_KEY", partition_column: str | None = None) -> DataFrame:
-    """(file name, key) per file; the key is the name without its extension,
-    or, with ``partition_column``, the value of that Hive folder."""
-    files = list_files(spark, path, glob=f"*{ext}" if ext else None,
+    """(file name, key) per file; the key is the name without its extension
+    (in any letter case), or, with ``partition_column``, the value of that
+    Hive folder."""
+    files = list_files(spark, path, glob=f"*{_any_case(ext)}" if ext else None,
                        recursive=partition_column is not None)
     key = (partition_value("path", partition_column) if partition_column
-           else strip_suffix(file_name("path"), ext))
+           else strip_suffix(file_name("path"), ext, case_insensitive=True))
     return files.select(file_name("path").alias(name_col), key.alias(key_col))
 
 

@@ -83,3 +83,17 @@ def test_stream_stops_on_a_reordered_header(spark, workdir):
     put(f"{src}/01-01-2021.csv", "Confirmed,Province_State\n1,A\n")
     with pytest.raises(Exception):
         ingest_new_files(spark, src, SCHEMA, lake, ckpt)
+
+
+def test_upper_case_extension_is_listed_and_loaded(spark, workdir):
+    from lakestrata.plans.lake import LakePaths, load, reconcile, offered_by_folder
+    src = f"{workdir}/src"
+    put(f"{src}/01-01-2021.csv", "Province_State,Confirmed\nA,1\n")
+    put(f"{src}/01-02-2021.CSV", "Province_State,Confirmed\nA,3\n")
+    paths = LakePaths(f"{workdir}/lake")
+    offered = offered_by_folder(spark, src)
+    assert sorted(r["DATE_KEY"] for r in offered.collect()) == ["01-01-2021", "01-02-2021"]
+    assert reconcile(spark, paths, {"us": offered}) == {"us": 2}
+    assert load(spark, paths, {"us": src}) is True
+    loaded = read_csv(spark, paths.raw("us"), sep="|")
+    assert rows(loaded, "DATE_KEY", "Confirmed") == [("01-01-2021", "1"), ("01-02-2021", "3")]
