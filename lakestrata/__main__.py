@@ -18,8 +18,10 @@ from lakestrata.session import tune_for_scale
 def main(argv: list[str] | None = None) -> dict:
     p = argparse.ArgumentParser(prog="lakestrata", description=__doc__)
     p.add_argument("--root", required=True, help="lake root (raw/, trusted/, refined/ below)")
-    p.add_argument("--general", required=True, help="folder of general daily CSV files")
-    p.add_argument("--us", required=True, help="folder of us daily CSV files")
+    p.add_argument("--general", required=True, nargs="+",
+                   help="folder(s) of general daily CSV files, one per header layout")
+    p.add_argument("--us", required=True, nargs="+",
+                   help="folder(s) of us daily CSV files, one per header layout")
     p.add_argument("--format", default="parquet", choices=["parquet", "csv"])
     p.add_argument("--date-format", action="append", default=[],
                    help="extra pattern for dates the ISO cast cannot read")
@@ -29,7 +31,9 @@ def main(argv: list[str] | None = None) -> dict:
     spark = SparkSession.builder.appName("lakestrata").getOrCreate()
     if not args.no_tune:
         tune_for_scale(spark)
-    out = run_lake(spark, LakePaths(args.root), {GENERAL: args.general, US: args.us},
+    sources = {GENERAL: args.general, US: args.us}
+    sources = {k: v[0] if len(v) == 1 else v for k, v in sources.items()}
+    out = run_lake(spark, LakePaths(args.root), sources,
                    fmt=args.format, date_formats=args.date_format, verify=args.verify)
     print(json.dumps(out))
     return out
