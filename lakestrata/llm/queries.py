@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, language
+from lakestrata.llm import bpe, decontaminate, language, neardup, pii, rules, substring
 from lakestrata.llm.common import remainder, table
 
 #: The vocabulary of the tokenizer queries.
@@ -24,6 +24,35 @@ def op1_bpe_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.with_token_digests(docs, ranks, pattern).select("doc_id", "bpe.*")
 
 
+def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts and verdict of every document."""
+    return rules.quality(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
+def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What is left of every document without the windows that a smaller id has."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring.without_repeats(docs).select(
+        "doc_id", "unrepeated.n_words", "unrepeated.n_removed",
+        F.sha2(F.col("unrepeated.kept_text"), 256).alias("kept_sha256"))
+
+
+def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The near-duplicate class of every document."""
+    return neardup.classes(table(spark, sf_dir, "documents"))
+
+
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of the pattern spans of every document, and all spans found."""
+    docs = table(spark, sf_dir, "documents")
+    tagged = pii.with_spans(docs.select("doc_id", "text"), pii.train(docs))
+    base = F.filter("spans", lambda s: s["base"])
+    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    return tagged.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
+                         pii.listed(F.col("spans")).alias("spans"))
+
+
 def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document; learnt where crc32(doc_id) mod 4 is not 2."""
     docs = table(spark, sf_dir, "documents")
@@ -32,9 +61,19 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "language.*"))
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document that holds a benchmark item, with the place of their best overlap."""
+    return decontaminate.leaky_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
+    "op2_quality_rules": op2_quality_rules,
+    "op4_substring_dedup": op4_substring_dedup,
+    "op5_near_duplicates": op5_near_duplicates,
+    "op6_pii": op6_pii,
     "op7_language": op7_language,
+    "op9_decontamination": op9_decontamination,
 }
 
 ORACLE: dict[str, str] = {}
