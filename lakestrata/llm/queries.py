@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, decontaminate, language, neardup, pii, rules, substring
+from lakestrata.llm import bpe, convnet, decontaminate, hmm, language, neardup, notices, pii, rules, substring
 from lakestrata.llm.common import remainder, table
+from lakestrata.llm.sql import ORACLE  # noqa: F401  (registered beside QUERIES)
 
 #: The vocabulary of the tokenizer queries.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
@@ -30,6 +31,13 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op3_hidden_markov(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log10 probability of every document, learnt where crc32(doc_id) mod 7 is not 2."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return hmm.score(docs, remainder("doc_id", 7) != 2).select(
+        "doc_id", (~F.col("learnt")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")
+
+
 def op4_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """What is left of every document without the windows that a smaller id has."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -61,19 +69,42 @@ def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", (remainder("doc_id", 4) == 2).alias("held_out"), "language.*"))
 
 
+def op8_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Places of the phrases in every document, and the labels of these and of the notices found."""
+    found = notices.with_notices(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans, base = F.col("notices.spans"), F.filter("notices.spans", lambda s: s["base"])
+    labels = lambda x: F.array_join(F.array_sort(F.array_distinct(F.transform(x, lambda s: s["label"]))), ",")
+    return found.select(
+        "doc_id", "notices.n_words", F.size(base).cast("long").alias("n_base"),
+        F.array_min(F.transform(base, lambda s: s["first_word"])).alias("first_word"),
+        F.array_max(F.transform(base, lambda s: s["first_word"])).alias("last_word"),
+        labels(base).alias("base_labels"), labels(spans).alias("labels"),
+        F.coalesce(F.array_max(F.transform(spans, lambda s: s["similarity"])), F.lit(0.0)).alias("score"))
+
+
 def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document that holds a benchmark item, with the place of their best overlap."""
     return decontaminate.leaky_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op10_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document, learnt where crc32(doc_id) mod 5 is not 0."""
+    docs, labels = table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "labels")
+    model = convnet.train(docs, labels.where(remainder("doc_id", 5) != 0))
+    return (convnet.with_quality(docs, model)
+            .select("doc_id", (remainder("doc_id", 5) == 0).alias("held_out"), "score",
+                    (F.col("score") >= convnet.THRESHOLD).cast("int").alias("predicted")))
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op2_quality_rules": op2_quality_rules,
+    "op3_hidden_markov": op3_hidden_markov,
     "op4_substring_dedup": op4_substring_dedup,
     "op5_near_duplicates": op5_near_duplicates,
     "op6_pii": op6_pii,
     "op7_language": op7_language,
+    "op8_notices": op8_notices,
     "op9_decontamination": op9_decontamination,
+    "op10_quality_net": op10_quality_net,
 }
-
-ORACLE: dict[str, str] = {}
