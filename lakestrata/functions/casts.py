@@ -4,7 +4,8 @@ Raw snapshot files arrive as text.  The casts below give the same answers as
 Spark's lenient (non-ANSI) casts the layered lake was written for, while
 running under ANSI mode: a bad value becomes NULL instead of failing the job.
 
-* int: through double, so ``"123.0"`` is 123 and ``"123.7"`` is 123.
+* int, long: the whole part, so ``"123.0"`` is 123 and ``"123.7"`` is 123;
+  letters (``12d``, ``1e3``) and hex forms are NULL.
 * decimal(p, s): HALF_UP rounding to the scale, NULL on overflow.
 * date: ISO date with an optional time part; more patterns may be given.
 """
@@ -29,21 +30,25 @@ def as_double(c: str | Column) -> Column:
     return _c(c).try_cast("double")
 
 
-# A failed text -> integer try_cast is slow (it fails by exception), while
-# text -> double fails fast and is exact for every int and every long below
-# 2**53.  So integers go through double, and only longs beyond 2**53 are
-# cast directly (to keep every digit).
-_EXACT_IN_DOUBLE = float(2 ** 53)
+# A whole number with an optional fraction, which is cut off; blanks and control characters around it don't count.
+# Text of any other form is NULL before a cast sees it (a failed text -> integer cast is slow: it fails by exception).
+_BLANK = r"[\x00-\x20\x7F]*"
+_WHOLE = rf"^{_BLANK}([+-]?\d+)(?:\.\d*)?{_BLANK}$"
+_NO_WHOLE = rf"^{_BLANK}[+-]?\.\d*{_BLANK}$"  # nothing before the point: 0
+
+
+def _integer(c: str | Column, kind: str) -> Column:
+    x = _c(c).cast("string")
+    whole = F.nullif(F.regexp_extract(x, _WHOLE, 1), F.lit("")).try_cast(kind)
+    return F.when(x.rlike(_NO_WHOLE), F.lit(0).cast(kind)).otherwise(whole)
 
 
 def as_int(c: str | Column) -> Column:
-    return _c(c).try_cast("double").try_cast("int")
+    return _integer(c, "int")
 
 
 def as_long(c: str | Column) -> Column:
-    d = _c(c).try_cast("double")
-    return F.when(F.abs(d) < F.lit(_EXACT_IN_DOUBLE), d.try_cast("long")).otherwise(
-        _c(c).try_cast("long"))
+    return _integer(c, "long")
 
 
 def as_decimal(c: str | Column, precision: int = 10, scale: int = 0) -> Column:
@@ -86,12 +91,10 @@ def typed_sql(name: str, kind: str, date_formats: Iterable[str] = ()) -> str:
         return f"CAST({x} AS STRING)"
     if kind == "double":
         return f"TRY_CAST({x} AS DOUBLE)"
-    if kind == "int":
-        return f"TRY_CAST(TRY_CAST({x} AS DOUBLE) AS INT)"
-    if kind == "long":
-        d = f"TRY_CAST({x} AS DOUBLE)"
-        return (f"CASE WHEN abs({d}) < {_EXACT_IN_DOUBLE!r}D THEN TRY_CAST({d} AS BIGINT) "
-                f"ELSE TRY_CAST({x} AS BIGINT) END")
+    if kind in ("int", "long"):
+        t = f"CAST({x} AS STRING)"
+        whole = f"TRY_CAST(NULLIF(regexp_extract({t}, {quote_str(_WHOLE)}, 1), '') AS {kind.upper()})"
+        return f"CASE WHEN {t} RLIKE {quote_str(_NO_WHOLE)} THEN CAST(0 AS {kind.upper()}) ELSE {whole} END"
     if kind == "date":
         alts = [f"to_date(try_to_timestamp({x}, {quote_str(f)}))" for f in date_formats]
         base = f"TRY_CAST({x} AS DATE)"

@@ -18,14 +18,28 @@ def strip_suffix(c: str | Column, suffix: str, case_insensitive: bool = False) -
     return F.regexp_replace(_c(c), F.lit(f"{flags}{re.escape(suffix)}$"), F.lit(""))
 
 
-def file_name(path: str | Column) -> Column:
-    """Last path segment of a file URI."""
-    return F.regexp_extract(_c(path), r"([^/]*)$", 1)
+def _unescaped(c: Column) -> Column:
+    """``%XX`` escapes decoded once; a plus sign stays one."""
+    return F.url_decode(F.replace(c, F.lit("+"), F.lit("%2B")))
 
 
-def partition_value(path: str | Column, column: str) -> Column:
-    """Value of a Hive-style ``column=value`` folder in a path, '' if absent."""
-    return F.regexp_extract(_c(path), rf"/{re.escape(column)}=([^/]*)/", 1)
+def file_name(uri: str | Column) -> Column:
+    """Name of a file from its URI (``_metadata.file_path``), as it is on disk."""
+    return _unescaped(F.regexp_extract(_c(uri), r"([^/]*)$", 1))
+
+
+def partition_value(uri: str | Column, column: str) -> Column:
+    """Value of a Hive-style ``column=value`` folder in a file's URI, '' if absent.
+
+    The URI escapes the folder's name, and the folder's name the value.
+    """
+    value = F.regexp_extract(_c(uri), rf"/{re.escape(column)}=([^/]*)/", 1)
+    return _unescaped(_unescaped(value))
+
+
+def file_key(uri: str | Column, ext: str = ".csv") -> Column:
+    """Key of a source file: its name without the extension, in any letter case."""
+    return strip_suffix(file_name(uri), ext, case_insensitive=True)
 
 
 def composite_key(optional: Sequence[str], required: Sequence[str], sep: str = "") -> Column:

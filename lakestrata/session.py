@@ -35,7 +35,9 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder the cluster names for checkpoints.
 
-    Read from the session; set a private one only when the session has none.
+    Read from the session.  A local session that has none gets a private
+    folder; on a cluster that is an error, as its machines share no folder
+    made here.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root:
@@ -43,6 +45,9 @@ def checkpoint_root(spark: SparkSession) -> str:
     current = spark.sparkContext.getCheckpointDir()
     if current:
         return current.rstrip("/")
+    master = spark.sparkContext.master
+    if master != "local" and not master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir isn't set: name a folder that all machines share")
     root = tempfile.mkdtemp(prefix="lakestrata-ckpt-")
     spark.sparkContext.setCheckpointDir(root)
     return root

@@ -1,4 +1,11 @@
-"""CSV readers for the raw, trusted and refined zones."""
+"""CSV readers for the raw, trusted and refined zones.
+
+One dialect serves all readers and writers of the library, so that any text
+comes back as it was: a quote inside a field is doubled, blanks are kept, a
+field may hold line breaks, NULL is an empty field and the empty text a
+quoted one.  A field with line breaks means that a file is read whole by one
+task, so the writers bound the rows of a file.
+"""
 
 from __future__ import annotations
 
@@ -10,6 +17,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructField, StructType
 
 
+#: Options of both readers and writers.
+DIALECT = {"quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": "false",
+           "ignoreTrailingWhiteSpace": "false"}
+#: An empty field reads as this noncharacter inside the parser, then as NULL; a quoted empty one as the empty text.
+READ_OPTIONS = {**DIALECT, "nullValue": "\uffff", "emptyValue": "", "multiLine": "true", "mode": "PERMISSIVE"}
+WRITE_OPTIONS = {**DIALECT, "nullValue": "", "emptyValue": '""'}
+
+
 def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None,
              sep: str = ",", header: bool = True, infer: bool = False,
              **options: str) -> DataFrame:
@@ -20,9 +35,7 @@ def read_csv(spark: SparkSession, path: str | Sequence[str], schema: StructType
     Spark's CSV reader does.  ``infer=True`` without a schema costs a full
     extra scan and should stay for small files only.
     """
-    reader = spark.read.option("header", header).option("sep", sep).option("mode", "PERMISSIVE")
-    for k, v in options.items():
-        reader = reader.option(k, v)
+    reader = spark.read.options(header=header, sep=sep, **{**READ_OPTIONS, **options})
     if schema is not None:
         reader = reader.schema(schema)
     else:
@@ -54,8 +67,7 @@ def read_or_empty(spark: SparkSession, read: Callable[[], DataFrame],
     try:
         return read()
     except AnalysisException as e:
-        if "PATH_NOT_FOUND" in str(e) or "Path does not exist" in str(e) \
-                or "UNABLE_TO_INFER_SCHEMA" in str(e):
+        if e.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return spark.createDataFrame([], schema)
         raise
 
@@ -81,6 +93,5 @@ def read_partitioned_csv(spark: SparkSession, root: str, schema: StructType, sep
     partition column on them.  Filters on a partition column prune folders
     without opening files.
     """
-    reader = (spark.read.schema(schema).option("header", True).option("sep", sep)
-              .option("basePath", root))
+    reader = spark.read.schema(schema).options(header=True, sep=sep, basePath=root, **READ_OPTIONS)
     return reader.csv(list(paths) if paths else root)

@@ -6,18 +6,23 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from lakestrata.functions.keys import extract_all, file_name, partition_value, strip_suffix
+from lakestrata.functions.keys import (
+    extract_all, file_key, file_name, partition_value, strip_suffix,
+)
 
 # Fixed value: pattern of a data-file link in a repository folder page (the
-# file name is the element's title).
-TITLE_LINK = r'title="([^"]*\.csv)"'
+# file name is the element's title, quoted either way or not at all).
+TITLE_LINK = r"""(?<![\w-])(?i:title)\s*=\s*["']?((?:(?<=")[^"]*|(?<=')[^']*|(?<=[=\s])[^\s"'>]+)\.csv)(?=["'\s>])"""
 HREF_LINK = r'<a href="([^"]*)"'
 
 
 def list_files(spark: SparkSession, path: str, glob: str | None = None,
-               recursive: bool = False) -> DataFrame:
+               recursive: bool = False, uri: bool = False) -> DataFrame:
     """(path, length) of the files under ``path``; file contents are not read.
 
+    With ``uri`` also the path as ``_metadata.file_path`` of a scan gives it, so keys
+    taken from either agree.
+
     The listing is Spark's own file index (listed in parallel when folders
     are many), and the binary source prunes ``content`` when it is not
     selected.
@@ -27,10 +32,10 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None,
         reader = reader.option("pathGlobFilter", glob)
     if recursive:
         reader = reader.option("recursiveFileLookup", True)
-    return reader.load(path).select("path", "length")
+    return reader.load(path).select("path", "length", *([F.col("_metadata.file_path").alias("uri")] if uri else []))
 
 
-def _any_case(ext: str) -> str:
+def any_case(ext: str) -> str:
     """A glob matching ``ext`` in any letter case (``.csv`` -> ``.[cC][sS][vV]``)."""
     return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in ext)
 
@@ -40,11 +45,10 @@ def file_keys(spark: SparkSession, path: str, ext: str = ".csv", name_col: str =
     """(file name, key) per file; the key is the name without its extension
     (in any letter case), or, with ``partition_column``, the value of that
     Hive folder."""
-    files = list_files(spark, path, glob=f"*{_any_case(ext)}" if ext else None,
-                       recursive=partition_column is not None)
-    key = (partition_value("path", partition_column) if partition_column
-           else strip_suffix(file_name("path"), ext, case_insensitive=True))
-    return files.select(file_name("path").alias(name_col), key.alias(key_col))
+    files = list_files(spark, path, glob=f"*{any_case(ext)}" if ext else None,
+                       recursive=partition_column is not None, uri=True)
+    key = partition_value("uri", partition_column) if partition_column else file_key("uri", ext)
+    return files.select(file_name("uri").alias(name_col), key.alias(key_col))
 
 
 def page_links(pages: DataFrame, html_col: str = "html", pattern: str = TITLE_LINK,

@@ -9,10 +9,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import TimestampNTZType, TimestampType
 
-DATE_FORMAT = "yyyy-MM-dd"
-TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss"
+from lakestrata.sources.csv import WRITE_OPTIONS
+
+#: Rows of one CSV file at most: a file is read by one task.
+ROWS_PER_FILE = 1_000_000
 
 
 def _rebalanced(df: DataFrame, partition_by: Sequence[str], rebalance: bool | None) -> DataFrame:
@@ -29,35 +32,33 @@ def _overwrite_mode(w, dynamic: bool):
     return w.option("partitionOverwriteMode", "dynamic") if dynamic else w
 
 
+def _timestamps_as_text(df: DataFrame) -> DataFrame:
+    """Timestamps in their shortest text, with every digit of the second's fraction."""
+    return df.withColumns({f.name: F.col(f"`{f.name}`").cast("string") for f in df.schema.fields
+                           if isinstance(f.dataType, (TimestampType, TimestampNTZType))})
+
+
 def write_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True,
               mode: str = "overwrite", partition_by: Sequence[str] = (),
-              rebalance: bool | None = None, dynamic_overwrite: bool = False) -> None:
+              rebalance: bool | None = None, dynamic_overwrite: bool = False,
+              rows_per_file: int = ROWS_PER_FILE) -> None:
     """CSV with a header; ``mode='overwrite'`` replaces the whole table, or
     with ``dynamic_overwrite`` only the partitions present in ``df``."""
-    w = (_rebalanced(df, partition_by, rebalance).write.mode(mode).option("header", header)
-         .option("sep", sep).option("dateFormat", DATE_FORMAT)
-         .option("timestampFormat", TIMESTAMP_FORMAT)
-         .option("timestampNTZFormat", TIMESTAMP_FORMAT))
+    w = (_rebalanced(_timestamps_as_text(df), partition_by, rebalance).write.mode(mode)
+         .options(header=header, sep=sep, maxRecordsPerFile=rows_per_file, **WRITE_OPTIONS))
     if partition_by:
         w = _overwrite_mode(w.partitionBy(*partition_by), dynamic_overwrite)
     w.csv(path)
 
 
-def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True,
-                     max_rows: int = 1_000_000) -> int:
-    """One CSV file when the table is small enough, else a normal folder.
+def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True) -> None:
+    """One CSV file while the table is small, in one pass.
 
-    A single file means a single writing task, so the row count is checked
-    first; above ``max_rows`` the rows are written in parallel instead, and
-    reading the folder gives the same table.  ``repartition(1)``, not
-    ``coalesce(1)``: the work that produces the rows (a join over large
-    inputs, say) keeps its parallelism, only the small result is gathered.
-    Returns the row count.
+    The rows are rebalanced: AQE packs a small result into one task, so one
+    file, and spreads a large one over several; reading the folder gives the
+    same table.  The work that produces the rows keeps its parallelism.
     """
-    n = df.count()
-    out = df.repartition(1) if n <= max_rows else df
-    write_csv(out, path, sep=sep, header=header, rebalance=False)
-    return n
+    write_csv(df, path, sep=sep, header=header, rebalance=True)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
