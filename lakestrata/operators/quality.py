@@ -2,8 +2,8 @@
 
 A rule adds one label column: ``PASS`` when the row passes, otherwise the
 rule's label for a missing value or for a failed test.  Labels stay on the
-table; ``report`` counts them per (rule, label) with one partial-then-final
-aggregation, so the shuffle carries at most one row per label per task.
+table; ``report`` counts all of them in one global aggregate, so the shuffle
+carries one row per task.
 """
 
 from __future__ import annotations
@@ -40,6 +40,11 @@ class Rule:
     lo: float | None = None
     hi: float | None = None
 
+    def labels(self) -> list[str]:
+        """Every label the rule can give."""
+        given = [PASS, self.null_label] + ([] if self.kind == "present" else [self.fail_label])
+        return list(dict.fromkeys(label for label in given if label is not None))
+
     def sql(self) -> str:
         """The label as a SQL CASE expression."""
         x, ok = quote_ident(self.column), quote_str(PASS)
@@ -73,11 +78,17 @@ def gate(df: DataFrame, label_cols: Sequence[str]) -> DataFrame:
     return df.filter(reduce(and_, [F.col(c) == F.lit(PASS) for c in label_cols]))
 
 
-def report(df: DataFrame, label_cols: Sequence[str], rule_col: str = "RULE",
+def report(df: DataFrame, rules: Sequence[Rule], rule_col: str = "RULE",
            label_col: str = "LABEL", count_col: str = "N") -> DataFrame:
-    """(rule, label, rows) for the listed label columns."""
-    long = df.select(*label_cols).unpivot([], list(label_cols), rule_col, label_col)
-    return long.groupBy(rule_col, label_col).agg(F.count(F.lit(1)).alias(count_col))
+    """(rule, label, rows) for the rules' label columns; labels that no row has are left out.
+
+    The labels of a rule are known, so all are counted in one row per task and turned at the end.
+    """
+    cells = [(r.name, label) for r in rules for label in r.labels()]
+    counts = df.agg(*[F.count_if(F.col(name) == F.lit(label)).alias(f"n{i}") for i, (name, label) in enumerate(cells)])
+    lines = F.array(*[F.struct(F.lit(name).alias(rule_col), F.lit(label).alias(label_col), F.col(f"n{i}").alias(count_col))
+                      for i, (name, label) in enumerate(cells)])
+    return counts.select(F.inline(lines)).where(F.col(count_col) > 0)
 
 
 def ratio(num: str, den: str, scale: float = 100) -> Column:

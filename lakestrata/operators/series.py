@@ -1,68 +1,36 @@
 """Ordered series per key: previous values, and cumulative -> daily counters.
 
 ``previous_values`` is ``lag`` over ``PARTITION BY keys ORDER BY order``,
-built so that no single key has to fit in one task:
-
-0. One cheap job counts rows per key (by a 64-bit hash of the key, a
-   fixed-width partial aggregate) and fetches at most ``max_hot_keys``
-   hashes of keys above ``split_above`` rows.  Keys below stay in the plain
-   window, one task per key, with nothing added.  A hash collision can only
-   mark an extra key hot, which costs a little and changes no value.
-1. A hot key's rows are cut into buckets, a coarse and order-preserving
-   function of the first order column (by default the day of a date, the
-   hour of a timestamp).  The last value of every (hot key, bucket) is
-   found with ``max_by``, reduced inside each task before it is shuffled.
-2. A window over those tails (one row per bucket, bounded by the time range
-   over the bucket width, not by the data size) gives every bucket the
-   value it inherits from the bucket before it, as a head row that sorts
-   before the bucket's own rows.
-3. Rows and heads are windowed together per (key, bucket).  The first row of
-   a bucket sees the head as its predecessor; the heads are then dropped.
-   This is the only shuffle of the full rows, as in a plain window.
-
-A bucket that is itself hot is cut into row-balanced ranges first (see
-``_sub_split``), which keeps every step above bounded.
-
-With more hot keys than ``max_hot_keys`` every key is bucketed (no list of
-keys is fetched then); with ``bucket=None`` the operator is the plain window.
+built so that no key has to fit in one task:
+
+1. Rows are counted per key, a partial aggregate; the keys with more than ``split_above`` rows
+   are written as a small table and joined, never fetched.
+2. The rows of all other keys go through one window per key.
+3. The rows of the hot keys are range-partitioned by the whole order, whatever its types, so
+   Spark's sampled bounds cut a key into parts of about equal size, and written with the number of their part.
+   The last value of every (key, part) is found with ``max_by``, reduced inside each task;
+   a window over those, a row a part, gives every part what it inherits; rows and heads are windowed
+   together per (key, part), and the heads dropped.
+
+Counting and writing run while the plan is built: over an input that is costly to compute
+(a join, a CSV parse), write it first and pass the written table.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
-from pyspark.sql.types import (
-    DataType, DateType, NumericType, StringType, TimestampNTZType, TimestampType,
-)
 
-_B = "__series_bucket"
+from lakestrata.session import scratch_path
+
+_P = "__series_part"
 _M = "__series_row"
-_H = "__series_key_hash"
-_HB = "__series_bucket_hash"
-_BOUNDS = "__series_bounds"
 PREV = "__prev_"
 
 SPLIT_ABOVE = 2_000_000
-MAX_HOT_KEYS = 10_000
-SUB_BUCKETS = 1024
-
-
-def _auto_bucket(df: DataFrame, order: Sequence[str]) -> Column | None:
-    first = df.schema[order[0]].dataType
-    if isinstance(first, DateType):
-        return F.col(order[0])
-    if isinstance(first, (TimestampType, TimestampNTZType)):
-        return F.date_trunc("hour", F.col(order[0]))
-    return None
-
-
-def _resolve_bucket(df: DataFrame, order: Sequence[str], bucket) -> Column | None:
-    if bucket is None:
-        return None
-    if isinstance(bucket, str) and bucket == "auto":
-        return _auto_bucket(df, order)
-    return F.col(bucket) if isinstance(bucket, str) else bucket
 
 
 def _prev_expr(c: str, w: Window, ignore_nulls: bool) -> Column:
@@ -72,154 +40,62 @@ def _prev_expr(c: str, w: Window, ignore_nulls: bool) -> Column:
     return F.lag(F.col(c)).over(w)
 
 
-def _key_hash(keys: Sequence[str]) -> Column:
-    return F.xxhash64(*[F.col(k) for k in keys])
-
-
-def hot_key_hashes(df: DataFrame, keys: Sequence[str], split_above: int = SPLIT_ABOVE,
-                   max_hot_keys: int = MAX_HOT_KEYS) -> list[int] | None:
-    """Hashes of the keys with more than ``split_above`` rows.
-
-    At most ``max_hot_keys + 1`` hashes reach the driver; ``None`` means
-    there are more than ``max_hot_keys`` of them.
-    """
-    counts = df.select(_key_hash(keys).alias(_H)).groupBy(_H).agg(F.count(F.lit(1)).alias("n"))
-    found = [r[0] for r in counts.filter(F.col("n") > F.lit(split_above))
-             .select(_H).limit(max_hot_keys + 1).collect()]
-    return None if len(found) > max_hot_keys else found
-
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _quantile_type(t: DataType) -> bool:
-    return isinstance(t, (NumericType, DateType, TimestampType, TimestampNTZType))
+def hot_keys(df: DataFrame, keys: Sequence[str], split_above: int = SPLIT_ABOVE) -> DataFrame:
+    """The keys with more than ``split_above`` rows, as a table."""
+    return (df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"))
+            .where(F.col("n") > F.lit(split_above)).select(*keys))
 
 
-def text_rank(c: str) -> Column:
-    """The first 7 UTF-8 bytes of a text as a number: never decreases along
-    Spark's (byte-wise) text order, so quantiles of it split a text range."""
-    head = F.hex(F.substring(F.encode(F.col(c), "UTF-8"), 1, 7))
-    return F.conv(F.rpad(head, 14, "0"), 16, 10).cast("long")
+def _joined(df: DataFrame, hot: DataFrame, keys: Sequence[str], how: str) -> DataFrame:
+    """Semi- or anti-join in which NULL equals NULL."""
+    other = hot.select(*[F.col(k).alias(f"__hot_{i}") for i, k in enumerate(keys)])
+    return df.join(other, reduce(and_, [F.col(k).eqNullSafe(F.col(f"__hot_{i}")) for i, k in enumerate(keys)]), how)
 
 
-def _orderable(df: DataFrame, name: str) -> Column | None:
-    t = df.schema[name].dataType
-    if _quantile_type(t):
-        return F.col(name)
-    if isinstance(t, StringType):
-        return text_rank(name)
-    return None
-
-
-def _sub_column(df: DataFrame, order: Sequence[str], bucket_is_first: bool) -> Column | None:
-    """The first order column that varies inside a bucket, as a value that
-    quantiles can be taken of: the second one when the bucket is the first
-    column itself."""
-    if bucket_is_first:
-        return _orderable(df, order[1]) if len(order) > 1 else None
-    return _orderable(df, order[0])
-
-
-def _sub_split(df: DataFrame, keys: Sequence[str], order: Sequence[str], b: Column,
-               split: Column, bucket_is_first: bool, split_above: int, max_hot_keys: int,
-               sub_buckets: int) -> tuple[DataFrame, Column]:
-    """Cut each hot (key, bucket) into row-balanced ranges of the order.
-
-    Buckets of split keys with more than ``split_above`` rows (at most
-    ``max_hot_keys`` of them) get approximate quantiles of the first order
-    column that varies inside them, as many as make ranges of about
-    ``split_above`` rows in the largest such bucket, at most
-    ``sub_buckets - 1``; a row's sub-bucket is
-    the number of quantiles below its value, which never decreases along the
-    order (text is ranked by its first bytes, see ``text_rank``).  The
-    quantile table has at most ``max_hot_keys`` rows, so it is broadcast.
-    Returns the rows (with the quantiles joined) and the bucket.
-    """
-    sub_col = _sub_column(df, order, bucket_is_first) if sub_buckets > 1 else None
-    if sub_col is None:
-        return df, b
-    bucket_hash = F.xxhash64(*[F.col(k) for k in keys], b)
-    counts = (df.filter(split).select(bucket_hash.alias(_HB)).groupBy(_HB)
-              .agg(F.count(F.lit(1)).alias("n")))
-    hot = counts.filter(F.col("n") > F.lit(split_above)).limit(max_hot_keys + 1).collect()
-    if not hot or len(hot) > max_hot_keys:
-        return df, b
-    found = [r[_HB] for r in hot]
-    ranges = min(sub_buckets, max(2, -(-max(r["n"] for r in hot) // split_above)))
-    probs = [i / ranges for i in range(1, ranges)]
-    bounds = (df.filter(split).withColumn(_HB, bucket_hash).filter(F.col(_HB).isin(found))
-              .groupBy(_HB).agg(F.percentile_approx(sub_col, probs, 10_000).alias(_BOUNDS)))
-    x = df.withColumn(_HB, bucket_hash).join(F.broadcast(bounds), _HB, "left")
-    sub = F.when(F.col(_BOUNDS).isNotNull(),
-                 F.size(F.filter(F.col(_BOUNDS), lambda q: q < sub_col)))
-    return x, F.struct(b.alias("b"), sub.alias("s"))
+def _split_previous(rows: DataFrame, keys: list[str], order: list[str], cols: list[str],
+                    ignore_nulls: bool, prefix: str) -> DataFrame:
+    """Steps 3: the previous values of keys of any size."""
+    parts = _written(rows.repartitionByRange(*keys, *order).withColumn(_P, F.spark_partition_id()), "series-parts")
+    at = F.struct(*[F.col(o) for o in order])
+    tails = parts.groupBy(*keys, _P).agg(*[
+        F.max_by(F.col(c), F.when(F.col(c).isNotNull(), at) if ignore_nulls else at).alias(c) for c in cols])
+    w_parts = Window.partitionBy(*keys).orderBy(_P)
+    heads = tails.select(*keys, _P, *[_prev_expr(c, w_parts, ignore_nulls).alias(c) for c in cols], F.lit(0).alias(_M))
+    both = parts.withColumn(_M, F.lit(1)).unionByName(heads, allowMissingColumns=True)
+    w = Window.partitionBy(*keys, _P).orderBy(F.col(_M), *order)
+    prev = {prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols}
+    return both.withColumns(prev).where(F.col(_M) == 1).select(*rows.columns, *prev)
 
 
 def previous_values(df: DataFrame, keys: Sequence[str], order: Sequence[str],
-                    cols: Sequence[str], *, bucket="auto", ignore_nulls: bool = False,
-                    prefix: str = PREV, split_above: int = SPLIT_ABOVE,
-                    max_hot_keys: int = MAX_HOT_KEYS, sub_buckets: int = SUB_BUCKETS,
-                    bucket_split_above: int | None = None) -> DataFrame:
+                    cols: Sequence[str], *, ignore_nulls: bool = False,
+                    prefix: str = PREV, split_above: int | None = SPLIT_ABOVE) -> DataFrame:
     """Add ``prefix + c`` = the value of ``c`` on the previous row of its key.
 
-    ``order`` is ascending with NULLs first; give it a tie-breaker so the
+    ``order`` is ascending with NULLs first, of any orderable types; give it a tie-breaker so the
     order is total, else equal rows may come in any order (as with any
     window).  ``ignore_nulls`` takes the last non-NULL value before the row
-    instead of the previous row's value.  ``bucket`` is ``"auto"`` (the day
-    of a date, the hour of a timestamp first order column), ``None`` (one
-    plain window, no key is split), a column name or a Column; it must not
-    decrease along the order.  Keys with more than ``split_above`` rows are
-    split into buckets (``split_above=0`` splits every key), and buckets of
-    those keys with more than ``bucket_split_above`` rows (by default the
-    same threshold) into ``sub_buckets`` row-balanced ranges
-    (``sub_buckets=1`` turns that off).
-
-    The key count is one extra job over ``df``: when ``df`` is costly to
-    compute (a join, a CSV parse), write it first and pass the written table,
-    as ``plans.trusted.run_trusted`` does.
+    instead of the previous row's value.  Keys with more than ``split_above`` rows are
+    split (0: every key; None: no key, one plain window).
     """
     keys, order, cols = list(keys), list(order), list(cols)
     if set(cols) & (set(keys) | set(order)):
         raise ValueError("value columns must not be key or order columns")
-    b = _resolve_bucket(df, order, bucket)
-    hot: list[int] | None = []
-    if b is not None:
-        hot = None if split_above <= 0 else hot_key_hashes(df, keys, split_above, max_hot_keys)
-    if b is None or hot == []:
-        w = Window.partitionBy(*keys).orderBy(*order)
-        return df.withColumns({prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols})
-
-    split = F.lit(True) if hot is None else _key_hash(keys).isin(hot)
-    bucket_is_first = (isinstance(bucket, str) and bucket == "auto"
-                       and isinstance(df.schema[order[0]].dataType, DateType))
-    if bucket_split_above is None:
-        bucket_split_above = split_above if split_above > 0 else SPLIT_ABOVE
-    x, b = _sub_split(df, keys, order, b, split, bucket_is_first,
-                      max(bucket_split_above, 1), max_hot_keys, sub_buckets)
-    bucket_col = F.when(split, b)  # NULL, one bucket, for keys that stay whole
-
-    order_struct = F.struct(*[F.col(o) for o in order])
-    # 1. The last value of every (hot key, bucket), reduced inside each task
-    #    before the (small) shuffle.
-    if ignore_nulls:
-        last = [F.max_by(F.col(c), F.when(F.col(c).isNotNull(), order_struct)).alias(c)
-                for c in cols]
-    else:
-        last = [F.max_by(F.col(c), order_struct).alias(c) for c in cols]
-    needed = list(dict.fromkeys([*keys, *order, *cols]))
-    tails = (x.filter(split).select(*needed, b.alias(_B))
-             .groupBy(*keys, _B).agg(*last))
-    # 2. What each bucket inherits from the buckets before it: one head row
-    #    per (hot key, bucket), ordered before the bucket's own rows.
-    w_b = Window.partitionBy(*keys).orderBy(F.col(_B))
-    heads = tails.select(*keys, _B, *[_prev_expr(c, w_b, ignore_nulls).alias(c) for c in cols],
-                         F.lit(0).alias(_M))
-    # 3. Rows and heads together, one window per (key, bucket): the only
-    #    shuffle of the full rows.
-    both = (x.withColumns({_B: bucket_col, _M: F.lit(1)})
-            .unionByName(heads, allowMissingColumns=True))
-    w = Window.partitionBy(*keys, _B).orderBy(F.col(_M), *order)
-    prev = {prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols}
-    return both.withColumns(prev).filter(F.col(_M) == 1).select(*df.columns, *prev.keys())
+    w = Window.partitionBy(*keys).orderBy(*order)
+    plain = lambda x: x.withColumns({prefix + c: _prev_expr(c, w, ignore_nulls) for c in cols})
+    if split_above is None:
+        return plain(df)
+    hot = _written(hot_keys(df, keys, split_above), "hot-keys")
+    if hot.isEmpty():
+        return plain(df)
+    split = _split_previous(_joined(df, hot, keys, "left_semi"), keys, order, cols, ignore_nulls, prefix)
+    return plain(_joined(df, hot, keys, "left_anti")).unionByName(split)
 
 
 def lag_value(df: DataFrame, keys: Sequence[str], order: Sequence[str], col: str,
@@ -240,7 +116,7 @@ def cumulative_to_daily(df: DataFrame, keys: Sequence[str], order: Sequence[str]
     the row after a NULL, it falls back to the cumulative value.  Drops stay
     negative.  ``ignore_null_gaps`` subtracts the last non-NULL value instead,
     so 10, 15, NULL, 20 gives 10, 5, NULL, 5 rather than 10, 5, NULL, 20.
-    Other keyword arguments go to ``previous_values`` (bucket, split_above).
+    Other keyword arguments go to ``previous_values`` (split_above).
     """
     full_order = list(order) + [t for t in tiebreak if t not in order]
     x = previous_values(df, keys, full_order, counters, ignore_nulls=ignore_null_gaps, **kwargs)
