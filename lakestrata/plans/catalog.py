@@ -10,47 +10,36 @@ total a counter snapshot, an order key a file key.  Each ``q_*`` takes
 
 from __future__ import annotations
 
-import weakref
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import LongType, StructField, StructType
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
 from lakestrata.functions.casts import as_date, quote_ident, typed
-from lakestrata.functions.keys import source_url
+from lakestrata.functions.keys import partition_value, source_url
 from lakestrata.operators.harmonise import SourceMap, harmonise, keep_null
 from lakestrata.operators.quality import Rule, annotate, gate, ratio, ratio_check, report
 from lakestrata.operators.reconcile import (
-    load_missing, missing_keys, pending_count, with_target,
+    has_pending, load_missing, missing_keys, pending_count, with_target,
 )
 from lakestrata.operators.series import cumulative_to_daily, lag_value
 from lakestrata.operators.star import calendar_dim, fact, location_dim, with_location_key
-from lakestrata.plans.ingest import lake_listing
+from lakestrata.plans.ingest import (
+    find_missing, ingest_missing, lake_listing, read_missing, write_missing,
+)
+from lakestrata.plans.refined import publish_refined, read_trusted, refine
 from lakestrata.session import scratch_path
 from lakestrata.sources.csv import (
     read_csv, read_csv_strings, read_or_empty, read_partitioned_csv,
 )
-from lakestrata.sources.listing import HREF_LINK, file_keys, page_links
-from lakestrata.sources.sinks import write_csv, write_single_csv
+from lakestrata.sources.listing import HREF_LINK, file_keys, list_files, page_links
+from lakestrata.sources.sinks import write_csv, write_single_csv, write_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
 
-_TABLES: weakref.WeakKeyDictionary[SparkSession, dict[str, DataFrame]] = \
-    weakref.WeakKeyDictionary()
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a DataFrame, listed and its footer read once per session.
-
-    A DataFrame is an immutable plan, so queries can share it; the file
-    index it holds is not rebuilt for every query that reads the table.
-    """
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    known = _TABLES.setdefault(spark, {})
-    if path not in known:
-        known[path] = spark.read.parquet(path)
-    return known[path]
+    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
 # --------------------------------------------------------------------------
@@ -167,7 +156,7 @@ def q_quality_gate(spark, sf_dir):
 
 
 def q_quality_report(spark, sf_dir):
-    return report(_labelled(spark, sf_dir, ALL_ENTITY_RULES), [r.name for r in ALL_ENTITY_RULES])
+    return report(_labelled(spark, sf_dir, ALL_ENTITY_RULES), ALL_ENTITY_RULES)
 
 
 def _ratios(spark, sf_dir):
@@ -197,20 +186,53 @@ def q_lag_value(spark, sf_dir):
 
 
 def q_lag_hot_key(spark, sf_dir):
-    """Lag per event type: five keys, each a fifth of the table.  Once a key
-    passes ``split_above`` rows it is cut into hour buckets (see series)."""
+    """Lag per event type: five keys, each a fifth of the table, split where they pass a thousand rows."""
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
-    return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE")
+    return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE", split_above=1000)
 
 
 def q_lag_bucketed(spark, sf_dir):
-    """The same lag with every key cut into hour buckets (``split_above=0``):
-    the carried-head path, checked against the same SQL."""
+    """The same lag with every key split."""
     ev = table(spark, sf_dir, "events").select("event_id", "event_type", "ts", "value")
     return lag_value(ev, ["event_type"], ["ts", "event_id"], "value", "PREV_VALUE",
                      split_above=0)
 
 
+def q_lag_hot_bucket(spark, sf_dir):
+    """One key and one day for all rows, ordered by texts that begin alike."""
+    ev = table(spark, sf_dir, "events").select(
+        "event_id", F.lit("all").alias("SERIES"), F.lit("2024-01-01").cast("date").alias("DAY"),
+        F.concat(F.lit("common-prefix-of-all-"), F.lpad(F.col("event_id").cast("string"), 12, "0")).alias("LABEL"), "value")
+    return lag_value(ev, ["SERIES"], ["DAY", "LABEL"], "value", "PREV_VALUE", split_above=1000)
+
+
+def q_lag_by_number(spark, sf_dir):
+    """A hot key ordered by a number."""
+    ev = table(spark, sf_dir, "events").select("event_id", "event_type", "value")
+    return lag_value(ev, ["event_type"], ["event_id"], "value", "PREV_VALUE", split_above=500)
+
+
+def q_daily_with_ties(spark, sf_dir):
+    """Lines of an order as counter rows of one (customer, day, status): their order is the rest of the row's.
+
+    The result is the same for any order of the input, so it is taken over the rows both ways round.
+    """
+    o, li = table(spark, sf_dir, "orders"), table(spark, sf_dir, "lineitem")
+    rows = o.join(li, o.o_orderkey == li.l_orderkey).select(
+        F.col("o_custkey"), F.col("o_orderdate").cast("date").alias("DATE_ID"), F.col("o_orderstatus").alias("FONTE"),
+        F.col("l_quantity").alias("QUANTITY"), F.col("l_extendedprice").alias("PRICE"))
+    path = scratch_path(spark, "order-lines")
+    rows.write.parquet(path)
+    rows = spark.read.parquet(path)
+    daily = [cumulative_to_daily(x.withColumn("TIE", F.struct("FONTE", F.col("QUANTITY").alias("q"), F.col("PRICE").alias("p"))),
+                                 ["o_custkey"], ["DATE_ID"], ["QUANTITY", "PRICE"], tiebreak=["TIE"]).drop("TIE")
+             for x in (rows, rows.orderBy(F.desc("PRICE")))]
+    both = daily[0].withColumn("RUN", F.lit(1)).unionByName(daily[1].withColumn("RUN", F.lit(2)))
+    counted = both.groupBy(*daily[0].columns).agg(F.count_if(F.col("RUN") == 1).alias("FIRST"),
+                                                  F.count_if(F.col("RUN") == 2).alias("SECOND"))
+    return counted
+
+
 def _snapshots(spark, sf_dir, gaps: bool):
     o = table(spark, sf_dir, "orders")
     total = F.col("o_totalprice")
@@ -299,7 +321,9 @@ def star_fact(spark, sf_dir):
                     F.col("o_orderdate").cast("date").alias("DATE_ID"),
                     F.col("o_orderstatus").alias("FONTE"), "o_orderkey",
                     F.col("o_totalprice").alias("TOTALPRICE")))
-    daily = cumulative_to_daily(base, ["STATE", "COUNTRY"], ["DATE_ID"], ["TOTALPRICE"],
+    path = scratch_path(spark, "order-locations")  # the series reads its input more than once
+    base.write.parquet(path)
+    daily = cumulative_to_daily(spark.read.schema(base.schema).parquet(path), ["STATE", "COUNTRY"], ["DATE_ID"], ["TOTALPRICE"],
                                 tiebreak=["FONTE", "o_orderkey"])
     return fact(with_location_key(daily),
                 ["LOCATION_KEY", "DATE_ID", "FONTE", "o_orderkey", "TOTALPRICE",
@@ -340,7 +364,7 @@ def q_missing_keys_empty_target(spark, sf_dir):
 
 
 def q_left_join_keys(spark, sf_dir):
-    loaded = _loaded_order_keys(spark, sf_dir).withColumn("Cam_Lake", F.lit("lineitem")).distinct()
+    loaded = _loaded_order_keys(spark, sf_dir).distinct().withColumn("Cam_Lake", F.lit("lineitem"))
     source = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
     return with_target(source, loaded, "o_orderkey", ["Cam_Lake"])
 
@@ -360,11 +384,78 @@ def q_page_links(spark, sf_dir):
                       id_cols=["page_id"])
 
 
+def q_title_links(spark, sf_dir):
+    """Titles of data files, made from the pages' addresses in several HTML forms, and links of any extension's case.
+
+    Other attributes and other extensions are no titles of data files.
+    """
+    name = F.concat(F.lit("page-"), F.regexp_replace("url", "[^A-Za-z0-9]+", "-"))
+    kind = F.col("page_id") % 4
+    html = (F.when(kind == 0, F.concat(F.lit('<a title="'), name, F.lit('.csv" href="'), name, F.lit('.CSV">')))
+            .when(kind == 1, F.concat(F.lit("<a href='y' title = '"), name, F.lit(".csv'>")))
+            .when(kind == 2, F.concat(F.lit("<a TITLE="), name, F.lit(".csv>")))
+            .otherwise(F.concat(F.lit('<a data-title="'), name, F.lit('.csv" title="'), name, F.lit('.txt">'))))
+    pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
+    return page_links(pages, tipo="General", id_cols=["page_id"]).unionByName(
+        page_links(pages, pattern='href="([^"]*)"', tipo="US", id_cols=["page_id"]))
+
+
 def q_file_listing_keys(spark, sf_dir):
-    keys = file_keys(spark, sf_dir, ext=".parquet")
+    """Keys of files written from orders, a file per month: name, key and address of each, from the files' listing."""
+    months = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "MM-yyyy").alias("m"), "o_orderkey")
+    path = scratch_path(spark, "orders-files")
+    _one_file_each(months, "m", path, lambda m: F.concat(m, F.lit(".csv")))
+    keys = file_keys(spark, path, name_col="Cam_Lake")
     return keys.withColumn("SOURCE_URL", source_url("raw/", "DATE_KEY", ".csv"))
 
 
+def _one_file_each(rows, by, path, name, header=None):
+    """Rows as CSV files of chosen names, one per value of ``by``: written as folders, then renamed by Hadoop's file system."""
+    spark = rows.sparkSession
+    parts = path + "-parts"
+    columns = [c for c in rows.columns if c != by]
+    rows.select(by, *columns).repartition(by).write.partitionBy(by).option("header", True).csv(parts)
+    listed = list_files(spark, parts, glob="*.csv", recursive=True, uri=True).select(
+        "path", name(partition_value("uri", by)).alias("name")).collect()  # a file a month
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path
+    fs = hadoop(path).getFileSystem(spark._jsc.hadoopConfiguration())
+    fs.mkdirs(hadoop(path))
+    for r in listed:
+        fs.rename(hadoop(r["path"]), hadoop(hadoop(path), r["name"]))
+
+
+def q_incremental_ingest(spark, sf_dir):
+    """Orders as one file per month under odd names, loaded in two goes and a third that finds nothing, read back.
+
+    One month's file is empty but for its header, half the files have another column order.
+    """
+    orders = table(spark, sf_dir, "orders").select(
+        F.date_format("o_orderdate", "yyyy-MM").alias("m"), F.col("o_orderkey").cast("string").alias("o_orderkey"),
+        F.col("o_custkey").cast("string").alias("o_custkey"), "o_orderstatus", "o_orderpriority")
+    root = scratch_path(spark, "orders-source")
+    odd = lambda m: F.concat(F.lit("o="), F.replace(m, F.lit("-"), F.lit(" 50%+")),
+                             F.when(F.substring(m, -1, 1).isin("1", "2"), F.lit(".CSV")).otherwise(F.lit(".csv")))
+    late = F.substring("m", -1, 1).cast("int") % 2 == 1
+    _one_file_each(orders.where(~late), "m", f"{root}/a", odd)
+    swapped = orders.select("m", "o_orderpriority", "o_orderstatus", "o_custkey", "o_orderkey")
+    _one_file_each(swapped.where(late), "m", f"{root}/b", odd)
+    names = StructType([StructField(c, StringType()) for c in orders.columns[1:]])
+    spark.createDataFrame([], names).coalesce(1).write.option("header", True).csv(f"{root}/c")
+    lake = scratch_path(spark, "orders-lake")
+    for source in ([f"{root}/a"], [f"{root}/a", f"{root}/b"], [f"{root}/a", f"{root}/b", f"{root}/c"], [f"{root}/a", f"{root}/b", f"{root}/c"]):
+        offered = file_keys(spark, source[0])
+        for more in source[1:]:
+            offered = offered.union(file_keys(spark, more))
+        missing = find_missing(offered, lake_listing(spark, lake))
+        if has_pending(missing):
+            path = scratch_path(spark, "missing")
+            write_missing(missing, path)
+            ingest_missing(spark, source, lake, read_missing(spark, path), columns=names.names)
+    schema = StructType([*names.fields, StructField("DATE_KEY", StringType())])
+    return read_partitioned_csv(spark, lake, schema)
+
+
 def q_partition_listing_keys(spark, sf_dir):
     """Orders written as one folder per month key, keys read back from the
     folder listing (the way the raw zone's loaded days are listed)."""
@@ -439,6 +530,53 @@ def q_csv_transcode(spark, sf_dir):
     return read_csv(spark, pipe, supplier.schema, sep="|")
 
 
+def q_csv_text_roundtrip(spark, sf_dir):
+    """Documents and turns, and values that a careless dialect loses, through a written CSV."""
+    docs = table(spark, sf_dir, "documents").select(F.lit("d").alias("T"), F.col("doc_id").alias("ID"), F.col("text").alias("TEXT"))
+    turns = table(spark, sf_dir, "conversations").select(
+        F.lit("c"), F.col("conv_id") * 1000 + F.col("turn"), "text")
+    odd = table(spark, sf_dir, "region").select(F.lit("r"), "r_regionkey", F.when(F.col("r_regionkey") == 0, F.lit(""))
+                .when(F.col("r_regionkey") == 1, F.lit("  two blanks  ")).when(F.col("r_regionkey") == 2, F.lit('"a" \\ \\"b|,\n\r\n'))
+                .when(F.col("r_regionkey") == 3, F.lit(None).cast("string")).otherwise(F.lit(" ")))
+    rows = docs.union(turns).union(odd)
+    path = scratch_path(spark, "texts-csv")
+    write_csv(rows, path)
+    return read_csv(spark, path, rows.schema, sep="|")
+
+
+def q_csv_timestamp_roundtrip(spark, sf_dir):
+    events = table(spark, sf_dir, "events")
+    path = scratch_path(spark, "events-csv")
+    write_csv(events, path)
+    return read_csv(spark, path, events.schema, sep="|")
+
+
+def q_publish_star(spark, sf_dir):
+    """The star of the customers' locations, published and read back: rows and folders of each table.
+
+    Orders of status P have no date.
+    """
+    c, o = _customer_locations(spark, sf_dir), table(spark, sf_dir, "orders")
+    day = F.when(F.col("o_orderstatus") != "P", F.col("o_orderdate").cast("date"))
+    rows = o.join(c, o.o_custkey == c.c_custkey).select(
+        F.col("o_orderstatus").alias("FONTE"), "STATE", "COUNTRY", day.alias("DATE_ID"),
+        F.col("o_orderkey").cast("string").alias("LAT"), F.col("o_custkey").cast("string").alias("LONG"),
+        *[F.col("o_custkey").cast("int").alias(n) for n in ("CONFIRMED_AC", "DEATHS_AC", "RECOVERED_AC", "ACTIVE_AC")],
+        F.lit(None).cast("decimal(10,0)").alias("INCIDENT_RATE"), F.col("o_totalprice").alias("CASE_FATALITY_RATIO"),
+        *[F.col("o_custkey").cast("int").alias(n) for n in ("CONFIRMED", "DEATHS", "RECOVERED", "ACTIVE")])
+    root = scratch_path(spark, "star")
+    write_table(rows, f"{root}/trusted", partition_by=["DATE_ID"])
+    publish_refined(refine(read_trusted(spark, f"{root}/trusted")), f"{root}/refined")
+    read = lambda n: spark.read.parquet(f"{root}/refined/{n}")
+    return (read("fato_covid").groupBy("LOCATION_KEY", "DATE_ID")
+            .agg(F.count("*").alias("N"), F.sum("CONFIRMED").alias("CONFIRMED"))
+            .join(read("dim_location").select(F.col("LOCATION_KEY").alias("K"), F.col("COUNTRY").alias("PAIS")),
+                  F.col("LOCATION_KEY").eqNullSafe(F.col("K")), "left").drop("K")
+            .join(read("dim_calendar").select(F.col("DATE_ID").alias("D"), F.lit(1).alias("KNOWN_DATE")),
+                  F.col("DATE_ID").eqNullSafe(F.col("D")), "left").drop("D")
+            .withColumn("BASE_ROWS", read("base_trusted").agg(F.count("*")).scalar()))
+
+
 QUERIES: dict[str, Query] = {
     "harmonise_sources": q_harmonise_sources,
     "filter_null": q_filter_null,
@@ -454,6 +592,9 @@ QUERIES: dict[str, Query] = {
     "lag_value": q_lag_value,
     "lag_hot_key": q_lag_hot_key,
     "lag_bucketed": q_lag_bucketed,
+    "lag_hot_bucket": q_lag_hot_bucket,
+    "lag_by_number": q_lag_by_number,
+    "daily_with_ties": q_daily_with_ties,
     "cumulative_to_daily": q_cumulative_to_daily,
     "cumulative_to_daily_gaps": q_cumulative_to_daily_gaps,
     "cumulative_to_daily_skip_gaps": q_cumulative_to_daily_skip_gaps,
@@ -465,9 +606,11 @@ QUERIES: dict[str, Query] = {
     "missing_keys": q_missing_keys,
     "missing_keys_empty_target": q_missing_keys_empty_target,
     "left_join_keys": q_left_join_keys,
+    "incremental_ingest": q_incremental_ingest,
     "incremental_load": q_incremental_load,
     "pending_count": q_pending_count,
     "page_links": q_page_links,
+    "title_links": q_title_links,
     "file_listing_keys": q_file_listing_keys,
     "partition_listing_keys": q_partition_listing_keys,
     "csv_scan_strings": q_csv_scan_strings,
@@ -477,4 +620,7 @@ QUERIES: dict[str, Query] = {
     "csv_single_file_roundtrip": q_csv_single_file_roundtrip,
     "csv_partitioned_scan": q_csv_partitioned_scan,
     "csv_transcode": q_csv_transcode,
+    "csv_text_roundtrip": q_csv_text_roundtrip,
+    "csv_timestamp_roundtrip": q_csv_timestamp_roundtrip,
+    "publish_star": q_publish_star,
 }

@@ -6,11 +6,12 @@ partial aggregates, so they run on the cluster at table scale.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
+from lakestrata.sources.csv import read_csv
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, key: str = "LOCATION_KEY") -> DataFrame:
@@ -25,23 +26,25 @@ def duplicate_keys(dim: DataFrame, key: str = "LOCATION_KEY") -> DataFrame:
     return dim.groupBy(key).agg(F.count(F.lit(1)).alias("N")).filter(F.col("N") > 1)
 
 
-def series_mismatch(trusted: DataFrame, keys: Sequence[str] = tuple(S.LOCATION),
-                    order: Sequence[str] = ("DATE_ID", "FONTE"),
+def series_mismatch(trusted: DataFrame, keys: Sequence[str] = tuple(S.LOCATION), day: str = "DATE_ID",
                     counters: Sequence[str] = tuple(S.COUNTERS),
                     cumulative_suffix: str = "_AC") -> DataFrame:
     """Series without NULLs whose daily values do not add up to the last
-    cumulative value (one row per key and counter)."""
-    last = F.struct(*[F.col(o) for o in order])
-    aggs = []
+    cumulative value (one row per key and counter).  Where the last day has
+    several rows, the sum must lie within their values."""
+    per_day, per_key = [], []
     for c in counters:
-        aggs += [F.sum(c).alias(f"{c}__sum"),
-                 F.max_by(F.col(c + cumulative_suffix), last).alias(f"{c}__last"),
-                 F.count_if(F.col(c + cumulative_suffix).isNull()).alias(f"{c}__nulls")]
-    per_key = trusted.groupBy(*keys).agg(*aggs)
-    bad = [per_key.filter((F.col(f"{c}__nulls") == 0)
-                          & ~F.col(f"{c}__sum").eqNullSafe(F.col(f"{c}__last")))
+        ac = F.col(c + cumulative_suffix)
+        per_day += [F.sum(c).alias(f"{c}__sum"), F.min(ac).alias(f"{c}__low"), F.max(ac).alias(f"{c}__high"),
+                    F.count_if(ac.isNull()).alias(f"{c}__nulls")]
+        last = F.struct(F.col(day).isNotNull(), day)
+        per_key += [F.sum(f"{c}__sum").alias(f"{c}__sum"), F.max_by(f"{c}__low", last).alias(f"{c}__low"),
+                    F.max_by(f"{c}__high", last).alias(f"{c}__high"), F.sum(f"{c}__nulls").alias(f"{c}__nulls")]
+    sums = trusted.groupBy(*keys, day).agg(*per_day).groupBy(*keys).agg(*per_key)
+    bad = [sums.filter((F.col(f"{c}__nulls") == 0)
+                       & ~F.coalesce(F.col(f"{c}__sum").between(F.col(f"{c}__low"), F.col(f"{c}__high")), F.lit(False)))
            .select(*keys, F.lit(c).alias("COUNTER"), F.col(f"{c}__sum").alias("DAILY_SUM"),
-                   F.col(f"{c}__last").cast("long").alias("LAST_CUMULATIVE"))
+                   F.col(f"{c}__high").cast("long").alias("LAST_CUMULATIVE"))
            for c in counters]
     out = bad[0]
     for b in bad[1:]:
@@ -49,11 +52,34 @@ def series_mismatch(trusted: DataFrame, keys: Sequence[str] = tuple(S.LOCATION),
     return out
 
 
-def verify_star(tables: dict[str, DataFrame], trusted: DataFrame) -> dict[str, int]:
-    """Violation counts of the star's invariants (all zero when it holds)."""
+def published(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A published table, read back from its files."""
+    if fmt == "csv":
+        return read_csv(spark, f"{root}/{name}", sep="|")
+    return spark.read.parquet(f"{root}/{name}")
+
+
+def verify_lake(spark: SparkSession, refined: str, fmt: str, trusted: DataFrame, quality: DataFrame,
+                sources: Mapping[str, tuple[DataFrame, DataFrame]], kept: Mapping[str, Column]) -> dict[str, int]:
+    """Violation counts of the published files (all zero when they hold).
+
+    ``sources``: each source's offered rows and its raw zone; ``kept``: which of these rows the later zones have.
+    Rows lost or doubled between two zones show as the difference of their numbers.
+    """
+    fact, location, calendar, base = (published(spark, refined, n, fmt) for n in (
+        "fato_covid", "dim_location", "dim_calendar", "base_trusted"))
+    offered = sum(o.count() for o, _ in sources.values())
+    raw = sum(r.count() for _, r in sources.values())
+    wanted = sum(r.where(kept[src]).count() for src, (_, r) in sources.items())
+    labelled, days, facts = quality.count(), trusted.count(), fact.count()
     return {
-        "orphan_location_keys": orphan_keys(tables["fato_covid"], tables["dim_location"]).count(),
-        "duplicate_location_keys": duplicate_keys(tables["dim_location"]).count(),
-        "duplicate_dates": duplicate_keys(tables["dim_calendar"], "DATE_ID").count(),
+        "orphan_location_keys": orphan_keys(fact, location).count(),
+        "duplicate_location_keys": duplicate_keys(location).count(),
+        "duplicate_dates": duplicate_keys(calendar, "DATE_ID").count(),
         "series_mismatch": series_mismatch(trusted).count(),
+        "rows_source_raw": abs(offered - raw),
+        "rows_raw_quality": abs(wanted - labelled),
+        "rows_quality_trusted": abs(labelled - days),
+        "rows_trusted_fact": abs(days - facts),
+        "rows_trusted_published": abs(days - base.count()),
     }

@@ -1,41 +1,58 @@
-"""Find what the lake lacks and load only that.
+"""Find what the lake lacks and load only that, each offered row once.
 
-Source listing (links in the source's folder page) minus lake listing (files
-or date folders in the raw zone) = missing keys; the source rows of missing
-keys are appended to the raw zone, transcoded to the lake's separator.  The
-selection is an anti- and a semi-join; only the names of the missing files
-(bounded) reach the scan as a file filter, so loaded files are not reread.
+Source listing (links in the source's folder page, or its files) minus lake
+listing = missing keys; the source rows of missing keys are written to the
+raw zone, transcoded to the lake's dialect.  The selection is an anti- and a
+semi-join; no list of keys or files is fetched.  A key is written as one folder that
+replaces whatever the folder held, so a repeated load adds nothing, and is then
+recorded as loaded, so a file without rows isn't offered again.
+
+Files of any column order may stand in one folder: every file is read with its
+own header, and columns are taken by name or alias.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
-from lakestrata.functions.keys import file_name, strip_suffix
+from lakestrata.functions.keys import file_key, file_name
 from lakestrata.operators.reconcile import load_missing, missing_keys
-from lakestrata.sources.csv import read_csv, read_csv_strings, read_or_empty
-from lakestrata.sources.listing import TITLE_LINK, file_keys, page_links
+from lakestrata.sources.csv import READ_OPTIONS, read_csv, read_or_empty
+from lakestrata.sources.listing import TITLE_LINK, any_case, file_keys, page_links
 from lakestrata.sources.sinks import write_csv, write_single_csv
 
 KEY = "DATE_KEY"
+#: Fields of a source file at most; a file with more fails.
+MAX_FIELDS = 64
+#: Folder of a raw zone that records the loaded keys; readers of the zone skip it.
+LOADED = "_loaded"
 
 
 def source_listing(pages: DataFrame, tipo: str, html_col: str = "html",
                    pattern: str = TITLE_LINK) -> DataFrame:
     """(Cam_Git, DATE_KEY, Tipo) for every data-file link in the given pages."""
-    return page_links(pages, html_col=html_col, pattern=pattern, tipo=tipo)
+    return page_links(pages, html_col=html_col, pattern=pattern, tipo=tipo).select(
+        *[F.col(f.name).cast(f.dataType) for f in S.SOURCE_LISTING.fields])
 
 
 def lake_listing(spark: SparkSession, lake_dir: str, ext: str = ".csv",
                  partition_column: str | None = KEY) -> DataFrame:
-    """(Cam_Lake, DATE_KEY) of what the raw zone holds; empty when it has nothing."""
-    return read_or_empty(
+    """(Cam_Lake, DATE_KEY) of what the raw zone holds or records as loaded; empty when it has nothing."""
+    held = read_or_empty(
         spark, lambda: file_keys(spark, lake_dir, ext=ext, partition_column=partition_column),
         S.LAKE_LISTING)
+    recorded = read_or_empty(
+        spark, lambda: spark.read.schema(S.MISSING_LIST).parquet(f"{lake_dir}/{LOADED}"), S.MISSING_LIST)
+    return held.unionByName(recorded.select(F.lit(None).cast("string").alias("Cam_Lake"), KEY))
+
+
+def record_loaded(keys: DataFrame, lake_dir: str) -> None:
+    """Adds keys to the zone's record; a key may be there twice."""
+    keys.select(F.col(KEY).cast("string")).where(F.col(KEY).isNotNull()).distinct().write.mode("append").parquet(
+        f"{lake_dir}/{LOADED}")
 
 
 def find_missing(source: DataFrame, lake: DataFrame) -> DataFrame:
@@ -43,9 +60,10 @@ def find_missing(source: DataFrame, lake: DataFrame) -> DataFrame:
     return missing_keys(source, lake, KEY)
 
 
-def write_missing(missing: DataFrame, path: str, max_rows: int = 1_000_000) -> int:
-    """The missing-key list as one ``|`` CSV with a header (checked to be small)."""
-    return write_single_csv(missing.select(KEY), path, sep="|", max_rows=max_rows)
+def write_missing(missing: DataFrame, path: str) -> int:
+    """The missing-key list as one ``|`` CSV with a header; the number of keys, counted on what was written."""
+    write_single_csv(missing.select(KEY), path, sep="|")
+    return read_missing(missing.sparkSession, path).count()
 
 
 def read_missing(spark: SparkSession, path: str) -> DataFrame:
@@ -54,51 +72,75 @@ def read_missing(spark: SparkSession, path: str) -> DataFrame:
                          S.MISSING_LIST)
 
 
+def _paths(source: str | Sequence) -> list[str]:
+    return [source] if isinstance(source, str) else [p for s in source for p in _paths(s)]
+
+
+def _position(header: Column, names: Sequence[str]) -> Column:
+    """1-based place of the first of ``names`` in a header, in any letter case; NULL if none is there."""
+    return F.coalesce(*[F.nullif(F.array_position(header, n.lower()), F.lit(0).cast("long")) for n in names])
+
+
 def keyed_source(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
-                 sep: str = ",", ext: str = ".csv",
-                 only_files: Sequence[str] | None = None) -> DataFrame:
-    """Source files with the key of the file each row comes from.
-
-    ``source`` is a folder, or a list of layout groups (folders or file
-    lists whose files share one header): each group is read on its own and
-    the groups are unioned by column name, so a reordered header cannot move
-    values between columns.  ``only_files`` (file names, any letter case)
-    filters on the scan's file metadata, so the other files are not opened
-    at all.
+                 sep: str = ",", ext: str = ".csv", columns: Sequence[str] | None = None,
+                 aliases: Mapping[str, Sequence[str]] | None = None, optional: Sequence[str] = (),
+                 glob: str | None = None, modified_after: str | None = None) -> DataFrame:
+    """Rows of all source files, by column name, with the key of the file each comes from.
+
+    ``source`` is a folder or file, or a (nested) list of them.  A file's first row is its
+    header; rows equal to it are no data.  Each of ``columns`` is taken from the header field of its name, or of
+    one of its ``aliases``, in any letter case.  A file that lacks a column fails the job, which names both, unless
+    the column is ``optional``: then it is NULL.  Without ``columns`` the result has every name of any header,
+    NULL where a file lacks it.
+
+    ``glob`` (a file name pattern) and ``modified_after`` (a timestamp) narrow the files that are
+    opened, for callers who know what is new.
     """
-    groups = [source] if isinstance(source, str) else list(source)
-    frames = []
-    for g in groups:
-        df = read_csv_strings(spark, g, sep=sep)
-        if only_files is not None:
-            names = [n.lower() for n in only_files]
-            df = df.filter(F.lower(F.col("_metadata.file_name")).isin(names))
-        key = strip_suffix(file_name(F.col("_metadata.file_path")), ext, case_insensitive=True)
-        frames.append(df.withColumn(KEY, key))
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+    fields = [f"_{i}" for i in range(MAX_FIELDS)]
+    reader = spark.read.schema(", ".join(f"{f} string" for f in fields)).options(
+        header=False, sep=sep, pathGlobFilter=glob or f"*{any_case(ext)}", **READ_OPTIONS)
+    if modified_after:
+        reader = reader.option("modifiedAfter", modified_after)
+    rows = reader.csv(_paths(source)).select(
+        F.col("_metadata.file_path").alias("file"), F.array(*fields).alias("row"))
+    # A file is read by one task from its start, so its first row has the lowest number.
+    headers = (rows.withColumn("at", F.monotonically_increasing_id())
+               .groupBy("file").agg(F.min_by("row", "at").alias("first"))
+               .withColumn("header", F.transform("first", lambda x: F.lower(F.btrim(F.replace(x, F.lit("﻿"), F.lit("")))))))
+    if columns is None:
+        named = headers.select(F.posexplode("first").alias("at", "name")).where("name is not null")
+        optional = columns = [r.name for r in named.withColumn("name", F.btrim(F.replace("name", F.lit("﻿"), F.lit(""))))
+                              .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()]
+    aliases = aliases or {}
+    places = {f"at{i}": _position(F.col("header"), [c, *aliases.get(c, ())]) for i, c in enumerate(columns)}
+    for i, c in enumerate(columns):
+        if c not in optional:
+            places[f"at{i}"] = F.coalesce(places[f"at{i}"], F.raise_error(F.concat(
+                F.lit(f"no column {c} in "), F.col("file"))).cast("long"))
+    too_wide = F.raise_error(F.concat(F.lit(f"more than {MAX_FIELDS - 1} fields in "), F.col("file"))).cast("string")
+    placed = headers.select("file", "first", *[e.alias(n) for n, e in places.items()])
+    kept = rows.join(placed, "file").where(~F.col("row").eqNullSafe(F.col("first")))
+    value = lambda i: F.when(F.get("row", F.lit(MAX_FIELDS - 1)).isNotNull(), too_wide).otherwise(
+        F.get("row", (F.col(f"at{i}") - 1).cast("int")))
+    return kept.select(*[value(i).alias(c) for i, c in enumerate(columns)], file_key("file", ext).alias(KEY))
 
 
 def ingest_missing(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
                    lake_dir: str, missing: DataFrame, src_sep: str = ",",
                    lake_sep: str = "|", columns: Sequence[str] | None = None,
-                   ext: str = ".csv", max_listed: int = 100_000) -> None:
-    """Append the rows of the missing keys to the raw zone, one folder per key.
-
-    The missing keys are file names, metadata of the source's own listing:
-    up to ``max_listed`` of them are handed to the scan as a file filter, so
-    only the missing files are read.  Beyond that every file is scanned.
-    The semi-join with the missing keys selects the rows either way.  With
-    ``columns`` the raw files are written with exactly those columns, taken
-    by name (absent ones as NULL), so every file of the zone has the same
-    header whatever layout its source file had.
+                   ext: str = ".csv", aliases: Mapping[str, Sequence[str]] | None = None,
+                   optional: Sequence[str] = (), glob: str | None = None,
+                   modified_after: str | None = None) -> None:
+    """Write the rows of the missing keys to the raw zone, one folder per key, and record the keys.
+
+    The folders of these keys are replaced.  For ``columns``, ``aliases``, ``optional``, ``glob`` and ``modified_after`` see ``keyed_source``;
+    with ``columns`` every file of the zone has the same header.
     """
-    listed = [r[0] for r in missing.select(KEY).where(F.col(KEY).isNotNull()).distinct()
-              .limit(max_listed + 1).collect()]
-    only = [k + ext for k in listed] if len(listed) <= max_listed else None
-    source_rows = keyed_source(spark, source, sep=src_sep, ext=ext, only_files=only)
-    rows = load_missing(source_rows, missing, KEY)
-    if columns is not None:
-        present = {c.lower(): c for c in rows.columns}
-        rows = rows.select(*[F.col(present[c.lower()]).alias(c) if c.lower() in present
-                             else F.lit(None).cast("string").alias(c) for c in columns], KEY)
-    write_csv(rows, lake_dir, sep=lake_sep, mode="append", partition_by=[KEY])
+    rows = load_missing(keyed_source(spark, source, sep=src_sep, ext=ext, columns=columns, aliases=aliases,
+                                     optional=optional, glob=glob, modified_after=modified_after), missing, KEY)
+    write_csv(rows, lake_dir, sep=lake_sep, partition_by=[KEY], dynamic_overwrite=True)
+    record_loaded(missing, lake_dir)
+
+
+__all__ = ["KEY", "file_name", "find_missing", "ingest_missing", "keyed_source", "lake_listing", "read_missing",
+           "record_loaded", "source_listing", "write_missing"]

@@ -1,33 +1,41 @@
 """The whole lake run: reconcile, load what is missing, trusted, refined.
 
-Zone paths are parameters (``LakePaths``); every step is a Spark job over
-tables, and each zone is written before the next step reads it, so a step
-can be rerun alone and lineage never reaches back across zones.
+Each zone is written before the next step reads it and records the file keys it has taken in, after
+its tables are written.  A step does what its input has and its record lacks, so a run that fails
+anywhere is finished by the next one, and each step can be run alone.
+A file's rows replace what an earlier attempt wrote of them.
+
+New files touch the days from their first one on: only these are recomputed, from the
+last snapshot of each location before them.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
-from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lakestrata import schemas as S
-
 from lakestrata.operators.reconcile import has_pending
-from lakestrata.plans.checks import verify_star
+from lakestrata.plans.checks import verify_lake
 from lakestrata.plans.ingest import (
-    find_missing, ingest_missing, lake_listing, read_missing, write_missing,
+    KEY, _paths, find_missing, ingest_missing, keyed_source, lake_listing, read_missing, write_missing,
 )
 from lakestrata.plans.refined import publish_refined, read_trusted, refine
-from lakestrata.plans.trusted import run_trusted
+from lakestrata.plans.trusted import harmonise_reports, last_snapshots, quality_table, trusted_from_quality
+from lakestrata.sources.csv import read_or_empty, read_partitioned_csv
 from lakestrata.sources.listing import file_keys
+from lakestrata.sources.sinks import write_table
 
 # The two report sources of the lake.
 GENERAL = "general"
 US = "us"
 RAW_COLUMNS = {GENERAL: S.RAW_GENERAL_COLUMNS, US: S.RAW_US_COLUMNS}
+TAGS = {GENERAL: S.TAG_GENERAL, US: S.TAG_US}
+
+STATE = StructType([StructField(S.SOURCE_COLUMN, StringType()), StructField(KEY, StringType())])
 
 
 @dataclass(frozen=True)
@@ -40,6 +48,10 @@ class LakePaths:
     def missing(self, source: str) -> str:
         return f"{self.root}/raw/missing/{source}"
 
+    def state(self, zone: str) -> str:
+        """The file keys a zone has taken in."""
+        return f"{self.root}/state/{zone}"
+
     @property
     def quality(self) -> str:
         return f"{self.root}/trusted/quality"
@@ -57,10 +69,11 @@ Source = str | Sequence[str]
 
 
 def offered_by_folder(spark: SparkSession, source: Source) -> DataFrame:
-    """What a source offers, listed from its folder (or layout folders):
-    (Cam_Lake, DATE_KEY)."""
-    groups = [source] if isinstance(source, str) else list(source)
-    return reduce(lambda a, b: a.union(b), [file_keys(spark, g) for g in groups])
+    """What a source offers, listed from its folder(s): (Cam_Lake, DATE_KEY)."""
+    first, *more = [file_keys(spark, p) for p in _paths(source)]
+    for m in more:
+        first = first.union(m)
+    return first
 
 
 def reconcile(spark: SparkSession, paths: LakePaths,
@@ -74,41 +87,147 @@ def reconcile(spark: SparkSession, paths: LakePaths,
 def load(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, Source]) -> bool:
     """Load the listed missing keys of every source; False when nothing was due.
 
-    Each source's raw files get that source's fixed column set, by name.
+    Each source's raw files get that source's fixed column set, by name or alias.
     """
     missing = {src: read_missing(spark, paths.missing(src)) for src in source_dirs}
     if not has_pending(*missing.values()):
         return False
     for src, src_dir in source_dirs.items():
-        ingest_missing(spark, src_dir, paths.raw(src), missing[src],
-                       columns=RAW_COLUMNS.get(src))
+        ingest_missing(spark, src_dir, paths.raw(src), missing[src], columns=RAW_COLUMNS.get(src),
+                       aliases=S.RAW_ALIASES, optional=S.RAW_OPTIONAL)
+    return True
+
+
+def taken_in(spark: SparkSession, paths: LakePaths, zone: str) -> DataFrame:
+    """(FONTE, DATE_KEY) that a zone has recorded."""
+    return read_or_empty(spark, lambda: spark.read.schema(STATE).parquet(paths.state(zone)), STATE).distinct()
+
+
+def _record(keys: DataFrame, paths: LakePaths, zone: str) -> None:
+    keys.write.mode("append").parquet(paths.state(zone))
+
+
+def raw_keys(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """(FONTE, DATE_KEY) of all files in the raw zone."""
+    a, b = [lake_listing(spark, paths.raw(src)).select(F.lit(TAGS[src]).alias(S.SOURCE_COLUMN), KEY).distinct()
+            for src in (GENERAL, US)]
+    return a.union(b)
+
+
+def raw_rows(spark: SparkSession, paths: LakePaths, source: str) -> DataFrame:
+    """A source's raw rows with their file key, all as text."""
+    schema = StructType([StructField(c, StringType()) for c in [*RAW_COLUMNS[source], KEY]])
+    return read_or_empty(spark, lambda: read_partitioned_csv(spark, paths.raw(source), schema, sep="|"), schema)
+
+
+def build_quality(spark: SparkSession, paths: LakePaths, *, date_formats: Iterable[str] = (),
+                  date_column: str = "Last_Update") -> bool:
+    """Labelled rows of the raw files that the quality table lacks, a folder per source and file; False if none was due."""
+    keys = [S.SOURCE_COLUMN, KEY]
+    due = raw_keys(spark, paths).join(taken_in(spark, paths, "quality"), keys, "left_anti")
+    if due.isEmpty():
+        return False
+    due = due.cache()
+    try:
+        frames = [raw_rows(spark, paths, src).join(
+            due.where(F.col(S.SOURCE_COLUMN) == TAGS[src]).select(KEY), KEY, "left_semi") for src in (GENERAL, US)]
+        labelled = quality_table(harmonise_reports(*frames, date_formats, date_column, carry=True))
+        write_table(labelled.withColumn(KEY, F.col("FILE_KEY")), paths.quality,
+                    partition_by=[S.SOURCE_COLUMN, KEY], dynamic_overwrite=True)
+        _record(due, paths, "quality")
+    finally:
+        due.unpersist()
+    return True
+
+
+def quality_rows(spark: SparkSession, paths: LakePaths) -> DataFrame:
+    """The labelled table; the folders' values are text."""
+    sample = quality_table(harmonise_reports(
+        *[spark.createDataFrame([], StructType([StructField(c, StringType()) for c in [*RAW_COLUMNS[s], KEY]]))
+          for s in (GENERAL, US)], carry=True))
+    schema = StructType([*sample.schema.fields, StructField(KEY, StringType())])
+    return read_or_empty(spark, lambda: spark.read.schema(schema).parquet(paths.quality), schema)
+
+
+def first_day(spark: SparkSession, paths: LakePaths, zone: str):
+    """(due, day): whether the zone lacks files of the quality table, and the first day they touch.
+
+    The day is None where all must be rebuilt: the zone is empty, or a due row has no date (these come first in every series).
+    """
+    keys = [S.SOURCE_COLUMN, KEY]
+    due = taken_in(spark, paths, "quality").join(taken_in(spark, paths, zone), keys, "left_anti")
+    if due.isEmpty():
+        return False, None
+    rows = quality_rows(spark, paths).join(due, keys, "left_semi")
+    got = rows.agg(F.min("DATE_ID").alias("day"), F.count_if(F.col("DATE_ID").isNull()).alias("undated")).first()
+    whole = taken_in(spark, paths, zone).isEmpty() or got["undated"]
+    return True, None if whole else got["day"]
+
+
+def build_trusted(spark: SparkSession, paths: LakePaths, *, fmt: str = "parquet", ignore_null_gaps: bool = False,
+                  **kwargs) -> bool:
+    """Bring the trusted table up to the quality table; False if it is.
+
+    Only the days from the first one that new files touch are recomputed and replaced.
+    """
+    due, day = first_day(spark, paths, "trusted")
+    if not due:
+        return False
+    taken = taken_in(spark, paths, "quality")
+    q = quality_rows(spark, paths)
+    if day is None:
+        if taken_in(spark, paths, "trusted").isEmpty() or not q.isEmpty():
+            trusted = trusted_from_quality(q, ignore_null_gaps=ignore_null_gaps, **kwargs)
+            write_table(trusted, paths.trusted, fmt=fmt, partition_by=["DATE_ID"])
+    else:
+        recent = q.where(F.col("DATE_ID") >= F.lit(day)).unionByName(last_snapshots(q, day, ignore_null_gaps))
+        trusted = trusted_from_quality(recent, ignore_null_gaps=ignore_null_gaps, **kwargs)
+        write_table(trusted.where(F.col("DATE_ID") >= F.lit(day)), paths.trusted, fmt=fmt,
+                    partition_by=["DATE_ID"], dynamic_overwrite=True)
+    _record(taken.join(taken_in(spark, paths, "trusted"), [S.SOURCE_COLUMN, KEY], "left_anti"), paths, "trusted")
+    return True
+
+
+def build_refined(spark: SparkSession, paths: LakePaths, *, fmt: str = "parquet") -> bool:
+    """Bring the star up to the trusted table; False if it is.  Only the fact's days that changed are replaced."""
+    keys = [S.SOURCE_COLUMN, KEY]
+    due = taken_in(spark, paths, "trusted").join(taken_in(spark, paths, "refined"), keys, "left_anti")
+    if due.isEmpty():
+        return False
+    _, day = first_day(spark, paths, "refined")
+    publish_refined(refine(read_trusted(spark, paths.trusted, fmt)), paths.refined, fmt, from_day=day)
+    _record(due, paths, "refined")
     return True
 
 
 def run_lake(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, Source], *,
              offered: Mapping[str, DataFrame] | None = None, fmt: str = "parquet",
-             date_formats: Iterable[str] = (), verify: bool = False,
-             **trusted_kwargs) -> dict[str, object]:
-    """Reconcile -> load -> trusted -> refined.
+             date_formats: Iterable[str] = (), date_column: str = "Last_Update", verify: bool = False,
+             steps: Sequence[str] = ("load", "trusted", "refined"), **trusted_kwargs) -> dict[str, object]:
+    """Reconcile and load -> trusted -> refined; ``steps`` names those to run.
 
     ``source_dirs`` maps ``general`` and ``us`` to folders of daily CSV files
-    (``,``-separated, one file per day), or to lists of folders, one per
-    header layout; ``offered`` may give the source listings instead (e.g.
-    from ``plans.ingest.source_listing`` over pages).
-    Trusted and refined are rebuilt only when something was loaded;
-    ``verify`` adds the violation counts of the star's invariants.
+    (``,``-separated, one file per day, in any column order), or to lists of folders;
+    ``offered`` may give the source listings instead (e.g. from ``plans.ingest.source_listing`` over pages).
+    Each step does what its zone lacks.  ``verify`` adds the violation counts of the
+    published files' invariants, the rows of the sources against those of each zone included.
     """
-    offered = offered or {src: offered_by_folder(spark, d) for src, d in source_dirs.items()}
-    counts = reconcile(spark, paths, offered)
-    loaded = load(spark, paths, source_dirs)
-    out: dict[str, object] = {"missing": counts, "loaded": loaded}
-    if loaded:
-        run_trusted(spark, paths.raw(GENERAL), paths.raw(US), paths.trusted,
-                    quality_path=paths.quality, raw_sep="|", fmt=fmt,
-                    date_formats=date_formats, **trusted_kwargs)
-        trusted = read_trusted(spark, paths.trusted, fmt)
-        tables = refine(trusted)
-        publish_refined(tables, paths.refined, fmt)
-        if verify:
-            out["violations"] = verify_star(tables, trusted)
+    out: dict[str, object] = {}
+    if "load" in steps:
+        listings = offered or {src: offered_by_folder(spark, d) for src, d in source_dirs.items()}
+        out["missing"] = reconcile(spark, paths, listings)
+        out["loaded"] = load(spark, paths, source_dirs)
+    if "trusted" in steps:
+        build_quality(spark, paths, date_formats=date_formats, date_column=date_column)
+        build_trusted(spark, paths, fmt=fmt, **trusted_kwargs)
+    if "refined" in steps:
+        build_refined(spark, paths, fmt=fmt)
+    if verify:
+        sources = {src: keyed_source(spark, d, columns=RAW_COLUMNS[src], aliases=S.RAW_ALIASES, optional=S.RAW_OPTIONAL)
+                   for src, d in source_dirs.items()}
+        loaded = {src: lake_listing(spark, paths.raw(src)).select(KEY).distinct() for src in source_dirs}
+        out["violations"] = verify_lake(
+            spark, paths.refined, fmt, read_trusted(spark, paths.trusted, fmt), quality_rows(spark, paths),
+            {src: (sources[src].join(loaded[src], KEY, "left_semi"), raw_rows(spark, paths, src)) for src in source_dirs},
+            kept={GENERAL: F.col(S.COUNTY_COLUMN).isNull(), US: F.lit(True)})
     return out

@@ -85,9 +85,6 @@ _LAG_BY_TYPE = """
   FROM events
 """
 
-_TABLES = ["benchmark", "conversations", "customer", "documents", "embeddings", "events",
-           "labels", "lineitem", "nation", "orders", "pages", "part", "region", "supplier"]
-
 ORACLE: dict[str, str] = {
     "harmonise_sources": _ENTITIES,
     "filter_null": """
@@ -124,6 +121,55 @@ ORACLE: dict[str, str] = {
         FROM events""",
     "lag_hot_key": _LAG_BY_TYPE,
     "lag_bucketed": _LAG_BY_TYPE,
+    "lag_hot_bucket": """
+        SELECT event_id, 'all' AS SERIES, DATE '2024-01-01' AS DAY,
+               'common-prefix-of-all-' || lpad(CAST(event_id AS VARCHAR), 12, '0') AS LABEL, value,
+               LAG(value) OVER (ORDER BY event_id) AS PREV_VALUE
+        FROM events""",
+    "lag_by_number": """
+        SELECT event_id, event_type, value,
+               LAG(value) OVER (PARTITION BY event_type ORDER BY event_id) AS PREV_VALUE
+        FROM events""",
+    "daily_with_ties": """
+        WITH r AS (
+          SELECT o_custkey, CAST(o_orderdate AS DATE) AS DATE_ID, o_orderstatus AS FONTE,
+                 l_quantity AS q, l_extendedprice AS p
+          FROM orders JOIN lineitem ON o_orderkey = l_orderkey),
+        d AS (
+          SELECT *, LAG(q) OVER w AS pq, LAG(p) OVER w AS pp
+          FROM r WINDOW w AS (PARTITION BY o_custkey ORDER BY DATE_ID, FONTE, q, p))
+        SELECT o_custkey, DATE_ID, FONTE, q AS QUANTITY_AC, p AS PRICE_AC,
+               COALESCE(q - pq, q) AS QUANTITY, COALESCE(p - pp, p) AS PRICE,
+               COUNT(*) AS FIRST, COUNT(*) AS SECOND
+        FROM d GROUP BY ALL""",
+    "title_links": """
+        WITH n AS (SELECT page_id, 'page-' || regexp_replace(url, '[^A-Za-z0-9]+', '-', 'g') AS k FROM pages)
+        SELECT page_id, k || '.csv' AS Cam_Git, k AS DATE_KEY, 'General' AS Tipo FROM n WHERE page_id % 4 <> 3
+        UNION ALL
+        SELECT page_id, k || '.CSV', k, 'US' FROM n WHERE page_id % 4 = 0""",
+    "incremental_ingest": """
+        SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
+               o_orderstatus, o_orderpriority,
+               'o=' || replace(strftime(o_orderdate, '%Y-%m'), '-', ' 50%+') AS DATE_KEY
+        FROM orders""",
+    "csv_text_roundtrip": """
+        SELECT 'd' AS T, doc_id AS ID, text AS TEXT FROM documents
+        UNION ALL SELECT 'c', conv_id * 1000 + turn, text FROM conversations
+        UNION ALL SELECT 'r', r_regionkey, CASE r_regionkey WHEN 0 THEN '' WHEN 1 THEN '  two blanks  '
+          WHEN 2 THEN '"a" ' || chr(92) || ' ' || chr(92) || '"b|,' || chr(10) || chr(13) || chr(10) WHEN 3 THEN NULL ELSE ' ' END
+        FROM region""",
+    "csv_timestamp_roundtrip": "SELECT * FROM events",
+    "publish_star": """
+        WITH l AS (
+          SELECT c.c_custkey, NULLIF(r.r_name, 'AMERICA') AS STATE, NULLIF(n.n_name, 'NATION_7') AS COUNTRY
+          FROM customer c JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey),
+        f AS (
+          SELECT COALESCE(STATE, '') || COUNTRY AS LOCATION_KEY, COUNTRY,
+                 CASE WHEN o_orderstatus <> 'P' THEN CAST(o_orderdate AS DATE) END AS DATE_ID, o_custkey
+          FROM orders JOIN l ON o_custkey = c_custkey)
+        SELECT LOCATION_KEY, DATE_ID, COUNT(*) AS N, CAST(SUM(o_custkey) AS BIGINT) AS CONFIRMED, COUNTRY AS PAIS,
+               1 AS KNOWN_DATE, (SELECT COUNT(*) FROM f) AS BASE_ROWS
+        FROM f GROUP BY LOCATION_KEY, DATE_ID, COUNTRY""",
     "cumulative_to_daily": f"""
         SELECT o_custkey, DATE_ID, o_orderkey, TOTALPRICE AS TOTALPRICE_AC,
                COALESCE(TOTALPRICE - LAG(TOTALPRICE) OVER ({_W_CUST}), TOTALPRICE) AS TOTALPRICE
@@ -199,9 +245,10 @@ ORACLE: dict[str, str] = {
         FROM (SELECT page_id,
                      unnest(regexp_extract_all(html, '<a href="([^"]*)"', 1)) AS link
               FROM pages) p""",
-    "file_listing_keys": "SELECT name || '.parquet' AS Cam_Lake, name AS DATE_KEY, "
-                         "'raw/' || name || '.csv' AS SOURCE_URL FROM (VALUES "
-                         + ", ".join(f"('{t}')" for t in _TABLES) + ") t(name)",
+    "file_listing_keys": """
+        SELECT DISTINCT strftime(o_orderdate, '%m-%Y') || '.csv' AS Cam_Lake, strftime(o_orderdate, '%m-%Y') AS DATE_KEY,
+               'raw/' || strftime(o_orderdate, '%m-%Y') || '.csv' AS SOURCE_URL
+        FROM orders""",
     "partition_listing_keys": """
         SELECT DISTINCT strftime(o_orderdate, '%Y-%m') AS DATE_KEY FROM orders""",
     "csv_scan_strings": _ORDERS_TEXT,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
 from lakestrata.operators.star import calendar_dim, fact, location_dim, with_location_key
@@ -39,16 +39,21 @@ def null_date_rows(spark: SparkSession, trusted: DataFrame,
 
 
 def publish_refined(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
-                    fact_rebalance: bool = False) -> None:
+                    fact_rebalance: bool = False, from_day=None) -> None:
     """Write the star: the fact partitioned by its date copy, the rest whole.
 
+    With ``from_day`` only the fact's days from it on are written, each replacing its folder.
+
     The trusted input is columnar, so the four writes each scan their own
     columns instead of holding the whole table in memory between them.  It
     is also stored one folder per DATE_ID, so every scan task already holds
     few dates and the fact (partitioned by the same date) is written without
     a shuffle; pass ``fact_rebalance=True`` for an input not laid out by date.
     """
-    write_table(tables["fato_covid"], f"{root}/fato_covid", fmt=fmt,
-                partition_by=[S.FACT_PARTITION], rebalance=fact_rebalance)
+    rows = tables["fato_covid"]
+    if from_day is not None:
+        rows = rows.where(F.col("DATE_ID") >= F.lit(from_day))
+    write_table(rows, f"{root}/fato_covid", fmt=fmt, partition_by=[S.FACT_PARTITION],
+                rebalance=fact_rebalance, dynamic_overwrite=from_day is not None)
     for name in ("dim_location", "dim_calendar", "base_trusted"):
         write_table(tables[name], f"{root}/{name}", fmt=fmt)

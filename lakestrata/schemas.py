@@ -7,7 +7,7 @@ types the raw files carry and the trusted / refined tables publish.
 from __future__ import annotations
 
 from pyspark.sql.types import (
-    BooleanType, DateType, DecimalType, DoubleType, IntegerType, StringType,
+    DateType, DecimalType, DoubleType, IntegerType, StringType,
     StructField, StructType,
 )
 
@@ -24,6 +24,19 @@ RAW_US_COLUMNS = [
     "Mortality_Rate",
 ]
 
+# Other header names of the same columns, and the columns that some layouts lack.
+RAW_ALIASES = {
+    "Province_State": ["Province/State"],
+    "Country_Region": ["Country/Region"],
+    "Last_Update": ["Last Update"],
+    "Lat": ["Latitude"],
+    "Long_": ["Longitude"],
+    "Incident_Rate": ["Incidence_Rate"],
+    "Case_Fatality_Ratio": ["Case-Fatality_Ratio"],
+    "Mortality_Rate": ["Case_Fatality_Ratio"],
+}
+RAW_OPTIONAL = ["Lat", "Long_", "Active", "Incident_Rate", "Case_Fatality_Ratio", "Admin2", "Mortality_Rate"]
+
 # Raw -> harmonised names per source.
 GENERAL_RENAME = {
     "Province_State": "STATE",
@@ -127,5 +140,3 @@ LAKE_LISTING = StructType([
     StructField("DATE_KEY", StringType()),
 ])
 MISSING_LIST = StructType([StructField("DATE_KEY", StringType())])
-
-QUALITY_CHECK = StructType([StructField("check_calc_case_fatality_ratio", BooleanType())])
