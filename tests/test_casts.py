@@ -105,3 +105,21 @@ def test_sql_and_column_cast_paths_agree(spark):
         fmts = ["M/d/yyyy H:mm"] if kind == "date" else []
         out = df.select(typed("v", kind, fmts).alias("a"), typed(F.col("v"), kind, fmts).alias("b"))
         assert all(r["a"] == r["b"] for r in out.collect()), kind
+
+
+def test_int_casts_equal_the_lenient_ones_on_any_text(spark):
+    import random
+    rnd = random.Random(3)
+    texts = ["12d", "7f", "0x1p3", "1e3", "1E3", "", " ", ".", "+", "-", ".5", "+.5", "-.5", "5.", "-5.", "+5", "--5", "5-", "1 2",
+             "\t7\n", "\x007", "7\x7f", "1.2.3", "1.x", "NaN", "Infinity", "9223372036854775807", "9223372036854775808",
+             "9007199254740993.5", "-2147483648.9", "2147483648", "00012", "1_000", "\u0663", "\u00a07", "1,5"]
+    texts += ["".join(rnd.choice("0123456789.+-eEdfx \t") for _ in range(rnd.randint(1, 6))) for _ in range(400)]
+    df = spark.createDataFrame([(t,) for t in texts], "v string")
+    before = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        want = {r["v"]: (r["i"], r["l"]) for r in df.selectExpr("v", "cast(v as int) i", "cast(v as long) l").collect()}
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", before)
+    got = {r["v"]: (r["i"], r["l"]) for r in df.select("v", as_int("v").alias("i"), as_long("v").alias("l")).collect()}
+    assert {k: (got[k], want[k]) for k in want if got[k] != want[k]} == {}

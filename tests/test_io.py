@@ -63,7 +63,8 @@ def test_single_file_list_round_trip(spark, workdir):
     assert rows(read_missing(spark, path)) == rows(df)
     assert read_missing(spark, f"{workdir}/never").count() == 0
     many = f"{workdir}/many"
-    write_single_csv(df.repartition(2), many, max_rows=1)
+    write_single_csv(df.repartition(2), many)
+    assert len(glob.glob(f"{many}/part-*.csv")) == 1
     assert rows(read_missing(spark, many)) == rows(df)
 
 
@@ -138,3 +139,71 @@ def test_mixed_headers_in_one_folder_fail_loudly(spark, workdir):
     write_text(f"{workdir}/same/1.csv", "A,B\n1,2\n")
     write_text(f"{workdir}/same/2.csv", "A,B\n3,4\n")
     assert rows(read_csv_strings(spark, f"{workdir}/same")) == [("1", "2"), ("3", "4")]
+
+
+def test_any_text_comes_back(spark, workdir):
+    texts = ["", " ", "  a  ", 'a "b" c', '"', '\\', '\\"', "a|b,c", "line\nline", "cr\rlf\r\n", "\t", None, "NULL", "\u00e9"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string")
+    for sep in ("|", ","):
+        write_csv(df.repartition(3), f"{workdir}/t{ord(sep)}", sep=sep)
+        assert rows(read_csv(spark, f"{workdir}/t{ord(sep)}", df.schema, sep=sep)) == rows(df)
+
+
+def test_timestamps_keep_their_fraction(spark, workdir):
+    df = spark.sql("select timestamp'2024-01-02 03:04:05.678901' t, timestamp_ntz'2024-01-02 03:04:05.5' n, timestamp'2024-01-01' w")
+    write_csv(df, f"{workdir}/t")
+    assert rows(read_csv(spark, f"{workdir}/t", df.schema, sep="|")) == rows(df)
+
+
+def test_files_hold_a_bounded_number_of_rows(spark, workdir):
+    write_csv(spark.range(100).coalesce(1), f"{workdir}/t", rows_per_file=30)
+    assert len(glob.glob(f"{workdir}/t/part-*.csv")) == 4
+
+
+def test_odd_file_names_are_loaded_once(spark, workdir):
+    from lakestrata.plans.ingest import find_missing, ingest_missing
+    names = ["01 01 2021.csv", "01=01.csv", "50%.csv", "a+b.CSV", "x%20y.csv", "q&#;~.csv"]
+    for i, n in enumerate(names):
+        write_text(f"{workdir}/src/{n}", f"A,B\n{i},x\n")
+    lake = f"{workdir}/lake"
+    for _ in range(3):
+        missing = find_missing(file_keys(spark, f"{workdir}/src"), lake_listing(spark, lake))
+        ingest_missing(spark, f"{workdir}/src", lake, missing)
+        assert find_missing(file_keys(spark, f"{workdir}/src"), lake_listing(spark, lake)).count() == 0
+        back = read_csv(spark, lake, sep="|")
+        assert rows(back, "A", "DATE_KEY") == sorted((str(i), n[:-4]) for i, n in enumerate(names))
+
+
+def test_quoted_and_multi_line_fields_are_loaded_as_they_are(spark, workdir):
+    from lakestrata.plans.ingest import find_missing, ingest_missing
+    write_text(f"{workdir}/src/1.csv", 'A,B\n"S ""x""","two\nlines"\n" b ",""\n')
+    lake = f"{workdir}/lake"
+    ingest_missing(spark, f"{workdir}/src", lake, find_missing(file_keys(spark, f"{workdir}/src"), lake_listing(spark, lake)))
+    back = read_csv(spark, lake, StructType([StructField(c, StringType()) for c in ("A", "B", "DATE_KEY")]), sep="|")
+    assert rows(back, "A", "B") == [(" b ", ""), ('S "x"', "two\nlines")]
+
+
+def test_title_attribute_in_any_form(spark):
+    html = ("<a title='1.csv'><a TITLE=2.csv href=x><a title = \"3 b.csv\"><a data-title=\"4.csv\"><a title=\"5.csvx\">"
+            "<a title=\"it's.csv\">")
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    assert [r[0] for r in rows(page_links(pages), "DATE_KEY")] == ["1", "2", "3 b", "it's"]
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster(spark, monkeypatch):
+    import pytest
+    from lakestrata import session
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+        class conf:
+            get = staticmethod(lambda key, default=None: default)
+    with pytest.raises(ValueError, match="checkpoint.dir"):
+        session.checkpoint_root(Session())

@@ -80,7 +80,7 @@ def test_quality_labels_on_raw_edges(spark, workdir):
     assert s4["NEW_CASE_FATALITY_RATIO"] is None
     assert by_state["S1"]["NEW_CASE_FATALITY_RATIO"] == 10.0
     assert by_state["S1"]["check_calc_case_fatality_ratio"] is True
-    rep = report(q, [r.name for r in COVID_RULES]).groupBy("RULE").agg(F.sum("N").alias("n"))
+    rep = report(q, COVID_RULES).groupBy("RULE").agg(F.sum("N").alias("n"))
     assert {r["n"] for r in rep.collect()} == {q.count()}
 
 
@@ -158,7 +158,9 @@ def test_run_lake_end_to_end_and_incremental(spark, workdir):
     first = run_lake(spark, paths, dirs, verify=True)
     assert first == {"missing": {"general": 2, "us": 2}, "loaded": True,
                      "violations": {"orphan_location_keys": 0, "duplicate_location_keys": 0,
-                                    "duplicate_dates": 0, "series_mismatch": 0}}
+                                    "duplicate_dates": 0, "series_mismatch": 0,
+                                    "rows_source_raw": 0, "rows_raw_quality": 0, "rows_quality_trusted": 0,
+                                    "rows_trusted_fact": 0, "rows_trusted_published": 0}}
     fact = spark.read.parquet(f"{paths.refined}/fato_covid")
     assert fact.count() == 10
     again = run_lake(spark, paths, dirs)
@@ -197,3 +199,107 @@ def test_run_lake_with_two_general_layouts(spark, workdir):
     assert out["missing"] == {"general": 3, "us": 2}
     t = read_trusted(spark, paths.trusted).filter(F.col("DATE_ID") == dt.date(2021, 1, 3)).first()
     assert (t["CONFIRMED_AC"], t["DEATHS_AC"], t["CONFIRMED"]) == (21, 2, 7)
+
+
+DAY3 = ',,S1,C1,2021-01-03 05:00:00,45.5,10.1,21,1,0,20,"S1, C1",13,4.76'
+
+
+def all_rows(spark, paths):
+    return rows(read_trusted(spark, paths.trusted))
+
+
+def whole(spark, paths):
+    """The trusted table made in one go from the raw zone."""
+    from lakestrata.plans.lake import raw_rows
+    return rows(raw_to_trusted(raw_rows(spark, paths, "general"), raw_rows(spark, paths, "us")))
+
+
+def test_incremental_days_equal_a_whole_run(spark, workdir):
+    from lakestrata.plans.lake import LakePaths, run_lake
+    src = f"{workdir}/src"
+    write_raw(src)
+    paths, dirs = LakePaths(f"{workdir}/lake"), {"general": f"{src}/general", "us": f"{src}/us"}
+    run_lake(spark, paths, dirs)
+    untouched = sorted(glob.glob(f"{paths.trusted}/DATE_ID=2021-01-01/*"))
+    with open(f"{src}/general/01-03-2021.csv", "w") as f:
+        f.write(GENERAL_HEADER + "\n" + DAY3 + "\n")
+    with open(f"{src}/us/01-03-2021.csv", "w") as f:
+        f.write(US_HEADER + "\n")  # a day without rows
+    out = run_lake(spark, paths, dirs, verify=True)
+    assert out["missing"] == {"general": 1, "us": 1} and set(out["violations"].values()) == {0}
+    assert all_rows(spark, paths) == whole(spark, paths)
+    assert sorted(glob.glob(f"{paths.trusted}/DATE_ID=2021-01-01/*")) == untouched
+    assert run_lake(spark, paths, dirs)["missing"] == {"general": 0, "us": 0}
+
+
+def test_run_that_fails_anywhere_is_finished_by_the_next(spark, workdir, monkeypatch):
+    import lakestrata.plans.lake as lake
+    for step in ("build_quality", "publish_refined", "_record"):
+        src = f"{workdir}/{step}"
+        write_raw(src)
+        paths, dirs = lake.LakePaths(f"{src}/lake"), {"general": f"{src}/general", "us": f"{src}/us"}
+
+        def fails(*a, **k):
+            raise RuntimeError("stopped")
+        with monkeypatch.context() as m:
+            m.setattr(lake, step, fails)
+            try:
+                lake.run_lake(spark, paths, dirs)
+            except RuntimeError:
+                pass
+        out = lake.run_lake(spark, paths, dirs, verify=True)
+        assert set(out["violations"].values()) == {0}, step
+        assert spark.read.parquet(f"{paths.refined}/fato_covid").count() == 10
+
+
+def test_zones_run_alone(spark, workdir):
+    from lakestrata.plans.lake import LakePaths, run_lake
+    write_raw(workdir)
+    paths, dirs = LakePaths(f"{workdir}/lake"), {"general": f"{workdir}/general", "us": f"{workdir}/us"}
+    run_lake(spark, paths, dirs, steps=["load"])
+    assert not os.path.exists(paths.trusted)
+    run_lake(spark, paths, dirs, steps=["trusted"])
+    assert read_trusted(spark, paths.trusted).count() == 10 and not os.path.exists(paths.refined)
+    run_lake(spark, paths, dirs, steps=["refined"])
+    assert spark.read.parquet(f"{paths.refined}/fato_covid").count() == 10
+
+
+def test_old_headers_are_read_by_alias_and_lacking_ones_fail(spark, workdir):
+    import pytest
+    from lakestrata.plans.lake import LakePaths, run_lake
+    write_raw(workdir)
+    old = f"{workdir}/general/12-31-2020.csv"
+    with open(old, "w") as f:
+        f.write("Province/State,Country/Region,Last Update,Confirmed,Deaths,Recovered\nS1,C1,2020-12-31,7,0,0\n")
+    paths, dirs = LakePaths(f"{workdir}/lake"), {"general": f"{workdir}/general", "us": f"{workdir}/us"}
+    out = run_lake(spark, paths, dirs, verify=True)
+    assert set(out["violations"].values()) == {0}
+    got = read_trusted(spark, paths.trusted).where("STATE = 'S1' and FONTE = 'GENERAL'").orderBy("DATE_ID").collect()
+    assert [(r["CONFIRMED_AC"], r["CONFIRMED"]) for r in got][:2] == [(7, 7), (10, 3)]
+    with open(f"{workdir}/general/01-04-2021.csv", "w") as f:
+        f.write("State,Country_Region,Last_Update,Confirmed,Deaths,Recovered\nS1,C1,2021-01-04,7,0,0\n")
+    with pytest.raises(Exception, match="Province_State.*01-04-2021"):
+        run_lake(spark, paths, dirs)
+
+
+def test_date_from_the_file_key(spark, workdir):
+    from lakestrata.plans.lake import LakePaths, run_lake
+    write_raw(workdir)
+    paths, dirs = LakePaths(f"{workdir}/lake"), {"general": f"{workdir}/general", "us": f"{workdir}/us"}
+    run_lake(spark, paths, dirs, date_column="DATE_KEY", date_formats=["MM-dd-yyyy"])
+    days = {r[0] for r in read_trusted(spark, paths.trusted).select("DATE_ID").distinct().collect()}
+    assert days == {dt.date(2021, 1, 1), dt.date(2021, 1, 2)}
+
+
+def test_rows_of_one_day_are_ordered_by_time_whatever_their_order(spark, workdir):
+    head = GENERAL_HEADER
+    lines = [f',,S,C,2021-01-01 0{h}:00:00,1,1,{n},0,0,0,"x",1,1' for h, n in ((1, 10), (2, 15), (3, 30))]
+    got = []
+    for name, order in (("a", lines), ("b", lines[::-1])):
+        write_raw(f"{workdir}/{name}")
+        with open(f"{workdir}/{name}/general/01-01-2021.csv", "w") as f:
+            f.write(head + "\n" + "\n".join(order) + "\n")
+        g, u = raw(spark, f"{workdir}/{name}")
+        t = raw_to_trusted(g, u).where("STATE = 'S'")
+        got.append(rows(t, "CONFIRMED_AC", "CONFIRMED"))
+    assert got[0] == got[1] == [(10, 10), (15, 5), (30, 15)]

@@ -60,7 +60,7 @@ def test_gate_and_report_add_up(spark):
                        ("1", "1", -1, 1, 1, 1, Decimal(1), None)])
     out = annotate(df, COVID_RULES)
     assert gate(out, COVID_GATE).count() == 1
-    rep = report(out, [r.name for r in COVID_RULES])
+    rep = report(out, COVID_RULES)
     per_rule = {r["RULE"]: 0 for r in rep.collect()}
     for r in rep.collect():
         per_rule[r["RULE"]] += r["N"]

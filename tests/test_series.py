@@ -23,7 +23,7 @@ def daily(spark, data, **kw):
 def test_gap_returns_full_value(spark):
     data = [("S", "C", d(0), "G", 10), ("S", "C", d(1), "G", 15),
             ("S", "C", d(2), "G", None), ("S", "C", d(3), "G", 20)]
-    for kw in ({"split_above": 0}, {"bucket": None}, {}):
+    for kw in ({"split_above": 0}, {"split_above": None}, {}):
         got = [r[-1] for r in daily(spark, data, **kw)]
         assert got == [10, 5, None, 20]
         got = [r[-1] for r in daily(spark, data, ignore_null_gaps=True, **kw)]
@@ -90,42 +90,46 @@ def test_two_level_lag_equals_one_window(spark):
         df = _random_series(spark, seed)
         for ignore in (False, True):
             b = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID", "FONTE"], ["CONFIRMED"],
-                                bucket=None, ignore_nulls=ignore)
+                                split_above=None, ignore_nulls=ignore)
             for split_above in (0, 100):  # every key split / only the hot one
                 a = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID", "FONTE"],
                                     ["CONFIRMED"], ignore_nulls=ignore, split_above=split_above)
                 assert rows(a) == rows(b)
 
 
-def test_hot_keys_found_by_count(spark):
-    from lakestrata.operators.series import hot_key_hashes
+def test_hot_keys_are_a_table(spark):
+    from lakestrata.operators.series import hot_keys
     df = _random_series(spark, 1)
-    hot = hot_key_hashes(df, ["STATE", "COUNTRY"], split_above=100)
-    assert len(hot) == 1
-    assert hot_key_hashes(df, ["STATE", "COUNTRY"], split_above=1, max_hot_keys=2) is None
-    assert hot_key_hashes(df, ["STATE", "COUNTRY"], split_above=10_000) == []
+    assert rows(hot_keys(df, ["STATE", "COUNTRY"], split_above=300)) == [("HOT", "X")]
+    assert hot_keys(df, ["STATE", "COUNTRY"], split_above=1).count() == df.select("STATE", "COUNTRY").distinct().count()
     plan = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID"], ["CONFIRMED"],
                            split_above=10_000)._jdf.queryExecution().optimizedPlan().toString()
-    assert "__series_bucket" not in plan
+    assert "__series_part" not in plan
 
 
-def test_lag_value_with_custom_bucket(spark):
+def test_no_list_of_keys_in_the_plan(spark):
+    df = _random_series(spark, 1)
+    plan = previous_values(df, ["STATE", "COUNTRY"], ["DATE_ID", "FONTE"], ["CONFIRMED"],
+                           split_above=20)._jdf.queryExecution().optimizedPlan().toString()
+    assert "HOT" not in plan and " IN (" not in plan and "Window" in plan
+
+
+def test_lag_value_split(spark):
     df = _random_series(spark, 5, 600)
-    a = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P",
-                  bucket=F.date_trunc("week", F.col("DATE_ID")), split_above=0)
-    b = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P", bucket=None)
+    a = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P", split_above=0)
+    b = lag_value(df, ["STATE"], ["DATE_ID", "FONTE"], "CONFIRMED", "P", split_above=None)
     assert rows(a) == rows(b)
     assert a.columns == df.columns + ["P"]
 
 
-def test_timestamp_order_hour_buckets_equal_one_window(spark):
+def test_timestamp_order_equals_one_window(spark):
     rnd = random.Random(11)
     base = dt.datetime(2024, 1, 1)
     data = [(rnd.choice([1, 1, 1, 2, 3]), base + dt.timedelta(minutes=rnd.randint(0, 60 * 72)), i,
              None if rnd.random() < 0.1 else rnd.random()) for i in range(2000)]
     df = spark.createDataFrame(data, "user_id long, ts timestamp, event_id long, value double")
     for ignore in (False, True):
-        b = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"], bucket=None,
+        b = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"], split_above=None,
                             ignore_nulls=ignore)
         for split_above in (0, 500):
             a = previous_values(df, ["user_id"], ["ts", "event_id"], ["value"],
@@ -133,40 +137,40 @@ def test_timestamp_order_hour_buckets_equal_one_window(spark):
             assert rows(a) == rows(b)
 
 
-def test_hot_bucket_is_cut_into_ranges(spark):
+def parts_of(split):
+    """Rows per part of the split keys, from the written table."""
+    files = [f for f in split.inputFiles() if "series-parts" in f]
+    return [r["count"] for r in split.sparkSession.read.parquet(*files).groupBy("__series_part").count().collect()]
+
+
+def test_hot_day_is_cut_into_ranges(spark):
     rnd = random.Random(5)
     day = dt.date(2024, 3, 1)
     data = [("K", day if rnd.random() < 0.9 else day + dt.timedelta(days=1), i,
              None if rnd.random() < 0.1 else rnd.randint(0, 99)) for i in range(3000)]
     data += [("Q", day, i, i) for i in range(3000, 3050)]
     df = spark.createDataFrame(data, "k string, d date, t long, v int")
-    plain = previous_values(df, ["k"], ["d", "t"], ["v"], bucket=None)
-    for ignore in (False, True):
-        plain = previous_values(df, ["k"], ["d", "t"], ["v"], bucket=None, ignore_nulls=ignore)
-        split = previous_values(df, ["k"], ["d", "t"], ["v"], split_above=500, sub_buckets=8,
-                                ignore_nulls=ignore)
-        plan = split._jdf.queryExecution().optimizedPlan().toString()
-        assert "__series_bounds" in plan
-        assert rows(split) == rows(plain)
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        for ignore in (False, True):
+            plain = previous_values(df, ["k"], ["d", "t"], ["v"], split_above=None, ignore_nulls=ignore)
+            split = previous_values(df, ["k"], ["d", "t"], ["v"], split_above=500, ignore_nulls=ignore)
+            assert max(parts_of(split)) < 1500
+            assert rows(split) == rows(plain)
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)
 
 
-def test_hot_bucket_with_text_tiebreak_is_cut(spark):
+def test_text_order_with_a_common_prefix_is_cut(spark):
     rnd = random.Random(9)
-    day = dt.date(2024, 3, 1)
-    words = ["", "a", "ab", "abcdefgh", "abcdefgz", "b", "ção", "zz", "Z"]
-    data = [("K", day, f"{rnd.choice(words)}{i:05d}" if rnd.random() < 0.8 else rnd.choice(words) + str(i),
-             rnd.randint(0, 99)) for i in range(2000)]
-    df = spark.createDataFrame(data, "k string, d date, s string, v int")
-    plain = previous_values(df, ["k"], ["d", "s"], ["v"], bucket=None)
-    split = previous_values(df, ["k"], ["d", "s"], ["v"], split_above=300, sub_buckets=8)
-    assert "__series_bounds" in split._jdf.queryExecution().optimizedPlan().toString()
-    assert rows(split) == rows(plain)
-
-
-def test_text_rank_never_decreases(spark):
-    from lakestrata.operators.series import text_rank
-    words = sorted(["", "a", "a\\x00", "ab", "abcdefgh", "abcdefgi", "b", "ção", "Z", "zz", "é"],
-                   key=lambda w: w.encode("utf-8"))
-    df = spark.createDataFrame([(w,) for w in words], "w string")
-    got = [r[0] for r in df.select(text_rank("w")).collect()]
-    assert got == sorted(got)
+    data = [("K", f"one-long-common-prefix-{rnd.randint(0, 10**9):010d}-{i}", rnd.randint(0, 99)) for i in range(2000)]
+    df = spark.createDataFrame(data, "k string, s string, v int")
+    before = spark.conf.get("spark.sql.adaptive.coalescePartitions.enabled")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        split = previous_values(df, ["k"], ["s"], ["v"], split_above=300)
+        assert max(parts_of(split)) < 1000
+        assert rows(split) == rows(previous_values(df, ["k"], ["s"], ["v"], split_above=None))
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", before)

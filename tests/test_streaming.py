@@ -63,18 +63,40 @@ def test_batch_ingest_reads_each_layout_by_name(spark, workdir):
         ("01-01-2021", "A", "1", None), ("01-02-2021", "A", "3", "0")]
 
 
-def test_batch_ingest_opens_only_missing_files(spark, workdir):
+def test_batch_ingest_opens_only_the_files_of_a_glob(spark, workdir):
     from lakestrata.plans.ingest import keyed_source
     src = f"{workdir}/src"
     for i in range(5):
         put(f"{src}/01-0{i + 1}-2021.csv", f"Province_State,Confirmed\nA,{i}\n")
-    df = keyed_source(spark, src, only_files=["01-02-2021.csv", "01-04-2021.csv"])
+    df = keyed_source(spark, src, glob="01-0[24]-2021.csv")
     assert rows(df, "DATE_KEY", "Confirmed") == [("01-02-2021", "1"), ("01-04-2021", "3")]
-    df.collect()
-    scans = df._jdf.queryExecution().executedPlan().collectLeaves()
-    files = [scans.apply(i).metrics().get("numFiles").get().value() for i in range(scans.size())
-             if scans.apply(i).metrics().contains("numFiles")]
-    assert files == [2]
+    assert keyed_source(spark, src, columns=["Confirmed"], modified_after="2100-01-01T00:00:00").count() == 0
+
+
+def test_mixed_headers_in_one_folder(spark, workdir):
+    from lakestrata.plans.ingest import keyed_source
+    src = f"{workdir}/src"
+    put(f"{src}/1.csv", "\ufeffA,B\n1,2\n")
+    put(f"{src}/2.csv", "b,C,A\n4,5,3\n")
+    put(f"{src}/3.csv", "A,B\n")
+    df = keyed_source(spark, src, columns=["A", "B", "C"], optional=["C"])
+    assert rows(df, "A", "B", "C", "DATE_KEY") == [("1", "2", None, "1"), ("3", "4", "5", "2")]
+
+
+def test_stream_and_batch_share_one_zone(spark, workdir):
+    from lakestrata.plans.ingest import find_missing, ingest_missing
+    from lakestrata.sources.listing import file_keys
+    src, lake, ckpt = f"{workdir}/src", f"{workdir}/lake", f"{workdir}/ckpt"
+    put(f"{src}/1.csv", "Province_State,Confirmed\nA,1\n")
+    put(f"{src}/2.CSV", "Province_State,Confirmed\nA,2\n")
+    ingest_new_files(spark, src, SCHEMA, lake, ckpt)
+    put(f"{src}/3.csv", "Province_State,Confirmed\nA,3\n")
+    missing = find_missing(file_keys(spark, src), lake_listing(spark, lake))
+    assert rows(missing) == [("3",)]
+    ingest_missing(spark, src, lake, missing)
+    ingest_new_files(spark, src, SCHEMA, lake, ckpt)  # reads 3 again and replaces its folder
+    assert rows(read_csv(spark, lake, sep="|").selectExpr("cast(DATE_KEY as string) k", "Confirmed")) == [
+        ("1", "1"), ("2", "2"), ("3", "3")]
 
 
 def test_stream_stops_on_a_reordered_header(spark, workdir):
@@ -88,8 +110,9 @@ def test_stream_stops_on_a_reordered_header(spark, workdir):
 def test_upper_case_extension_is_listed_and_loaded(spark, workdir):
     from lakestrata.plans.lake import LakePaths, load, reconcile, offered_by_folder
     src = f"{workdir}/src"
-    put(f"{src}/01-01-2021.csv", "Province_State,Confirmed\nA,1\n")
-    put(f"{src}/01-02-2021.CSV", "Province_State,Confirmed\nA,3\n")
+    head = "Province_State,Country_Region,Last_Update,Confirmed,Deaths,Recovered\n"
+    put(f"{src}/01-01-2021.csv", head + "A,C,2021-01-01,1,0,0\n")
+    put(f"{src}/01-02-2021.CSV", head + "A,C,2021-01-02,3,0,0\n")
     paths = LakePaths(f"{workdir}/lake")
     offered = offered_by_folder(spark, src)
     assert sorted(r["DATE_KEY"] for r in offered.collect()) == ["01-01-2021", "01-02-2021"]
