@@ -5,7 +5,6 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -55,21 +54,35 @@ def sample_ids(df: DataFrame, by: str, key: str, k: int) -> DataFrame:
             .where(F.col("_rank") <= k).drop("_rank"))
 
 
-class Hashes(dict):
-    """64-bit hash of a word; at most ``limit`` words are remembered."""
+def bit_filter(hashes: DataFrame, name: str, n: int) -> bytes:
+    """A bit for each of ``n`` hash values, set where a hash has it: a fixed size whatever the input."""
+    filled = (hashes.select(F.pmod(F.col(name), F.lit(n)).alias("bit")).distinct()
+              .groupBy(F.expr("bit div 8").alias("slot"))
+              .agg(F.bit_or(F.expr("shiftleft(1, int(bit % 8))")).alias("byte")))
+    bits = bytearray(n // 8)
+    for slot, byte in filled.collect():  # n / 8 rows at most
+        bits[slot] = byte
+    return bytes(bits)
 
-    def __init__(self, seed: int = 0, limit: int = 300_000):
-        super().__init__()
-        self.seed, self.limit = seed, limit
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh64_intdigest(word, self.seed)
-        return h
+def has_bit(bits: bytes, h: Column) -> Column:
+    """Whether the bit of ``h`` is set in a ``bit_filter``: true for all its hashes, and for few others while it is sparse."""
+    bit = F.pmod(h, F.lit(8 * len(bits)))
+    byte = F.ascii(F.decode(F.substring(F.lit(bits), (F.floor(bit / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
+    return F.getbit(byte, (bit % 8).cast("int")) == 1
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+
+#: Bits of a filter of texts; 256 KiB.
+TEXT_BITS = 1 << 21
+
+
+def among(keys: DataFrame, key: Column, name: str = "key") -> Column:
+    """Whether ``key`` may be one of ``keys``; true for all that are, never null.
+
+    What it holds back needn't be shuffled to a join with ``keys``.
+    """
+    bits = bit_filter(keys.select(F.xxhash64(name).alias("h")), "h", TEXT_BITS)
+    return F.coalesce(has_bit(bits, F.xxhash64(key)), F.lit(False))
 
 
 def mixed(x: np.ndarray) -> np.ndarray:
@@ -86,6 +99,56 @@ def words_of(text: str | None) -> list[bytes]:
     return text.encode("utf-8", "surrogatepass").split() if text else []
 
 
+#: Bytes of texts in one vectorised block.
+BLOCK_BYTES = 1 << 20
+_GAPS = np.zeros(256, bool)
+_GAPS[[0x20, *range(0x09, 0x0E)]] = True
+#: A random number per byte value, and an odd multiplier, for each 64 bits of a word's hash.
+_BYTES = np.random.default_rng(20_240_229).integers(0, 1 << 63, (2, 256), np.uint64) * np.uint64(2) + np.uint64(1)
+_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
+_POWERS: dict[int, np.ndarray] = {}
+
+
+def powers(factor: int, n: int) -> np.ndarray:
+    """factor**i modulo 2**64, for i from 0, ``n`` of them at least."""
+    known = _POWERS.get(factor)
+    if known is None or len(known) < n:
+        p = np.full(max(n, BLOCK_BYTES + 4096), factor, np.uint64)
+        p[0] = 1
+        known = _POWERS[factor] = np.cumprod(p, dtype=np.uint64)
+    return known
+
+
+def rolling(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, kind: int) -> np.ndarray:
+    """Sum of values[i] * m**-(i - start) over each range: a hash of the values in order, from one running sum."""
+    m = _MULTIPLIERS[kind]
+    total = np.zeros(len(values) + 1, np.uint64)
+    np.cumsum(values * powers(pow(m, -1, 1 << 64), len(values))[:len(values)], dtype=np.uint64, out=total[1:])
+    return (total[ends] - total[starts]) * powers(m, len(values) + 1)[starts]
+
+
+def hashed_words(texts: list[str | None], kinds: int = 1) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Number of words of each text, and ``kinds`` independent 64-bit hashes of all words in order.
+
+    Words are as in ``words_of``; all bytes of a block are hashed at once.
+    """
+    raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
+    buffer = np.frombuffer(b" ".join([*raw, b""]), np.uint8)
+    gap = _GAPS[buffer]
+    word = ~gap
+    starts = np.flatnonzero(word & np.concatenate([[True], gap[:-1]]))
+    ends = np.flatnonzero(word & np.concatenate([gap[1:], [True]])) + 1
+    begins = np.cumsum([0] + [len(r) + 1 for r in raw])
+    sizes = np.diff(np.searchsorted(starts, begins))
+    length = (ends - starts).astype(np.uint64)
+    return sizes, [mixed(rolling(_BYTES[k][buffer], starts, ends, k) + length * np.uint64(0xD6E8FEB86659FD93)) for k in range(kinds)]
+
+
+def text_blocks(texts: list[str | None]) -> Iterator[slice]:
+    """Slices of texts of about ``BLOCK_BYTES`` together."""
+    return in_blocks([len(t or "") + 1 for t in texts], BLOCK_BYTES)
+
+
 def in_blocks(sizes: list[int], most: int) -> Iterator[slice]:
     """Consecutive slices whose sizes add up to about ``most`` (one item at least)."""
     start = total = 0

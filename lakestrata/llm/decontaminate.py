@@ -7,7 +7,8 @@ the two texts are aligned, and the best stretch of the alignment, a point for
 each equal word and four off for each other, must be long enough.
 
 Before the join, two bit filters of a fixed size drop nearly all positions of
-the documents: one holds the items' word pairs, the other their seed hashes.
+the documents: one holds the items' word pairs, the other their seed hashes.  A third, of the texts
+with hits, keeps all other texts out of the later joins.
 A filter drops no true hit; where a large benchmark fills it, more rows reach
 the join and the result is the same.
 """
@@ -17,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakestrata.llm.common import free_name, written
+from lakestrata.llm.common import among, bit_filter, free_name, has_bit, written
 
 #: 1: hashed, 0: ignored.
 MASKS = ("1101111", "1111011", "1110111", "11011011")
@@ -68,32 +69,18 @@ def seeds(items: DataFrame, item: str, text: str) -> DataFrame:
             .select("item", "iw", "at", _pair().alias("pair"), F.explode(_seeds()).alias("seed")).where("seed is not null"))
 
 
-def _filter(hashes: DataFrame, name: str, n: int) -> bytes:
-    """A bit for each of ``n`` hash values, set where a hash has it: a fixed size whatever the input."""
-    filled = (hashes.select(F.pmod(F.col(name), F.lit(n)).alias("bit")).distinct()
-              .groupBy(F.expr("bit div 8").alias("slot"))
-              .agg(F.bit_or(F.expr("shiftleft(1, int(bit % 8))")).alias("byte")))
-    bits = bytearray(n // 8)
-    for slot, byte in filled.collect():  # n / 8 rows at most
-        bits[slot] = byte
-    return bytes(bits)
-
-
-def _set(bits: bytes, h: Column) -> Column:
-    """Whether the bit of ``h`` is set."""
-    bit = F.pmod(h, F.lit(8 * len(bits)))
-    byte = F.ascii(F.decode(F.substring(F.lit(bits), (F.floor(bit / 8) + 1).cast("int"), F.lit(1)), "ISO-8859-1"))
-    return F.getbit(byte, (bit % 8).cast("int")) == 1
+def _key(text: str) -> Column:
+    return F.sha2(F.col(text), 256)
 
 
 def candidates(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
     """(key, pos, seed): the positions of all texts that pass both filters."""
-    pairs, full = _filter(found, "pair", PAIR_BITS), _filter(found, "seed", SEED_BITS)
+    pairs, full = bit_filter(found, "pair", PAIR_BITS), bit_filter(found, "seed", SEED_BITS)
     rows = (docs.select(F.col(text).alias("text")).where("text is not null")
-            .select(F.sha2("text", 256).alias("key"), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h")))
-    return (_positions(rows, "key").where(F.col(f"h{SHORTEST - 1}").isNotNull() & _set(pairs, _pair()))
+            .select(_key("text").alias("key"), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h")))
+    return (_positions(rows, "key").where(F.col(f"h{SHORTEST - 1}").isNotNull() & has_bit(pairs, _pair()))
             .select("key", F.col("at").alias("pos"), F.explode(_seeds()).alias("seed"))
-            .where(F.col("seed").isNotNull() & _set(full, F.col("seed"))))
+            .where(F.col("seed").isNotNull() & has_bit(full, F.col("seed"))))
 
 
 def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id",
@@ -108,8 +95,8 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
     found = written(seeds(items, item, item_text), "seeds")
     hits = written(candidates(docs, text, found).distinct().join(found.select("item", "iw", "at", "seed"), "seed")
                    .select("key", "item", "iw", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "leak-hits")
-    texts = (docs.select(F.sha2(F.col(text), 256).alias("key"), F.col(text).alias("t"))
-             .join(hits.select("key").distinct(), "key", "left_semi")
+    texts = (docs.select(_key(text).alias("key"), F.col(text).alias("t"))
+             .where(F.col("key").isNotNull() & among(hits, F.col("key"))).join(hits.select("key").distinct(), "key", "left_semi")
              .groupBy("key").agg(words(F.first("t")).alias("w")))
     # Along one shift: the stretch of most points (start, end, equal words).
     step = f"""named_struct(
@@ -140,8 +127,8 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
 def leaky_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                     item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``leaks`` with the ids of all documents of that text; repeated ids once."""
-    found = leaks(docs, items, text, item, item_text)
-    return (docs.select(F.col(key).alias("doc_id"), F.sha2(F.col(text), 256).alias("key"))
+    found = written(leaks(docs, items, text, item, item_text), "leaks")
+    return (docs.select(F.col(key).alias("doc_id"), _key(text).alias("key")).where(among(found, F.col("key")))
             .join(found, "key").drop("key").distinct())
 
 
@@ -149,5 +136,8 @@ def without_leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: s
                   item_text: str = "text") -> DataFrame:
     """``docs`` without the rows whose text holds a test item; null texts stay."""
     name = free_name(docs, "text_key")
-    found = leaks(docs, items, text, item, item_text).select(F.col("key").alias(name)).distinct()
-    return docs.withColumn(name, F.sha2(F.col(text), 256)).join(found, name, "left_anti").select(*docs.columns)
+    found = written(leaks(docs, items, text, item, item_text), "leaks")
+    keyed = docs.withColumn(name, _key(text))
+    suspect = among(found, F.col(name))
+    cleared = keyed.where(suspect).join(found.select(F.col("key").alias(name)).distinct(), name, "left_anti")
+    return keyed.where(~suspect).unionByName(cleared).select(*docs.columns)

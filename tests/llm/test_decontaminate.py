@@ -1,0 +1,120 @@
+import random
+import re
+
+from lakestrata.llm import common, decontaminate as D
+from tests.llm.frames import CLASHING, by_id, edge_rows, edges, empty, frame, prose
+
+GAP = re.compile("[\x00-\x2f\x3a-\x60\x7b-\xbf -⁯　-〿]+")
+
+
+def words(text):
+    return [w for w in GAP.split((text or "").lower()) if w]
+
+
+def best_stretch(item, doc, shift):
+    """(points, equal words, first, last) of the best stretch of one alignment; the earliest of the best."""
+    best, run, begin, equal = (0, 0, 0, 0), 0, 0, 0
+    for k, w in enumerate(item):
+        same = 0 <= k + shift < len(doc) and doc[k + shift] == w
+        if run <= 0:
+            run, begin, equal = 0, k, 0
+        run, equal = run + (1 if same else -D.PENALTY), equal + same
+        if run > best[0]:
+            best = (run, equal, begin, k)
+    return best
+
+
+def masked(w, i, mask):
+    return tuple(w[i + k] for k, c in enumerate(mask) if c == "1") if i + len(mask) <= len(w) else None
+
+
+def brute(docs, items):
+    """{(doc_id, item_id): matched} by all shifts at which a masked hash of both agrees."""
+    out = {}
+    for item_id, item_text in items:
+        item = words(item_text)
+        for doc_id, text in docs:
+            doc = words(text)
+            shifts = {p - a for m in D.MASKS for a in range(len(item)) for p in range(len(doc))
+                      if (x := masked(item, a, m)) is not None and x == masked(doc, p, m)}
+            enough = min(D.MIN_WORDS, -(-len(item) * 8 // 10))
+            found = [b[1] for s in shifts if (b := best_stretch(item, doc, s))[1] >= enough]
+            if found:
+                out[doc_id, item_id] = max(found)
+    return out
+
+
+def items_frame(spark, rows):
+    return spark.createDataFrame(rows, "item_id long, text string, key string, seed string")
+
+
+def case():
+    rnd = random.Random(5)
+    items = [(i, prose(700 + i, rnd.randint(5, 40))) for i in range(10)]
+    docs = []
+    for i in range(30):
+        w = prose(i, rnd.randint(20, 80)).split()
+        if i % 2:
+            passage = items[i % 10][1].split()
+            if i % 3 == 0:  # words changed here and there
+                for k in range(2, len(passage), 6):
+                    passage[k] = "other"
+            if i % 5 == 0:  # a part of it
+                passage = passage[:len(passage) // 2]
+            at = rnd.randint(0, len(w))
+            w[at:at] = passage
+        docs.append((i, " ".join(w).capitalize() if i % 4 else ", ".join(w).upper()))
+    return docs, items
+
+
+def test_as_brute_force(spark):
+    docs, items = case()
+    got = D.leaky_documents(frame(spark, docs), items_frame(spark, [(*i, "?", "?") for i in items]))
+    assert {(r.doc_id, r.item_id): r.matched for r in got.collect()} == brute(docs, items)
+    assert len(brute(docs, items)) > 5
+
+
+def test_every_sixth_word_changed_is_found_and_half_is_not(spark):
+    item = prose(1, 40).split()
+    sixth = [w if k % 6 else "other" for k, w in enumerate(item)]
+    half = [w if k % 2 else "other" for k, w in enumerate(item)]
+    docs = [(1, prose(2, 30) + " " + " ".join(sixth) + " " + prose(3, 30)), (2, " ".join(half)), (3, prose(4, 90))]
+    got = D.leaky_documents(frame(spark, docs), items_frame(spark, [(1, " ".join(item), "", "")]))
+    assert [(r.doc_id, r.item_words, r.overlap > r.matched) for r in got.collect()] == [(1, 40, True)]
+
+
+def test_filters_lose_nothing_when_full(spark, monkeypatch):
+    for name in ("PAIR_BITS", "SEED_BITS"):
+        monkeypatch.setattr(D, name, 64)
+    monkeypatch.setattr(common, "TEXT_BITS", 64)
+    docs, items = case()
+    got = D.leaky_documents(frame(spark, docs), items_frame(spark, [(*i, "?", "?") for i in items]))
+    assert {(r.doc_id, r.item_id): r.matched for r in got.collect()} == brute(docs, items)
+
+
+def test_edges(spark):
+    df = edges(spark)
+    items = [(1, prose(1, 80), "", ""), (1, prose(1, 80), "", ""), (None, prose(3, 60, "yy"), "", ""), (2, None, None, None),
+             (3, "", "", ""), (4, "too short", "", "")]
+    got = D.leaky_documents(df, items_frame(spark, items))
+    found = sorted(((r.doc_id, r.item_id, r.matched) for r in got.collect()), key=str)
+    assert found == sorted([(5, 1, 80), (6, 1, 80), (10, 1, 80), (None, 1, 80), (7, None, 60)], key=str)
+    kept = D.without_leaks(df, items_frame(spark, items))
+    assert kept.columns == df.columns and set(CLASHING) <= set(kept.columns)
+    left = [r for r in edge_rows() if words(r[1]) not in (words(prose(1, 80)), words(prose(3, 60, "yy")))]
+    assert sorted(map(str, (r[:4] for r in left))) == sorted(str(tuple(r)[:4]) for r in kept.collect())
+
+
+def test_empty_tables(spark):
+    none = items_frame(spark, [])
+    assert D.leaky_documents(edges(spark), none).count() == 0
+    assert D.without_leaks(edges(spark), none).count() == len(edge_rows())
+    some = items_frame(spark, [(1, prose(1, 80), "", "")])
+    assert D.leaky_documents(empty(spark), some).count() == 0 and D.without_leaks(empty(spark), some).count() == 0
+
+
+def test_main_path_is_native(spark):
+    some = items_frame(spark, [(1, prose(1, 80), "", "")])
+    plan = D.without_leaks(edges(spark), some)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
+    assert by_id(D.leaky_documents(edges(spark), some), "item_id")[5] == [(1,)]
