@@ -15,75 +15,31 @@ more windows are grouped; none is lost, and the result is the same.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import free_name, in_blocks, mixed, words_of, written
+from lakestrata.llm.common import free_name, hashed_words, mixed, rolling, text_blocks, words_of, written
 
 SPAN = 50
 #: Cells per row of the sketch; two rows of one bit a cell (repeated or not) are 128 MiB.
 WIDTH, DEPTH = 1 << 29, 2
 CELLS = 1 << 16  # per block of a row
-#: Words in one vectorised block.
-BLOCK = 1_000_000
 
-_MULTIPLIERS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F)
-
-
-class WordHashes(dict):
-    """128-bit hash of a word as bytes; at most ``limit`` words are remembered."""
-
-    def __init__(self, limit: int = 300_000):
-        super().__init__()
-        self.limit = limit
-
-    def __missing__(self, word: bytes) -> bytes:
-        if len(self) >= self.limit:
-            self.clear()
-        h = self[word] = xxhash.xxh3_128_digest(word)
-        return h
-
-
-_POWERS: list[np.ndarray] = []
-
-
-def _inverse_powers(n: int) -> list[np.ndarray]:
-    """m**-i and m**i modulo 2**64 of both multipliers, ``n`` of them at least."""
-    if not _POWERS or len(_POWERS[0]) < n:
-        _POWERS.clear()
-        size = max(n, BLOCK + 1)
-        for m in _MULTIPLIERS:
-            for factor in (pow(m, -1, 1 << 64), m):
-                p = np.full(size, factor, np.uint64)
-                p[0] = 1
-                _POWERS.append(np.cumprod(p, dtype=np.uint64))
-    return _POWERS
-
-
-def fingerprints(words: list[list[bytes]], hashes: WordHashes, span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def fingerprints(texts: list[str | None], span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text number, start, high, low) of every window of the texts, in order."""
-    sizes = np.array([len(w) for w in words], np.int64)
+    sizes, hashes = hashed_words(texts, 2)
     n_windows = np.maximum(sizes - span + 1, 0)
-    owner = np.repeat(np.arange(len(words)), n_windows)
+    owner = np.repeat(np.arange(len(texts)), n_windows)
     start = np.arange(len(owner)) - np.repeat(np.cumsum(n_windows) - n_windows, n_windows)
-    if not len(owner):
-        none = np.zeros(0, np.uint64)
-        return owner, start, none, none
-    flat = np.frombuffer(b"".join(map(hashes.__getitem__, (w for ws in words for w in ws))), np.uint64).reshape(-1, 2)
     at = np.repeat(np.cumsum(sizes) - sizes, n_windows) + start
-    powers, out = _inverse_powers(len(flat) + 1), []
-    for k in range(2):
-        # sum of word[i + j] * m**-j over the window, from one running sum
-        total = np.zeros(len(flat) + 1, np.uint64)
-        np.cumsum(mixed(flat[:, k]) * powers[2 * k][:len(flat)], dtype=np.uint64, out=total[1:])
-        out.append(mixed((total[at + span] - total[at]) * powers[2 * k + 1][at]))
-    return owner, start, out[0], out[1]
+    high, low = (mixed(rolling(h, at, at + span, k)) for k, h in enumerate(hashes))
+    return owner, start, high, low
 
 
 def cells(high: np.ndarray, low: np.ndarray) -> list[np.ndarray]:
@@ -91,17 +47,12 @@ def cells(high: np.ndarray, low: np.ndarray) -> list[np.ndarray]:
     return [(h % np.uint64(WIDTH)).astype(np.uint32) for h in (high, low)]
 
 
-def _blocks(texts: list[str | None]) -> Iterator[tuple[slice, list[list[bytes]]]]:
-    for part in in_blocks([len(t or "") // 6 for t in texts], BLOCK):
-        yield part, [words_of(t) for t in texts[part]]
-
-
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """Sketch of each batch: per row and block, the cells counted once and those counted more often."""
-    hashes = WordHashes()
     for batch in batches:
-        for _, words in _blocks(batch["text"].tolist()):
-            _, _, high, low = fingerprints(words, hashes)
+        texts = batch["text"].tolist()
+        for part in text_blocks(texts):
+            _, _, high, low = fingerprints(texts[part])
             if not len(high):
                 continue
             rows = []
@@ -120,11 +71,11 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Of sketches ordered by row and block: the cells with a count above one, as bits."""
+    """Of sketches ordered by row and block: the cells with a count above one, as packed bits."""
     key, ones, twos = None, None, None
 
     def bits() -> bytes:
-        return np.packbits(twos, bitorder="little").tobytes()
+        return zlib.compress(np.packbits(twos, bitorder="little").tobytes(), 1)
 
     for batch in batches:
         out = []
@@ -143,15 +94,12 @@ def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame([(*key, bits())], columns=["row", "block", "bits"])
 
 
-def merged_sketch(texts: DataFrame) -> list[bytearray]:
-    """The bits 'estimated more than once' of each row; ``WIDTH`` / 8 bytes each."""
+def merged_sketch(texts: DataFrame) -> list[tuple[int, int, bytes]]:
+    """(row, block, packed bits 'estimated more than once') where a bit is set; ``DEPTH`` times ``WIDTH`` bits at most."""
     parts = texts.mapInPandas(_counted, "row int, block int, once binary, more binary")
     merged = (parts.repartition("row", "block").sortWithinPartitions("row", "block")
               .mapInPandas(_merged, "row int, block int, bits binary"))
-    planes = [bytearray(WIDTH // 8) for _ in range(DEPTH)]
-    for row, block, bits in written(merged, "sketch").toLocalIterator():  # at most the sketch's fixed size
-        planes[row][block * CELLS // 8:(block + 1) * CELLS // 8] = bits
-    return planes
+    return [(r.row, r.block, bytes(r.bits)) for r in written(merged, "sketch").toLocalIterator()]
 
 
 def estimated_repeated(planes: list[np.ndarray], high: np.ndarray, low: np.ndarray) -> np.ndarray:
@@ -162,16 +110,20 @@ def estimated_repeated(planes: list[np.ndarray], high: np.ndarray, low: np.ndarr
 
 
 def _planes(shared) -> list[np.ndarray]:
-    return [np.frombuffer(p, np.uint8) for p in shared.value]
+    """The sketch's rows as bits."""
+    planes = [np.zeros(WIDTH // 8, np.uint8) for _ in range(DEPTH)]
+    for row, block, bits in shared.value:
+        planes[row][block * CELLS // 8:(block + 1) * CELLS // 8] = np.frombuffer(zlib.decompress(bits), np.uint8)
+    return planes
 
 
 def _repeated(shared):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        hashes, planes = WordHashes(), _planes(shared)
+        planes = _planes(shared)
         for batch in batches:
-            ids = batch["id"].to_numpy()
-            for part, words in _blocks(batch["text"].tolist()):
-                owner, _, high, low = fingerprints(words, hashes)
+            ids, texts = batch["id"].to_numpy(), batch["text"].tolist()
+            for part in text_blocks(texts):
+                owner, _, high, low = fingerprints(texts[part])
                 at = np.nonzero(estimated_repeated(planes, high, low))[0]
                 high, low, doc = high[at], low[at], ids[part][owner[at]]
                 order = np.lexsort((doc, low, high))
@@ -192,15 +144,15 @@ KEPT = T.StructType([
 def _cut(shared):
     @F.pandas_udf(KEPT)
     def run(batches: Iterator[tuple[pd.Series, pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
-        hashes, planes = WordHashes(), _planes(shared)
+        planes = _planes(shared)
         for texts, ids, staying in batches:
             texts, rows = texts.where(texts.notna(), None).tolist(), []
             has_id, staying = ids.notna().tolist(), staying.tolist()
-            for part, words in _blocks(texts):
-                owner, start, high, low = fingerprints(words, hashes)
+            for part in text_blocks(texts):
+                owner, start, high, low = fingerprints(texts[part])
                 repeated = estimated_repeated(planes, high, low)
-                bounds = np.searchsorted(owner, np.arange(len(words) + 1))
-                for i, ws in enumerate(words):
+                bounds = np.searchsorted(owner, np.arange(part.stop - part.start + 1))
+                for i, ws in enumerate(map(words_of, texts[part])):
                     mine = slice(bounds[i], bounds[i + 1])
                     goes = repeated[mine]
                     if not has_id[part.start + i] or not goes.any():
@@ -229,9 +181,8 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ou
     Repeats within one document stay.  Texts of fewer than 50 words have no window.
     """
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
-    planes = merged_sketch(rows.select("text"))
-    shared = docs.sparkSession.sparkContext.broadcast([bytes(p) for p in planes])  # a fixed size
-    del planes
+    # At most DEPTH * WIDTH / 8 bytes, whatever the corpus.
+    shared = docs.sparkSession.sparkContext.broadcast(merged_sketch(rows.select("text")))
     first = (rows.mapInPandas(_repeated(shared), "high long, low long, id long")
              .groupBy("high", "low").agg(F.min("id").alias("id")))
     k, s = free_name(docs, "staying_id"), free_name(docs, "staying")
