@@ -143,15 +143,16 @@ class CrossParser:
             n = active[step]
             s = symbols[starts[:n] + step]
             for j, moves in enumerate(self.tables):
-                now = moves.take(state[j][:n] * self.width + s)
+                before = state[j][:n]
+                now = moves.take(before * self.width + s)
                 ended = now == 0
+                found[:n, j] += ended | (before == 0)  # a phrase starts here; an unknown symbol is one
                 at = np.nonzero(ended)[0]
                 if len(at):
-                    found[at, j] += 1
                     now[at] = moves.take(s[at])
                 state[j][:n] = now
         out = np.empty_like(found)
-        out[order] = found + 1  # the phrase that is still open at the end
+        out[order] = found
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple]:

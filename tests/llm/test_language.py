@@ -1,0 +1,77 @@
+import math
+
+import numpy as np
+
+from lakestrata.llm import language as L
+from tests.llm.frames import CLASHING, LONG, by_id, edges, empty, frame, prose
+
+
+def brute_phrases(sample, text):
+    """Greedy longest matches: each phrase as long as the sample holds it; an unknown symbol is one."""
+    n, at = 0, 0
+    while at < len(text):
+        end = at + 1
+        while end <= len(text) and text[at:end] in sample:
+            end += 1
+        at = max(at + 1, end - 1)
+        n += 1
+    return n
+
+
+def test_phrases_are_the_longest_matches():
+    sample = prose(1, 300)
+    p = L.CrossParser({"xx": sample})
+    for seed in range(20):
+        text = prose(seed, 12, "yy" if seed % 2 else "xx") + " éé ka"
+        codes = np.array([ord(c) for c in text])
+        got = p.phrases(p.symbols(codes), np.array([0]), np.array([len(codes)]))[0, 0]
+        assert got == brute_phrases(sample, text)
+
+
+def test_lanes_are_independent():
+    p = L.CrossParser({"xx": prose(1, 300), "yy": prose(2, 300, "yy")})
+    texts = [prose(s, 5 + s, "yy" if s % 2 else "xx") for s in range(9)] + [None, "", "中", LONG]
+    assert p.predict(texts) == [p.predict([t])[0] for t in texts]
+
+
+def test_folding():
+    codes, ends = L.folded(["Ab, 1c!", "", "  x", "\U0001f600É"])
+    text = "".join(map(chr, codes))
+    assert [text[a:b] for a, b in zip([0, *ends[:-1]], ends)] == ["ab c ", "", "x", "é"]
+
+
+def test_held_out_accuracy(spark):
+    rows = [(i, prose(i, 40, "yy" if i % 2 else "xx"), "yy" if i % 2 else "xx", "s") for i in range(80)]
+    df = frame(spark, rows)
+    samples = L.learn(df.where("doc_id < 40"), chars=3000)
+    assert set(samples) == {"xx", "yy"} and all(len(s) <= 3000 for s in samples.values())
+    got = by_id(L.with_language(df.where("doc_id >= 40"), samples), "language.lang_pred")
+    assert all(v == [("yy" if k % 2 else "xx",)] for k, v in got.items()) and len(got) == 40
+
+
+def test_edges(spark):
+    df = edges(spark)
+    got = L.with_language(df, L.learn(df))
+    assert set(CLASHING) <= set(got.columns) and got.count() == df.count()
+    rows = by_id(got, "language.*")
+    for key in (1, 2, 3, 11):
+        assert rows[key] == [("und", 0.0, 0, None)]
+    assert {r[0] for r in rows[5]} == {"xx"} and rows[7][0][0] == "yy" and rows[4][0][0] == "xx"
+    assert all(0 <= r[1] <= 1 and math.isfinite(r[1]) for v in rows.values() for r in v)
+    assert got.where(L.rejected()).count() == 5  # four without a letter and the row of nulls
+
+
+def test_no_samples_and_empty_tables(spark):
+    assert L.learn(empty(spark)) == {}
+    assert {r[0] for v in by_id(L.with_language(edges(spark), {}), "language.lang_pred").values() for r in v} == {"und"}
+    assert L.identify(empty(spark), empty(spark)).count() == 0
+
+
+def test_random_letters_are_rejected_and_prose_is_not(spark):
+    import random
+    rnd = random.Random(2)
+    rows = [(i, prose(i, 200), "xx", "s") for i in range(12)]
+    noise = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(3000))
+    df = frame(spark, [*rows, (99, noise, None, "s")])
+    got = L.identify(df, df, out="found")
+    assert [r.doc_id for r in got.where(L.rejected("found")).collect()] == [99]
