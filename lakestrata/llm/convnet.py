@@ -87,8 +87,7 @@ class Network:
         dh = d[:, None] * self.w["o"] * (hidden > 0)
         g["H"], g["h"] = features.T @ dh, dh.sum(0)
         df = dh @ self.w["H"].T
-        most = features[:, FILTERS:2 * FILTERS]
-        is_most = pool == most[owner]
+        is_most = pool == np.maximum.reduceat(pool, np.searchsorted(owner, np.arange(len(sizes))))[owner]
         dp = (df[:, :FILTERS] / count)[owner] + df[:, FILTERS:2 * FILTERS][owner] * is_most
         dp = dp * (pool > 0)
         g["c"] = dp.sum(0)

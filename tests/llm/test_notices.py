@@ -1,0 +1,84 @@
+import re
+
+from lakestrata.llm import notices as N
+from tests.llm.frames import CLASHING, by_id, edges, empty, frame, prose
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+APACHE = "Licensed under the Apache License, Version 2.0."
+
+
+def words(text):
+    return WORD.findall("".join(c.lower() if "A" <= c <= "Z" else c for c in text))
+
+
+def test_words_and_phrases_as_brute_force():
+    texts = ["CC BY-NC, cc-by! ccby cc  by", "All rights reserved all rights reserved", "İ General Public\nLicense é", "", "1a2 ÀB_c",
+             "all rights all rights reserved", "\x00\x7f`{@[", "cc by cc by cc by"]
+    for t in texts:
+        w = words(t)
+        want = sorted((label, i, i + p.count(" ")) for p, label in N.PHRASES.items()
+                      for i in range(len(w)) if w[i:i + p.count(" ") + 1] == p.split())
+        assert sorted(N.phrase_places(N.spaced(t))) == want, t
+        assert N.spaced(t).decode().split(" ")[1:-1] == w
+
+
+def edit_distance(a, b):
+    row = list(range(len(b) + 1))
+    for i, x in enumerate(a, 1):
+        before, row[0] = row[0], i
+        for j, y in enumerate(b, 1):
+            before, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, before + (x != y))
+    return row[-1]
+
+
+def labels(text):
+    return {s["label"] for s in N.scanned(text)[1] if not s["base"]}
+
+
+def test_changed_notices_are_found_with_their_edits():
+    for change in (str, lambda s: s.replace("Apache", "Apche"), lambda s: s.replace("Version", "Versoin"),
+                   lambda s: s.replace("under the", "undr teh")):
+        text = f"{prose(1, 30)} {change(APACHE)} {prose(2, 30)}"
+        found = [s for s in N.scanned(text)[1] if s["label"] == "apache-2.0"]
+        assert len(found) == 1
+        w = words(text)
+        at = " ".join(w[found[0]["first_word"]:found[0]["last_word"] + 1])
+        assert at == " ".join(words(change(APACHE)))
+        assert found[0]["edits"] >= edit_distance(at, next(iter(N.NOTICES)))
+
+
+def test_all_places_and_whole_texts():
+    far = prose(1, 30_000) + " " + APACHE + " " + prose(2, 100) + " " + APACHE.replace("Apache", "Apashe")
+    assert len([s for s in N.scanned(far)[1] if s["label"] == "apache-2.0"]) == 2
+    assert len([s for s in N.scanned("all rights reserved " * 3)[1] if s["base"]]) == 3
+
+
+def test_clean_texts_have_none():
+    for seed in range(40):
+        assert N.scanned(prose(seed, 300, "yy" if seed % 2 else "xx"))[1] == []
+    assert labels("The license of the old apache tribe is under version control") == set()
+
+
+def test_seeds_miss_nothing_within_the_bound():
+    f = N.Finder({"released into the public domain": "p"})
+    notice, edits = "released into the public domain", 3
+    for a in range(0, 30, 3):
+        for b in range(1, 30, 4):
+            for c in range(2, 30, 5):
+                s = list(notice)
+                for i in {a, b, c}:
+                    s[i] = "q"
+                line = " x " + "".join(s) + " y "
+                assert [x[0] for x in f.find(line)] == ["p"], line
+    assert edits == f.notices[0][2]
+
+
+def test_edges(spark):
+    df = edges(spark)
+    got = N.with_notices(df)
+    assert set(CLASHING) <= set(got.columns) and got.count() == df.count()
+    rows = by_id(got, "notices.n_words", "notices.spans")
+    assert rows[1] == [(0, [])] and rows[2] == [(0, [])] and rows[11] == [(0, [])] and rows[4][0][0] == 30_000
+    assert N.with_notices(empty(spark)).count() == 0
+    two = by_id(N.with_notices(frame(spark, [(1, APACHE), (1, APACHE)])), "notices.n_words")
+    assert two == {1: [(7,), (7,)]}

@@ -1,0 +1,69 @@
+import os
+
+import pytest
+
+import corpus_pipeline as P
+from lakestrata.llm import language, neardup, pii
+from lakestrata.llm.queries import ORACLE, QUERIES, vocabulary
+from tests.llm.frames import CLASHING, edges, empty, frame, prose
+from tests.llm.test_decontaminate import items_frame
+
+SF = "/root/testdata/sf0.001"
+
+
+@pytest.fixture
+def folder(spark, workdir):
+    items_frame(spark, [(1, prose(700, 40), "", "")]).write.parquet(f"{workdir}/benchmark.parquet")
+    return workdir
+
+
+def corpus():
+    rows = [(i, prose(i, 120) + f" m{i}@mail.example.com" * (i % 4 == 0), "xx", "s") for i in range(20)]
+    rows += [(100 + i, prose(i, 120), "xx", "s") for i in range(0, 20, 2)]  # near copies, those of 0, 4, ... but for the address
+    rows += [(200, prose(300, 30) + " " + prose(700, 40), "xx", "s"), (201, "12 34 !!", "xx", "s"), (202, None, "xx", "s"),
+             (3, rows[3][1], "xx", "s")]
+    return rows
+
+
+def test_stages_do_their_work(spark, folder):
+    docs = frame(spark, corpus())
+    after = {}
+    for name, stage in P.STAGES:
+        out = stage(spark, docs, folder)
+        path = f"{folder}/{name}"
+        out.write.parquet(path)
+        docs = spark.read.parquet(path)
+        after[name] = {r.doc_id: r.text for r in docs.collect()}
+        if name != P.STAGES[-1][0]:
+            assert docs.columns == frame(spark, []).columns
+    assert set(after["language"]) == {r[0] for r in corpus()} - {201, 202}
+    assert set(after["near_duplicates"]) == {*range(20), 200}
+    assert set(after["decontamination"]) == set(range(20))
+    assert after["personal_data"][4] == prose(4, 120) + " [EMAIL]" and after["personal_data"][5] == prose(5, 120)
+    assert after["tokens"] == after["personal_data"]
+    ids = {r.doc_id: r.ids for r in docs.collect()}
+    ranks, _ = vocabulary(spark)
+    token = {v: k for k, v in ranks.items()}
+    assert all(b"".join(token[i] for i in ids[k]).decode() == t for k, t in after["tokens"].items())
+
+
+def test_every_stage_takes_edges_and_empty_tables(spark, folder):
+    for _, stage in P.STAGES:
+        full = stage(spark, edges(spark), folder)
+        assert set(CLASHING) <= set(full.columns) and full.count() > 0
+        assert stage(spark, empty(spark), folder).count() == 0
+
+
+def test_five_stages_each_by_its_operator():
+    assert [n for n, _ in P.STAGES] == ["language", "near_duplicates", "decontamination", "personal_data", "tokens"]
+    assert language.identify and neardup.one_of_each and pii.redacted
+
+
+@pytest.mark.skipif(not os.path.isdir(SF), reason="test tables not present")
+def test_run_and_registration(spark):
+    import __spark_entry__ as e
+    got = e.queries()
+    assert set(QUERIES) | {"pipeline"} <= set(got) and set(ORACLE) <= set(e.oracle_sql())
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    out = P.run(spark, SF)
+    assert 0 < out.count() <= 200 and {"doc_id", "text", "lang", "source", "n_chars", "ids", "n_tokens"} == set(out.columns)

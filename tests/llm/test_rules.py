@@ -1,0 +1,76 @@
+import re
+
+from lakestrata.llm import rules as R
+from tests.llm.frames import CLASHING, by_id, edge_rows, edges, empty, frame, prose
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def brute(text):
+    text = text or ""
+    w = WORD.findall(text)
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    windows = [tuple(w[i:i + 8]) for i in range(len(w) - 7)]
+    covered = {i + k for i, x in enumerate(windows) if windows.count(x) > 1 for k in range(8)}
+    return (len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(covered))
+
+
+COLUMNS = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
+
+
+def want_of(rows):
+    out = {}
+    for r in rows:
+        c = brute(r[1])
+        out.setdefault(r[0], []).append((*c, c[0] < 20 or 100 * c[4] > 30 * c[0]))
+    return {k: sorted(v) for k, v in out.items()}
+
+
+def test_counts_as_brute_force(spark):
+    rows = [(i, t, "xx", "s") for i, t in enumerate([
+        "a b c d e f g h " * 3, "x " * 9, "x " * 8, "a\nb\na\n \n \nb", "a  b\t\tc\x0b\x0cd\r\ne", "#*$ %&|<> ##", "é中 \U0001f600|",
+        " lead", "trail ", "\n\n", " non break", prose(1, 50) + "\n" + prose(1, 50), prose(2, 30) + " z " + prose(2, 30)[:40]])]
+    got = by_id(R.measured(frame(spark, rows)).withColumn("f", R.base_failed()), *COLUMNS, "f")
+    assert {k: sorted(v) for k, v in got.items()} == want_of(rows)
+
+
+def test_outliers_go_and_clean_texts_stay(spark):
+    clean = [(i, prose(i, 60 + i % 50), "xx" if i % 3 else "yy", f"s{i % 2}") for i in range(260)]
+    odd = [(1000, " ".join(w + "###" for w in prose(1, 80).split()), "xx", "s0"),
+           (1001, " | ".join(prose(2, 80).split()), "xx", "s1"), (1002, "abcdefghijklmnopqrst " * 2 + " ".join(
+               f"{'q' * 18}{i}" for i in range(40)), "yy", "s0"),
+           (1003, prose(3, 30) + ("\n" + prose(4, 5)) * 9 + prose(5, 200), None, None)]
+    got = by_id(R.quality(frame(spark, clean + odd)), "kept")
+    assert all(got[i] == [(True,)] for i, *_ in clean)
+    assert [got[i][0][0] for i in (1000, 1001, 1002)] == [False] * 3
+
+
+def test_groups_have_fences_of_their_own(spark):
+    # Source a writes with many signs, source b without: what is usual there is odd here.
+    signs = lambda s: " ".join(w + "##" if i % 2 else w for i, w in enumerate(prose(s, 60).split()))
+    rows = [(i, signs(i), "xx", "a") for i in range(220)] + [(500 + i, prose(i, 60), "xx", "b") for i in range(220)]
+    rows += [(900, signs(3000), "xx", "b"), (901, signs(3001), "xx", "a"), (902, signs(3002), "xx", "rare")]
+    got = by_id(R.quality(frame(spark, rows)), "kept")
+    assert got[900] == [(False,)] and got[901] == [(True,)]
+    assert got[902] == [(True,)]  # few rows: its language's fences, which cover both
+
+
+def test_edges(spark):
+    df = edges(spark)
+    got = by_id(R.quality(df), *COLUMNS, "base_failed")
+    assert {k: sorted(v) for k, v in got.items()} == want_of(edge_rows())
+    assert set(CLASHING) <= set(df.columns) and R.quality(df).where("base_failed and kept").count() == 0
+
+
+def test_empty_table(spark):
+    assert R.quality(empty(spark)).count() == 0
+
+
+def test_one_row_and_all_failed(spark):
+    assert by_id(R.quality(frame(spark, [(1, prose(1, 30), "xx", "s")])), "kept") == {1: [(True,)]}
+    assert by_id(R.quality(frame(spark, [(1, "short", "xx", "s")])), "kept") == {1: [(False,)]}
+
+
+def test_main_path_is_native(spark):
+    plan = R.quality(edges(spark))._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Pandas|Arrow", plan)
