@@ -6,7 +6,7 @@ from lakestrata.llm import decontaminate as d
 from lakestrata.llm import neardup, rules, substring
 
 #: Words ``[^\x20\x09-\x0D]+`` of a text, null having none.
-_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), x -> x <> '')"
+_WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
 
 _SPAN = substring.SPAN
 SUBSTRING = f"""
@@ -65,7 +65,7 @@ _W = rules.WINDOW
 QUALITY = f"""
 WITH w AS (
   SELECT doc_id, lang, source, coalesce(text, '') AS t, {_WORDS} AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM documents),
 windows AS (
   SELECT doc_id, i, ws[i:i + {_W - 1}] AS k FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - {_W - 2})) AS i FROM w)),
@@ -74,7 +74,7 @@ repeats AS (
   FROM windows JOIN (SELECT doc_id, k FROM windows GROUP BY doc_id, k HAVING count(*) > 1) USING (doc_id, k), range(0, {_W}) t(j)
   GROUP BY doc_id),
 m AS (
-  SELECT doc_id, lang, source, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, x -> length(x))), 0)::BIGINT AS word_chars,
+  SELECT doc_id, lang, source, len(ws) AS n_words, coalesce(list_sum(list_transform(ws, lambda x: length(x))), 0)::BIGINT AS word_chars,
          (length(t) - length(regexp_replace(t, '[#*$%&|<>]', '', 'g')))::BIGINT AS n_symbols, len(lines) AS n_lines,
          len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
   FROM w LEFT JOIN repeats USING (doc_id)),
@@ -109,12 +109,12 @@ def _masked(rows: str, extra: str, place: str) -> str:
 
 DECONTAMINATION = f"""
 WITH docs AS (
-  SELECT doc_id, list_filter(string_split_regex(lower(text), '{_GAP}'), x -> x <> '') AS ws FROM documents),
+  SELECT doc_id, list_filter(string_split_regex(lower(text), '{_GAP}'), lambda x: x <> '') AS ws FROM documents),
 items AS (
-  SELECT DISTINCT item_id, list_filter(string_split_regex(lower(text), '{_GAP}'), x -> x <> '') AS ws FROM benchmark),
-a AS ({_masked('items', 'item_id, ws', 'at')}),
+  SELECT DISTINCT item_id, list_filter(string_split_regex(lower(text), '{_GAP}'), lambda x: x <> '') AS ws FROM benchmark),
+a AS ({_masked('items', 'item_id, ws', 'place')}),
 b AS ({_masked('docs', 'doc_id', 'pos')}),
-hits AS (SELECT DISTINCT doc_id, item_id, a.ws AS iw, pos - at AS shift FROM a JOIN b USING (mask, seed)),
+hits AS (SELECT DISTINCT doc_id, item_id, a.ws AS iw, pos - place AS shift FROM a JOIN b USING (mask, seed)),
 cells AS (
   SELECT h.*, k, CASE WHEN k + shift >= 0 AND docs.ws[k + shift + 1] = iw[k + 1] THEN 1 ELSE -{d.PENALTY} END AS point
   FROM (SELECT *, unnest(range(0, len(iw))) AS k FROM hits) h JOIN docs USING (doc_id)),
@@ -160,10 +160,10 @@ links AS (
     FROM common p JOIN common q ON p.a = q.a AND p.b = q.b JOIN alone ON alone.a = p.a AND alone.b = p.b
     GROUP BY p.a, p.b, p.x, p.y, p.t)
   GROUP BY a, b HAVING sum(part) >= {neardup.SIMILARITY}),
-both AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+two_way AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
 reached AS (
   SELECT doc_id, doc_id AS other FROM w
-  UNION SELECT doc_id, both.b FROM reached JOIN both ON other = both.a),
+  UNION SELECT doc_id, two_way.b FROM reached JOIN two_way ON other = two_way.a),
 classes AS (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id)
 SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM classes"""
 
