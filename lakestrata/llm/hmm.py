@@ -90,7 +90,13 @@ class Vocabulary:
 
 def vocabulary(counts: DataFrame, n_docs: int) -> Vocabulary:
     """From the table of all word counts (word, n)."""
-    top = [(bytes(r.word), r.n) for r in counts.orderBy(F.desc("n"), "word").limit(WORDS).collect()]
+    # A power of two that enough words reach, and few more: no task sends a list of its own.
+    reach, least = 0, 0
+    for power, words in sorted(counts.groupBy(F.floor(F.log2("n")).alias("p")).count().collect(), reverse=True):
+        reach, least = reach + words, 1 << power
+        if reach >= WORDS:
+            break
+    top = [(bytes(r.word), r.n) for r in counts.where(F.col("n") >= least).orderBy(F.desc("n"), "word").limit(WORDS).collect()]
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     class_tokens, class_distinct = np.zeros(CLASSES), np.zeros(CLASSES)
     if top:

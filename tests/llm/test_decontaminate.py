@@ -28,16 +28,23 @@ def masked(w, i, mask):
     return tuple(w[i + k] for k, c in enumerate(mask) if c == "1") if i + len(mask) <= len(w) else None
 
 
+def places(w):
+    """{(mask, masked words): their starts}"""
+    out = {}
+    for m in D.MASKS:
+        for i in range(len(w) - len(m) + 1):
+            out.setdefault((m, masked(w, i, m)), []).append(i)
+    return out
+
+
 def brute(docs, items):
     """{(doc_id, item_id): matched} by all shifts at which a masked hash of both agrees."""
-    out = {}
+    out, seen = {}, [(k, words(t), places(words(t))) for k, t in docs]
     for item_id, item_text in items:
         item = words(item_text)
-        for doc_id, text in docs:
-            doc = words(text)
-            shifts = {p - a for m in D.MASKS for a in range(len(item)) for p in range(len(doc))
-                      if (x := masked(item, a, m)) is not None and x == masked(doc, p, m)}
-            enough = min(D.MIN_WORDS, -(-len(item) * 8 // 10))
+        mine, enough = places(item), min(D.MIN_WORDS, -(-len(item) * 8 // 10))
+        for doc_id, doc, theirs in seen:
+            shifts = {p - a for x in mine.keys() & theirs.keys() for a in mine[x] for p in theirs[x]}
             found = [b[1] for s in shifts if (b := best_stretch(item, doc, s))[1] >= enough]
             if found:
                 out[doc_id, item_id] = max(found)
