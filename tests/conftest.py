@@ -10,21 +10,24 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 @pytest.fixture(scope="session")
 def spark():
     from pyspark.sql import SparkSession
+    scratch = tempfile.TemporaryDirectory(prefix="lakestrata-test-ckpt-", ignore_cleanup_errors=True)
     s = (SparkSession.builder.master("local[*]")
+         .config("spark.checkpoint.dir", scratch.name)
          .config("spark.sql.shuffle.partitions", "8")
          .config("spark.sql.adaptive.enabled", "true")
          .config("spark.ui.enabled", "false")
          .config("spark.sql.session.timeZone", "UTC")
          .getOrCreate())
     s.sparkContext.setLogLevel("ERROR")
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="lakestrata-test-ckpt-"))
     yield s
+    s.stop()
+    scratch.cleanup()
 
 
 @pytest.fixture
 def workdir():
-    return tempfile.mkdtemp(prefix="lakestrata-test-")
+    with tempfile.TemporaryDirectory(prefix="lakestrata-test-", ignore_cleanup_errors=True) as d:
+        yield d
 
 
 def rows(df, *cols):
