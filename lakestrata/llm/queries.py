@@ -51,12 +51,16 @@ def op5_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.classes(table(spark, sf_dir, "documents"))
 
 
+def _is(kind: str):
+    return lambda s: s["kind"] == kind
+
+
 def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Counts of the pattern spans of every document, and all spans found."""
     docs = table(spark, sf_dir, "documents")
     tagged = pii.with_spans(docs.select("doc_id", "text"), pii.train(docs))
     base = F.filter("spans", lambda s: s["base"])
-    counts = [F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in pii.KINDS]
+    counts = [F.size(F.filter(base, _is(k))).cast("long").alias(f"n_{k}") for k in pii.KINDS]
     return tagged.select("doc_id", *counts, F.sha2(pii.listed(base), 256).alias("base_sha256"),
                          pii.listed(F.col("spans")).alias("spans"))
 
