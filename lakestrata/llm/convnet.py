@@ -25,6 +25,8 @@ EMBEDDING, FILTERS, HIDDEN = 8, 48, 24
 #: Training: texts of each label, and bytes of each text, at most.
 TRAIN_DOCS, TRAIN_BYTES = 900, 6 * CHUNK
 EPOCHS, BATCH, RATE, SEED = 6, 32, 0.004, 5
+#: Steps at least: a small sample is gone through more often.
+MIN_STEPS = 240
 #: Chunks run at once.
 BLOCK = 512
 #: Score from which label 1 is predicted.
@@ -107,7 +109,9 @@ class Network:
         sizes = np.array([min(len(t), TRAIN_BYTES) for t in texts], np.float64)
         m = {k: np.zeros_like(v) for k, v in self.w.items()}
         v2 = {k: np.zeros_like(v) for k, v in self.w.items()}
-        step, steps = 0, epochs * -(-len(y) // BATCH)
+        batches = -(-len(y) // BATCH)
+        epochs = max(epochs, -(-MIN_STEPS // batches))
+        step, steps = 0, epochs * batches
         for _ in range(epochs):
             order = r.permutation(len(y))
             for a in range(0, len(y), BATCH):
