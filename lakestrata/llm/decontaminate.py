@@ -4,7 +4,8 @@ A mask marks which of a few consecutive words are hashed; the others are
 ignored, so a hit survives a changed word there.  All masks begin with two
 hashed words.  Hashes of test items and documents are joined; around each hit
 the two texts are aligned, and the best stretch of the alignment, a point for
-each equal word and four off for each other, must be long enough.
+each equal word and four off for each other, must be long enough.  Where it isn't, the longest
+stretch with at least four equal words to each other one may be, wherever in it the others lie.
 
 Before the join, two bit filters of a fixed size drop nearly all positions of
 the documents: one holds the items' word pairs, the other their seed hashes.  A third, of the texts
@@ -22,9 +23,13 @@ from lakestrata.llm.common import among, bit_filter, free_name, has_bit, written
 
 #: 1: hashed, 0: ignored.
 MASKS = ("1101111", "1111011", "1110111", "11011011")
+#: With these, found by trying all places of the changed words, every stretch long enough has a hit.
+MORE_MASKS = ("111111", "111000111", "110101011")
+#: As those, for items of ``SHORTEST`` words only: what a change in their second or last but one word leaves.
+SHORT_MASK = "11111"
 #: Equal words that make a leak, or this share of a shorter item.
 MIN_WORDS, MIN_SHARE = 13, 0.8
-#: What an unequal word costs: stretches have four equal words to each at least.
+#: What an unequal word costs: stretches have four equal words to each at least (``MIN_SHARE``).
 PENALTY = 4
 #: Bits of the filters of word pairs and of seeds: 32 and 256 KiB.
 PAIR_BITS, SEED_BITS = 1 << 18, 1 << 21
@@ -32,7 +37,8 @@ PAIR_BITS, SEED_BITS = 1 << 18, 1 << 21
 
 #: What parts words: ASCII and Latin-1 signs, general and CJK punctuation.
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\xBF\x{2000}-\x{206F}\x{3000}-\x{303F}]+"
-SHORTEST, LONGEST = min(map(len, MASKS)), max(map(len, MASKS))
+#: Words of the shortest items; words of the shortest and the longest seed.
+SHORTEST, FEWEST, LONGEST = min(map(len, MASKS)), len(SHORT_MASK), max(map(len, MASKS + MORE_MASKS))
 
 
 def words(text: Column) -> Column:
@@ -51,22 +57,28 @@ def _pair() -> Column:
     return F.xxhash64("h0", "h1")
 
 
-def _seeds() -> Column:
-    """The seed hashes at a position, a null for each mask that doesn't fit."""
+def _seeds(short: Column) -> Column:
+    """The seed hashes at a position, a null for each mask that doesn't fit; ``SHORT_MASK`` where ``short``."""
     out = []
-    for m in MASKS:
-        number = F.lit(MASKS.index(m))
+    for number, m in enumerate((*MASKS, *MORE_MASKS, SHORT_MASK)):
         used = [f"h{k}" for k, c in enumerate(m) if c == "1"]
-        out.append(F.when(F.col(f"h{len(m) - 1}").isNotNull(), F.xxhash64(number, *used)))
+        fits = F.col(f"h{len(m) - 1}").isNotNull()
+        out.append(F.when(fits & short if m == SHORT_MASK else fits, F.xxhash64(F.lit(number), *used)))
     return F.array(*out)
 
 
-def seeds(items: DataFrame, item: str, text: str) -> DataFrame:
-    """(item, iw, at, pair, seed): every masked hash of every item, with the item's words."""
-    rows = (items.select(F.col(item).alias("item"), words(F.col(text)).alias("iw"))
-            .where(F.size("iw") >= SHORTEST).distinct().withColumn("h", F.transform("iw", lambda x: F.xxhash64(x))))
-    return (_positions(rows, "item", "iw").where(F.col(f"h{SHORTEST - 1}").isNotNull())
-            .select("item", "iw", "at", _pair().alias("pair"), F.explode(_seeds()).alias("seed")).where("seed is not null"))
+def worded(items: DataFrame, item: str, text: str) -> DataFrame:
+    """(item, iw, words): the items with their words, and a digest of the words; items too short left out."""
+    return (items.select(F.col(item).alias("item"), words(F.col(text)).alias("iw"))
+            .where(F.size("iw") >= SHORTEST).distinct().withColumn("words", F.sha2(F.array_join("iw", " "), 256)))
+
+
+def seeds(items: DataFrame) -> DataFrame:
+    """(words, at, pair, seed): every masked hash of every text of the items (of ``worded``)."""
+    rows = (items.select("words", "iw").dropDuplicates(["words"])
+            .select("words", F.transform("iw", lambda x: F.xxhash64(x)).alias("h"), (F.size("iw") == SHORTEST).alias("short")))
+    return (_positions(rows, "words", "short").where(F.col(f"h{FEWEST - 1}").isNotNull())
+            .select("words", "at", _pair().alias("pair"), F.explode(_seeds(F.col("short"))).alias("seed")).where("seed is not null"))
 
 
 def _key(text: str) -> Column:
@@ -78,8 +90,8 @@ def candidates(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
     pairs, full = bit_filter(found, "pair", PAIR_BITS), bit_filter(found, "seed", SEED_BITS)
     rows = (docs.select(F.col(text).alias("text")).where("text is not null")
             .select(_key("text").alias("key"), F.transform(words(F.col("text")), lambda x: F.xxhash64(x)).alias("h")))
-    return (_positions(rows, "key").where(F.col(f"h{SHORTEST - 1}").isNotNull() & has_bit(pairs, _pair()))
-            .select("key", F.col("at").alias("pos"), F.explode(_seeds()).alias("seed"))
+    return (_positions(rows, "key").where(F.col(f"h{FEWEST - 1}").isNotNull() & has_bit(pairs, _pair()))
+            .select("key", F.col("at").alias("pos"), F.explode(_seeds(F.lit(True))).alias("seed"))
             .where(F.col("seed").isNotNull() & has_bit(full, F.col("seed"))))
 
 
@@ -89,12 +101,13 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
 
     ``key`` is the SHA-256 of the text, so equal texts share their rows and
     ids may be null or repeated.  Of several places the one with most equal words counts,
-    then the first.  Null and empty texts, texts and items of fewer than
+    then the first.  Null and empty texts, items of fewer than
     seven words, and empty tables have no rows; repeated items count once.
     """
-    found = written(seeds(items, item, item_text), "seeds")
-    hits = written(candidates(docs, text, found).distinct().join(found.select("item", "iw", "at", "seed"), "seed")
-                   .select("key", "item", "iw", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "leak-hits")
+    tests = written(worded(items, item, item_text), "items")
+    found = written(seeds(tests), "seeds")
+    hits = written(candidates(docs, text, found).distinct().join(found.select("words", "at", "seed"), "seed")
+                   .select("key", "words", (F.col("pos") - F.col("at")).alias("shift")).distinct(), "leak-hits")
     texts = (docs.select(_key(text).alias("key"), F.col(text).alias("t"))
              .where(F.col("key").isNotNull() & among(hits, F.col("key"))).join(hits.select("key").distinct(), "key", "left_semi")
              .groupBy("key").agg(words(F.first("t")).alias("w")))
@@ -112,12 +125,30 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
             'b_from', if(n.run > s.best, n.run_from, s.b_from),
             'b_to', if(n.run > s.best, k, s.b_to),
             'b_equal', if(n.run > s.best, n.run_equal, s.b_equal)))[0])[0])"""
-    aligned = hits.join(texts, "key").withColumn("a", F.expr(scan))
     enough = F.least(F.lit(MIN_WORDS), F.ceil(F.size("iw") * F.lit(MIN_SHARE)))
-    return (aligned.where(F.col("a.b_equal") >= enough)
+    aligned = (hits.join(texts, "key").join(tests, "words").withColumn("a", F.expr(scan)).withColumn("enough", enough.cast("int"))
+               .withColumn("eq", F.expr("""transform(sequence(0, size(iw) - 1), k ->
+                    coalesce(get(iw, k) = if(k + shift >= 0, get(w, k + shift), null), false))"""))
+               .where("size(filter(eq, x -> x)) >= enough"))
+    # Of all stretches with no points lost: from the first place whose sum of points is no higher than at the end.
+    points = f"aggregate(eq, array(0), (s, x) -> array_append(s, element_at(s, -1) + if(x, 1, -{PENALTY})))"
+    lows = """aggregate(transform(points, (p, i) -> struct(p, i)), cast(array() as array<int>), (s, x) ->
+        if(-x.p >= size(s), concat(s, array_repeat(x.i, 1 - x.p - size(s))), s))"""  # first place at each depth
+    starts = "transform(points, p -> if(p > 0, 0, get(lows, -p)))"
+    # (equal words, -start, -end): the most equal words, then the first start and end.
+    longest = f"""array_max(transform(starts, (i, k) -> struct(
+        (get(points, k) - get(points, i) + {PENALTY} * (k - i)) div {PENALTY + 1} as equal, -i as i, -k as k)))"""
+    short = F.col("a.b_equal") < F.col("enough")
+    for name, of in (("points", points), ("lows", lows), ("starts", starts), ("longest", longest)):
+        aligned = aligned.withColumn(name, F.when(short, F.expr(of)))
+    # Without the unequal words before the first equal one.
+    trimmed = "-longest.i + array_position(slice(eq, 1 - longest.i, size(eq)), true) - 1"
+    place = [F.when(short, F.expr(long)).otherwise(F.expr(best)).cast("int").alias(name) for name, long, best in (
+        ("from", trimmed, "a.b_from"), ("to", "-longest.k - 1", "a.b_to"), ("matched", "longest.equal", "a.b_equal"))]
+    return (aligned.select("key", "item", "iw", "shift", "enough", *place).where("matched >= enough")
             .select("key", F.col("item").alias("item_id"), F.size("iw").alias("item_words"),
-                    (F.col("a.b_from") + F.col("shift")).alias("first_word"),
-                    (F.col("a.b_to") - F.col("a.b_from") + 1).alias("overlap"), F.col("a.b_equal").alias("matched"))
+                    (F.col("from") + F.col("shift")).alias("first_word"),
+                    (F.col("to") - F.col("from") + 1).alias("overlap"), "matched")
             .groupBy("key", "item_id")
             .agg(F.max_by(F.struct("item_words", "first_word", "overlap", "matched"),
                           F.struct("matched", -F.col("first_word"), "item_words")).alias("m"))

@@ -125,3 +125,38 @@ def test_main_path_is_native(spark):
     plan = D.without_leaks(edges(spark), some)._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert by_id(D.leaky_documents(edges(spark), some), "item_id")[5] == [(1,)]
+
+
+def plain(item, doc):
+    """Most equal words, enough of them, of any stretch of any alignment with four equal words to each other one."""
+    enough, best = min(D.MIN_WORDS, -(-len(item) * 8 // 10)), 0
+    for shift in range(-len(item), len(doc)):
+        equal = [0 <= k + shift < len(doc) and doc[k + shift] == w for k, w in enumerate(item)]
+        for i in range(len(item)):
+            for k in range(i + 1, len(item) + 1):
+                n = sum(equal[i:k])
+                if n >= enough and 5 * n >= 4 * (k - i):
+                    best = max(best, n)
+    return best
+
+
+def test_changed_words_at_every_place_as_plain_counting(spark):
+    from itertools import combinations
+    items = {n: [f"w{n}x{k}" for k in range(n)] for n in (*range(7, 21), 30, 40, 60)}
+    cases = [(n, c) for n in range(7, 21) for c in combinations(range(n), 1)]
+    cases += [(n, c) for n in (9, 10, 11, 13, 16, 17) for c in combinations(range(n), 2)]
+    cases += [(n, c) for n in (15, 16) for c in combinations(range(n), 3)]
+    cases += [(n, tuple(range(at, n, 5))) for n in (20, 30, 40, 60) for at in range(5)]
+    changed = [[w if k not in c else f"other{k}" for k, w in enumerate(items[n])] for n, c in cases]
+    docs = [(i, "before it " + " ".join(w) + " and after") for i, w in enumerate(changed)]
+    got = D.leaky_documents(frame(spark, docs), items_frame(spark, [(n, " ".join(w), "", "") for n, w in items.items()]))
+    found = {(r.doc_id, r.item_id) for r in got.collect()}
+    assert found == {(i, n) for i, (n, _) in enumerate(cases) if plain(items[n], changed[i])}
+    assert {n for n, c in cases if len(c) == 1} <= {n for _, n in found} and len(found) > 1000
+
+
+def test_place_of_a_stretch_with_short_runs(spark):
+    item = [f"w{k}" for k in range(40)]
+    text = ["a", "b", *(w if k % 5 != 4 and 10 <= k < 30 else f"o{k}" for k, w in enumerate(item))]
+    got = D.leaky_documents(frame(spark, [(1, " ".join(text))]), items_frame(spark, [(1, " ".join(item), "", "")]))
+    assert [tuple(r) for r in got.collect()] == [(1, 1, 40, 12, 19, 16)]
