@@ -3,7 +3,7 @@
 Each language has a suffix automaton of a bounded sample of its labelled
 text.  A text is cut into the longest phrases that the sample contains
 (greedy longest match); a phrase costs about log2(sample length) bits, the
-pointer into the sample.  The language that needs the fewest bits wins.
+pointer into the sample, and as much in a language with a shorter sample.  The language that needs the fewest bits wins.
 
 Texts are parsed many at a time: a lane per text segment, one table lookup
 per symbol for all lanes.
@@ -117,11 +117,11 @@ class CrossParser:
         for c, i in self.symbol.items():
             if c < 0x10000:
                 self.bmp[c] = i
-        self.tables, self.cost = [], []
+        self.tables = []
+        self.cost = np.log2(max([2, *map(len, samples.values())]))
         for lang in self.langs:
             codes = np.array([self.symbol[ord(c)] for c in samples[lang]], np.int32)
             self.tables.append(automaton(codes, self.width).ravel())
-            self.cost.append(np.log2(max(2, len(codes))))
 
     def symbols(self, codes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.int32)
@@ -174,7 +174,7 @@ class CrossParser:
         lane_size = np.minimum(SEGMENT, ends[owner] - lane_start)
         counts = np.zeros((len(texts), len(self.langs)), np.int64)
         np.add.at(counts, owner, self.phrases(symbols, lane_start, lane_size))
-        bits = counts * np.array(self.cost)
+        bits = counts * self.cost
         best = bits.argmin(axis=1)
         low = bits.min(axis=1, keepdims=True)
         weight = np.exp2(np.maximum((low - bits) / 8, -60))  # phrases overlap in evidence: an eighth of the bits

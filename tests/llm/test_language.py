@@ -75,3 +75,14 @@ def test_random_letters_are_rejected_and_prose_is_not(spark):
     df = frame(spark, [*rows, (99, noise, None, "s")])
     got = L.identify(df, df, out="found")
     assert [r.doc_id for r in got.where(L.rejected("found")).collect()] == [99]
+
+
+def test_a_tiny_labelled_language_wins_no_other_texts():
+    large = {"xx": prose(1, 600), "yy": prose(2, 600, "yy")}
+    texts = [prose(s, 40, "yy" if s % 2 else "xx") for s in range(10, 30)]
+    alone = L.CrossParser(large).predict(texts)
+    for tiny in ("o", "ok", "kasc", "kalomiruten"):
+        got = L.CrossParser({**large, "aa": tiny}).predict(texts)
+        assert [r[0] for r in got] == [r[0] for r in alone] == ["xx", "yy"] * 10
+        assert [r[3] for r in got] == [r[3] for r in alone]
+    assert L.CrossParser({**large, "aa": "жщ"}).predict(["щжщж"])[0][0] == "aa"
