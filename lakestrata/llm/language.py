@@ -3,7 +3,8 @@
 Each language has a suffix automaton of a bounded sample of its labelled
 text.  A text is cut into the longest phrases that the sample contains
 (greedy longest match); a phrase costs about log2(sample length) bits, the
-pointer into the sample, and as much in a language with a shorter sample.  The language that needs the fewest bits wins.
+pointer into the sample, and as much in a language with a shorter sample; a
+symbol that the sample lacks costs log2(alphabet) more.  The language that needs the fewest bits wins.
 
 Texts are parsed many at a time: a lane per text segment, one table lookup
 per symbol for all lanes.
@@ -19,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import free_name, sample_ids
+from lakestrata.llm.common import free_name, in_blocks, sample_ids
 
 #: Letters of the samples, folded and joined by single spaces, per language.
 TRAIN_CHARS = 40_000
@@ -27,6 +28,8 @@ TRAIN_CHARS = 40_000
 TRAIN_DOCS = 96
 #: A longer text is parsed in segments; each starts a new phrase.
 SEGMENT = 2048
+#: Share of a text's letters that the samples must have for a verdict on its bits a letter.
+MIN_KNOWN = 1 / 3
 #: Symbols in one lane block.
 BLOCK = 2_000_000
 
@@ -156,7 +159,10 @@ class CrossParser:
         return out
 
     def predict(self, texts: list[str | None]) -> list[tuple]:
-        """(lang, score, phrases, bits per letter) per text; ``und`` where no letter is."""
+        """(lang, score, phrases, bits per letter) per text; ``und`` where no letter or no sample is.
+
+        The bits are those of the symbols that any sample has, null where less than ``MIN_KNOWN`` of the letters are such.
+        """
         texts = [t or "" for t in texts]
         out: list[tuple] = [("und", 0.0, 0, None)] * len(texts)
         codes, ends = folded(texts)
@@ -164,8 +170,10 @@ class CrossParser:
         size = ends - starts
         letters = np.concatenate([[0], np.cumsum(codes != 32)])
         n_letters = letters[ends] - letters[starts]
-        if not self.langs or not n_letters.any():
+        if not n_letters.any():
             return out
+        if not self.langs:  # every symbol is a phrase
+            return [("und", 0.0, int(n), None) if k else r for n, k, r in zip(size, n_letters, out)]
         symbols = self.symbols(codes)
         parts = -(-size // SEGMENT)
         owner = np.repeat(np.arange(len(texts)), parts)
@@ -175,13 +183,26 @@ class CrossParser:
         counts = np.zeros((len(texts), len(self.langs)), np.int64)
         np.add.at(counts, owner, self.phrases(symbols, lane_start, lane_size))
         bits = counts * self.cost
+        for j, moves in enumerate(self.tables):  # a symbol that the language lacks has to be spelt out as well
+            lacking = np.concatenate([[0], np.cumsum(moves[:self.width].take(symbols) == 0)])
+            bits[:, j] += (lacking[ends] - lacking[starts]) * np.log2(self.width)
         best = bits.argmin(axis=1)
         low = bits.min(axis=1, keepdims=True)
         weight = np.exp2(np.maximum((low - bits) / 8, -60))  # phrases overlap in evidence: an eighth of the bits
         score = 1 / weight.sum(axis=1)
+        # A symbol of no sample, and a space between two of them, is a phrase in every language and tells nothing.
+        unknown = (symbols == 0) & (codes != 32)
+        first, last = np.zeros(len(codes), bool), np.zeros(len(codes), bool)
+        first[starts[size > 0]] = last[ends[size > 0] - 1] = True
+        beside = np.concatenate([[True], unknown[:-1]]) | first, np.concatenate([unknown[1:], [True]]) | last
+        foreign = np.concatenate([[0], np.cumsum(unknown | ((codes == 32) & beside[0] & beside[1]))])
+        n_foreign = foreign[ends] - foreign[starts]
+        strange = np.concatenate([[0], np.cumsum(unknown)])
+        n_known = n_letters - (strange[ends] - strange[starts])
         for i in np.nonzero(n_letters)[0]:
-            out[i] = (self.langs[best[i]], float(score[i]), int(counts[i, best[i]]),
-                      float(low[i, 0] / size[i]))
+            phrases, known = int(counts[i, best[i]]), n_known[i] >= MIN_KNOWN * n_letters[i]
+            a_letter = max(0, phrases - n_foreign[i]) * self.cost / (size[i] - n_foreign[i]) if known else None
+            out[i] = (self.langs[best[i]], float(score[i]), phrases, None if a_letter is None else float(a_letter))
         return out
 
 
@@ -196,31 +217,63 @@ def parser(samples: dict[str, str]) -> CrossParser:
     return _PARSERS[key]
 
 
-def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
-          docs: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> dict[str, str]:
-    """A sample of folded text per language, ``chars`` long at most.
-
-    It is taken from the ``docs`` documents per language whose key has the
-    lowest hash; rows with a null key, text or language aren't labelled.
-    """
+def _pieces(labelled: DataFrame, text: str, lang: str, key: str, docs: int, chars: int) -> dict[str, list[str]]:
+    """The first ``chars`` letters of the ``docs`` documents per language whose key has the lowest hash."""
     rows = labelled.where(F.col(text).isNotNull()).select(key, lang, text)
     ids = sample_ids(rows, lang, key, docs)
     picked = rows.join(F.broadcast(ids), [key, lang]).select(  # docs x languages ids
         F.col(lang), F.col(key), F.substring(text, 1, chars).alias("piece"))
-    samples: dict[str, list[str]] = {}
+    pieces: dict[str, list[str]] = {}
     for r in sorted(picked.collect(), key=lambda r: (r[0], hash_order(r[1]), r[2])):
-        samples.setdefault(r[0], []).append(r[2])
+        pieces.setdefault(r[0], []).append(r[2])
+    return pieces
+
+
+def _samples(pieces: dict[str, list[str]], chars: int) -> dict[str, str]:
     out = {}
-    for k, pieces in samples.items():
+    for k, texts in pieces.items():
         # an even share of each document, so that no long one fills the sample
-        share = max(200, 2 * chars // len(pieces))
-        codes, _ = folded([" ".join(p[:share] for p in pieces)])
+        share = max(200, 2 * chars // max(1, len(texts)))
+        codes, _ = folded([" ".join(p[:share] for p in texts)])
         sample = "".join(map(chr, codes[:chars].tolist())).strip()
         if sample:
             out[k] = sample
     return out
 
 
+def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
+          docs: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> dict[str, str]:
+    """A sample of folded text per language, ``chars`` long at most.
+
+    It is taken from the ``docs`` documents per language whose key has the
+    lowest hash; rows with a null key, text or language aren't labelled.
+    """
+    return _samples(_pieces(labelled, text, lang, key, docs, chars), chars)
+
+
+def learn_bounded(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
+                  docs: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> tuple[dict[str, str], dict[str, float]]:
+    """The samples of ``learn``, and for each language the bits a letter that its texts stay below.
+
+    Each half of a language's documents is parsed with a sample of the other; the bound is ``BOUND_RATIO`` times the bits a letter that
+    ``BOUND_SHARE`` of them don't exceed.  A language with fewer than ``BOUND_TEXTS`` texts to parse has no bound.
+    """
+    pieces = _pieces(labelled, text, lang, key, docs, chars)
+    samples, bounds = _samples(pieces, chars), {}
+    price = np.log2(max([2, *map(len, samples.values())]))
+    for k, texts in pieces.items():
+        found = []
+        for own, other in ((texts[::2], texts[1::2]), (texts[1::2], texts[::2])):
+            model = CrossParser(_samples({k: own}, chars))
+            model.cost = price
+            for part in in_blocks([len(t) for t in other], BLOCK):
+                found += [r[3] for r in model.predict(other[part]) if r[2] >= MIN_PHRASES]
+        found = [b for b in found if b is not None]
+        if len(found) >= BOUND_TEXTS:
+            bounds[k] = BOUND_RATIO * float(np.quantile(found, BOUND_SHARE))
+    return samples, bounds
+
+
 def hash_order(key) -> tuple:
     import zlib
     return zlib.crc32(str(key).encode()), str(key)
@@ -232,13 +285,12 @@ def with_language(df: DataFrame, samples: dict[str, str], text: str = "text",
 
     One row per input row, repeated rows included; all columns stay, and a
     column already named ``out`` is replaced.  Null texts and texts without a
-    letter get ``und``, score 0 and null bits, as do all texts where there are no
-    samples.  Ties go to the alphabetically first language.  A
+    letter get ``und``, score 0, no phrases and null bits; where there are no samples the others
+    get ``und`` too, each symbol being a phrase.  Texts in a script that no sample has get null bits.  Ties go to the alphabetically first language.  A
     text of any length is parsed whole.
     """
     @F.pandas_udf(RESULT)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        from lakestrata.llm.common import in_blocks
         model = parser(samples)
         for batch in batches:
             texts = batch.where(batch.notna(), None).tolist()
@@ -250,17 +302,29 @@ def with_language(df: DataFrame, samples: dict[str, str], text: str = "text",
     return df.withColumn(out, predict(F.col(text)))
 
 
-#: Bits a letter beyond which a text of at least ``MIN_PHRASES`` phrases isn't
-#: prose of any of the languages: it matches a sample no longer than letters
-#: drawn at random do (about log2(sample) / log(sample, alphabet)).
-MAX_BITS, MIN_PHRASES = 5.5, 64
+#: Texts of fewer phrases aren't judged by their bits a letter.
+MIN_PHRASES = 64
+#: A language's bound: this many times the bits a letter that this share of its held-out texts, so many at least, don't exceed.
+BOUND_RATIO, BOUND_SHARE, BOUND_TEXTS = 2.2, 0.9, 8
+#: The bound where none is given: random letters of a small alphabet match a sample
+#: no longer than that (about log2(sample) / log(sample, alphabet)).
+MAX_BITS = 5.5
+
 
+def rejected(language: str = "language", max_bits: float | dict[str, float] = MAX_BITS,
+             min_phrases: int = MIN_PHRASES) -> Column:
+    """True for texts without a letter, and for longer ones that read like random letters.
 
-def rejected(language: str = "language", max_bits: float = MAX_BITS, min_phrases: int = MIN_PHRASES) -> Column:
-    """True for texts without a letter, and for longer ones that read like random letters."""
+    ``max_bits`` is one bound for all, or one per language (of ``learn_bounded``); a language without one has no such texts.
+    """
     c = F.col(language)
-    return (c["lang_pred"] == "und") | ((c["phrases"] >= min_phrases)
-                                        & (F.coalesce(c["bits_per_letter"], F.lit(0.0)) > max_bits))
+    if isinstance(max_bits, dict):
+        pairs = [F.lit(x) for pair in max_bits.items() for x in pair]
+        bound = F.try_element_at(F.create_map(*pairs), c["lang_pred"]) if pairs else F.lit(None).cast("double")
+    else:
+        bound = F.lit(max_bits)
+    return (((c["lang_pred"] == "und") & (c["phrases"] == 0))
+            | ((c["phrases"] >= min_phrases) & F.coalesce(c["bits_per_letter"] > bound, F.lit(False))))
 
 
 def identify(df: DataFrame, labelled: DataFrame, text: str = "text", out: str | None = None) -> DataFrame:

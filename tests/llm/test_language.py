@@ -85,4 +85,38 @@ def test_a_tiny_labelled_language_wins_no_other_texts():
         got = L.CrossParser({**large, "aa": tiny}).predict(texts)
         assert [r[0] for r in got] == [r[0] for r in alone] == ["xx", "yy"] * 10
         assert [r[3] for r in got] == [r[3] for r in alone]
-    assert L.CrossParser({**large, "aa": "жщ"}).predict(["щжщж"])[0][0] == "aa"
+    assert L.CrossParser({**large, "zz": "жщ"}).predict(["щщ"])[0][0] == "zz"  # as many phrases, but no unknown symbol
+
+
+def judged(spark, rows, chars=L.TRAIN_CHARS):
+    df = frame(spark, rows)
+    samples, bounds = L.learn_bounded(df, chars=chars)
+    got = L.with_language(df, samples, out="found")
+    return {r.doc_id for r in got.where(L.rejected("found", bounds)).collect()}, bounds, got
+
+
+def test_clean_texts_of_a_large_alphabet_and_of_an_unknown_script_stay(spark):
+    import random
+    rnd = random.Random(4)
+    hundreds = [chr(0x4e00 + i) for i in range(500)]
+    syllables = ["".join(rnd.choice(hundreds) for _ in range(2)) for _ in range(700)]
+    dense = lambda s, n: "".join(random.Random(s).choices(syllables, k=n))
+    cyrillic = lambda s: prose(s, 200).translate({ord("a") + i: 0x430 + i for i in range(26)})
+    noise = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(3000))
+    rows = [(i, prose(i, 200), "xx", "s") for i in range(12)] + [(100 + i, dense(i, 200), "zz", "s") for i in range(20)]
+    rows += [(200 + i, cyrillic(i), None, "s") for i in range(4)] + [(300, cyrillic(9) + " " + prose(9, 20), None, "s")]
+    gone, bounds, got = judged(spark, [*rows, (999, noise, None, "s"), (998, "1 2 3", None, "s")], 3000)
+    assert gone == {998, 999} and bounds["zz"] > L.MAX_BITS > bounds["xx"]
+    bits = by_id(got, "found.phrases", "found.bits_per_letter")
+    assert all(bits[200 + i][0][0] >= L.MIN_PHRASES and bits[200 + i][0][1] is None for i in range(4))
+    assert sum(bits[100 + i][0][1] > L.MAX_BITS for i in range(20)) >= 10  # one bound for all dropped those out of the sample
+
+
+def test_without_samples_only_texts_without_a_letter_go(spark):
+    gone, bounds, _ = judged(spark, [(1, prose(1, 200), None, "s"), (2, "12 .", None, "s"), (3, None, None, "s"), (4, "a", None, "s")])
+    assert gone == {2, 3} and bounds == {}
+
+
+def test_few_labelled_texts_give_no_bound(spark):
+    gone, bounds, _ = judged(spark, [(i, prose(i, 200), "xx", "s") for i in range(3)] + [(9, prose(1, 200, "yy"), None, "s")])
+    assert gone == set() and bounds == {}
