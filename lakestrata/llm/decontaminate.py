@@ -129,7 +129,9 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
     aligned = (hits.join(texts, "key").join(tests, "words").withColumn("a", F.expr(scan)).withColumn("enough", enough.cast("int"))
                .withColumn("eq", F.expr("""transform(sequence(0, size(iw) - 1), k ->
                     coalesce(get(iw, k) = if(k + shift >= 0, get(w, k + shift), null), false))"""))
-               .where("size(filter(eq, x -> x)) >= enough"))
+               .where("size(filter(eq, x -> x)) >= enough")
+               .select("key", "item", F.size("iw").alias("item_words"), "shift", "enough", "a", "eq"))
+    aligned = written(aligned, "alignments")  # few rows, and a short plan for what follows
     # Of all stretches with no points lost: from the first place whose sum of points is no higher than at the end.
     points = f"aggregate(eq, array(0), (s, x) -> array_append(s, element_at(s, -1) + if(x, 1, -{PENALTY})))"
     lows = """aggregate(transform(points, (p, i) -> struct(p, i)), cast(array() as array<int>), (s, x) ->
@@ -145,8 +147,8 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
     trimmed = "-longest.i + array_position(slice(eq, 1 - longest.i, size(eq)), true) - 1"
     place = [F.when(short, F.expr(long)).otherwise(F.expr(best)).cast("int").alias(name) for name, long, best in (
         ("from", trimmed, "a.b_from"), ("to", "-longest.k - 1", "a.b_to"), ("matched", "longest.equal", "a.b_equal"))]
-    return (aligned.select("key", "item", "iw", "shift", "enough", *place).where("matched >= enough")
-            .select("key", F.col("item").alias("item_id"), F.size("iw").alias("item_words"),
+    return (aligned.select("key", "item", "item_words", "shift", "enough", *place).where("matched >= enough")
+            .select("key", F.col("item").alias("item_id"), "item_words",
                     (F.col("from") + F.col("shift")).alias("first_word"),
                     (F.col("to") - F.col("from") + 1).alias("overlap"), "matched")
             .groupBy("key", "item_id")
