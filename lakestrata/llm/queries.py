@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, convnet, decontaminate, hmm, language, neardup, notices, pii, rules, substring
+from lakestrata.llm import bpe, convnet, decontaminate, fim, hmm, language, neardup, notices, pii, rules, substring
 from lakestrata.llm.common import remainder, table
 from lakestrata.llm.sql import ORACLE  # noqa: F401  (registered beside QUERIES)
 
@@ -100,6 +100,11 @@ def op10_quality_net(spark: SparkSession, sf_dir: str) -> DataFrame:
                     (F.col("score") >= convnet.THRESHOLD).cast("int").alias("predicted")))
 
 
+def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every document in its fill-in-the-middle form, and of the text restored from it."""
+    return fim.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op2_quality_rules": op2_quality_rules,
@@ -111,4 +116,5 @@ QUERIES = {
     "op8_notices": op8_notices,
     "op9_decontamination": op9_decontamination,
     "op10_quality_net": op10_quality_net,
+    "op11_fill_in_middle": op11_fill_in_middle,
 }

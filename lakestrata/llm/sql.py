@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakestrata.llm import decontaminate as d
-from lakestrata.llm import neardup, rules, substring
+from lakestrata.llm import fim, neardup, rules, substring
 
 #: Words ``[^\x20\x09-\x0D]+`` of a text, null having none.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -167,9 +167,42 @@ reached AS (
 classes AS (SELECT doc_id, min(other) AS class_id FROM reached GROUP BY doc_id)
 SELECT doc_id, class_id, count(*) OVER (PARTITION BY class_id) AS class_size FROM classes"""
 
+_MARKED = "(" + " OR ".join(f"contains(t, '{m}')" for m in (fim.PREFIX, fim.SUFFIX, fim.MIDDLE)) + ")"
+
+
+def _units(first: str, last: str) -> str:
+    """The lines after the ``first`` and up to the ``last``, each with its line feed."""
+    return (f"array_to_string(lines[{first} + 1:{last}], chr(10))"
+            f" || CASE WHEN {last} > {first} AND ({last} < n OR ends_with(t, chr(10))) THEN chr(10) ELSE '' END")
+
+
+FILL_IN_MIDDLE = f"""
+WITH docs AS (
+  SELECT doc_id, coalesce(text, '') AS t, string_split(coalesce(text, ''), chr(10)) AS lines,
+         sha256('{fim.SEED}:' || coalesce(doc_id::VARCHAR, '')) AS h FROM documents),
+sized AS (
+  SELECT *, (len(lines) - CASE WHEN t = '' OR ends_with(t, chr(10)) THEN 1 ELSE 0 END)::BIGINT AS n,
+         {", ".join(f"('0x' || substr(h, {8 * i + 1}, 8))::BIGINT AS h{i + 1}" for i in range(4))}
+  FROM docs),
+places AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS a, greatest(h1 % (n + 1), h2 % (n + 1)) AS b,
+         CASE WHEN t = '' OR {_MARKED} OR h3 % 100 >= {fim.RATE} THEN 'plain'
+              WHEN h4 % 100 < {fim.SUFFIX_FIRST} THEN 'spm' ELSE 'psm' END AS form
+  FROM sized),
+parts AS (
+  SELECT *, {_units('0', 'a')} AS prefix, {_units('a', 'b')} AS middle, {_units('b', 'n')} AS suffix FROM places)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t
+              WHEN 'psm' THEN '{fim.PREFIX}' || prefix || '{fim.SUFFIX}' || suffix || '{fim.MIDDLE}' || middle
+              ELSE '{fim.SUFFIX}' || suffix || '{fim.PREFIX}' || prefix || '{fim.MIDDLE}' || middle END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM parts"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY,
     "op4_substring_dedup": SUBSTRING,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op9_decontamination": DECONTAMINATION,
+    "op11_fill_in_middle": FILL_IN_MIDDLE,
 }
