@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, convnet, decontaminate, fim, hmm, language, neardup, notices, pii, rules, substring
+from lakestrata.llm import bpe, convnet, decontaminate, fim, hmm, language, neardup, notices, packing, pii, rules, substring
 from lakestrata.llm.common import remainder, table
 from lakestrata.llm.sql import ORACLE  # noqa: F401  (registered beside QUERIES)
 
 #: The vocabulary of the tokenizer queries.
 VOCABULARY = "byte_bpe_multi_50k.tiktoken"
+#: The tokenizer of the packing query.
+PACKED_VOCABULARY = "word_bpe_49k.json"
 
 
 def vocabulary(spark: SparkSession) -> tuple[dict[bytes, int], str]:
@@ -105,6 +107,14 @@ def op11_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fim.digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of every piece of every document in sequences of 2048 tokens."""
+    import public_tokenizers
+    tokenizer = packing.read_tokenizer(spark, public_tokenizers.path(PACKED_VOCABULARY))
+    return (packing.packed_documents(table(spark, sf_dir, "documents"), tokenizer, keep_ids=False)
+            .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op2_quality_rules": op2_quality_rules,
@@ -117,4 +127,5 @@ QUERIES = {
     "op9_decontamination": op9_decontamination,
     "op10_quality_net": op10_quality_net,
     "op11_fill_in_middle": op11_fill_in_middle,
+    "op12_best_fit_packing": op12_best_fit_packing,
 }
