@@ -150,7 +150,8 @@ def pieces(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str
                 yield pd.Series([pieces_of(encode(t) + end, capacity, keep_ids) for t in texts[part]])
 
     cuts = docs.select(F.col(key).alias("doc_id"), cut(F.coalesce(F.col(text), F.lit(""))).alias("cuts"))
-    rows = cuts.select("doc_id", F.inline("cuts")).withColumn("piece_key", F.monotonically_increasing_id())
+    # Outer, as no list is empty: otherwise Spark would run the tokenizer once more to leave out the empty ones.
+    rows = cuts.select("doc_id", F.inline_outer("cuts")).withColumn("piece_key", F.monotonically_increasing_id())
     if not keep_ids:
         rows = rows.drop("ids")
     return written(rows, "pieces")
@@ -287,11 +288,13 @@ def best_fill(items: list[int], lengths: list[int], capacity: int, bins: list[tu
 
 
 def without(g: Grouping, gone: set[int], keep: set[int], more: list[tuple[int, ...]], more_rooms: list[int],
-            lengths: list[int], capacity: int) -> Grouping:
-    """``g`` with the bins ``more`` in place of those ``gone``, whose other items (not in ``keep``) are best-fitted, longest first."""
+            lengths: list[int], capacity: int, rng: np.random.Generator | None = None) -> Grouping:
+    """``g`` with the bins ``more`` in place of those ``gone``, whose other items (not in ``keep``) are best-fitted: longest first, or by chance."""
     displaced = sorted(i for b in gone for i in g.bins[b] if i not in keep)  # items are numbered by falling length
     bins = [x for b, x in enumerate(g.bins) if b not in gone] + more
     rooms = [r for b, r in enumerate(g.rooms) if b not in gone] + more_rooms
+    if rng is not None:
+        return best_fit(rng.permutation(displaced).tolist(), lengths, capacity, bins, rooms)
     return best_fill(displaced, lengths, capacity, bins, rooms)
 
 
@@ -306,10 +309,10 @@ def crossover(a: Grouping, b: Grouping, lengths: list[int], capacity: int, rng:
 
 
 def mutated(g: Grouping, lengths: list[int], capacity: int, rng: np.random.Generator) -> Grouping:
-    """The loosest bin and some others, taken apart and best-fitted."""
-    gone = set(rng.choice(len(g.bins), 1 + int(MUTATED * len(g.bins)), replace=False).tolist())
+    """The loosest bin and some others, taken apart and best-fitted, every other time in an order by chance."""
+    gone = set(rng.choice(len(g.bins), min(len(g.bins), 2 + int(MUTATED * len(g.bins))), replace=False).tolist())
     gone.add(int(np.argmax(g.rooms)))
-    return without(g, gone, set(), [], [], lengths, capacity)
+    return without(g, gone, set(), [], [], lengths, capacity, rng if rng.random() < 0.5 else None)
 
 
 def first_population(lengths: list[int], capacity: int, rng: np.random.Generator, island: int) -> list[Grouping]:
@@ -401,8 +404,11 @@ def _solved(pool: DataFrame, n: int, first_block: int, capacity: int) -> tuple[D
     state = (blocks.select("block", islands, "lengths", "old")
              .withColumns({"groupings": F.array().cast("array<binary>"), "n_bins": F.lit(0), "squares": F.lit(0).cast("long"),
                            "done": F.lit(False)}))
+    tasks = min(n_blocks * ISLANDS, int(pool.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     for epoch in range(EPOCHS):
-        state = written(state.groupBy("block", "island").applyInPandas(_epoch(capacity, epoch), STATE), "pack-islands")
+        # Little data, much work: tasks for it all, whatever the bytes.
+        dealt = state.repartition(tasks, "block", "island")
+        state = written(dealt.groupBy("block", "island").applyInPandas(_epoch(capacity, epoch), STATE), "pack-islands")
         if epoch + 1 == EPOCHS or state.where("not done").isEmpty():
             break
         # The elite of each island goes to the next; a block that is done has nothing to send.
