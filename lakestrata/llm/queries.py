@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakestrata.llm import bpe, convnet, decontaminate, fim, hmm, language, neardup, notices, packing, pii, rules, substring
+from lakestrata.llm import bpe, convnet, decontaminate, fim, hmm, language, neardup, notices, packing, pii, resample, rules, substring
 from lakestrata.llm.common import remainder, table
 from lakestrata.llm.sql import ORACLE  # noqa: F401  (registered beside QUERIES)
 
@@ -115,6 +115,12 @@ def op12_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
             .select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"))
 
 
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight and score of every document towards the benchmark's words, and the rank of those drawn."""
+    return (resample.resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+            .select("doc_id", "n_features", "weight", "score", "rank"))
+
+
 QUERIES = {
     "op1_bpe_roundtrip": op1_bpe_roundtrip,
     "op2_quality_rules": op2_quality_rules,
@@ -128,4 +134,5 @@ QUERIES = {
     "op10_quality_net": op10_quality_net,
     "op11_fill_in_middle": op11_fill_in_middle,
     "op12_best_fit_packing": op12_best_fit_packing,
+    "op13_importance_resampling": op13_importance_resampling,
 }

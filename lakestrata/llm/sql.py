@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 from lakestrata.llm import decontaminate as d
-from lakestrata.llm import fim, neardup, rules, substring
+from lakestrata.llm import fim, neardup, resample, rules, substring
 
 #: Words ``[^\x20\x09-\x0D]+`` of a text, null having none.
 _WORDS = r"list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '')"
@@ -199,10 +199,51 @@ SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN length(prefix) END AS pre
        sha256(t) AS restored_sha256
 FROM parts"""
 
+_R = resample
+RESAMPLING = f"""
+WITH crc_table AS (
+  SELECT list(c ORDER BY i) AS crcs
+  FROM (SELECT i, list_reduce(list_prepend(i, range(8)), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS c
+        FROM range(256) t(i))),
+docs AS (
+  SELECT row_number() OVER () AS r, doc_id,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS ws FROM documents),
+tests AS (
+  SELECT unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                   '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word FROM benchmark),
+words AS (SELECT r, unnest(ws) AS word FROM docs),
+coded AS (
+  SELECT word, hex(encode(word)) AS code FROM (SELECT word FROM words UNION SELECT word FROM tests)),
+buckets AS (
+  SELECT word, xor(list_reduce(list_prepend(4294967295, list_transform(range(0, length(code) // 2),
+                                                    lambda k: ('0x' || substr(code, 2 * k + 1, 2))::BIGINT)),
+                               lambda c, b: xor(c >> 8, crcs[(xor(c, b) & 255) + 1])), 4294967295) % {_R.BUCKETS} AS bucket
+  FROM coded, crc_table),
+s AS (SELECT bucket, count(*) AS n FROM words JOIN buckets USING (word) GROUP BY bucket),
+t AS (SELECT bucket, count(*) AS n FROM tests JOIN buckets USING (word) GROUP BY bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((coalesce(t.n, 0) + 1)::DOUBLE * ((SELECT count(*) FROM words) + {_R.BUCKETS})
+                                 / (s.n + 1)::DOUBLE / ((SELECT count(*) FROM tests) + {_R.BUCKETS})))::BIGINT AS gain
+  FROM s LEFT JOIN t USING (bucket)),
+weighed AS (
+  SELECT r, floor(sum(gain) / count(*))::BIGINT AS weight FROM words JOIN buckets USING (word) JOIN gains USING (bucket) GROUP BY r),
+scored AS (
+  SELECT r, doc_id, len(ws) AS n_features, coalesce(weight, 0) AS weight,
+         (coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('{_R.SEED}:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5::DOUBLE)
+                                                   / 4294967296))))::BIGINT AS score
+  FROM docs LEFT JOIN weighed USING (r)),
+ranked AS (
+  SELECT r, row_number() OVER (ORDER BY score DESC, doc_id NULLS LAST, r) AS rank, count(*) OVER () AS n
+  FROM scored WHERE n_features >= {_R.MIN_WORDS})
+SELECT doc_id, n_features, weight, score, CASE WHEN rank <= {_R.PERCENT} * n // 100 THEN rank END AS rank
+FROM scored LEFT JOIN ranked USING (r)"""
+
 ORACLE = {
     "op2_quality_rules": QUALITY,
     "op4_substring_dedup": SUBSTRING,
     "op5_near_duplicates": NEAR_DUPLICATES,
     "op9_decontamination": DECONTAMINATION,
     "op11_fill_in_middle": FILL_IN_MIDDLE,
+    "op13_importance_resampling": RESAMPLING,
 }
