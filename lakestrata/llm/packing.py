@@ -19,6 +19,7 @@ from __future__ import annotations
 import json
 import os
 import re
+import struct
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -47,7 +48,7 @@ LOOSE = 1 / 128
 SEED = 5
 
 #: Bytes of ids remembered per task, and of the words they belong to.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 80 << 20
 #: Words longer than this are encoded each time.
 CACHED_WORD = 64
 #: Characters of texts tokenised before their pieces are sent on.
@@ -75,7 +76,7 @@ LOWER_WORDS = {
 }
 #: White space, letters in lower case and numbers among the characters below U+0180, which normalisation leaves as they are.
 _SPACES, _LETTERS, _NUMBERS = "\t-\r \x85\xa0", "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
-LOW_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTERS}]+|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
+LOW_WORD = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
 NOT_LOW = re.compile("[^\x00-\u017f]")
 
 
@@ -90,7 +91,8 @@ class Words(dict):
         self.encode, self.held = encode, 0
 
     def __missing__(self, word) -> bytes:
-        coded = np.array(self.encode(word), "<u4").tobytes()
+        ids = self.encode(word)
+        coded = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= CACHED_WORD:
             self.held += len(word) + len(coded) + 200  # with what the objects take themselves
             if self.held > CACHE_BYTES:
@@ -100,22 +102,28 @@ class Words(dict):
         return coded
 
 
-def encoder(tokenizer_json: str):
+def splits_words(tokenizer_json: str) -> bool:
+    """Whether the file's parts are ``LOWER_WORDS``."""
+    parts = json.loads(tokenizer_json)
+    return all(parts[k] == v for k, v in LOWER_WORDS.items())
+
+
+def encoder(tokenizer_json: str, by_word: bool):
     """text -> its ids as little-endian 32-bit numbers.
 
-    With the parts ``LOWER_WORDS`` each distinct word is encoded once: words end at white space, and in texts of characters
-    below U+0180 they are split further as the file says.  With other parts each text is encoded as a whole.
+    With ``by_word`` (for ``splits_words``) each distinct word is encoded once: words end at white space, and in texts of
+    characters below U+0180 they are split further as the file says.  Otherwise each text is encoded as a whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
     tokenizer = Tokenizer.from_str(tokenizer_json)
     tokenizer.encode_special_tokens = True
     whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
-    parts = json.loads(tokenizer_json)
-    if any(parts[k] != v for k, v in LOWER_WORDS.items()):
+    if not by_word:
         return lambda text: np.array(whole(text), "<u4").tobytes()
     model, char = tokenizer.model, byte_characters()
-    low = Words(lambda w: [t.id for t in model.tokenize(w.encode().decode("latin-1").translate(char))])
+    low = Words(lambda w: [t.id for t in model.tokenize(
+        w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(char))])
     other = Words(lambda w: whole(w.decode("utf-8", "replace")))
 
     def encode(text: str) -> bytes:
@@ -139,11 +147,11 @@ def pieces(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str
     Special tokens' strings are ordinary text.  A null text is empty and has the end id only.  Repeated rows have pieces each.
     """
     shared = docs.sparkSession.sparkContext.broadcast(tokenizer_json)  # the vocabulary: a fixed size
-    end = np.array([END], "<u4").tobytes()
+    by_word, end = splits_words(tokenizer_json), struct.pack("<I", END)
 
     @F.pandas_udf(T.ArrayType(PIECE))
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder(shared.value)
+        encode = encoder(shared.value, by_word)
         for batch in batches:
             texts = batch.tolist()
             for part in in_blocks([len(t) + 1 for t in texts], TEXT_BLOCK):
