@@ -21,8 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-#: Distinct pre-tokens remembered per task.
-CACHE = 400_000
+from lakestrata.llm.common import in_blocks
+
+#: Bytes of pre-tokens and ids remembered by a task, and of the pre-tokens that are.
+CACHE_BYTES, CACHED = 64 << 20, 64
+#: Characters of texts encoded before their rows are sent on.
+BLOCK = 1 << 21
 
 RESULT = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -83,12 +87,13 @@ def model_bytes(ranks: dict[bytes, int]) -> tuple[bytes, list[int]]:
 
 
 class Codec(dict):
-    """pre-token -> its ids; encodes on a miss."""
+    """pre-token -> its ids; encodes on a miss.  Holds ``CACHE_BYTES`` at most, and long pre-tokens not at all."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, model: tuple[bytes, list[int]] | None = None):
         super().__init__()
         import sentencepiece
-        proto, self.rank_of = model_bytes(ranks)
+        proto, self.rank_of = model or model_bytes(ranks)
+        self.held = 0
         self.model = sentencepiece.SentencePieceProcessor(model_proto=proto)
         self.ranks = ranks
         self.token = {r: t for t, r in ranks.items()}
@@ -96,8 +101,6 @@ class Codec(dict):
         self.split = regex.compile(pattern)
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        if len(self) >= CACHE:
-            self.clear()
         raw = piece.encode("utf-8", "replace")
         whole = self.ranks.get(raw)
         if whole is not None:  # a vocabulary entry stands for itself
@@ -105,39 +108,35 @@ class Codec(dict):
         else:
             mapped = raw.decode("latin-1").translate(self.char)
             ids = tuple(self.rank_of[i] for i in self.model.encode(mapped))
-        self[piece] = ids
+        if len(raw) <= CACHED:
+            self.held += len(raw) + 8 * len(ids) + 200  # with what the objects take themselves
+            if self.held > CACHE_BYTES:
+                self.clear()
+                self.held = 0
+            self[piece] = ids
         return ids
 
     def encode(self, text: str) -> list[int]:
         out: list[int] = []
-        for ids in map(self.__getitem__, self.split.findall(text)):
-            out += ids
+        for m in self.split.finditer(text):
+            out += self[m[0]]
         return out
 
     def decode(self, ids: list[int]) -> bytes:
         return b"".join(map(self.token.__getitem__, ids))
 
 
-_CODECS: dict[tuple, Codec] = {}
-
-
-def codec(shared, pattern: str) -> Codec:
-    key = (shared.id if hasattr(shared, "id") else id(shared), pattern)
-    if key not in _CODECS:
-        _CODECS.clear()
-        _CODECS[key] = Codec(shared.value, pattern)
-    return _CODECS[key]
-
-
 def _apply(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, out: str, kind: T.StructType, row) -> DataFrame:
-    shared = df.sparkSession.sparkContext.broadcast(ranks)  # the vocabulary: a fixed size
+    # The vocabulary and its model: a fixed size.
+    shared = df.sparkSession.sparkContext.broadcast((ranks, model_bytes(ranks)))
 
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = codec(shared, pattern)
+        coder = Codec(shared.value[0], pattern, shared.value[1])  # the task's own: it goes with the iterator
         for batch in batches:
-            rows = [row(coder, t) for t in batch.where(batch.notna(), "")]
-            yield pd.DataFrame(rows, columns=kind.names)
+            texts = batch.where(batch.notna(), "").tolist()
+            for part in in_blocks([len(t) + 1 for t in texts], BLOCK):
+                yield pd.DataFrame([row(coder, t) for t in texts[part]], columns=kind.names)
 
     return df.withColumn(out, run(F.col(text)))
 

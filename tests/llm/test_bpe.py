@@ -1,4 +1,5 @@
 import base64
+import hashlib
 import random
 
 import pytest
@@ -58,8 +59,19 @@ def test_edges(spark, reference):
         want.setdefault(doc_id, []).append((reference.encode_ordinary(text or ""), (text or "").encode()))
     rows = by_id(got, "bpe.ids", "bpe.decoded")
     assert {k: sorted((a, bytes(b)) for a, b in v) for k, v in rows.items()} == {k: sorted(v) for k, v in want.items()}
-    digests = by_id(bpe.with_token_digests(edges(spark), RANKS, P.PATTERN), "bpe.n_tokens")
-    assert {k: sorted(n for n, in v) for k, v in digests.items()} == {k: sorted(len(a) for a, _ in v) for k, v in want.items()}
+    digests = by_id(bpe.with_token_digests(edges(spark), RANKS, P.PATTERN), "bpe.n_tokens", "bpe.ids_sha256", "bpe.decoded_sha256")
+    sha = lambda b: hashlib.sha256(b).hexdigest()
+    assert {k: sorted(v) for k, v in digests.items()} == {
+        k: sorted((len(a), sha(",".join(map(str, a)).encode()), sha(b)) for a, b in v) for k, v in want.items()}
+
+
+def test_cache_is_bounded_by_bytes(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_BYTES", 5000)
+    codec = bpe.Codec(RANKS, P.PATTERN)
+    for k in range(300):
+        assert codec.decode(codec.encode(f" word{k}x")) == f" word{k}x".encode()
+        assert codec.held <= 5000 and len(codec) < 30
+    assert codec.decode(codec.encode("x" * 500)) == b"x" * 500 and "x" * 500 not in codec
 
 
 def test_empty_table(spark):
