@@ -26,13 +26,16 @@ from lakestrata.llm.common import in_blocks, words_of, written
 STATES = 8
 #: Words with a symbol of their own; classes of the others, by their last three bytes.
 WORDS, CLASSES = 16_000, 2048
-#: Passes over the whole training set, after a start fitted to a small sample.
+#: Passes over the whole training set, after a start fitted to a sample of so many pieces from anywhere in it.
 ROUNDS = 4
-SAMPLE_DOCS, SAMPLE_ROUNDS = 400, 12
-#: Training sequences: longer texts are cut, a later piece starts from the average state.
-PIECE = 256
-#: Tokens in one vectorised training block, and symbols in one block of summed counts.
+SAMPLE_PIECES, SAMPLE_ROUNDS = 2000, 12
+#: Tokens of a training piece, and of the context read on both sides of it, which isn't counted: there the state that a
+#: cut doesn't know is as good as forgotten.  Every token and transition of a text counts in one piece.
+PIECE, CONTEXT = 256, 24
+#: Tokens in one vectorised block, and symbols in one block of summed counts.
 BLOCK, SYMBOL_BLOCK = 500_000, 512
+#: Characters of texts encoded before their rows are sent on.
+TEXT_BLOCK = 1 << 20
 #: Pseudo-tokens per state, spread as the symbols are overall.
 PRIOR = 200.0
 SEED = 11
@@ -127,14 +130,16 @@ def _encoded(shared):
                 return v.class_of(word)
 
         symbol, n = Symbols(v.symbol), len(v.symbol)
+        def row(text: str | None) -> tuple:
+            words = lowered(text)
+            ids = np.fromiter(map(symbol.__getitem__, words), np.uint16, len(words))
+            own = Counter(words[i] for i in np.nonzero(ids > n)[0].tolist())
+            return np.append(ids, np.uint16(n)).tobytes(), list(own), list(own.values())
+
         for batch in batches:
-            rows = []
-            for text in batch.where(batch.notna(), None):
-                words = lowered(text)
-                ids = np.fromiter(map(symbol.__getitem__, words), np.uint16, len(words))
-                own = Counter(words[i] for i in np.nonzero(ids > n)[0].tolist())
-                rows.append((np.append(ids, np.uint16(n)).tobytes(), list(own), list(own.values())))
-            yield pd.DataFrame(rows, columns=ENCODED.names)
+            texts = batch.where(batch.notna(), None).tolist()
+            for part in in_blocks([len(t or "") + 1 for t in texts], TEXT_BLOCK):
+                yield pd.DataFrame([row(t) for t in texts[part]], columns=ENCODED.names)
     return run
 
 
@@ -158,14 +163,17 @@ def overall_share(v: Vocabulary) -> np.ndarray:
     return n / n.sum()
 
 
-def expected(model: Model, pieces: list[np.ndarray], starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+def expected(model: Model, pieces: list[np.ndarray], starts: np.ndarray,
+             inner: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Baum-Welch counts (first, average, move, emit) of symbol sequences.
 
-    ``starts`` tells whether a piece begins its text.
+    ``starts`` tells whether a piece begins its text; ``inner`` are the first place of each piece that counts and the
+    first behind it, with the transitions into them (all, if not given).
     """
     order = np.argsort([-len(p) for p in pieces], kind="stable")
     sizes = np.array([len(pieces[i]) for i in order])
     begins = starts[order]
+    low, high = (np.zeros(len(order), np.int64), sizes) if inner is None else inner[order].T
     steps, n, k = int(sizes[0]), len(order), len(model.first)
     ids = np.zeros((n, steps), np.int64)
     for row, i in enumerate(order.tolist()):
@@ -188,32 +196,60 @@ def expected(model: Model, pieces: list[np.ndarray], starts: np.ndarray) -> tupl
         m = active[t]
         onward = beta[:m] * seen[t, :m] / scale[t, :m]
         gamma[t, :m] *= beta[:m]
-        pairs += alpha[t - 1, :m].T @ onward
+        pairs += alpha[t - 1, :m].T @ (onward * ((low[:m] <= t) & (t < high[:m]))[:, None])
         beta[:m] = onward @ move.T
     gamma[0] *= beta
-    real = np.arange(steps)[None, :] < sizes[:, None]
+    at = np.arange(steps)[None, :]
+    real = (low[:, None] <= at) & (at < high[:, None])
     flat, weight = ids[real], gamma.transpose(1, 0, 2)[real]
     counts = np.stack([np.bincount(flat, weight[:, s], len(emit)) for s in range(k)], 1)
     return gamma[0][begins].sum(0, dtype=np.float64), weight.sum(0, dtype=np.float64), pairs * model.move, counts
 
 
-def _pieces(symbols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray]:
-    pieces, starts = [], []
+def pieces_of(symbols: list[np.ndarray]) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """(pieces with their context, whether each begins its text, the places that count) of whole texts."""
+    pieces, starts, inner = [], [], []
     for s in symbols:
         for a in range(0, len(s), PIECE):
-            pieces.append(s[a:a + PIECE])
+            before = min(a, CONTEXT)
+            pieces.append(s[a - before:a + PIECE + CONTEXT])
             starts.append(a == 0)
-    return pieces, np.array(starts, bool)
+            inner.append((before, before + min(PIECE, len(s) - a)))
+    return pieces, np.array(starts, bool), np.array(inner, np.int64).reshape(-1, 2)
 
 
-def _add(total, symbols: list[np.ndarray], model: Model):
-    pieces, starts = _pieces(symbols)
+def _sum_pieces(total, pieces: list[np.ndarray], starts: np.ndarray, inner: np.ndarray, model: Model):
     for part in in_blocks([len(p) for p in pieces], BLOCK):
-        got = expected(model, pieces[part], starts[part])
+        got = expected(model, pieces[part], starts[part], inner[part])
         total = got if total is None else tuple(a + b for a, b in zip(total, got, strict=True))
     return total
 
 
+def _add(total, symbols: list[np.ndarray], model: Model):
+    return _sum_pieces(total, *pieces_of(symbols), model)
+
+
+def sample_of(encoded: DataFrame, most: int) -> tuple[list[np.ndarray], np.ndarray, np.ndarray]:
+    """Distinct pieces of all texts whose hash is below a bound that about ``most`` pieces have; as ``pieces_of``.
+
+    The bound comes from the number of pieces, so tasks send no more for more input.
+    """
+    n = encoded.agg(F.sum(F.ceil(F.length("symbols") / (2 * PIECE)))).first()[0] or 0
+    bound = 1 << 32 if n <= most else (most << 32) // n
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            pieces, starts, inner = pieces_of([np.frombuffer(s, np.uint16) for s in batch["symbols"]])
+            rows = [(p.tobytes(), bool(begins), *map(int, places)) for p, begins, places in zip(pieces, starts, inner, strict=True)
+                    if zlib.crc32(p.tobytes()) < bound]
+            yield pd.DataFrame(rows, columns=["piece", "begins", "low", "high"])
+
+    found = (encoded.select("symbols").mapInPandas(run, "piece binary, begins boolean, low long, high long").distinct()
+             .orderBy("piece", "begins", "low").collect())  # about ``most`` pieces
+    return ([np.frombuffer(bytes(r.piece), np.uint16) for r in found], np.array([r.begins for r in found], bool),
+            np.array([(r.low, r.high) for r in found], np.int64).reshape(-1, 2))
+
+
 def _expectations(shared):
     """Counts of one task as blocks: number, and the values of that many symbols and all states; -1: the rest."""
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -252,12 +288,11 @@ def train(encoded: DataFrame, v: Vocabulary, states: int = STATES, rounds: int =
     share, rng = overall_share(v), np.random.default_rng(SEED)
     model = Model.from_counts(np.zeros(states), np.zeros(states), 20 * np.eye(states),
                               share[:, None] * 1e4 * rng.gamma(1.0, 1.0, (len(share), states)), share)
-    sample = encoded.orderBy(F.xxhash64("symbols"), "symbols").limit(SAMPLE_DOCS).collect()
-    symbols = [np.frombuffer(bytes(r.symbols), np.uint16)[:20 * PIECE] for r in sample]
-    if not symbols:
+    if encoded.isEmpty():
         return model
-    for _ in range(SAMPLE_ROUNDS):
-        model = Model.from_counts(*_add(None, symbols, model), share)
+    sample = sample_of(encoded, SAMPLE_PIECES)
+    for _ in range(SAMPLE_ROUNDS if sample[0] else 0):
+        model = Model.from_counts(*_sum_pieces(None, *sample, model), share)
     context = encoded.sparkSession.sparkContext
     for _ in range(rounds):
         shared = context.broadcast(model)  # symbols x states: a fixed size
@@ -306,12 +341,16 @@ def _scored(shared_model, shared_vocabulary):
         known = v.counts > 0
         for batch in batches:
             symbols = [np.frombuffer(s, np.uint16) for s in batch]
-            frequent = [s[s <= n] for s in symbols]
-            yield pd.DataFrame({
-                "n_tokens": [len(s) for s in symbols],
-                "frequent_known": [int(known[s].sum()) for s in frequent],
-                "frequent_base": [float(base[s].sum()) for s in frequent],
-                "hidden": log10_likelihood(model, symbols) if symbols else []})
+            sizes = np.array([len(s) for s in symbols], np.int64)
+            frequent_known, frequent_base = np.zeros(len(symbols), np.int64), np.zeros(len(symbols))
+            for i, s in enumerate(symbols):
+                frequent = s[s <= n]
+                frequent_known[i], frequent_base[i] = known[frequent].sum(), base[frequent].sum()
+            # By length, so that few blocks take the steps of a long text.
+            order, hidden = np.argsort(-sizes, kind="stable"), np.zeros(len(symbols))
+            for part in in_blocks(sizes[order].tolist(), BLOCK):
+                hidden[order[part]] = log10_likelihood(model, [symbols[i] for i in order[part]])
+            yield pd.DataFrame({"n_tokens": sizes, "frequent_known": frequent_known, "frequent_base": frequent_base, "hidden": hidden})
     return run
 
 
@@ -320,7 +359,8 @@ def score(docs: DataFrame, learn_from, key: str = "doc_id", text: str = "text")
 
     ``learn_from``: a condition on ``docs``; where it is true, the text is learnt (null counts as false).  Null texts are
     empty: only the end is scored.  Repeated rows count and are scored each.  An empty table gives no row; without a
-    training row the words have no counts and the model starts from even shares.
+    training row the words have no counts and the model starts from even shares.  A text of any length is scored by one
+    recursion over all its tokens, and learnt in pieces that overlap.  Only ``key``, ``text`` and the columns of the condition are read.
     A word outside the training text is the one unseen word of its class.
     """
     learn_from = F.coalesce(learn_from, F.lit(False))

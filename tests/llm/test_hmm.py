@@ -61,6 +61,44 @@ def test_expected_counts_as_brute_force():
         assert np.allclose(got, want, atol=1e-4)
 
 
+def test_pieces_with_context_count_as_the_whole_text(monkeypatch):
+    monkeypatch.setattr(H, "PIECE", 40)
+    r = np.random.default_rng(5)
+    m, texts = random_model(symbols=6, states=3, seed=3), [r.integers(0, 6, n).astype(np.uint16) for n in (1, 40, 41, 333, 79)]
+    pieces, starts, inner = H.pieces_of(texts)
+    assert sum(b - a for a, b in inner) == sum(map(len, texts)) and starts.sum() == len(texts)
+    whole = H.expected(m, texts, np.ones(len(texts), bool))
+    for got, want in zip(H._add(None, texts, m), whole, strict=True):
+        assert np.allclose(got, want, atol=0.01)
+    assert abs(H._add(None, texts, m)[2].sum() - sum(len(t) - 1 for t in texts)) < 0.01  # each transition once
+
+
+def encoded(spark, texts):
+    return spark.createDataFrame([(bytearray(t.tobytes()),) for t in texts], "symbols binary")
+
+
+def test_sample_is_distinct_pieces_of_bounded_number_from_all_places(spark):
+    r = np.random.default_rng(5)
+    long, copy = r.integers(0, 2000, 200_000).astype(np.uint16), r.integers(0, 2000, 300).astype(np.uint16)
+    df = encoded(spark, [long, *[copy] * 500])
+    pieces, starts, inner = H.sample_of(df, 100)
+    assert 30 < len(pieces) < 150 and len(starts) == len(inner) == len(pieces)
+    text = long.tobytes()
+    places = [text.find(p.tobytes()) / len(text) for p in pieces if len(p) > 300]
+    assert min(places) < 0.2 and max(places) > 0.8
+    assert len(H.sample_of(df, 10**6)[0]) == -(-200_000 // H.PIECE) + 2
+    assert H.sample_of(encoded(spark, []), 10)[0] == []
+
+
+def test_scores_do_not_depend_on_blocks(spark, monkeypatch):
+    rows = [(i, prose(i, 5 + i * 7 % 90)) for i in range(60)]
+    whole = {r.doc_id: r.score for r in H.score(frame(spark, rows), F.col("doc_id") % 5 != 0).collect()}
+    for name in ("BLOCK", "TEXT_BLOCK"):
+        monkeypatch.setattr(H, name, 70)
+    parts = {r.doc_id: r.score for r in H.score(frame(spark, rows), F.col("doc_id") % 5 != 0).collect()}
+    assert whole.keys() == parts.keys() and all(abs(whole[k] - parts[k]) < 0.01 for k in whole)
+
+
 def test_training_rounds_raise_the_likelihood():
     s = [np.array([i % 5 if k % 2 else 5 for i in range(30)], np.uint16) for k in range(20)]
     share = np.full(6, 1 / 6)
