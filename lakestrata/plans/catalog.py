@@ -25,7 +25,7 @@ from lakestrata.operators.reconcile import (
 from lakestrata.operators.series import cumulative_to_daily, lag_value
 from lakestrata.operators.star import calendar_dim, fact, location_dim, with_location_key
 from lakestrata.plans.ingest import (
-    find_missing, ingest_missing, lake_listing, read_missing, write_missing,
+    find_missing, ingest_missing, keyed_source, lake_listing, read_missing, record_loaded, write_missing,
 )
 from lakestrata.plans.refined import publish_refined, read_trusted, refine
 from lakestrata.session import scratch_path
@@ -456,6 +456,19 @@ def q_incremental_ingest(spark, sf_dir):
     return read_partitioned_csv(spark, lake, schema)
 
 
+def q_listing_scan(spark, sf_dir):
+    """A month's file each of orders, nine of ten of them recorded as loaded: rows and keys of the files that a scan of the others opens."""
+    orders = table(spark, sf_dir, "orders").select(F.date_format("o_orderdate", "yyyy-MM").alias("m"), "o_orderkey", "o_custkey")
+    source, lake = scratch_path(spark, "orders-files"), scratch_path(spark, "orders-lake")
+    _one_file_each(orders, "m", source, lambda m: F.concat(m, F.lit(".csv")))
+    offered = file_keys(spark, source)
+    month = F.substring("DATE_KEY", 1, 4).cast("int") * 12 + F.substring("DATE_KEY", 6, 2).cast("int")
+    record_loaded(offered.where(month % 10 != 0), lake)
+    rows = keyed_source(spark, source, columns=["o_custkey", "o_orderkey"], only=find_missing(offered, lake_listing(spark, lake)))
+    return rows.groupBy("DATE_KEY").agg(F.count("*").alias("N"), F.sum(typed("o_orderkey", "long")).alias("ORDERS"),
+                                        F.countDistinct("o_custkey").alias("CUSTOMERS"))
+
+
 def q_partition_listing_keys(spark, sf_dir):
     """Orders written as one folder per month key, keys read back from the
     folder listing (the way the raw zone's loaded days are listed)."""
@@ -608,6 +621,7 @@ QUERIES: dict[str, Query] = {
     "left_join_keys": q_left_join_keys,
     "incremental_ingest": q_incremental_ingest,
     "incremental_load": q_incremental_load,
+    "listing_scan": q_listing_scan,
     "pending_count": q_pending_count,
     "page_links": q_page_links,
     "title_links": q_title_links,

@@ -2,8 +2,9 @@
 
 Source listing (links in the source's folder page, or its files) minus lake
 listing = missing keys; the source rows of missing keys are written to the
-raw zone, transcoded to the lake's dialect.  The selection is an anti- and a
-semi-join; no list of keys or files is fetched.  A key is written as one folder that
+raw zone, transcoded to the lake's dialect.  The missing keys are an anti-join; a bit filter of them, of
+bounded size, tells Spark which files to open as it plans the scan, and a semi-join keeps exactly their rows.  No
+list of keys or files is fetched.  A key is written as one folder that
 replaces whatever the folder held, so a repeated load adds nothing, and is then
 recorded as loaded, so a file without rows isn't offered again.
 
@@ -15,18 +16,21 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from lakestrata import schemas as S
+from lakestrata.functions.bits import bit_filter, bits_for, may_hold
+from lakestrata.functions.casts import quote_ident
 from lakestrata.functions.keys import file_key, file_name
 from lakestrata.operators.reconcile import load_missing, missing_keys
-from lakestrata.sources.csv import READ_OPTIONS, read_csv, read_or_empty
-from lakestrata.sources.listing import TITLE_LINK, any_case, file_keys, page_links
+from lakestrata.sources.csv import read_csv, read_or_empty
+from lakestrata.sources.headers import FIELDS, FILE, by_header, header_names, plain_rows, wide_enough
+from lakestrata.sources.listing import TITLE_LINK, file_keys, page_links
 from lakestrata.sources.sinks import write_csv, write_single_csv
 
 KEY = "DATE_KEY"
-#: Fields of a source file at most; a file with more fails.
-MAX_FIELDS = 64
+#: Missing keys that are broadcast to the rows' tasks at most: some tens of bytes each.
+BROADCAST_KEYS = 500_000
 #: Folder of a raw zone that records the loaded keys; readers of the zone skip it.
 LOADED = "_loaded"
 
@@ -61,9 +65,10 @@ def find_missing(source: DataFrame, lake: DataFrame) -> DataFrame:
 
 
 def write_missing(missing: DataFrame, path: str) -> int:
-    """The missing-key list as one ``|`` CSV with a header; the number of keys, counted on what was written."""
-    write_single_csv(missing.select(KEY), path, sep="|")
-    return read_missing(missing.sparkSession, path).count()
+    """The missing-key list as one ``|`` CSV with a header; the number of keys, counted while they are written."""
+    written = Observation()
+    write_single_csv(missing.select(KEY).observe(written, F.count(F.lit(1)).alias("n")), path, sep="|")
+    return written.get["n"]
 
 
 def read_missing(spark: SparkSession, path: str) -> DataFrame:
@@ -76,53 +81,39 @@ def _paths(source: str | Sequence) -> list[str]:
     return [source] if isinstance(source, str) else [p for s in source for p in _paths(s)]
 
 
-def _position(header: Column, names: Sequence[str]) -> Column:
-    """1-based place of the first of ``names`` in a header, in any letter case; NULL if none is there."""
-    return F.coalesce(*[F.nullif(F.array_position(header, n.lower()), F.lit(0).cast("long")) for n in names])
-
-
 def keyed_source(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
                  sep: str = ",", ext: str = ".csv", columns: Sequence[str] | None = None,
                  aliases: Mapping[str, Sequence[str]] | None = None, optional: Sequence[str] = (),
-                 glob: str | None = None, modified_after: str | None = None) -> DataFrame:
+                 glob: str | None = None, modified_after: str | None = None, fields: int = FIELDS,
+                 only: DataFrame | None = None) -> DataFrame:
     """Rows of all source files, by column name, with the key of the file each comes from.
 
     ``source`` is a folder or file, or a (nested) list of them.  A file's first row is its
-    header; rows equal to it are no data.  Each of ``columns`` is taken from the header field of its name, or of
+    header, and no data.  Each of ``columns`` is taken from the header field of its name, or of
     one of its ``aliases``, in any letter case.  A file that lacks a column fails the job, which names both, unless
     the column is ``optional``: then it is NULL.  Without ``columns`` the result has every name of any header,
-    NULL where a file lacks it.
+    NULL where a file lacks it; this costs one more pass, over the headers.
 
-    ``glob`` (a file name pattern) and ``modified_after`` (a timestamp) narrow the files that are
-    opened, for callers who know what is new.
+    ``only`` (a table with a ``DATE_KEY``) is the keys to read: files of nearly no other key are opened, whatever
+    the number of keys, and the rows are those of these keys.  The keys stay a table; what the driver holds is a filter of
+    ``functions.bits.BITS`` at most.  ``glob`` (a file name pattern) and ``modified_after`` (a timestamp) narrow
+    the files too.  A file with more than ``fields`` fields fails the job; see ``wide_enough``.
     """
-    fields = [f"_{i}" for i in range(MAX_FIELDS)]
-    reader = spark.read.schema(", ".join(f"{f} string" for f in fields)).options(
-        header=False, sep=sep, pathGlobFilter=glob or f"*{any_case(ext)}", **READ_OPTIONS)
-    if modified_after:
-        reader = reader.option("modifiedAfter", modified_after)
-    rows = reader.csv(_paths(source)).select(
-        F.col("_metadata.file_path").alias("file"), F.array(*fields).alias("row"))
-    # A file is read by one task from its start, so its first row has the lowest number.
-    headers = (rows.withColumn("at", F.monotonically_increasing_id())
-               .groupBy("file").agg(F.min_by("row", "at").alias("first"))
-               .withColumn("header", F.transform("first", lambda x: F.lower(F.btrim(F.replace(x, F.lit("﻿"), F.lit("")))))))
+    keep, n = None, 0
+    if only is not None:
+        only = only.select(F.col(KEY).cast("string")).where(F.col(KEY).isNotNull()).distinct()
+        n = only.count()
+        bits = bit_filter(only, KEY, bits_for(n))
+        keep = lambda key: may_hold(bits, key)
+    rows = plain_rows(spark, _paths(source), sep, ext, glob, modified_after, fields, keep)
     if columns is None:
-        named = headers.select(F.posexplode("first").alias("at", "name")).where("name is not null")
-        optional = columns = [r.name for r in named.withColumn("name", F.btrim(F.replace("name", F.lit("﻿"), F.lit(""))))
-                              .groupBy("name").agg(F.min("at").alias("at")).orderBy("at", "name").collect()]
-    aliases = aliases or {}
-    places = {f"at{i}": _position(F.col("header"), [c, *aliases.get(c, ())]) for i, c in enumerate(columns)}
-    for i, c in enumerate(columns):
-        if c not in optional:
-            places[f"at{i}"] = F.coalesce(places[f"at{i}"], F.raise_error(F.concat(
-                F.lit(f"no column {c} in "), F.col("file"))).cast("long"))
-    too_wide = F.raise_error(F.concat(F.lit(f"more than {MAX_FIELDS - 1} fields in "), F.col("file"))).cast("string")
-    placed = headers.select("file", "first", *[e.alias(n) for n, e in places.items()])
-    kept = rows.join(placed, "file").where(~F.col("row").eqNullSafe(F.col("first")))
-    value = lambda i: F.when(F.get("row", F.lit(MAX_FIELDS - 1)).isNotNull(), too_wide).otherwise(
-        F.get("row", (F.col(f"at{i}") - 1).cast("int")))
-    return kept.select(*[value(i).alias(c) for i, c in enumerate(columns)], file_key("file", ext).alias(KEY))
+        optional = columns = header_names(rows)
+    out = by_header(rows, columns, aliases or {}, optional)
+    out = out.select(*[F.col(quote_ident(c)) for c in columns], file_key(FILE, ext).alias(KEY))
+    if only is not None:
+        kept = load_missing(out, F.broadcast(only) if n <= BROADCAST_KEYS else only, KEY)
+        out = kept.select(*[F.col(quote_ident(c)) for c in out.columns])
+    return out
 
 
 def ingest_missing(spark: SparkSession, source: str | Sequence[str | Sequence[str]],
@@ -133,12 +124,18 @@ def ingest_missing(spark: SparkSession, source: str | Sequence[str | Sequence[st
                    modified_after: str | None = None) -> None:
     """Write the rows of the missing keys to the raw zone, one folder per key, and record the keys.
 
+    Only the files of missing keys are opened, and each is read once; a file's rows stay in its task, so nothing is shuffled.
     The folders of these keys are replaced.  For ``columns``, ``aliases``, ``optional``, ``glob`` and ``modified_after`` see ``keyed_source``;
     with ``columns`` every file of the zone has the same header.
     """
-    rows = load_missing(keyed_source(spark, source, sep=src_sep, ext=ext, columns=columns, aliases=aliases,
-                                     optional=optional, glob=glob, modified_after=modified_after), missing, KEY)
-    write_csv(rows, lake_dir, sep=lake_sep, partition_by=[KEY], dynamic_overwrite=True)
+    def load(fields: int) -> None:
+        rows = keyed_source(spark, source, sep=src_sep, ext=ext, columns=columns, aliases=aliases, optional=optional,
+                            glob=glob, modified_after=modified_after, fields=fields, only=missing)
+        if rows.columns == [KEY]:  # no file of a missing key has a header
+            return
+        write_csv(rows, lake_dir, sep=lake_sep, partition_by=[KEY], dynamic_overwrite=True, rebalance=False)
+
+    wide_enough(load)
     record_loaded(missing, lake_dir)
 
 

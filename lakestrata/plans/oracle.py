@@ -233,6 +233,10 @@ ORACLE: dict[str, str] = {
         SELECT o.o_orderkey, o.o_orderstatus, l.Cam_Lake
         FROM orders o LEFT JOIN (SELECT DISTINCT l_orderkey, 'lineitem' AS Cam_Lake
                                  FROM lineitem) l ON o.o_orderkey = l.l_orderkey""",
+    "listing_scan": """
+        SELECT strftime(o_orderdate, '%Y-%m') AS "DATE_KEY", count(*) AS "N", sum(o_orderkey)::BIGINT AS "ORDERS",
+               count(DISTINCT o_custkey) AS "CUSTOMERS"
+        FROM orders WHERE (year(o_orderdate) * 12 + month(o_orderdate)) % 10 = 0 GROUP BY 1""",
     "incremental_load": """
         SELECT d.* FROM documents d
         WHERE NOT EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = d.doc_id)""",

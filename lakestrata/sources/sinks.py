@@ -52,13 +52,11 @@ def write_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True,
 
 
 def write_single_csv(df: DataFrame, path: str, sep: str = "|", header: bool = True) -> None:
-    """One CSV file while the table is small, in one pass.
+    """Exactly one CSV file, of any size, in one pass.
 
-    The rows are rebalanced: AQE packs a small result into one task, so one
-    file, and spreads a large one over several; reading the folder gives the
-    same table.  The work that produces the rows keeps its parallelism.
+    What produces the rows keeps its parallelism; one task then streams them to the file, as a file has one writer.
     """
-    write_csv(df, path, sep=sep, header=header, rebalance=True)
+    write_csv(df.repartition(1), path, sep=sep, header=header, rebalance=False, rows_per_file=0)
 
 
 def write_table(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
