@@ -3,9 +3,9 @@
 A mask marks which of a few consecutive words are hashed; the others are
 ignored, so a hit survives a changed word there.  All masks begin with two
 hashed words.  Hashes of test items and documents are joined; around each hit
-the two texts are aligned, and the best stretch of the alignment, a point for
-each equal word and four off for each other, must be long enough.  Where it isn't, the longest
-stretch with at least four equal words to each other one may be, wherever in it the others lie.
+the two texts are aligned, and the stretch of the alignment with most equal words, at least four to
+each other one wherever in it the others lie, must be long enough.  Items too short for a
+mask must be there word for word.
 
 Before the join, two bit filters of a fixed size drop nearly all positions of
 the documents: one holds the items' word pairs, the other their seed hashes.  A third, of the texts
@@ -95,14 +95,29 @@ def candidates(docs: DataFrame, text: str, found: DataFrame) -> DataFrame:
             .where(F.col("seed").isNotNull() & has_bit(full, F.col("seed"))))
 
 
+def _scan(values: str, step: str, join: str) -> str:
+    """SQL of the running result over an int array: of 64 values at a time, then over what came before them.
+
+    ``step`` reduces the slice ``c``, ``join`` combines the result before, ``s``, with it, ``x``.
+    """
+    # Each array is bound by a lambda: what a lambda refers to by name may be computed anew for every element.
+    parts = "transform(sequence(0, shiftright(size(v) - 1, 6)), j -> slice(v, 64 * j + 1, 64))"
+    before = f"""aggregate(transform(parts, c -> {step}), cast(array() as array<int>),
+        (a, x) -> array_append(a, if(size(a) = 0, x, transform(array(element_at(a, -1)), s -> {join})[0])))"""
+    inside = f"""transform(parts, (p, j) -> transform(sequence(1, size(p)), m -> transform(array(slice(p, 1, m)), c ->
+        transform(array({step}), x -> if(j = 0, x, transform(array(get(before, j - 1)), s -> {join})[0]))[0])[0]))"""
+    return (f"transform(array({values}), v -> transform(array({parts}), parts -> "
+            f"transform(array({before}), before -> flatten({inside}))[0])[0])[0]")
+
+
 def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "item_id",
           item_text: str = "text") -> DataFrame:
     """(key, item_id, item_words, first_word, overlap, matched): each distinct text that holds a test item.
 
     ``key`` is the SHA-256 of the text, so equal texts share their rows and
     ids may be null or repeated.  Of several places the one with most equal words counts,
-    then the first.  Null and empty texts, items of fewer than
-    seven words, and empty tables have no rows; repeated items count once.
+    then the first.  Null and empty texts and empty tables have no rows; repeated items count once.  An item of fewer
+    than seven words must be there word for word; one without words is nowhere.  Texts of any length are read whole.
     """
     tests = written(worded(items, item, item_text), "items")
     found = written(seeds(tests), "seeds")
@@ -111,52 +126,60 @@ def leaks(docs: DataFrame, items: DataFrame, text: str = "text", item: str = "it
     texts = (docs.select(_key(text).alias("key"), F.col(text).alias("t"))
              .where(F.col("key").isNotNull() & among(hits, F.col("key"))).join(hits.select("key").distinct(), "key", "left_semi")
              .groupBy("key").agg(words(F.first("t")).alias("w")))
-    # Along one shift: the stretch of most points (start, end, equal words).
-    step = f"""named_struct(
-        'run', case when eq then greatest(s.run, 0) + 1 else greatest(s.run, 0) - {PENALTY} end,
-        'run_from', if(s.run > 0, s.run_from, k),
-        'run_equal', if(s.run > 0, s.run_equal, 0) + if(eq, 1, 0))"""
-    scan = f"""aggregate(sequence(0, size(iw) - 1),
-        named_struct('run', 0, 'run_from', 0, 'run_equal', 0, 'best', 0, 'b_from', 0, 'b_to', 0, 'b_equal', 0),
-        (s, k) -> transform(array(coalesce(get(iw, k) = if(k + shift >= 0, get(w, k + shift), null), false)), eq ->
-          transform(array({step}), n -> named_struct(
-            'run', n.run, 'run_from', n.run_from, 'run_equal', n.run_equal,
-            'best', greatest(s.best, n.run),
-            'b_from', if(n.run > s.best, n.run_from, s.b_from),
-            'b_to', if(n.run > s.best, k, s.b_to),
-            'b_equal', if(n.run > s.best, n.run_equal, s.b_equal)))[0])[0])"""
     enough = F.least(F.lit(MIN_WORDS), F.ceil(F.size("iw") * F.lit(MIN_SHARE)))
-    aligned = (hits.join(texts, "key").join(tests, "words").withColumn("a", F.expr(scan)).withColumn("enough", enough.cast("int"))
-               .withColumn("eq", F.expr("""transform(sequence(0, size(iw) - 1), k ->
-                    coalesce(get(iw, k) = if(k + shift >= 0, get(w, k + shift), null), false))"""))
+    equal = """transform(sequence(0, size(iw) - 1), k -> coalesce(get(iw, k) = if(k + shift >= 0, get(w, k + shift), null), false))"""
+    aligned = (hits.join(texts, "key").join(tests, "words").withColumn("eq", F.expr(equal)).withColumn("enough", enough.cast("int"))
                .where("size(filter(eq, x -> x)) >= enough")
-               .select("key", "item", F.size("iw").alias("item_words"), "shift", "enough", "a", "eq"))
+               .select("key", "item", F.size("iw").alias("item_words"), "shift", "enough", "eq"))
     aligned = written(aligned, "alignments")  # few rows, and a short plan for what follows
-    # Of all stretches with no points lost: from the first place whose sum of points is no higher than at the end.
-    points = f"aggregate(eq, array(0), (s, x) -> array_append(s, element_at(s, -1) + if(x, 1, -{PENALTY})))"
-    lows = """aggregate(transform(points, (p, i) -> struct(p, i)), cast(array() as array<int>), (s, x) ->
-        if(-x.p >= size(s), concat(s, array_repeat(x.i, 1 - x.p - size(s))), s))"""  # first place at each depth
-    starts = "transform(points, p -> if(p > 0, 0, get(lows, -p)))"
+    # Of all stretches with no points lost: for each end, from the first place whose sum of points is no higher.  The running
+    # least sum falls, so that place is found by halving.
+    aligned = (aligned.withColumn("steps", F.expr(f"concat(array(0), transform(eq, x -> if(x, 1, -{PENALTY})))"))
+               .withColumn("points", F.expr(_scan("steps", "aggregate(c, 0, (a, y) -> a + y)", "s + x")))
+               .withColumn("least", F.expr(_scan("points", "array_min(c)", "least(s, x)"))))
+    halving = """aggregate(rounds, named_struct('low', 0, 'high', k), (r, _) ->
+        if(r.low = r.high, r, if(get(lowest, shiftright(r.low + r.high, 1)) <= p,
+            named_struct('low', r.low, 'high', shiftright(r.low + r.high, 1)), named_struct('low', shiftright(r.low + r.high, 1) + 1, 'high', r.high))))"""
     # (equal words, -start, -end): the most equal words, then the first start and end.
-    longest = f"""array_max(transform(starts, (i, k) -> struct(
-        (get(points, k) - get(points, i) + {PENALTY} * (k - i)) div {PENALTY + 1} as equal, -i as i, -k as k)))"""
-    short = F.col("a.b_equal") < F.col("enough")
-    for name, of in (("points", points), ("lows", lows), ("starts", starts), ("longest", longest)):
-        aligned = aligned.withColumn(name, F.when(short, F.expr(of)))
+    longest = f"""transform(array(points), sums -> transform(array(least), lowest -> transform(
+        array(sequence(0, int(log2(size(sums))) + 1)), rounds -> array_max(transform(sums, (p, k) -> transform(array({halving}.low), i -> struct(
+            (p - get(sums, i) + {PENALTY} * (k - i)) div {PENALTY + 1} as equal, -i as i, -k as k))[0])))[0])[0])[0]"""
+    aligned = aligned.withColumn("longest", F.expr(longest))
     # Without the unequal words before the first equal one.
     trimmed = "-longest.i + array_position(slice(eq, 1 - longest.i, size(eq)), true) - 1"
-    place = [F.when(short, F.expr(long)).otherwise(F.expr(best)).cast("int").alias(name) for name, long, best in (
-        ("from", trimmed, "a.b_from"), ("to", "-longest.k - 1", "a.b_to"), ("matched", "longest.equal", "a.b_equal"))]
-    return (aligned.select("key", "item", "item_words", "shift", "enough", *place).where("matched >= enough")
+    place = [F.expr(x).cast("int").alias(name) for name, x in (
+        ("from", trimmed), ("to", "-longest.k - 1"), ("matched", "longest.equal"))]
+    long = (aligned.select("key", "item", "item_words", "shift", "enough", *place).where("matched >= enough")
             .select("key", F.col("item").alias("item_id"), "item_words",
                     (F.col("from") + F.col("shift")).alias("first_word"),
-                    (F.col("to") - F.col("from") + 1).alias("overlap"), "matched")
-            .groupBy("key", "item_id")
+                    (F.col("to") - F.col("from") + 1).alias("overlap"), "matched"))
+    return (long.unionByName(short_items(docs, items, text, item, item_text)).groupBy("key", "item_id")
             .agg(F.max_by(F.struct("item_words", "first_word", "overlap", "matched"),
                           F.struct("matched", -F.col("first_word"), "item_words")).alias("m"))
             .select("key", "item_id", "m.*"))
 
 
+def short_items(docs: DataFrame, items: DataFrame, text: str, item: str, item_text: str) -> DataFrame:
+    """(key, item_id, item_words, first_word, overlap, matched): the first place of each item too short for a seed, word for word.
+
+    A text sends one row per item at most, whatever the places.
+    """
+    short = (items.select(F.col(item).alias("item_id"), words(F.col(item_text)).alias("iw"))
+             .where((F.size("iw") > 0) & (F.size("iw") < SHORTEST)).distinct()
+             .select("item_id", F.size("iw").alias("item_words"), F.array_join("iw", " ").alias("run")))
+    sizes = sorted(r[0] for r in short.select("item_words").distinct().collect())  # six at most
+    columns = "key string, item_id {}, item_words int, first_word int, overlap int, matched int".format(items.schema[item].dataType.simpleString())
+    if not sizes:
+        return docs.sparkSession.createDataFrame([], columns)
+    bits = bit_filter(short.select(F.xxhash64("run").alias("h")), "h", SEED_BITS)
+    texts = docs.select(_key(text).alias("key"), words(F.col(text)).alias("w")).where("size(w) > 0").withColumn("n", F.explode(F.array(*map(F.lit, sizes))))
+    runs = F.transform(F.sequence(F.lit(0), F.size("w") - F.col("n")), lambda i: F.array_join(F.slice("w", i + 1, F.col("n")), " "))
+    there = (texts.where("size(w) >= n").select("key", F.posexplode(runs).alias("first_word", "run"))
+             .where(has_bit(bits, F.xxhash64("run"))).groupBy("key", "run").agg(F.min("first_word").alias("first_word")))
+    return there.join(short, "run").select("key", "item_id", "item_words", "first_word", F.col("item_words").alias("overlap"),
+                                           F.col("item_words").alias("matched"))
+
+
 def leaky_documents(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text",
                     item: str = "item_id", item_text: str = "text") -> DataFrame:
     """The rows of ``leaks`` with the ids of all documents of that text; repeated ids once."""

@@ -100,43 +100,52 @@ _GAP = d.GAP.replace("'", "''")
 
 def _masked(rows: str, extra: str, place: str) -> str:
     parts = []
-    for number, mask in enumerate(d.MASKS):
+    for number, mask in enumerate((*d.MASKS, *d.MORE_MASKS, d.SHORT_MASK)):
         at = ", ".join(f"ws[i + {k}]" for k, c in enumerate(mask) if c == "1")
+        only = f" WHERE item_words = {d.SHORTEST}" if mask == d.SHORT_MASK and rows == "items" else ""
         parts.append(f"SELECT {extra}, {number} AS mask, i - 1 AS {place}, [{at}] AS seed "
-                     f"FROM (SELECT *, unnest(range(1, len(ws) - {len(mask) - 2})) AS i FROM {rows})")
+                     f"FROM (SELECT *, unnest(range(1, len(ws) - {len(mask) - 2})) AS i FROM {rows}{only})")
     return " UNION ALL ".join(parts)
 
 
 DECONTAMINATION = f"""
 WITH docs AS (
   SELECT doc_id, list_filter(string_split_regex(lower(text), '{_GAP}'), lambda x: x <> '') AS ws FROM documents),
-items AS (
+all_items AS (
   SELECT DISTINCT item_id, list_filter(string_split_regex(lower(text), '{_GAP}'), lambda x: x <> '') AS ws FROM benchmark),
+items AS (SELECT *, len(ws) AS item_words FROM all_items WHERE len(ws) >= {d.SHORTEST}),
 a AS ({_masked('items', 'item_id, ws', 'place')}),
 b AS ({_masked('docs', 'doc_id', 'pos')}),
 hits AS (SELECT DISTINCT doc_id, item_id, a.ws AS iw, pos - place AS shift FROM a JOIN b USING (mask, seed)),
 cells AS (
-  SELECT h.*, k, CASE WHEN k + shift >= 0 AND docs.ws[k + shift + 1] = iw[k + 1] THEN 1 ELSE -{d.PENALTY} END AS point
+  SELECT h.*, k, coalesce(k + shift >= 0 AND docs.ws[k + shift + 1] = iw[k + 1], FALSE) AS same
   FROM (SELECT *, unnest(range(0, len(iw))) AS k FROM hits) h JOIN docs USING (doc_id)),
-sums AS (SELECT *, sum(point) OVER s AS p FROM cells WINDOW s AS (PARTITION BY doc_id, item_id, iw, shift ORDER BY k)),
-lows AS (
-  SELECT *, least(0, coalesce(min(p) OVER s, 0)) AS low FROM sums
-  WINDOW s AS (PARTITION BY doc_id, item_id, iw, shift ORDER BY k ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
-runs AS (SELECT *, p - low AS run FROM lows),
+sums AS (
+  SELECT doc_id, item_id, iw, shift, k + 1 AS k, sum(CASE WHEN same THEN 1 ELSE -{d.PENALTY} END) OVER s AS p
+  FROM cells WINDOW s AS (PARTITION BY doc_id, item_id, iw, shift ORDER BY k)
+  UNION ALL SELECT doc_id, item_id, iw, shift, 0, 0 FROM hits),
 best AS (
-  SELECT doc_id, item_id, iw, shift, max(run) AS run, arg_max(k, (run, -k)) AS last, arg_max(low, (run, -k)) AS low
-  FROM runs GROUP BY doc_id, item_id, iw, shift),
-stretch AS (
-  SELECT b.doc_id, b.item_id, b.iw, b.shift, any_value(b.run) AS run, any_value(b.last) AS last,
-         coalesce(max(s.k) FILTER (s.p = b.low AND s.k < b.last), -1) + 1 AS first
-  FROM best b JOIN sums s ON b.doc_id = s.doc_id AND b.item_id IS NOT DISTINCT FROM s.item_id AND b.iw = s.iw AND b.shift = s.shift
+  SELECT i.doc_id, i.item_id, i.iw, i.shift, (j.p - i.p + {d.PENALTY} * (j.k - i.k)) // {d.PENALTY + 1} AS matched, i.k AS start, j.k AS stop
+  FROM sums i JOIN sums j ON i.doc_id = j.doc_id AND i.item_id IS NOT DISTINCT FROM j.item_id AND i.iw = j.iw AND i.shift = j.shift
+       AND i.k < j.k AND j.p >= i.p
+  QUALIFY row_number() OVER (PARTITION BY i.doc_id, i.item_id, i.iw, i.shift ORDER BY matched DESC, start, stop) = 1),
+long AS (
+  SELECT b.doc_id, b.item_id, len(b.iw) AS item_words, min(c.k) + any_value(b.shift) AS first_word,
+         any_value(b.stop) - min(c.k) AS overlap, any_value(b.matched) AS matched
+  FROM best b JOIN cells c ON b.doc_id = c.doc_id AND b.item_id IS NOT DISTINCT FROM c.item_id AND b.iw = c.iw AND b.shift = c.shift
+       AND c.same AND c.k >= b.start
+  WHERE matched >= least({d.MIN_WORDS}, ceil(len(b.iw) * {d.MIN_SHARE}))
   GROUP BY b.doc_id, b.item_id, b.iw, b.shift),
-found AS (
-  SELECT doc_id, item_id, len(iw)::INTEGER AS item_words, (first + shift)::INTEGER AS first_word,
-         (last - first + 1)::INTEGER AS overlap, ((run + {d.PENALTY} * (last - first + 1)) // {d.PENALTY + 1})::INTEGER AS matched
-  FROM stretch)
-SELECT doc_id, item_id, item_words, first_word, overlap, matched
-FROM found WHERE matched >= least({d.MIN_WORDS}, ceil(item_words * {d.MIN_SHARE}))
+runs AS (
+  SELECT doc_id, i - 1 AS first_word, ws[i:i + n - 1] AS ws
+  FROM (SELECT doc_id, ws, n, unnest(range(1, len(ws) - n + 2)) AS i
+        FROM docs, (SELECT DISTINCT len(ws) AS n FROM all_items WHERE len(ws) BETWEEN 1 AND {d.SHORTEST - 1}))),
+short AS (
+  SELECT doc_id, item_id, len(ws) AS item_words, min(first_word) AS first_word, len(ws) AS overlap, len(ws) AS matched
+  FROM runs JOIN all_items USING (ws) GROUP BY doc_id, item_id, ws)
+SELECT doc_id, item_id, item_words::INTEGER AS item_words, first_word::INTEGER AS first_word, overlap::INTEGER AS overlap,
+       matched::INTEGER AS matched
+FROM (SELECT * FROM long UNION ALL SELECT * FROM short)
 QUALIFY row_number() OVER (PARTITION BY doc_id, item_id ORDER BY matched DESC, first_word, item_words DESC) = 1"""
 
 _S = neardup.SHINGLE

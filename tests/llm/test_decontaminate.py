@@ -12,26 +12,19 @@ def words(text):
 
 
 def best_stretch(item, doc, shift):
-    """(points, equal words, first, last) of the best stretch of one alignment; the earliest of the best."""
-    best, run, begin, equal = (0, 0, 0, 0), 0, 0, 0
-    for k, w in enumerate(item):
-        same = 0 <= k + shift < len(doc) and doc[k + shift] == w
-        if run <= 0:
-            run, begin, equal = 0, k, 0
-        run, equal = run + (1 if same else -D.PENALTY), equal + same
-        if run > best[0]:
-            best = (run, equal, begin, k)
-    return best
+    """Most equal words of any stretch of one alignment with four equal words to each other one."""
+    equal = [0 <= k + shift < len(doc) and doc[k + shift] == w for k, w in enumerate(item)]
+    return max((n for i in range(len(item)) for k in range(i + 1, len(item) + 1) if 5 * (n := sum(equal[i:k])) >= 4 * (k - i)), default=0)
 
 
 def masked(w, i, mask):
     return tuple(w[i + k] for k, c in enumerate(mask) if c == "1") if i + len(mask) <= len(w) else None
 
 
-def places(w):
+def places(w, short):
     """{(mask, masked words): their starts}"""
     out = {}
-    for m in D.MASKS:
+    for m in (*D.MASKS, *D.MORE_MASKS, *([D.SHORT_MASK] if short else [])):
         for i in range(len(w) - len(m) + 1):
             out.setdefault((m, masked(w, i, m)), []).append(i)
     return out
@@ -39,13 +32,16 @@ def places(w):
 
 def brute(docs, items):
     """{(doc_id, item_id): matched} by all shifts at which a masked hash of both agrees."""
-    out, seen = {}, [(k, words(t), places(words(t))) for k, t in docs]
+    out, seen = {}, [(k, words(t), places(words(t), True)) for k, t in docs]
     for item_id, item_text in items:
         item = words(item_text)
-        mine, enough = places(item), min(D.MIN_WORDS, -(-len(item) * 8 // 10))
+        mine, enough = places(item, len(item) == D.SHORTEST), min(D.MIN_WORDS, -(-len(item) * 8 // 10))
         for doc_id, doc, theirs in seen:
-            shifts = {p - a for x in mine.keys() & theirs.keys() for a in mine[x] for p in theirs[x]}
-            found = [b[1] for s in shifts if (b := best_stretch(item, doc, s))[1] >= enough]
+            if 0 < len(item) < D.SHORTEST:
+                found = [len(item)] if any(doc[i:i + len(item)] == item for i in range(len(doc))) else []
+            else:
+                shifts = {p - a for x in mine.keys() & theirs.keys() for a in mine[x] for p in theirs[x]}
+                found = [b for s in shifts if (b := best_stretch(item, doc, s)) >= enough]
             if found:
                 out[doc_id, item_id] = max(found)
     return out
@@ -160,3 +156,68 @@ def test_place_of_a_stretch_with_short_runs(spark):
     text = ["a", "b", *(w if k % 5 != 4 and 10 <= k < 30 else f"o{k}" for k, w in enumerate(item))]
     got = D.leaky_documents(frame(spark, [(1, " ".join(text))]), items_frame(spark, [(1, " ".join(item), "", "")]))
     assert [tuple(r) for r in got.collect()] == [(1, 1, 40, 12, 19, 16)]
+
+
+def test_items_of_few_words_are_found_word_for_word(spark):
+    items = [(n, " ".join(f"s{n}x{k}" for k in range(n)), "", "") for n in range(0, 9)] + [(20, "of the", "", ""), (20, "s1x0", "", "")]
+    docs = [(100 + n, "Before, " + t + "; after " + t) for n, t, *_ in items]
+    docs += [(200 + n, "one " + " ".join(t.split()[:-1]) + " two") for n, t, *_ in items if n in (2, 3, 4, 5, 6)]
+    docs += [(300, None), (301, ""), (302, "of other the"), (303, " ".join(["of the"] * 500))]
+    got = D.leaky_documents(frame(spark, docs), items_frame(spark, items))
+    found = {(r.doc_id, r.item_id): (r.item_words, r.first_word, r.overlap, r.matched) for r in got.collect()}
+    want = {(100 + n, n): (n, 1, n, n) for n in range(1, 9)}
+    want |= {(101, 20): (1, 1, 1, 1), (120, 20): (1, 1, 1, 1), (120, 1): (1, 1, 1, 1), (303, 20): (2, 0, 2, 2)}
+    # The ids 120 and 120 again are one: its two texts are two documents.
+    assert {k: v for k, v in found.items() if k[0] != 120} == {k: v for k, v in want.items() if k[0] != 120}
+    assert {k for k in found if k[0] == 120} == {(120, 20), (120, 1)}
+
+
+def test_long_items_cost_little_more_than_their_length(spark):
+    item = [f"w{k}" for k in range(6000)]
+    text = [w if k % 3 else f"o{k}" for k, w in enumerate(item[:4500])] + item[4500:]
+    docs, items = frame(spark, [(1, " ".join(text))]), items_frame(spark, [(1, " ".join(item), "", "")])
+    (r,) = D.leaky_documents(docs, items).collect()
+    # The last 1,500 words, and as many before them as their points allow: two of three are equal there.
+    sums, best = [0], (0,)
+    for a, b in zip(item, text):
+        sums.append(sums[-1] + (1 if a == b else -4))
+    lows = {}
+    for i, p in enumerate(sums):
+        for depth in range(p, 1):
+            if depth in lows:
+                break
+            lows[depth] = i
+    for k, p in enumerate(sums):
+        i = lows[min(p, 0)]
+        best = max(best, ((p - sums[i] + 4 * (k - i)) // 5, -i, -k))
+    assert r.matched == best[0] and r.overlap >= 1500
+
+
+def test_running_sums_and_minima(spark):
+    from pyspark.sql import functions as F
+    rnd = random.Random(3)
+    for n in (1, 63, 64, 65, 400):
+        v = [rnd.randint(-4, 1) for _ in range(n)]
+        df = spark.createDataFrame([(v,)], "v array<int>")
+        r = df.select(F.expr(D._scan("v", "aggregate(c, 0, (a, y) -> a + y)", "s + x")).alias("sums"),
+                      F.expr(D._scan("v", "array_min(c)", "least(s, x)")).alias("least")).first()
+        assert r.sums == [sum(v[:i + 1]) for i in range(n)] and r.least == [min(v[:i + 1]) for i in range(n)]
+
+
+def test_sql_on_cases_that_the_masks_and_the_stretch_rule_decide(spark, workdir):
+    import duckdb
+
+    from lakestrata.llm.queries import op9_decontamination
+    from lakestrata.llm.sql import ORACLE
+    items = [(n, [f"w{n}x{k}" for k in range(n)]) for n in (3, 6, 7, 8, 11, 15, 20, 40)]
+    docs = [(100 * n + at, "before " + " ".join(w if k % 5 != at else "other" for k, w in enumerate(ws)) + " after w3x0")
+            for n, ws in items for at in range(6)]
+    docs += [(9000, " ".join(items[5][1][:12]) + " x y z"), (9001, None), (9002, "")]  # 12 of 15 words
+    spark.createDataFrame(docs, "doc_id long, text string").write.parquet(f"{workdir}/documents.parquet")
+    spark.createDataFrame([(n, " ".join(ws)) for n, ws in items], "item_id long, text string").write.parquet(f"{workdir}/benchmark.parquet")
+    got = sorted(tuple(r) for r in op9_decontamination(spark, workdir).select("doc_id", "item_id", "item_words", "first_word", "overlap", "matched").collect())
+    con = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{workdir}/{t}.parquet/*.parquet'")
+    assert got == sorted(con.execute(ORACLE["op9_decontamination"]).fetchall())
+    assert {(9000, 15), (703, 7), (4004, 40)} <= {r[:2] for r in got}
