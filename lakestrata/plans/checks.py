@@ -11,7 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
-from lakestrata.sources.csv import read_csv
+from lakestrata.plans.refined import read_refined
 
 
 def orphan_keys(fact: DataFrame, dim: DataFrame, key: str = "LOCATION_KEY") -> DataFrame:
@@ -52,13 +52,6 @@ def series_mismatch(trusted: DataFrame, keys: Sequence[str] = tuple(S.LOCATION),
     return out
 
 
-def published(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
-    """A published table, read back from its files."""
-    if fmt == "csv":
-        return read_csv(spark, f"{root}/{name}", sep="|")
-    return spark.read.parquet(f"{root}/{name}")
-
-
 def verify_lake(spark: SparkSession, refined: str, fmt: str, trusted: DataFrame, quality: DataFrame,
                 sources: Mapping[str, tuple[DataFrame, DataFrame]], kept: Mapping[str, Column]) -> dict[str, int]:
     """Violation counts of the published files (all zero when they hold).
@@ -66,7 +59,7 @@ def verify_lake(spark: SparkSession, refined: str, fmt: str, trusted: DataFrame,
     ``sources``: each source's offered rows and its raw zone; ``kept``: which of these rows the later zones have.
     Rows lost or doubled between two zones show as the difference of their numbers.
     """
-    fact, location, calendar, base = (published(spark, refined, n, fmt) for n in (
+    fact, location, calendar, base = (read_refined(spark, refined, n, fmt) for n in (
         "fato_covid", "dim_location", "dim_calendar", "base_trusted"))
     offered = sum(o.count() for o, _ in sources.values())
     raw = sum(r.count() for _, r in sources.values())

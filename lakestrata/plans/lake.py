@@ -5,14 +5,16 @@ its tables are written.  A step does what its input has and its record lacks, so
 anywhere is finished by the next one, and each step can be run alone.
 A file's rows replace what an earlier attempt wrote of them.
 
-New files touch the days from their first one on: only these are recomputed, from the
-last snapshot of each location before them.
+New files touch the locations of their rows, from the first day of these on: only these series are
+recomputed, each from its last snapshot before that day.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructField, StructType
@@ -24,8 +26,10 @@ from lakestrata.plans.ingest import (
     KEY, _paths, find_missing, ingest_missing, keyed_source, lake_listing, read_missing, write_missing,
 )
 from lakestrata.plans.refined import publish_refined, read_trusted, refine
-from lakestrata.plans.trusted import harmonise_reports, last_snapshots, quality_table, trusted_from_quality
+from lakestrata.plans.trusted import harmonise_reports, last_rows, quality_table, trusted_from_quality
+from lakestrata.session import scratch_path
 from lakestrata.sources.csv import read_or_empty, read_partitioned_csv
+from lakestrata.sources.headers import wide_enough
 from lakestrata.sources.listing import file_keys
 from lakestrata.sources.sinks import write_table
 
@@ -149,57 +153,90 @@ def quality_rows(spark: SparkSession, paths: LakePaths) -> DataFrame:
     return read_or_empty(spark, lambda: spark.read.schema(schema).parquet(paths.quality), schema)
 
 
-def first_day(spark: SparkSession, paths: LakePaths, zone: str):
-    """(due, day): whether the zone lacks files of the quality table, and the first day they touch.
+def touched(spark: SparkSession, paths: LakePaths, zone: str) -> tuple[bool, DataFrame | None]:
+    """(due, series): whether the zone lacks files of the quality table, and the (STATE, COUNTRY, FIRST) that they touch.
 
-    The day is None where all must be rebuilt: the zone is empty, or a due row has no date (these come first in every series).
+    FIRST is the first touched day, NULL where the whole series is: a row without a date comes first in it.  The series are None
+    where the zone is empty.
     """
     keys = [S.SOURCE_COLUMN, KEY]
-    due = taken_in(spark, paths, "quality").join(taken_in(spark, paths, zone), keys, "left_anti")
+    taken = taken_in(spark, paths, zone)
+    due = taken_in(spark, paths, "quality").join(taken, keys, "left_anti")
     if due.isEmpty():
         return False, None
+    if taken.isEmpty():
+        return True, None
     rows = quality_rows(spark, paths).join(due, keys, "left_semi")
-    got = rows.agg(F.min("DATE_ID").alias("day"), F.count_if(F.col("DATE_ID").isNull()).alias("undated")).first()
-    whole = taken_in(spark, paths, zone).isEmpty() or got["undated"]
-    return True, None if whole else got["day"]
+    first = F.when(F.count_if(F.col("DATE_ID").isNull()) == 0, F.min("DATE_ID"))
+    return True, rows.groupBy(*S.LOCATION).agg(first.alias("FIRST"))
+
+
+def _since(rows: DataFrame, series: DataFrame, how: str) -> DataFrame:
+    """The rows of these series from their first touched day on (``left_semi``), or all others (``left_anti``)."""
+    s = series.select(*[F.col(c).alias(f"__{c}") for c in S.LOCATION], F.col("FIRST").alias("__first"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in S.LOCATION])
+    return rows.join(s, same & (F.col("__first").isNull() | (F.col("DATE_ID") >= F.col("__first"))), how)
+
+
+def _before(rows: DataFrame, series: DataFrame) -> DataFrame:
+    """The rows of these series before their first touched day, those without a date included."""
+    s = series.where("FIRST is not null").select(*[F.col(c).alias(f"__{c}") for c in S.LOCATION], F.col("FIRST").alias("__first"))
+    same = reduce(and_, [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in S.LOCATION])
+    return rows.join(s, same & (F.col("DATE_ID").isNull() | (F.col("DATE_ID") < F.col("__first"))), "left_semi")
+
+
+def _on_days(rows: DataFrame, days: DataFrame) -> DataFrame:
+    d = days.select(F.col("DATE_ID").alias("__day")).distinct()
+    return rows.join(d, F.col("DATE_ID").eqNullSafe(F.col("__day")), "left_semi")
 
 
 def build_trusted(spark: SparkSession, paths: LakePaths, *, fmt: str = "parquet", ignore_null_gaps: bool = False,
                   **kwargs) -> bool:
     """Bring the trusted table up to the quality table; False if it is.
 
-    Only the days from the first one that new files touch are recomputed and replaced.
+    Only the series that new files touch are recomputed, each from its first touched day, and subtracted from its last snapshot
+    before it.  The folders of the days on which such rows lie are replaced; the other series' rows of these days are kept as they are.
     """
-    due, day = first_day(spark, paths, "trusted")
+    due, series = touched(spark, paths, "trusted")
     if not due:
         return False
-    taken = taken_in(spark, paths, "quality")
-    q = quality_rows(spark, paths)
-    if day is None:
-        if taken_in(spark, paths, "trusted").isEmpty() or not q.isEmpty():
-            trusted = trusted_from_quality(q, ignore_null_gaps=ignore_null_gaps, **kwargs)
-            write_table(trusted, paths.trusted, fmt=fmt, partition_by=["DATE_ID"])
+    taken, q = taken_in(spark, paths, "quality"), quality_rows(spark, paths)
+    if series is None:
+        trusted = trusted_from_quality(q, ignore_null_gaps=ignore_null_gaps, **kwargs)
+        write_table(trusted, paths.trusted, fmt=fmt, partition_by=["DATE_ID"])
     else:
-        recent = q.where(F.col("DATE_ID") >= F.lit(day)).unionByName(last_snapshots(q, day, ignore_null_gaps))
-        trusted = trusted_from_quality(recent, ignore_null_gaps=ignore_null_gaps, **kwargs)
-        write_table(trusted.where(F.col("DATE_ID") >= F.lit(day)), paths.trusted, fmt=fmt,
-                    partition_by=["DATE_ID"], dynamic_overwrite=True)
+        series = _written(series, "touched-series")
+        recent = _since(q, series, "left_semi").unionByName(last_rows(_before(q, series), ignore_null_gaps))
+        recent = _written(recent, "touched-rows")  # a small part of the table; the series reads it more than once
+        new = _written(_since(trusted_from_quality(recent, ignore_null_gaps=ignore_null_gaps, **kwargs), series, "left_semi"), "touched-days")
+        old = read_or_empty(spark, lambda: read_trusted(spark, paths.trusted, fmt), S.TRUSTED)
+        kept = _written(_since(_on_days(old, new), series, "left_anti"), "kept-rows")  # its folders are replaced below
+        write_table(new.unionByName(kept), paths.trusted, fmt=fmt, partition_by=["DATE_ID"], dynamic_overwrite=True)
     _record(taken.join(taken_in(spark, paths, "trusted"), [S.SOURCE_COLUMN, KEY], "left_anti"), paths, "trusted")
     return True
 
 
 def build_refined(spark: SparkSession, paths: LakePaths, *, fmt: str = "parquet") -> bool:
-    """Bring the star up to the trusted table; False if it is.  Only the fact's days that changed are replaced."""
+    """Bring the star up to the trusted table; False if it is.  Only the fact's days with rows of touched series are replaced."""
     keys = [S.SOURCE_COLUMN, KEY]
     due = taken_in(spark, paths, "trusted").join(taken_in(spark, paths, "refined"), keys, "left_anti")
     if due.isEmpty():
         return False
-    _, day = first_day(spark, paths, "refined")
-    publish_refined(refine(read_trusted(spark, paths.trusted, fmt)), paths.refined, fmt, from_day=day)
+    _, series = touched(spark, paths, "refined")
+    trusted = read_trusted(spark, paths.trusted, fmt)
+    days = None if series is None else _written(
+        _since(trusted, _written(series, "touched-series"), "left_semi").select("DATE_ID").distinct(), "touched-days")
+    publish_refined(refine(trusted), paths.refined, fmt, days=days)
     _record(due, paths, "refined")
     return True
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def run_lake(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, Source], *,
              offered: Mapping[str, DataFrame] | None = None, fmt: str = "parquet",
              date_formats: Iterable[str] = (), date_column: str = "Last_Update", verify: bool = False,
@@ -223,11 +260,15 @@ def run_lake(spark: SparkSession, paths: LakePaths, source_dirs: Mapping[str, So
     if "refined" in steps:
         build_refined(spark, paths, fmt=fmt)
     if verify:
-        sources = {src: keyed_source(spark, d, columns=RAW_COLUMNS[src], aliases=S.RAW_ALIASES, optional=S.RAW_OPTIONAL)
-                   for src, d in source_dirs.items()}
         loaded = {src: lake_listing(spark, paths.raw(src)).select(KEY).distinct() for src in source_dirs}
-        out["violations"] = verify_lake(
+
+        def offered_rows(src: str, fields: int) -> DataFrame:
+            rows = keyed_source(spark, source_dirs[src], columns=RAW_COLUMNS[src], aliases=S.RAW_ALIASES, optional=S.RAW_OPTIONAL,
+                                fields=fields)
+            return rows.join(loaded[src], KEY, "left_semi")
+
+        out["violations"] = wide_enough(lambda fields: verify_lake(
             spark, paths.refined, fmt, read_trusted(spark, paths.trusted, fmt), quality_rows(spark, paths),
-            {src: (sources[src].join(loaded[src], KEY, "left_semi"), raw_rows(spark, paths, src)) for src in source_dirs},
-            kept={GENERAL: F.col(S.COUNTY_COLUMN).isNull(), US: F.lit(True)})
+            {src: (offered_rows(src, fields), raw_rows(spark, paths, src)) for src in source_dirs},
+            kept={GENERAL: F.col(S.COUNTY_COLUMN).isNull(), US: F.lit(True)}))
     return out

@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from lakestrata import schemas as S
 from lakestrata.operators.star import calendar_dim, fact, location_dim, with_location_key
-from lakestrata.sources.csv import read_partitioned_csv
+from lakestrata.sources.commit import commit, finish, read_released, stage
+from lakestrata.sources.csv import read_csv, read_partitioned_csv
 from lakestrata.sources.sinks import write_table
 
 
@@ -39,10 +40,12 @@ def null_date_rows(spark: SparkSession, trusted: DataFrame,
 
 
 def publish_refined(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",
-                    fact_rebalance: bool = False, from_day=None) -> None:
-    """Write the star: the fact partitioned by its date copy, the rest whole.
+                    fact_rebalance: bool = False, from_day=None, days: DataFrame | None = None) -> None:
+    """Publish the star, all four tables or none: the fact partitioned by its date copy, the rest whole.
 
-    With ``from_day`` only the fact's days from it on are written, each replacing its folder.
+    The tables are staged and then released together (``sources.commit``), so a run that stops anywhere leaves a whole star to
+    ``read_refined``: the old one, or the new one.  With ``from_day`` only the fact's days from it on are written, with ``days``
+    (a table of ``DATE_ID``) only these, each replacing its folder.
 
     The trusted input is columnar, so the four writes each scan their own
     columns instead of holding the whole table in memory between them.  It
@@ -50,10 +53,23 @@ def publish_refined(tables: dict[str, DataFrame], root: str, fmt: str = "parquet
     few dates and the fact (partitioned by the same date) is written without
     a shuffle; pass ``fact_rebalance=True`` for an input not laid out by date.
     """
-    rows = tables["fato_covid"]
+    rows, partial = tables["fato_covid"], from_day is not None or days is not None
+    spark = rows.sparkSession
+    finish(spark, root)
     if from_day is not None:
         rows = rows.where(F.col("DATE_ID") >= F.lit(from_day))
-    write_table(rows, f"{root}/fato_covid", fmt=fmt, partition_by=[S.FACT_PARTITION],
-                rebalance=fact_rebalance, dynamic_overwrite=from_day is not None)
+    if days is not None:
+        changed = days.select(F.col("DATE_ID").alias("__day")).distinct()
+        rows = rows.join(changed, F.col("DATE_ID").eqNullSafe(F.col("__day")), "left_semi")
+    staged = stage(root)
+    write_table(rows, f"{staged}/fato_covid", fmt=fmt, partition_by=[S.FACT_PARTITION], rebalance=fact_rebalance)
     for name in ("dim_location", "dim_calendar", "base_trusted"):
-        write_table(tables[name], f"{root}/{name}", fmt=fmt)
+        write_table(tables[name], f"{staged}/{name}", fmt=fmt)
+    whole = ["dim_location", "dim_calendar", "base_trusted"]
+    commit(spark, root, staged, whole if partial else ["fato_covid", *whole], ["fato_covid"] if partial else [])
+
+
+def read_refined(spark: SparkSession, root: str, name: str, fmt: str = "parquet") -> DataFrame:
+    """A table of the star that counts, also while a release is being moved into place."""
+    read = lambda path: read_csv(spark, path, sep="|") if fmt == "csv" else spark.read.parquet(path)
+    return read_released(spark, root, name, read, S.FACT_PARTITION)

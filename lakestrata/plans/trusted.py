@@ -113,12 +113,11 @@ def run_trusted(spark: SparkSession, general_dir: str, us_dir: str, trusted_path
     return {"quality": quality_path, "trusted": trusted_path}
 
 
-def last_snapshots(q: DataFrame, before, ignore_null_gaps: bool = False) -> DataFrame:
-    """Per location, the last row before a day: what the days from it on are subtracted from.
+def last_rows(q: DataFrame, ignore_null_gaps: bool = False) -> DataFrame:
+    """Per location, the last row: what later days are subtracted from.
 
     With ``ignore_null_gaps`` each counter is its last known value.  A partial aggregate: a task sends one row a location.
     """
-    q = q.where(F.col("DATE_ID").isNull() | (F.col("DATE_ID") < F.lit(before)))
     at = F.struct("DATE_ID", row_order(q).alias("o"))
     value = lambda c: F.when(F.col(c).isNotNull(), at) if ignore_null_gaps and c in S.COUNTERS else at
     rest = [c for c in q.columns if c not in S.LOCATION]
