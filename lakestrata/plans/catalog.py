@@ -387,14 +387,17 @@ def q_page_links(spark, sf_dir):
 def q_title_links(spark, sf_dir):
     """Titles of data files, made from the pages' addresses in several HTML forms, and links of any extension's case.
 
-    Other attributes and other extensions are no titles of data files.
+    Other attributes, other extensions, second titles, and what stands in comments and scripts are no titles of data files.
     """
     name = F.concat(F.lit("page-"), F.regexp_replace("url", "[^A-Za-z0-9]+", "-"))
-    kind = F.col("page_id") % 4
+    kind = F.col("page_id") % 7
     html = (F.when(kind == 0, F.concat(F.lit('<a title="'), name, F.lit('.csv" href="'), name, F.lit('.CSV">')))
             .when(kind == 1, F.concat(F.lit("<a href='y' title = '"), name, F.lit(".csv'>")))
             .when(kind == 2, F.concat(F.lit("<a TITLE="), name, F.lit(".csv>")))
-            .otherwise(F.concat(F.lit('<a data-title="'), name, F.lit('.csv" title="'), name, F.lit('.txt">'))))
+            .when(kind == 3, F.concat(F.lit('<a data-title="'), name, F.lit('.csv" title="'), name, F.lit('.txt">')))
+            .when(kind == 4, F.concat(F.lit("<a\ntitle='a &amp;amp; &#x62;&#45;"), name, F.lit(""" &lt;1&gt;.csv' title="b.csv">""")))
+            .when(kind == 5, F.concat(F.lit('<!-- <a title="'), name, F.lit('.csv"> --><b title="'), name, F.lit('-b.csv"/>')))
+            .otherwise(F.concat(F.lit("""<script>x = '<a title="y.csv">'</script>title="z.csv" <i x=">" title='"""), name, F.lit(".csv'>"))))
     pages = table(spark, sf_dir, "pages").select("page_id", html.alias("html"))
     return page_links(pages, tipo="General", id_cols=["page_id"]).unionByName(
         page_links(pages, pattern='href="([^"]*)"', tipo="US", id_cols=["page_id"]))

@@ -25,7 +25,7 @@ from lakestrata.functions.keys import file_key, file_name
 from lakestrata.operators.reconcile import load_missing, missing_keys
 from lakestrata.sources.csv import read_csv, read_or_empty
 from lakestrata.sources.headers import FIELDS, FILE, by_header, header_names, plain_rows, wide_enough
-from lakestrata.sources.listing import TITLE_LINK, file_keys, page_links
+from lakestrata.sources.listing import file_keys, page_links
 from lakestrata.sources.sinks import write_csv, write_single_csv
 
 KEY = "DATE_KEY"
@@ -36,7 +36,7 @@ LOADED = "_loaded"
 
 
 def source_listing(pages: DataFrame, tipo: str, html_col: str = "html",
-                   pattern: str = TITLE_LINK) -> DataFrame:
+                   pattern: str | None = None) -> DataFrame:
     """(Cam_Git, DATE_KEY, Tipo) for every data-file link in the given pages."""
     return page_links(pages, html_col=html_col, pattern=pattern, tipo=tipo).select(
         *[F.col(f.name).cast(f.dataType) for f in S.SOURCE_LISTING.fields])

@@ -143,10 +143,11 @@ ORACLE: dict[str, str] = {
                COUNT(*) AS FIRST, COUNT(*) AS SECOND
         FROM d GROUP BY ALL""",
     "title_links": """
-        WITH n AS (SELECT page_id, 'page-' || regexp_replace(url, '[^A-Za-z0-9]+', '-', 'g') AS k FROM pages)
-        SELECT page_id, k || '.csv' AS Cam_Git, k AS DATE_KEY, 'General' AS Tipo FROM n WHERE page_id % 4 <> 3
+        WITH n AS (SELECT page_id, 'page-' || regexp_replace(url, '[^A-Za-z0-9]+', '-', 'g') AS k FROM pages),
+        t AS (SELECT page_id, k AS plain, CASE page_id % 7 WHEN 4 THEN 'a &amp; b-' || k || ' <1>' WHEN 5 THEN k || '-b' ELSE k END AS k FROM n)
+        SELECT page_id, k || '.csv' AS Cam_Git, k AS DATE_KEY, 'General' AS Tipo FROM t WHERE page_id % 7 <> 3
         UNION ALL
-        SELECT page_id, k || '.CSV', k, 'US' FROM n WHERE page_id % 4 = 0""",
+        SELECT page_id, plain || '.CSV', plain, 'US' FROM t WHERE page_id % 7 = 0""",
     "incremental_ingest": """
         SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey,
                o_orderstatus, o_orderpriority,

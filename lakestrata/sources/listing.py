@@ -6,13 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from lakestrata.functions.html import attributes
 from lakestrata.functions.keys import (
     extract_all, file_key, file_name, partition_value, strip_suffix,
 )
 
-# Fixed value: pattern of a data-file link in a repository folder page (the
-# file name is the element's title, quoted either way or not at all).
-TITLE_LINK = r"""(?<![\w-])(?i:title)\s*=\s*["']?((?:(?<=")[^"]*|(?<=')[^']*|(?<=[=\s])[^\s"'>]+)\.csv)(?=["'\s>])"""
+#: Attribute that holds the file name of a link in a repository's folder page.
+TITLE = "title"
 HREF_LINK = r'<a href="([^"]*)"'
 
 
@@ -51,16 +51,21 @@ def file_keys(spark: SparkSession, path: str, ext: str = ".csv", name_col: str =
     return files.select(file_name("uri").alias(name_col), key.alias(key_col))
 
 
-def page_links(pages: DataFrame, html_col: str = "html", pattern: str = TITLE_LINK,
+def page_links(pages: DataFrame, html_col: str = "html", pattern: str | None = None,
                ext: str = ".csv", tipo: str = "General", id_cols: Sequence[str] = (),
                link_col: str = "Cam_Git", key_col: str = "DATE_KEY",
                kind_col: str = "Tipo") -> DataFrame:
     """One row per link in each page: (ids, link, key, kind).
 
-    The key is the link with a trailing ``ext`` removed, in any letter case.
+    A link is the title of a tag, as a parser sees it, that ends in ``ext`` (in this letter case), or, with ``pattern``, what
+    the group of that expression matches anywhere in the page.  The key is the link with a trailing ``ext`` removed, in any letter case.
     Runs per row on the executors; pages stay whole.
     """
-    links = pages.select(*id_cols, F.explode(extract_all(html_col, pattern)).alias(link_col))
+    if pattern is None:
+        found = F.filter(attributes(F.col(html_col), TITLE), lambda v: v.endswith(ext))
+    else:
+        found = extract_all(html_col, pattern)
+    links = pages.select(*id_cols, F.explode(found).alias(link_col))
     return links.select(*id_cols, link_col,
                         strip_suffix(link_col, ext, case_insensitive=True).alias(key_col),
                         F.lit(tipo).alias(kind_col))

@@ -1,0 +1,91 @@
+"""Tags and attributes against Python's own HTML parser."""
+
+import random
+from html.parser import HTMLParser
+
+from pyspark.sql import functions as F
+
+from lakestrata.functions.html import attributes, decoded
+from lakestrata.sources.listing import page_links
+from tests.conftest import rows
+
+
+class Titles(HTMLParser):
+    CDATA_CONTENT_ELEMENTS = ("script", "style", "textarea", "title")
+
+    def __init__(self):
+        super().__init__()
+        self.found = []
+
+    def handle_starttag(self, tag, attrs):
+        value = next((v for k, v in attrs if k == "title"), None)
+        if value:
+            self.found.append(value.replace("\xa0", "\xa0"))
+
+    handle_startendtag = handle_starttag
+
+
+def titles(html):
+    p = Titles()
+    p.feed(html)
+    p.close()
+    return p.found
+
+
+VALUES = ["a.csv", "a b.csv", "it's.csv", 'say "x".csv', "a&amp;b.csv", "a&amp;lt;b.csv", "&lt;1&gt;.csv", "x&#45;y.csv", "x&#x2D;y.csv",
+          "&#233;t&#xE9;.csv", "&#128512;.csv", "a=b.csv", "/p/q.csv", "", "a>b.csv", "<b>.csv", "&quot;q&quot;.csv", "&apos;.csv", "n&nbsp;b.csv"]
+TEXT = ["text", "title='no.csv'", " 1 < 2 ", "<!-- <a title='no.csv'> -->", "<script>'<a title=\"no.csv\">'</script>", "\n",
+        "<STYLE>a{}<b title=no.csv></Style>", "</a>", "<br/>", "<textarea><i title='no.csv'></textarea>", "&amp;", "<!---->"]
+
+
+def page(rnd):
+    out = []
+    for _ in range(rnd.randint(0, 12)):
+        if rnd.random() < 0.5:
+            out.append(rnd.choice(TEXT))
+            continue
+        attrs = []
+        for _ in range(rnd.randint(0, 4)):
+            name, value = rnd.choice(["title", "TITLE", "data-title", "href", "x", "Title"]), rnd.choice(VALUES)
+            quotes = [q for q in "\"'" if q not in value]
+            plain = value and not set(value) & set(" \"'<>=`")
+            if plain and rnd.random() < 0.3:
+                attrs.append(f"{name}={value}")
+            elif quotes:
+                q, gap = rnd.choice(quotes), rnd.choice(["", " ", "\n"])
+                attrs.append(f"{name}{gap}={gap}{q}{value}{q}")
+            else:
+                attrs.append("checked")
+        out.append(f"<{rnd.choice(['a', 'A', 'span', 'h1'])}{''.join(rnd.choice([' ', chr(10), '  ']) + a for a in attrs)}{rnd.choice(['', ' '])}>")
+    return "".join(out)
+
+
+def test_titles_as_the_parser_of_the_standard_library_sees_them(spark):
+    rnd = random.Random(11)
+    pages = [page(rnd) for _ in range(400)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i long, html string").repartition(4)
+    got = {r.i: r.t for r in df.select("i", attributes(F.col("html"), "title").alias("t")).collect()}
+    for i, html in enumerate(pages):
+        assert got[i] == titles(html), html
+    assert sum(map(len, got.values())) > 300
+
+
+def test_entities(spark):
+    cases = {"a&amp;b": "a&b", "&amp;lt;": "&lt;", "&lt;&gt;&quot;&apos;": "<>\"'", "&#65;&#x42;&#X43;": "ABC", "&#0;&#xD800;&#x110000;": "���",
+             "&#128512;": "\U0001f600", "&;&#;&#x;&unknown;": "&;&#;&#x;&unknown;", "": "", "&#38;lt;": "&lt;", "é&#233;": "éé"}
+    df = spark.createDataFrame([(k,) for k in cases], "k string")
+    assert {r.k: r.v for r in df.select("k", decoded(F.col("k")).alias("v")).collect()} == cases
+    assert spark.range(1).select(decoded(F.lit(None).cast("string")).alias("v")).first().v is None
+
+
+def test_unclosed_parts_and_long_pages(spark):
+    rows_ = ["<a title='1.csv'><!-- open <a title='2.csv'>", "<script><a title='3.csv'>", "<a title='4.csv' <b title='5.csv'>", "<a title='6.csv",
+             "<p " + " ".join(f"x{i}='{i}'" for i in range(3000)) + " title='7.csv'>", "x" * 200_000 + "<a title=8.csv>", None, ""]
+    df = spark.createDataFrame(list(enumerate(rows_)), "i long, html string")
+    got = {r.i: r.DATE_KEY for r in page_links(df, id_cols=["i"]).collect()}
+    assert got == {0: "1", 2: "4", 4: "7", 5: "8"}
+
+
+def test_titles_of_other_extensions_are_no_links(spark):
+    df = spark.createDataFrame([("<a title='a.csv'><a title='b.CSV'><a title='c.csv2'><a title='a&amp;b.csv'>",)], "html string")
+    assert rows(page_links(df), "DATE_KEY") == [("a",), ("a&b",)]
