@@ -40,7 +40,8 @@ _NO_WHOLE = rf"^{_BLANK}[+-]?\.\d*{_BLANK}$"  # nothing before the point: 0
 def _integer(c: str | Column, kind: str) -> Column:
     x = _c(c).cast("string")
     whole = F.nullif(F.regexp_extract(x, _WHOLE, 1), F.lit("")).try_cast(kind)
-    return F.when(x.rlike(_NO_WHOLE), F.lit(0).cast(kind)).otherwise(whole)
+    # The second pattern is tried only where the first gave nothing.
+    return F.coalesce(whole, F.when(x.rlike(_NO_WHOLE), F.lit(0).cast(kind)))
 
 
 def as_int(c: str | Column) -> Column:
@@ -94,7 +95,7 @@ def typed_sql(name: str, kind: str, date_formats: Iterable[str] = ()) -> str:
     if kind in ("int", "long"):
         t = f"CAST({x} AS STRING)"
         whole = f"TRY_CAST(NULLIF(regexp_extract({t}, {quote_str(_WHOLE)}, 1), '') AS {kind.upper()})"
-        return f"CASE WHEN {t} RLIKE {quote_str(_NO_WHOLE)} THEN CAST(0 AS {kind.upper()}) ELSE {whole} END"
+        return f"COALESCE({whole}, CASE WHEN {t} RLIKE {quote_str(_NO_WHOLE)} THEN CAST(0 AS {kind.upper()}) END)"
     if kind == "date":
         alts = [f"to_date(try_to_timestamp({x}, {quote_str(f)}))" for f in date_formats]
         base = f"TRY_CAST({x} AS DATE)"
