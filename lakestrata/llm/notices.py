@@ -101,10 +101,11 @@ class Finder:
                 start = last + 1 - size - at - edits - 1
                 end = start + len(notice) + 2 * edits + 2
                 known = regions.setdefault(n, [])
-                if known and start <= known[-1][1]:
-                    known[-1][1] = max(known[-1][1], end)
-                else:
-                    known.append([max(0, start), end])
+                # A seed from further behind in the notice begins its region earlier: it may reach several known ones.
+                while known and start <= known[-1][1]:
+                    before = known.pop()
+                    start, end = min(start, before[0]), max(end, before[1])
+                known.append([max(0, start), end])
         out = []
         for n, known in regions.items():
             notice, label, edits, pattern = self.notices[n]

@@ -82,3 +82,21 @@ def test_edges(spark):
     assert N.with_notices(empty(spark)).count() == 0
     two = by_id(N.with_notices(frame(spark, [(1, APACHE), (1, APACHE)])), "notices.n_words")
     assert two == {1: [(8,), (8,)]}  # the version is two words
+
+
+def test_no_notice_with_repeated_phrases_is_missed():
+    import random
+    notice = "the end of the end of the day and the end of the road"
+    finder, rnd, hits = N.Finder({notice: "x"}, per_edit=10), random.Random(6), 0
+    pattern = finder.notices[0][3]
+    for _ in range(2000):
+        c = list(notice)
+        for _ in range(rnd.randint(1, 6)):
+            at = rnd.randrange(len(c))
+            c[at:at + 1] = rnd.choice([[], ["z"], [c[at], "q"]])
+        line = " the end " + "".join(c) + " of the road the end "
+        whole = pattern.search(line)
+        found = finder.find(line)
+        assert bool(whole) == bool(found), line
+        hits += bool(whole)
+    assert hits > 1000
