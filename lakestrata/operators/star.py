@@ -41,6 +41,20 @@ def location_dim(df: DataFrame, key: str = "LOCATION_KEY",
     return first_per_key(df, key, order, attrs)
 
 
+def location_state(df: DataFrame, key: str = "LOCATION_KEY", attrs: Sequence[str] = ("COUNTRY", "STATE", "LAT", "LONG"),
+                   order: Sequence[str] = ("DATE_ID",)) -> DataFrame:
+    """What ``location_dim`` keeps of its rows: the first of each key, with its place in the order.
+
+    States merge: ``merged_location_state`` of two tables' states is the state of both tables together.
+    """
+    return first_per_key(df, key, order, [*order, *(a for a in attrs if a not in order)])
+
+
+def merged_location_state(old: DataFrame, new: DataFrame, key: str = "LOCATION_KEY",
+                          attrs: Sequence[str] = ("COUNTRY", "STATE", "LAT", "LONG"), order: Sequence[str] = ("DATE_ID",)) -> DataFrame:
+    return location_state(old.unionByName(new), key, attrs, order)
+
+
 def calendar_dim(df: DataFrame, date_col: str = "DATE_ID") -> DataFrame:
     """Distinct dates seen (gaps stay gaps; a NULL date gives a NULL row)."""
     return df.select(date_col).distinct().withColumns(calendar_attributes(date_col))

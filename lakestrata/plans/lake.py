@@ -25,9 +25,11 @@ from lakestrata.plans.checks import verify_lake
 from lakestrata.plans.ingest import (
     KEY, _paths, find_missing, ingest_missing, keyed_source, lake_listing, read_missing, write_missing,
 )
-from lakestrata.plans.refined import publish_refined, read_trusted, refine
+from lakestrata.plans.refined import STATE as LOCATION_STATE
+from lakestrata.plans.refined import publish_refined, read_trusted, refine, refine_more
 from lakestrata.plans.trusted import harmonise_reports, last_rows, quality_table, trusted_from_quality
 from lakestrata.session import scratch_path
+from lakestrata.sources.commit import has_released
 from lakestrata.sources.csv import read_or_empty, read_partitioned_csv
 from lakestrata.sources.headers import wide_enough
 from lakestrata.sources.listing import file_keys
@@ -226,7 +228,12 @@ def build_refined(spark: SparkSession, paths: LakePaths, *, fmt: str = "parquet"
     trusted = read_trusted(spark, paths.trusted, fmt)
     days = None if series is None else _written(
         _since(trusted, _written(series, "touched-series"), "left_semi").select("DATE_ID").distinct(), "touched-days")
-    publish_refined(refine(trusted), paths.refined, fmt, days=days)
+    tables = refine(trusted)
+    if days is not None and has_released(spark, paths.refined, LOCATION_STATE):
+        # Rows are only ever added: the dimensions take those of the files that the star lacks.
+        new = quality_rows(spark, paths).join(due, keys, "left_semi")
+        tables = refine_more(spark, trusted, new, paths.refined, fmt)
+    publish_refined(tables, paths.refined, fmt, days=days)
     _record(due, paths, "refined")
     return True
 

@@ -104,6 +104,13 @@ def finish(spark: SparkSession, root: str) -> None:
     files.delete(staged)
 
 
+def has_released(spark: SparkSession, root: str, name: str) -> bool:
+    """Whether the release that counts has a table."""
+    files = Files(spark, root)
+    release = pending(files, root) if files.exists(root) else None
+    return files.exists(f"{root}/{name}") or release is not None and files.exists(f"{release['staged']}/{name}")
+
+
 def read_released(spark: SparkSession, root: str, name: str, read, partition: str | None = None) -> DataFrame:
     """A table of the release that counts; ``read(path)`` gives the table of a folder.
 

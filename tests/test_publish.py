@@ -167,3 +167,23 @@ def test_files_in_any_order_give_the_table_of_a_whole_run(spark, workdir):
         assert rows(lake.read_trusted(spark, paths.trusted)) == want
         fact = rows(R.read_refined(spark, paths.refined, "fato_covid"), "DATE_ID", "CONFIRMED")
         assert fact == rows(lake.read_trusted(spark, paths.trusted), "DATE_ID", "CONFIRMED")
+
+
+def test_dimensions_after_many_loads_are_those_of_a_whole_build(spark, workdir, monkeypatch):
+    import lakestrata.plans.lake as lake
+    src = f"{workdir}/src"
+    paths, dirs = lake.LakePaths(f"{workdir}/lake"), {"general": f"{src}/general", "us": f"{src}/us"}
+    report(f"{src}/us/0.csv", HEADER.replace("Case_Fatality_Ratio", "Mortality_Rate"), [line("x", 4, 5)])
+    loads = [[("a", 5, 1), ("b", 5, 1)], [("c", 6, 1)], [("a", 2, 1), ("d", None, 3)], [], [("b", None, 9), ("e", 9, 1)]]
+    read = []
+    whole = lake.refine_more
+    monkeypatch.setattr(lake, "refine_more", lambda s, t, new, *a, **k: (read.append(new.count()), whole(s, t, new, *a, **k))[1])
+    for n, lines in enumerate(loads):
+        # The same place with other coordinates on each day: the first row's count.
+        report(f"{src}/general/{n}.csv", HEADER, [line(p, d, v).replace(",1,1,", f",{d or 0},{n},", 1) for p, d, v in lines])
+        lake.run_lake(spark, paths, dirs)
+        want = R.refine(R.read_trusted(spark, paths.trusted))
+        for name in ("dim_location", "dim_calendar", R.STATE):
+            got = R.read_refined(spark, paths.refined, name)
+            assert rows(got) == rows(want[name].select(*got.columns)), (n, name)
+    assert read == [len(lines) for lines in loads[1:]]
