@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import in_blocks
+from lakestrata.llm.common import bounded_batches, give_back, in_blocks
 
 #: Bytes of pre-tokens and ids remembered by a task, and of the pre-tokens that are.
 CACHE_BYTES, CACHED = 64 << 20, 64
@@ -137,7 +137,10 @@ def _apply(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, out:
             texts = batch.where(batch.notna(), "").tolist()
             for part in in_blocks([len(t) + 1 for t in texts], BLOCK):
                 yield pd.DataFrame([row(coder, t) for t in texts[part]], columns=kind.names)
+        del coder
+        give_back()
 
+    bounded_batches(df.sparkSession)
     return df.withColumn(out, run(F.col(text)))
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +30,26 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Bytes of texts that Spark sends to Python at a time, and its own bound; a session with another value keeps it.
+BATCH_BYTES, SPARKS_BATCH = 8 << 20, 64 << 20
+_BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Smaller Arrow batches for the session, where it has Spark's own bound: a task holds each several times over."""
+    if spark.conf.get(_BATCH_CONF, "") in (f"{SPARKS_BATCH}b", str(SPARKS_BATCH)):
+        spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
+
+
+def give_back() -> None:
+    """Returns what a task has freed to the machine, as its Python worker lives on."""
+    gc.collect()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):  # another C library
+        pass
+
+
 def remainder(key: str, mod: int) -> Column:
     """crc32 of the id as text, modulo ``mod``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(key).cast("string"), F.lit(""))) % mod

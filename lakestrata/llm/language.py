@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import free_name, in_blocks, sample_ids
+from lakestrata.llm.common import bounded_batches, free_name, give_back, in_blocks, sample_ids
 
 #: Letters of the samples, folded and joined by single spaces, per language.
 TRAIN_CHARS = 40_000
@@ -109,7 +109,7 @@ def automaton(symbols: np.ndarray, width: int) -> np.ndarray:
 
 
 class CrossParser:
-    """Automata of all languages over one alphabet; built once per worker."""
+    """Automata of all languages over one alphabet; built once per task."""
 
     def __init__(self, samples: dict[str, str]):
         self.langs = sorted(samples)
@@ -206,17 +206,6 @@ class CrossParser:
         return out
 
 
-_PARSERS: dict[tuple, CrossParser] = {}
-
-
-def parser(samples: dict[str, str]) -> CrossParser:
-    key = tuple(sorted(samples.items()))
-    if key not in _PARSERS:
-        _PARSERS.clear()
-        _PARSERS[key] = CrossParser(samples)
-    return _PARSERS[key]
-
-
 def _pieces(labelled: DataFrame, text: str, lang: str, key: str, docs: int, chars: int) -> dict[str, list[str]]:
     """The first ``chars`` letters of the ``docs`` documents per language whose key has the lowest hash."""
     rows = labelled.where(F.col(text).isNotNull()).select(key, lang, text)
@@ -291,14 +280,15 @@ def with_language(df: DataFrame, samples: dict[str, str], text: str = "text",
     """
     @F.pandas_udf(RESULT)
     def predict(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        model = parser(samples)
+        model = CrossParser(samples)  # the task's own: it goes with the iterator
         for batch in batches:
             texts = batch.where(batch.notna(), None).tolist()
-            rows: list[tuple] = []
             for part in in_blocks([len(t or "") for t in texts], BLOCK):
-                rows += model.predict(texts[part])
-            yield pd.DataFrame(rows, columns=RESULT.names)
+                yield pd.DataFrame(model.predict(texts[part]), columns=RESULT.names)
+        del model
+        give_back()
 
+    bounded_batches(df.sparkSession)
     return df.withColumn(out, predict(F.col(text)))
 
 
