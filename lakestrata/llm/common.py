@@ -37,7 +37,7 @@ _BATCH_CONF = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 def bounded_batches(spark: SparkSession) -> None:
     """Smaller Arrow batches for the session, where it has Spark's own bound: a task holds each several times over."""
-    if spark.conf.get(_BATCH_CONF, "") in (f"{SPARKS_BATCH}b", str(SPARKS_BATCH)):
+    if spark.conf.get(_BATCH_CONF) in (f"{SPARKS_BATCH}b", str(SPARKS_BATCH)):
         spark.conf.set(_BATCH_CONF, str(BATCH_BYTES))
 
 

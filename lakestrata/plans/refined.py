@@ -55,9 +55,8 @@ def refine_more(spark: SparkSession, trusted: DataFrame, new_rows: DataFrame, ro
 
 def null_date_rows(spark: SparkSession, trusted: DataFrame,
                    view: str = "base_trusted") -> DataFrame:
-    """Rows whose date could not be read, through SQL on a temp view."""
-    trusted.createOrReplaceTempView(view)
-    return spark.sql(f"SELECT * FROM {view} WHERE DATE_ID IS NULL")
+    """Rows whose date could not be read, through SQL on a view that Spark names and drops; a caller's view stays."""
+    return spark.sql(f"SELECT * FROM {{{view}}} WHERE DATE_ID IS NULL", **{view: trusted})
 
 
 def publish_refined(tables: dict[str, DataFrame], root: str, fmt: str = "parquet",

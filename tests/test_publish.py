@@ -1,6 +1,7 @@
 """A star is published whole or not at all, wherever a run stops."""
 
 import datetime as dt
+import shutil
 
 import pytest
 
@@ -57,14 +58,14 @@ def test_a_run_that_stops_anywhere_leaves_a_whole_star(spark, workdir, monkeypat
 
     old(f"{workdir}/old")
     before = star(spark, f"{workdir}/old")
-    old(f"{workdir}/new")
+    shutil.copytree(f"{workdir}/old", f"{workdir}/new")
     new(f"{workdir}/new")
     after = star(spark, f"{workdir}/new")
     assert before != after and len(after["fato_covid"]) == (12 if partial else 15)
     seen = []
-    for number in range(40):
+    for number in range(4 if partial else 0, 40):  # the tables' writes are those of the other run
         root = f"{workdir}/{number}"
-        old(root)
+        shutil.copytree(f"{workdir}/old", root)
         with monkeypatch.context() as m:
             stop_at(m, number)
             try:
