@@ -64,6 +64,6 @@ def test_run_and_registration(spark):
     import __spark_entry__ as e
     got = e.queries()
     assert set(QUERIES) | {"pipeline"} <= set(got) and set(ORACLE) <= set(e.oracle_sql())
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
     out = P.run(spark, SF)
     assert 0 < out.count() <= 200 and {"doc_id", "text", "lang", "source", "n_chars", "ids", "n_tokens"} == set(out.columns)
