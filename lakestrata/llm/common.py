@@ -42,7 +42,8 @@ def bounded_batches(spark: SparkSession) -> None:
 
 
 def give_back() -> None:
-    """Returns what a task has freed to the machine, as its Python worker lives on."""
+    """Returns what a task has freed to the machine, and the powers of hashes, as its Python worker lives on."""
+    _POWERS.clear()
     gc.collect()
     try:
         ctypes.CDLL(None).malloc_trim(0)
