@@ -12,9 +12,10 @@ Candidates are verified on their shingles, and the groups are the connected
 components of what holds.  Copies of one shingle multiset are one node from the
 start, each text meets one leader first, and pairs inside a group already found aren't looked at
 again.  The texts of large buckets that are left are joined on their rarest shingles, which
-finds every similar pair.  Texts of a shingle that many have aren't paired but dealt on by deeper
-bands, level by level until few share a bucket, and meet these and a leader: their work follows the
-number of texts, not its square, and finds nearly all of their pairs.
+finds every similar pair.  Texts of a shingle that many have aren't joined on it: they are compared by blocks, all
+blocks of those that are connected by such shingles with each other, and a pair of blocks gives back what links it needs to
+be as connected as its similar pairs make it.  So no pair is lost there either, rows follow the number of
+texts times that of blocks, and a task holds two blocks at a time.
 """
 
 from __future__ import annotations
@@ -37,9 +38,14 @@ BANDS, ROWS = 20, 5
 PAIRED = 16
 #: Texts of a shingle up to which they are paired in full.
 HOT = 64
-#: Of the others: trees of a second signature, rows of its bands level by level, and texts of a bucket that goes no deeper.
-#: A pair at 0.8 shares a bucket of 14 rows with probability 1 - (1 - 0.8**14)**64 = 0.94.
-TREES, LEVELS, DEEP_PAIRED = 64, (8, 10, 12, 14, 17, 20, 24, 30), 4
+#: Of the others: texts of a block that is compared as a whole, and bytes of their shingles.
+BLOCK_TEXTS, BLOCK_SHINGLES = 512, 2 << 20
+#: Shingles whose shares are summed at a time.
+SUMMED = 2048
+#: Links up to which one task finishes the components.
+FEW_LINKS = 1 << 14
+#: Trees of a second signature, and rows of its bands level by level.
+TREES, LEVELS = 64, (8, 10, 12, 14, 17, 20, 24, 30)
 DEEP_SEED = 0x5851F42D4C957F2D
 #: Odd multipliers of a shingle's five word hashes.
 FACTORS = [0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F]
@@ -212,14 +218,75 @@ def _tokens(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     give_back()
 
 
-def _deep(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """A row per tree of (node, root, blob), with the hash of each level."""
-    for batch in batches:
-        for i in range(0, len(batch), 64):
-            rows = batch[i:i + 64]
-            bands = deep_bands([unpacked(b) for b in rows["blob"]])
-            yield pd.DataFrame({"node": np.repeat(rows["node"].to_numpy(), TREES), "root": np.repeat(rows["root"].to_numpy(), TREES),
-                                "bands": list(bands.reshape(-1, len(LEVELS)))})
+def _incidence(sets: list[tuple[np.ndarray, np.ndarray]], shared: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, place in ``shared``, share of the row's text) of the shingles that ``shared``, ascending, has, by place."""
+    sizes = [len(s) for s, _ in sets]
+    shingle = np.concatenate([s for s, _ in sets])
+    share = np.concatenate([c / c.sum() for _, c in sets])
+    place = np.searchsorted(shared, shingle)
+    there = np.flatnonzero(shared[np.minimum(place, len(shared) - 1)] == shingle)
+    there = there[np.argsort(place[there], kind="stable")]
+    return np.repeat(np.arange(len(sets)), sizes)[there], place[there], share[there]
+
+
+def bounds(a: list[tuple[np.ndarray, np.ndarray]], b: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    """[a, b]: what the similarity of each two texts is at most, by the shares of their common shingles; equal to it for counts of one.
+
+    A common shingle of shares p and q adds 1 / (1/p + (1 - Q)/q) at most, where P and Q are the texts' shares in common: concave and of degree
+    one, so all of them add P Q / (P + Q - P Q) at most.
+    """
+    shared = np.intersect1d(np.concatenate([s for s, _ in a]), np.concatenate([s for s, _ in b]))
+    p, q = np.zeros((2, len(a), len(b)), np.float32)
+    if len(shared):
+        sides = [_incidence(side, shared) for side in (a, b)]
+        for start in range(0, len(shared), SUMMED):
+            weights, there = [], []
+            for (row, place, share), n in zip(sides, (len(a), len(b)), strict=True):
+                part = slice(*np.searchsorted(place, [start, start + SUMMED]))
+                w = np.zeros((n, min(SUMMED, len(shared) - start)), np.float32)
+                w[row[part], place[part] - start] = share[part]
+                weights.append(w)
+                there.append((w > 0).astype(np.float32))
+            p += weights[0] @ there[1].T
+            q += there[0] @ weights[1].T
+    return p * q / np.maximum(p + q - p * q, np.float32(1e-9))
+
+
+class _Sets:
+    """Disjoint sets of numbers, each named by its smallest."""
+
+    def __init__(self, n: int):
+        self.up = list(range(n))
+
+    def of(self, i: int) -> int:
+        while self.up[i] != i:
+            self.up[i] = i = self.up[self.up[i]]
+        return i
+
+    def join(self, i: int, j: int) -> None:
+        i, j = self.of(i), self.of(j)
+        self.up[max(i, j)] = min(i, j)
+
+
+def _compared(least: float):
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        """(a, b): links that connect what the similar pairs of the cell's two blocks do; of one block, of its own pairs."""
+        root = np.unique(rows["root"].to_numpy(), return_inverse=True)[1]
+        sets, node = [unpacked(x) for x in rows["blob"]], rows["node"].to_numpy()
+        block = rows["block"].to_numpy()
+        low, high = (np.flatnonzero(block == n) for n in (block.min(), block.max()))
+        most = bounds([sets[i] for i in low], [sets[j] for j in high])
+        found, joined = [], _Sets(int(root.max()) + 1)
+        # Sums of small floats: a pair at the limit may seem a little less.
+        for i, j in np.argwhere((most >= least - 1e-4) & (root[low][:, None] != root[high])).tolist():
+            i, j = int(low[i]), int(high[j])
+            if joined.of(root[i]) != joined.of(root[j]) and similarity(sets[i], sets[j]) >= least:
+                joined.join(root[i], root[j])
+                found.append((node[i], node[j]))
+        del sets, most
+        give_back()
+        return pd.DataFrame(found, columns=["a", "b"])
+    return run
 
 
 def _verified(least: float):
@@ -230,16 +297,30 @@ def _verified(least: float):
     return run.asNondeterministic()  # as above
 
 
+def _joined(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """(node, root) of all links of the task."""
+    links = pd.concat(list(batches))
+    nodes, at = np.unique(np.concatenate([links["a"].to_numpy(), links["b"].to_numpy()]), return_inverse=True)
+    joined = _Sets(len(nodes))
+    for i, j in zip(at[:len(links)].tolist(), at[len(links):].tolist(), strict=True):
+        joined.join(i, j)
+    yield pd.DataFrame({"node": nodes, "root": nodes[[joined.of(i) for i in range(len(nodes))]]})
+
+
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node of each connected component of (a, b) links.
 
     Each round hooks every node to its smallest neighbour, follows the hooks
     to their ends by doubling, and contracts the links; the rounds are logarithmic in the
-    number of nodes.
+    number of nodes.  Once ``FEW_LINKS`` are left, one task joins them.
     """
-    edges = written(links.select("a", "b").where("a <> b").distinct(), "edges")
+    edges = written(links.select("a", "b").where("a <> b"), "edges")
     labels = None
-    while not edges.isEmpty():
+    while n := edges.count():
+        if n <= FEW_LINKS:
+            kind = edges.schema["a"].dataType.simpleString()
+            hooks = written(edges.repartition(1).mapInPandas(_joined, f"node {kind}, root {kind}"), "hooks")
+            return hooks if labels is None else _onward(labels, hooks)
         both = edges.union(edges.select("b", "a"))
         hooks = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low"))
                         .select("node", F.least("node", "low").alias("root")), "hooks")
@@ -250,12 +331,7 @@ def components(links: DataFrame) -> DataFrame:
             hooks = jumped.select("node", "root")
             if jumped.where("moved").isEmpty():
                 break
-        if labels is None:
-            labels = hooks
-        else:
-            onward = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
-            labels = written(labels.join(onward, "root", "left")
-                             .select("node", F.coalesce("next", "root").alias("root")), "labels")
+        labels = hooks if labels is None else _onward(labels, hooks)
         ends = hooks.select(F.col("node").alias("a"), F.col("root").alias("ra"))
         other = hooks.select(F.col("node").alias("b"), F.col("root").alias("rb"))
         edges = written(edges.join(ends, "a").join(other, "b").where("ra <> rb")
@@ -263,8 +339,14 @@ def components(links: DataFrame) -> DataFrame:
     return labels if labels is not None else edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
+def _onward(labels: DataFrame, hooks: DataFrame) -> DataFrame:
+    """(node, root) of ``labels`` with their roots' roots."""
+    onward = hooks.select(F.col("node").alias("root"), F.col("root").alias("next"))
+    return written(labels.join(onward, "root", "left").select("node", F.coalesce("next", "root").alias("root")), "labels")
+
+
 def _pairs(both: DataFrame) -> DataFrame:
-    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    return both.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
 
 
 class _Groups:
@@ -326,7 +408,7 @@ class _Groups:
         # 3. What large buckets may still hide, exactly and without their pairs.
         left = self.open().where(f"n > {PAIRED}").select("node", "root").distinct()
         if not left.isEmpty():
-            self.verify(self.sharing_rare(written(left, "rest")))
+            self.verify(self.sharing_rare(left))
 
     def sharing_rare(self, nodes: DataFrame) -> DataFrame:
         """(a, b): the pairs of (node, root) in different components that can be as similar as asked.
@@ -335,7 +417,7 @@ class _Groups:
         rarest on, up to where their share passes the rest, is the pair's rarest common one: texts
         with enough shingles of their own share nothing there with the texts they were changed from.
         Within a shingle's texts the pairs inside the largest component are left out.  Texts of a shingle that more than ``hot`` have
-        are paired by ``sharing_deep`` instead.
+        are paired by ``sharing_often`` instead.
         """
         tokens = written(nodes.join(self.shingled, "node").select("node", "root", "blob").mapInPandas(
             _tokens, "node binary, root binary, shingle long, times long"), "tokens")
@@ -351,39 +433,46 @@ class _Groups:
                                             F.count("*").alias("roots")).where("roots > 1")
         many = F.lit(False) if self.hot is None else F.col("texts") > self.hot
         most = written(most.select("shingle", F.col("m.root").alias("most"), many.alias("hot")), "shared-shingles")
-        few = most.where("not hot")
-        a = (first.join(few, "shingle").where("root <> most")
-             .select("shingle", F.col("node").alias("a"), F.col("root").alias("ra")))
-        b = first.select("shingle", F.col("node").alias("b"), F.col("root").alias("rb"))
-        pairs = _pairs(a.join(b, "shingle").where("ra <> rb"))
-        hot = most.where("hot").select("shingle")
+        few, hot = most.where("not hot"), most.where("hot").select("shingle")
+        found, cluster = None, F.lit(None).cast(first.schema["node"].dataType).alias("cluster")
+        members = first
         if not hot.isEmpty():
-            pairs = pairs.unionByName(self.sharing_deep(written(first.join(hot, "shingle").select("node", "root").distinct(), "hot")))
-        return pairs.distinct()
-
-    def sharing_deep(self, nodes: DataFrame) -> DataFrame:
-        """(a, b): pairs of (node, root) in different components that share a deep band, a bounded number a text.
-
-        In each tree, texts of a bucket that more than ``DEEP_PAIRED`` share go on to the next level, with more rows to agree in; where few are
-        left, they are pairs, and a text also meets the leader of the last large bucket it was in.
+            found, clusters = self.sharing_often(written(first.join(hot, "shingle"), "hot"))
+            members, cluster = first.join(clusters, "node", "left"), "cluster"
+        members = members.select("shingle", "node", "root", cluster)
+        a = (members.join(few, "shingle").where("root <> most")
+             .select("shingle", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("cluster").alias("ca")))
+        b = members.select("shingle", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("cluster").alias("cb"))
+        # Texts of one cluster have been compared.
+        pairs = _pairs(a.join(b, "shingle").where("ra <> rb and not coalesce(ca = cb, false)"))
+        return (pairs if found is None else pairs.unionByName(found)).distinct()
+
+    def sharing_often(self, shared: DataFrame) -> tuple[DataFrame, DataFrame]:
+        """(a, b): links that connect what all similar pairs of (shingle, node, root) of a cluster do; (node, cluster).
+
+        Texts that such shingles connect, over others too, are a cluster; a cluster's texts are dealt to blocks by their hash, and each two
+        blocks meet in a cell.  Blocks of the cluster's largest component have no text of another; these don't meet each other.
         """
-        at = written(nodes.join(self.shingled, "node").select("node", "root", "blob").mapInPandas(
-            _deep, "node binary, root binary, bands array<long>"), "deep")
-        found = None
-        for level in range(len(LEVELS)):
-            here = at.withColumn("bucket", F.col("bands")[level])
-            sizes = here.groupBy("bucket").agg(F.count("*").alias("n"), F.max(F.struct("node", "root")).alias("leader")).where("n > 1")
-            here = written(here.join(sizes, "bucket"), "deep")
-            few, large = here.where(f"n <= {DEEP_PAIRED}"), here.where(f"n > {DEEP_PAIRED}")
-            a = few.select("bucket", F.col("node").alias("a"), F.col("root").alias("ra"))
-            b = few.select("bucket", F.col("node").alias("b"), F.col("root").alias("rb"))
-            led = large.select(F.col("node").alias("a"), F.col("root").alias("ra"), F.col("leader.node").alias("b"), F.col("leader.root").alias("rb"))
-            pairs = _pairs(a.join(b, "bucket").where("ra <> rb and a < b")).unionByName(_pairs(led.where("ra <> rb")))
-            found = pairs if found is None else found.unionByName(pairs)
-            at = large.select("node", "root", "bands")
-            if at.isEmpty():
-                break
-        return written(found.distinct(), "deep-pairs")
+        ends = shared.groupBy("shingle").agg(F.min("node").alias("b"))
+        clusters = components(shared.join(ends, "shingle").select(F.col("node").alias("a"), "b").distinct())
+        clusters = clusters.withColumnRenamed("root", "cluster")
+        texts = (shared.select("node", "root").distinct().join(clusters, "node")
+                 .join(self.shingled, "node"))
+        texts = written(texts, "often")
+        sizes = texts.groupBy("cluster", "root").agg(F.count("*").alias("n"), F.sum(F.length("blob")).alias("size"))
+        blocks = lambda n, size: F.ceil(F.greatest(n / BLOCK_TEXTS, size / BLOCK_SHINGLES)).cast("int")
+        large = sizes.groupBy("cluster").agg(F.max(F.struct("n", "size", "root")).alias("m"), F.sum("n").alias("n"), F.sum("size").alias("size"))
+        large = large.select("cluster", F.col("m.root").alias("most"), blocks(F.col("m.n"), F.col("m.size")).alias("alike"),
+                             blocks(F.col("n") - F.col("m.n"), F.col("size") - F.col("m.size")).alias("others")).where("others > 0")
+        number = F.xxhash64("node")
+        dealt = (texts.join(large, "cluster")
+                 .withColumn("block", F.when(F.col("root") == F.col("most"), F.pmod(number, "alike"))
+                             .otherwise(F.col("alike") + F.pmod(number, "others")).cast("int"))
+                 .withColumn("other", F.explode(F.sequence(F.when(F.col("root") == F.col("most"), F.col("alike")).otherwise(F.lit(0)),
+                                                           F.col("alike") + F.col("others") - 1))))
+        found = (dealt.select("cluster", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high"), "block", "node", "root", "blob")
+                 .groupBy("cluster", "low", "high").applyInPandas(_compared(self.least), "a binary, b binary"))
+        return written(_pairs(found).distinct(), "often-pairs"), clusters
 
     def text_groups(self) -> DataFrame:
         """(text_key, group) of every text that has a word."""
@@ -398,7 +487,7 @@ def text_groups(docs: DataFrame, text: str = "text", bands: int = BANDS, rows: i
     ``text_key`` is the SHA-256 of the text.  Null texts and texts without a
     word have no row.  Links hold exactly (on 64-bit shingle hashes); the
     bands find a pair of similarity 0.8 with probability 0.9996, a closer one with more.  Texts that share a shingle with
-    more than ``hot`` others may lose a pair more; with None they are all paired, in a time that grows with their square.
+    more than ``hot`` others are compared by blocks, with None as rows of a join; both find the same groups.
     """
     g = _Groups(docs, text, bands, rows, least, hot)
     g.find()

@@ -167,3 +167,33 @@ def test_deep_bands_are_of_the_whole_multiset():
     near = N.deep_bands([a, N.shingles([changed(prose(1, 200), [50, 120])])[0]])
     agree = (near[0] == near[1]).mean(0)
     assert agree[0] > agree[-1] and 0.2 < agree[0] < 0.9
+
+
+def test_no_pair_of_a_hot_passage_is_lost(spark, monkeypatch):
+    texts, _ = hot_passage(40, 0)
+    copies = [changed(t, [20 + 13 * (i % 5) + 30 * k for k in range(4)]) for i, t in enumerate(texts)]  # as unlike as near copies can be
+    rows = list(enumerate(texts)) + [(1000 + i, t) for i, t in enumerate(copies)]
+    monkeypatch.setattr(N, "BLOCK_TEXTS", 30)
+    nodes = spark.createDataFrame([(t, str(i).encode()) for i, t in rows], "text string, node binary").coalesce(1)
+    g = N._Groups.__new__(N._Groups)
+    g.least, g.hot = N.SIMILARITY, 8
+    g.shingled = nodes.select("node", N._packed_shingles("text").alias("blob"))
+    found = {frozenset((int(r.a), int(r.b))) for r in g.sharing_rare(nodes.select("node", nodes.node.alias("root"))).collect()}
+    sets = dict(zip([i for i, _ in rows], N.shingles([t for _, t in rows])))
+    right = {frozenset(p) for p in itertools.combinations(sets, 2) if N.similarity(sets[p[0]], sets[p[1]]) >= 0.8}
+    assert len(right) >= 35
+    joined = N._Sets(2000)
+    for p in found & right:
+        joined.join(*p)
+    assert [p for p in right if len({joined.of(i) for i in p}) > 1] == []
+
+
+def test_bounds_of_similarity():
+    texts = [prose(1, 300), changed(prose(1, 300), range(0, 60, 6)), " ".join([prose(2, 40)] * 5 + [prose(1, 300)]), prose(9, 50), "one"]
+    sets = N.shingles(texts)
+    most = N.bounds(sets, sets)
+    for i, j in itertools.product(range(5), repeat=2):
+        exact = N.similarity(sets[i], sets[j])
+        assert most[i, j] >= exact - 1e-5
+        if max(sets[i][1].max(), sets[j][1].max()) == 1:
+            assert abs(most[i, j] - exact) < 1e-5
