@@ -221,3 +221,16 @@ def test_sql_on_cases_that_the_masks_and_the_stretch_rule_decide(spark, workdir)
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{workdir}/{t}.parquet/*.parquet'")
     assert got == sorted(con.execute(ORACLE["op9_decontamination"]).fetchall())
     assert {(9000, 15), (703, 7), (4004, 40)} <= {r[:2] for r in got}
+
+
+def test_filters_bits_are_in_no_plan(spark):
+    from pyspark.sql import functions as F
+
+    from lakestrata.llm.common import bit_filter, has_bit
+    n = 1 << 18
+    numbers = [0, 1, n - 1, -1, 1 << 40, 123_456_789]
+    keys = spark.createDataFrame([(i,) for i in numbers], "h long")
+    asked = spark.createDataFrame([(i,) for i in [*numbers, 5, 77_777]], "h long").where(has_bit(bit_filter(keys, "h", n), F.col("h")))
+    assert sorted(r.h for r in asked.collect()) == sorted(numbers)
+    assert len(asked._jdf.queryExecution().toString()) < 20_000
+    assert spark.range(9).where(has_bit(bit_filter(keys.limit(0), "h", n), F.col("id"))).count() == 0
