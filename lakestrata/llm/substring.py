@@ -30,6 +30,9 @@ SPAN = 50
 #: Cells per row of the sketch; two rows of one bit a cell (repeated or not) are 128 MiB.
 WIDTH, DEPTH = 1 << 29, 2
 CELLS = 1 << 16  # per block of a row
+#: Windows that a task counts before it sends their cells, 8 bytes each.
+COUNTED = 1 << 21
+
 
 def fingerprints(texts: list[str | None], span: int = SPAN) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """(text number, start, high, low) of every window of the texts, in order."""
@@ -47,27 +50,39 @@ def cells(high: np.ndarray, low: np.ndarray) -> list[np.ndarray]:
     return [(h % np.uint64(WIDTH)).astype(np.uint32) for h in (high, low)]
 
 
+def _sketch(parts: list[tuple[np.ndarray, ...]]) -> pd.DataFrame:
+    """Per row and block of the sketch, the cells counted once and those counted more often."""
+    rows = []
+    for r, cs in enumerate(zip(*parts, strict=True)):
+        c = np.concatenate(cs)
+        c.sort()
+        new = np.concatenate([[True], c[1:] != c[:-1]])
+        again = np.zeros(len(c), bool)
+        again[:-1] = ~new[1:]
+        distinct, more = c[new], again[new]
+        block = distinct // CELLS
+        cuts = np.nonzero(np.diff(block, prepend=-1))[0]
+        for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(block)], strict=True):
+            part, m = (distinct[a:b] % CELLS).astype("<u2"), more[a:b]
+            rows.append((r, int(block[a]), part[~m].tobytes(), part[m].tobytes()))
+    return pd.DataFrame(rows, columns=["row", "block", "once", "more"])
+
+
 def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Sketch of each batch: per row and block, the cells counted once and those counted more often."""
+    """Sketches of ``COUNTED`` windows each, so that a block's cells go in few rows."""
+    held, n = [], 0
     for batch in batches:
         texts = batch["text"].tolist()
         for part in text_blocks(texts):
             _, _, high, low = fingerprints(texts[part])
-            if not len(high):
-                continue
-            rows = []
-            for r, c in enumerate(cells(high, low)):
-                c.sort()
-                new = np.concatenate([[True], c[1:] != c[:-1]])
-                again = np.zeros(len(c), bool)
-                again[:-1] = ~new[1:]
-                distinct, more = c[new], again[new]
-                block = distinct // CELLS
-                cuts = np.nonzero(np.diff(block, prepend=-1))[0]
-                for a, b in zip(cuts.tolist(), [*cuts[1:].tolist(), len(block)], strict=True):
-                    part, m = (distinct[a:b] % CELLS).astype("<u2"), more[a:b]
-                    rows.append((r, int(block[a]), part[~m].tobytes(), part[m].tobytes()))
-            yield pd.DataFrame(rows, columns=["row", "block", "once", "more"])
+            if len(high):
+                held.append(cells(high, low))
+                n += len(high)
+            if n >= COUNTED:
+                yield _sketch(held)
+                held, n = [], 0
+    if held:
+        yield _sketch(held)
 
 
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -100,3 +100,10 @@ def test_edges(spark):
 
 def test_empty_table(spark):
     assert S.without_repeats(empty(spark)).count() == 0
+
+
+def test_sketch_goes_in_few_rows():
+    import pandas as pd
+    batches = [pd.DataFrame({"text": [prose(100 * k + i, 400) for i in range(20)]}) for k in range(6)]
+    sent = pd.concat(list(S._counted(iter(batches))))
+    assert len(sent) > 10_000 and not sent.duplicated(["row", "block"]).any()
