@@ -25,8 +25,10 @@ from lakestrata.llm.common import bounded_batches, give_back, in_blocks
 
 #: Bytes of pre-tokens and ids remembered by a task, and of the pre-tokens that are.
 CACHE_BYTES, CACHED = 64 << 20, 64
+#: The same where the rows carry the ids and bytes themselves, which take memory beside it.
+IDS_CACHE_BYTES = 24 << 20
 #: Characters of texts encoded before their rows are sent on.
-BLOCK = 1 << 21
+BLOCK = 1 << 19
 
 RESULT = T.StructType([
     T.StructField("ids", T.ArrayType(T.IntegerType())),
@@ -87,10 +89,11 @@ def model_bytes(ranks: dict[bytes, int]) -> tuple[bytes, list[int]]:
 
 
 class Codec(dict):
-    """pre-token -> its ids; encodes on a miss.  Holds ``CACHE_BYTES`` at most, and long pre-tokens not at all."""
+    """pre-token -> its ids; encodes on a miss.  Holds ``most`` bytes, and long pre-tokens not at all."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, model: tuple[bytes, list[int]] | None = None):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, model: tuple[bytes, list[int]] | None = None, most: int | None = None):
         super().__init__()
+        self.most = CACHE_BYTES if most is None else most
         import sentencepiece
         proto, self.rank_of = model or model_bytes(ranks)
         self.held = 0
@@ -110,7 +113,7 @@ class Codec(dict):
             ids = tuple(self.rank_of[i] for i in self.model.encode(mapped))
         if len(raw) <= CACHED:
             self.held += len(raw) + 8 * len(ids) + 200  # with what the objects take themselves
-            if self.held > CACHE_BYTES:
+            if self.held > self.most:
                 self.clear()
                 self.held = 0
             self[piece] = ids
@@ -126,13 +129,14 @@ class Codec(dict):
         return b"".join(map(self.token.__getitem__, ids))
 
 
-def _apply(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, out: str, kind: T.StructType, row) -> DataFrame:
+def _apply(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str, out: str, kind: T.StructType, row,
+           most: int | None = None) -> DataFrame:
     # The vocabulary and its model: a fixed size.
     shared = df.sparkSession.sparkContext.broadcast((ranks, model_bytes(ranks)))
 
     @F.pandas_udf(kind)
     def run(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        coder = Codec(shared.value[0], pattern, shared.value[1])  # the task's own: it goes with the iterator
+        coder = Codec(shared.value[0], pattern, shared.value[1], most)  # the task's own: it goes with the iterator
         for batch in batches:
             texts = batch.where(batch.notna(), "").tolist()
             for part in in_blocks([len(t) + 1 for t in texts], BLOCK):
@@ -155,7 +159,7 @@ def with_tokens(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str
         ids = coder.encode(t)
         return ids, coder.decode(ids)
 
-    return _apply(df, ranks, pattern, text, out, RESULT, row)
+    return _apply(df, ranks, pattern, text, out, RESULT, row, IDS_CACHE_BYTES)
 
 
 def with_token_digests(df: DataFrame, ranks: dict[bytes, int], pattern: str, text: str = "text", out: str = "bpe") -> DataFrame:

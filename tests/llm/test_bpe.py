@@ -74,5 +74,13 @@ def test_cache_is_bounded_by_bytes(monkeypatch):
     assert codec.decode(codec.encode("x" * 500)) == b"x" * 500 and "x" * 500 not in codec
 
 
+def test_ids_leave_room_beside_the_cache():
+    codec = bpe.Codec(RANKS, P.PATTERN, most=3000)
+    for k in range(300):
+        assert codec.decode(codec.encode(f" word{k}x")) == f" word{k}x".encode()
+        assert codec.held <= 3000
+    assert 2 * bpe.IDS_CACHE_BYTES < bpe.CACHE_BYTES
+
+
 def test_empty_table(spark):
     assert bpe.with_tokens(empty(spark), RANKS, P.PATTERN).count() == 0
