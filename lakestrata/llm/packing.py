@@ -21,11 +21,14 @@ import os
 import re
 import struct
 import zlib
+from codecs import utf_16_le_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,12 +50,12 @@ INJECTED, MUTATED = 0.08, 0.02
 LOOSE = 1 / 128
 SEED = 5
 
-#: Bytes of ids remembered per task, and of the words they belong to.
-CACHE_BYTES = 80 << 20
+#: Bytes of ids remembered per worker, and of the words they belong to.
+CACHE_BYTES = 160 << 20
 #: Words longer than this are encoded each time.
 CACHED_WORD = 64
 #: Characters of texts tokenised before their pieces are sent on.
-TEXT_BLOCK = 1 << 22
+TEXT_BLOCK = 1 << 21
 
 PIECE = T.StructType([T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
                       T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType()),
@@ -76,26 +79,55 @@ LOWER_WORDS = {
 }
 #: White space, letters in lower case and numbers among the characters below U+0180, which normalisation leaves as they are.
 _SPACES, _LETTERS, _NUMBERS = "\t-\r \x85\xa0", "a-z\xaa\xb5\xba\xdf-\xf6\xf8-\u017f", "0-9\xb2\xb3\xb9\xbc-\xbe"
-LOW_WORD = re.compile(f"[{_LETTERS}]+|'(?:[stmd]|re|ve|ll)|[{_NUMBERS}]|[^{_SPACES}{_LETTERS}{_NUMBERS}]+")
 NOT_LOW = re.compile("[^\x00-\u017f]")
+#: The kind of each character that lower-casing a text of them may give (U+0307 comes from a capital I with a dot), else ``OTHER``.
+SPACE, LETTER, NUMBER, OTHER = range(4)
+_KINDS = np.full(0x308, OTHER, np.uint8)
+for _chars, _kind in ((_SPACES, SPACE), (_LETTERS, LETTER), (_NUMBERS, NUMBER)):
+    _KINDS[[c for c in range(0x180) if re.match(f"[{_chars}]", chr(c))]] = _kind
+
+
+def low_words(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words of a lower-case text of characters in ``_KINDS``: their codes side by side, where they begin in the text, and their lengths.
+
+    A word is a run of letters, a number, a contraction's end (``'s``, ``'re``) where no other sign stands before it, or a run of other signs.
+    """
+    codes = np.frombuffer(text.encode("utf-16-le"), "<u2")
+    kind = _KINDS[codes]
+    first = np.ones(len(codes), bool)
+    first[1:] = (kind[1:] != kind[:-1]) | (kind[1:] == NUMBER)
+    for i in np.flatnonzero(first & (codes == ord("'"))).tolist():
+        n = 1 if text[i + 1:i + 2] in ("s", "t", "m", "d") else 2 if text[i + 1:i + 3] in ("re", "ve", "ll") else 0
+        if n:
+            first[i + 1] = False
+            if i + 1 + n < len(codes):
+                first[i + 1 + n] = True
+    starts = np.flatnonzero(first)
+    sizes = np.diff(starts, append=len(codes))
+    word = kind[starts] != SPACE
+    return codes[kind != SPACE], starts[word], sizes[word]
 
 
 class Words(dict):
     """A word's ids, as little-endian 32-bit numbers; ``encode`` gives them on a miss.
 
-    Holds ``CACHE_BYTES`` at most, and long words not at all.
+    Holds ``CACHE_BYTES`` at most, and long words not at all.  The words of the latest half are in itself, those of the half before in
+    ``older``, from where they come back when they are met again.
     """
 
     def __init__(self, encode):
         super().__init__()
-        self.encode, self.held = encode, 0
+        self.encode, self.held, self.older = encode, 0, {}
 
     def __missing__(self, word) -> bytes:
-        ids = self.encode(word)
-        coded = struct.pack(f"<{len(ids)}I", *ids)
+        coded = self.older.get(word)
+        if coded is None:
+            ids = self.encode(word)
+            coded = struct.pack(f"<{len(ids)}I", *ids)
         if len(word) <= CACHED_WORD:
             self.held += len(word) + len(coded) + 200  # with what the objects take themselves
-            if self.held > CACHE_BYTES:
+            if self.held > CACHE_BYTES // 2:
+                self.older = dict(self)
                 self.clear()
                 self.held = 0
             self[word] = coded
@@ -109,10 +141,18 @@ def splits_words(tokenizer_json: str) -> bool:
 
 
 def encoder(tokenizer_json: str, by_word: bool):
-    """text -> its ids as little-endian 32-bit numbers.
+    """text -> its ids as little-endian 32-bit numbers, as ``batch_encoder`` gives them."""
+    encode = batch_encoder(tokenizer_json, by_word)
+    return lambda text: encode([text])[0]
 
-    With ``by_word`` (for ``splits_words``) each distinct word is encoded once: words end at white space, and in texts of
-    characters below U+0180 they are split further as the file says.  Otherwise each text is encoded as a whole.
+
+@lru_cache(1)  # a worker's tasks share the words
+def batch_encoder(tokenizer_json: str, by_word: bool):
+    """Texts -> the ids of each as little-endian 32-bit numbers.
+
+    With ``by_word`` (for ``splits_words``) each distinct word is encoded once: words end at white space, and texts of
+    characters below U+0180 are split further as the file says, all at once, and each distinct word of them is looked up once.
+    Otherwise each text is encoded as a whole.
     """
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
     from tokenizers import Tokenizer
@@ -120,16 +160,42 @@ def encoder(tokenizer_json: str, by_word: bool):
     tokenizer.encode_special_tokens = True
     whole = lambda text: tokenizer.encode(text, add_special_tokens=False).ids
     if not by_word:
-        return lambda text: np.array(whole(text), "<u4").tobytes()
+        return lambda texts: [np.array(whole(t), "<u4").tobytes() for t in texts]
     model, char = tokenizer.model, byte_characters()
-    low = Words(lambda w: [t.id for t in model.tokenize(
-        w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(char))])
+
+    def low_ids(word: bytes) -> list[int]:
+        w = utf_16_le_decode(word)[0]
+        return [t.id for t in model.tokenize(w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(char))]
+
+    low = Words(low_ids)
     other = Words(lambda w: whole(w.decode("utf-8", "replace")))
 
-    def encode(text: str) -> bytes:
-        if NOT_LOW.search(text):
-            return b"".join(map(other.__getitem__, text.encode("utf-8", "replace").split()))
-        return b"".join(map(low.__getitem__, LOW_WORD.findall(text.lower())))
+    def encode_low(texts: list[str]) -> list[bytes]:
+        if not texts:
+            return []
+        lowered = [t.lower() + "\n" for t in texts]
+        codes, starts, sizes = low_words("".join(lowered))
+        # A column of binary values, whose distinct ones Arrow finds.
+        offsets = np.append(0, np.cumsum(2 * sizes))
+        column = pa.Array.from_buffers(pa.large_binary(), len(sizes), [None, pa.py_buffer(offsets), pa.py_buffer(codes)])
+        distinct = column.dictionary_encode()
+        coded = list(map(low.__getitem__, distinct.dictionary.to_numpy(zero_copy_only=False).tolist()))
+        at = distinct.indices.to_numpy()
+        long = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+        ids, begin = np.frombuffer(b"".join(coded), "<u4"), np.cumsum(long) - long
+        n = long[at]
+        before = np.cumsum(n) - n
+        out = ids[np.repeat(begin[at] - before, n) + np.arange(int(n.sum()))].tobytes()
+        # The texts' bounds, in characters, then in words, then in bytes of ids.
+        lengths = np.fromiter(map(len, lowered), np.int64, len(lowered))
+        bounds = 4 * np.append(before, n.sum())[np.searchsorted(starts, np.append(0, np.cumsum(lengths)))]
+        return [out[a:b] for a, b in zip(bounds.tolist(), bounds[1:].tolist(), strict=False)]
+
+    def encode(texts: list[str]) -> list[bytes]:
+        high = [not t.isascii() and NOT_LOW.search(t) is not None for t in texts]
+        lows = iter(encode_low([t for t, h in zip(texts, high, strict=True) if not h]))
+        return [b"".join(map(other.__getitem__, t.encode("utf-8", "replace").split())) if h else next(lows)
+                for t, h in zip(texts, high, strict=True)]
     return encode
 
 
@@ -151,11 +217,11 @@ def pieces(docs: DataFrame, tokenizer_json: str, key: str = "doc_id", text: str
 
     @F.pandas_udf(T.ArrayType(PIECE))
     def cut(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        encode = encoder(shared.value, by_word)
+        encode = batch_encoder(shared.value, by_word)
         for batch in batches:
             texts = batch.tolist()
             for part in in_blocks([len(t) + 1 for t in texts], TEXT_BLOCK):
-                yield pd.Series([pieces_of(encode(t) + end, capacity, keep_ids) for t in texts[part]])
+                yield pd.Series([pieces_of(ids + end, capacity, keep_ids) for ids in encode(texts[part])])
 
     cuts = docs.select(F.col(key).alias("doc_id"), cut(F.coalesce(F.col(text), F.lit(""))).alias("cuts"))
     # Outer, as no list is empty: otherwise Spark would run the tokenizer once more to leave out the empty ones.

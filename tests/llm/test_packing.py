@@ -44,6 +44,16 @@ def test_every_low_character():
         assert np.frombuffer(ENCODE(text), "<u4").tolist() == WHOLE(text), hex(c)
 
 
+def test_texts_together_as_each_alone(monkeypatch):
+    texts = ["", "Isn't it 'SOME' we'll 12 tést's?!", "日本 Isn't", " \n", "''s a'S x'd1 İx", "\x1c\x85\xa0", "é", "", "it it IT it"]
+    looked_up = []
+    inner = P.Words.__missing__
+    monkeypatch.setattr(P.Words, "__missing__", lambda self, word: looked_up.append(word) or inner(self, word))
+    encode = P.batch_encoder.__wrapped__(JSON, P.splits_words(JSON))
+    assert [np.frombuffer(x, "<u4").tolist() for x in encode(texts)] == [WHOLE(t) for t in texts]
+    assert encode([]) == [] and encode([""]) == [b""] and len(looked_up) == len(set(looked_up))
+
+
 def test_other_tokenizers_encode_whole_texts():
     text = "Some  text, with\nblanks <|endoftext|> and é日"
     assert np.frombuffer(P.encoder(BYTES_JSON, P.splits_words(BYTES_JSON))(text), "<u4").tolist() == library(BYTES_JSON)(text)
@@ -59,6 +69,16 @@ def test_cache_is_bounded_by_bytes(monkeypatch):
     assert "x" * 100 not in words
 
 
+def test_cache_keeps_words_met_again(monkeypatch):
+    monkeypatch.setattr(P, "CACHE_BYTES", 3000)
+    encoded = []
+    words = P.Words(lambda w: encoded.append(w) or [len(w)])
+    for k in range(200):
+        assert words["often"] == np.array([5], "<u4").tobytes()
+        words[f"w{k}"]
+    assert encoded.count("often") == 1 and len(words) + len(words.older) < 20
+
+
 def optimum(lengths, capacity):
     """Fewest bins, by trying all subsets."""
     n = len(lengths)
