@@ -24,8 +24,11 @@ def _unescaped(c: Column) -> Column:
 
 
 def file_name(uri: str | Column) -> Column:
-    """Name of a file from its URI (``_metadata.file_path``), as it is on disk."""
-    return _unescaped(F.regexp_extract(_c(uri), r"([^/]*)$", 1))
+    """Name of a file from its URI (``_metadata.file_path``), as it is on disk.
+
+    A scan works it out for every row: no pattern, which would be tried at each place of a long address.
+    """
+    return _unescaped(F.substring_index(_c(uri), "/", -1))
 
 
 def partition_value(uri: str | Column, column: str) -> Column:

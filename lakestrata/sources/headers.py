@@ -23,6 +23,8 @@ from lakestrata.sources.listing import any_case
 #: Fields that a scan takes at first; files with more are read with more (``wide_enough``).
 FIELDS = 63
 TOO_WIDE = "more fields than the scan takes"
+#: Column of the scan's schema that is left out of every row.
+UNREAD = "_unread"
 #: Column of the file's address beside the picked ones.
 FILE = "__file"
 
@@ -47,8 +49,10 @@ def plain_rows(spark: SparkSession, paths: Sequence[str], sep: str = ",", ext: s
     ``keep`` is a condition on a file's key; files that fail it aren't opened.
     """
     names = [f"_{i}" for i in range(fields + 1)]
-    reader = spark.read.schema(", ".join(f"{n} string" for n in names)).options(
-        header=False, sep=sep, maxColumns=max(20480, 4 * fields), pathGlobFilter=glob or f"*{any_case(ext)}", **READ_OPTIONS)
+    # Spark raises and catches an error for every field that a row lacks, unless the parser picks columns: then they are NULL.
+    # It picks them where the schema has one more, that is never read; for files with line breaks in fields it must be told to.
+    reader = spark.read.schema(", ".join(f"{n} string" for n in [*names, UNREAD])).options(
+        header=False, sep=sep, columnPruning=True, maxColumns=max(20480, 4 * fields), pathGlobFilter=glob or f"*{any_case(ext)}", **READ_OPTIONS)
     if modified_after:
         reader = reader.option("modifiedAfter", modified_after)
     rows = reader.csv(list(dict.fromkeys(paths)))

@@ -126,3 +126,18 @@ def test_no_missing_key_opens_no_file(spark, workdir):
     assert rows(df) == []
     os.makedirs(f"{workdir}/none")
     assert rows(keyed_source(spark, f"{workdir}/none", columns=["A"])) == []
+
+
+def test_a_rows_share_of_the_scan_is_small(spark, tmp_path):
+    # The condition on the file's key stays in the plan for each row: it tries no pattern along the address.  The scan's
+    # schema has a column that isn't read, so that fields that a row lacks are NULL without an error for each.
+    (tmp_path / "a.csv").write_text('A,B,C\n1\n1,"x\n""y""",3\n,,"z"\n')
+    bits = B.bit_filter(spark.createDataFrame([("a",)], "k string"), "k", B.bits_for(1))
+    plain = H.plain_rows(spark, [str(tmp_path)], fields=4, keep=lambda key: B.may_hold(bits, key))
+    plan = plain._jdf.queryExecution().executedPlan().toString()
+    assert "regexp_extract" not in plan
+    relation = plain._jdf.queryExecution().analyzed().collectLeaves().head()
+    assert relation.relation().schema().fieldNames()[-1] == H.UNREAD and H.UNREAD not in plan
+    assert relation.relation().options().get("columnPruning").get() == "true"
+    assert [tuple(r)[1:] for r in plain.collect()] == [
+        ("A", "B", "C", None, None), ("1", None, None, None, None), ("1", 'x\n"y"', "3", None, None), (None, None, "z", None, None)]
