@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lakestrata.llm.common import free_name, hashed_words, mixed, rolling, text_blocks, words_of, written
+from lakestrata.llm.common import bounded_batches, free_name, give_back, hashed_words, mixed, rolling, text_blocks, words_of, written
 
 SPAN = 50
 #: Cells per row of the sketch; two rows of one bit a cell (repeated or not) are 128 MiB.
@@ -83,6 +83,8 @@ def _counted(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 held, n = [], 0
     if held:
         yield _sketch(held)
+    batch = texts = high = low = held = None
+    give_back()
 
 
 def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -107,6 +109,7 @@ def _merged(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame(out, columns=["row", "block", "bits"])
     if key is not None and twos.any():
         yield pd.DataFrame([(*key, bits())], columns=["row", "block", "bits"])
+    give_back()
 
 
 def merged_sketch(texts: DataFrame) -> list[tuple[int, int, bytes]]:
@@ -146,6 +149,8 @@ def _repeated(shared):
                 first = np.ones(len(high), bool)
                 first[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
                 yield pd.DataFrame({"high": high[first].view(np.int64), "low": low[first].view(np.int64), "id": doc[first]})
+        planes = batch = ids = texts = owner = high = low = at = doc = order = first = None
+        give_back()
     return run
 
 
@@ -184,6 +189,8 @@ def _cut(shared):
                     rows.append((b" ".join(w for w, g in zip(ws, gone.tolist(), strict=True) if not g).decode(),
                                  len(ws), int(gone.sum())))
             yield pd.DataFrame(rows, columns=KEPT.names)
+        planes = texts = rows = owner = start = high = low = repeated = None
+        give_back()
     return run
 
 
@@ -195,6 +202,7 @@ def without_repeats(docs: DataFrame, key: str = "doc_id", text: str = "text", ou
     Rows with a null id lose nothing and take nothing from others; rows of equal id don't take from each other.
     Repeats within one document stay.  Texts of fewer than 50 words have no window.
     """
+    bounded_batches(docs.sparkSession)
     rows = docs.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text")).where("id is not null and text is not null")
     # At most DEPTH * WIDTH / 8 bytes, whatever the corpus.
     shared = docs.sparkSession.sparkContext.broadcast(merged_sketch(rows.select("text")))

@@ -107,3 +107,22 @@ def test_sketch_goes_in_few_rows():
     batches = [pd.DataFrame({"text": [prose(100 * k + i, 400) for i in range(20)]}) for k in range(6)]
     sent = pd.concat(list(S._counted(iter(batches))))
     assert len(sent) > 10_000 and not sent.duplicated(["row", "block"]).any()
+
+
+def test_tasks_hold_little(spark):
+    # Batches of a bounded size, and nothing that outlives a task in its worker.
+    import pandas as pd
+
+    from lakestrata.llm import common as C
+    before = spark.conf.get(C._BATCH_CONF)
+    spark.conf.set(C._BATCH_CONF, str(C.SPARKS_BATCH))
+    try:
+        S.without_repeats(frame(spark, corpus()[:3]))
+        assert spark.conf.get(C._BATCH_CONF) == str(C.BATCH_BYTES)
+    finally:
+        spark.conf.set(C._BATCH_CONF, before)
+    assert list(S._counted(iter([pd.DataFrame({"text": [prose(1, 100)]})]))) and not C._POWERS
+
+    class Shared:
+        value: list = []
+    assert list(S._repeated(Shared)(iter([pd.DataFrame({"id": [1], "text": [prose(1, 100)]})]))) and not C._POWERS
