@@ -12,6 +12,7 @@ per symbol for all lanes.
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -206,15 +207,19 @@ class CrossParser:
         return out
 
 
-def _pieces(labelled: DataFrame, text: str, lang: str, key: str, docs: int, chars: int) -> dict[str, list[str]]:
-    """The first ``chars`` letters of the ``docs`` documents per language whose key has the lowest hash."""
+def _picked(labelled: DataFrame, text: str, lang: str, key: str, docs: int, chars: int) -> list[tuple]:
+    """(language, key as text, first ``chars`` letters) of the ``docs`` documents per language whose key has the lowest hash."""
     rows = labelled.where(F.col(text).isNotNull()).select(key, lang, text)
     ids = sample_ids(rows, lang, key, docs)
     picked = rows.join(F.broadcast(ids), [key, lang]).select(  # docs x languages ids
-        F.col(lang), F.col(key), F.substring(text, 1, chars).alias("piece"))
+        F.col(lang), F.col(key), F.substring(text, 1, chars).alias("piece"), F.col(key).cast("string").alias("key_text"))
+    return [(r[0], r[3], r[2]) for r in sorted(picked.collect(), key=lambda r: (r[0], hash_order(r[1]), r[2]))]
+
+
+def _pieces(picked: list[tuple]) -> dict[str, list[str]]:
     pieces: dict[str, list[str]] = {}
-    for r in sorted(picked.collect(), key=lambda r: (r[0], hash_order(r[1]), r[2])):
-        pieces.setdefault(r[0], []).append(r[2])
+    for k, _, piece in picked:
+        pieces.setdefault(k, []).append(piece)
     return pieces
 
 
@@ -237,29 +242,65 @@ def learn(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str
     It is taken from the ``docs`` documents per language whose key has the
     lowest hash; rows with a null key, text or language aren't labelled.
     """
-    return _samples(_pieces(labelled, text, lang, key, docs, chars), chars)
+    return _samples(_pieces(_picked(labelled, text, lang, key, docs, chars)), chars)
 
 
 def learn_bounded(labelled: DataFrame, text: str = "text", lang: str = "lang", key: str = "doc_id",
                   docs: int = TRAIN_DOCS, chars: int = TRAIN_CHARS) -> tuple[dict[str, str], dict[str, float]]:
     """The samples of ``learn``, and for each language the bits a letter that its texts stay below.
 
-    Each half of a language's documents is parsed with a sample of the other; the bound is ``BOUND_RATIO`` times the bits a letter that
-    ``BOUND_SHARE`` of them don't exceed.  A language with fewer than ``BOUND_TEXTS`` texts to parse has no bound.
+    Every labelled text is parsed whole with a sample that it isn't in: the sampled documents of a language make two halves, those of the
+    second are parsed with a sample of the first, and all its other texts with one of the second.  The bound is ``BOUND_RATIO`` times the bits a letter that
+    ``BOUND_SHARE`` of them don't exceed, to 1 / ``BOUND_STEPS``.  A language with fewer than ``BOUND_TEXTS`` texts to parse has no bound.
     """
-    pieces = _pieces(labelled, text, lang, key, docs, chars)
-    samples, bounds = _samples(pieces, chars), {}
+    picked = _picked(labelled, text, lang, key, docs, chars)
+    samples, bounds = _samples(_pieces(picked), chars), {}
     price = np.log2(max([2, *map(len, samples.values())]))
-    for k, texts in pieces.items():
-        found = []
-        for own, other in ((texts[::2], texts[1::2]), (texts[1::2], texts[::2])):
-            model = CrossParser(_samples({k: own}, chars))
-            model.cost = price
-            for part in in_blocks([len(t) for t in other], BLOCK):
-                found += [r[3] for r in model.predict(other[part]) if r[2] >= MIN_PHRASES]
-        found = [b for b in found if b is not None]
-        if len(found) >= BOUND_TEXTS:
-            bounds[k] = BOUND_RATIO * float(np.quantile(found, BOUND_SHARE))
+    halves: dict[tuple, int] = {}
+    for k, keys in _pieces([(k, None, i) for k, i, _ in picked]).items():
+        halves |= {(k, i): n % 2 for n, i in enumerate(dict.fromkeys(keys))}
+    others = [_samples(_pieces([p for p in picked if halves[p[:2]] != half]), chars) for half in (0, 1)]
+    langs = sorted(samples)
+    if not langs:
+        return samples, bounds
+
+    def held_out(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        models: dict[tuple, CrossParser] = {}  # the task's own
+        waiting: dict[tuple, list[str]] = {}
+        size: Counter = Counter()
+
+        def parsed(group: tuple) -> Iterator[pd.DataFrame]:
+            if group not in models:
+                k, half = group
+                models[group] = CrossParser({k: others[half][k]})
+                models[group].cost = price
+            texts = waiting.pop(group)
+            del size[group]
+            for part in in_blocks([len(t) for t in texts], BLOCK):
+                bits = [r[3] for r in models[group].predict(texts[part]) if r[2] >= MIN_PHRASES and r[3] is not None]
+                yield pd.DataFrame({"nth": langs.index(group[0]), "step": np.rint(np.array(bits) * BOUND_STEPS).astype(np.int64)})
+
+        for batch in batches:
+            for k, i, t in zip(batch["lang"], batch["key"], batch["text"]):
+                half = halves.get((k, i), 0)
+                if k in samples and k in others[half]:
+                    waiting.setdefault((k, half), []).append(t)
+                    size[k, half] += len(t)
+            while size.total() > BLOCK:  # many texts of a group are parsed as fast as a few
+                yield from parsed(max(size, key=size.get))
+        for group in list(waiting):
+            yield from parsed(group)
+        models.clear()
+        give_back()
+
+    bounded_batches(labelled.sparkSession)
+    rows = labelled.where(F.col(text).isNotNull() & F.col(lang).isNotNull() & F.col(key).isNotNull()).select(
+        F.col(lang).alias("lang"), F.col(key).cast("string").alias("key"), F.col(text).alias("text"))
+    steps = rows.mapInPandas(held_out, "nth long, step long").groupBy("nth", "step").agg(F.count("*").alias("texts"))
+    # A language has a row per step at most, as a phrase of one letter costs 16 bits or so.
+    high = steps.groupBy("nth").agg(F.sum("texts").alias("texts"), F.percentile("step", F.lit(BOUND_SHARE), F.col("texts")).alias("high"))
+    for r in high.where(F.col("texts") >= BOUND_TEXTS).collect():
+        bounds[langs[r.nth]] = BOUND_RATIO * r.high / BOUND_STEPS
     return samples, bounds
 
 
@@ -296,6 +337,8 @@ def with_language(df: DataFrame, samples: dict[str, str], text: str = "text",
 MIN_PHRASES = 64
 #: A language's bound: this many times the bits a letter that this share of its held-out texts, so many at least, don't exceed.
 BOUND_RATIO, BOUND_SHARE, BOUND_TEXTS = 2.2, 0.9, 8
+#: Bits a letter are counted in this many steps a bit.
+BOUND_STEPS = 4096
 #: The bound where none is given: random letters of a small alphabet match a sample
 #: no longer than that (about log2(sample) / log(sample, alphabet)).
 MAX_BITS = 5.5

@@ -120,3 +120,43 @@ def test_without_samples_only_texts_without_a_letter_go(spark):
 def test_few_labelled_texts_give_no_bound(spark):
     gone, bounds, _ = judged(spark, [(i, prose(i, 200), "xx", "s") for i in range(3)] + [(9, prose(1, 200, "yy"), None, "s")])
     assert gone == set() and bounds == {}
+
+
+def test_bounds_come_from_all_labelled_texts(spark):
+    text = lambda i: prose(i, 100 + 40 * (i % 7), "yy" if i % 3 else "xx")
+    rows = [(i, text(i), "xx", "s") for i in range(40)] + [(i, prose(i, 3, "yy"), "yy", "s") for i in range(100, 140)]
+    rows += [(200 + i, prose(i, 200, "yy"), "yy", "s") for i in range(30)] + [(900, None, "xx", "s"), (None, text(1), "xx", "s"), (901, text(2), None, "s")]
+    df = frame(spark, rows)
+    samples, bounds = L.learn_bounded(df, docs=4)
+    assert samples == L.learn(df, docs=4) and set(bounds) == {"xx", "yy"}  # of four documents there was no bound
+    picked = L._picked(df, "text", "lang", "doc_id", 4, L.TRAIN_CHARS)
+    price = np.log2(max(map(len, samples.values())))
+    for lang in ("xx", "yy"):
+        keys, pieces = zip(*[p[1:] for p in picked if p[0] == lang], strict=True)
+        found = []
+        for key, t, k, _ in rows:
+            if k == lang and t and key is not None:
+                half = keys.index(str(key)) % 2 if str(key) in keys else 0
+                p = L.CrossParser(L._samples({lang: pieces[1 - half::2]}, L.TRAIN_CHARS))
+                p.cost = price
+                r = p.predict([t])[0]
+                found += [r[3]] if r[2] >= L.MIN_PHRASES and r[3] is not None else []
+        assert len(found) > 8
+        assert math.isclose(bounds[lang], L.BOUND_RATIO * np.quantile(found, L.BOUND_SHARE), abs_tol=L.BOUND_RATIO / L.BOUND_STEPS)
+
+
+def test_a_small_sample_doesnt_leave_texts_unjudged(spark):
+    import random
+    rnd = random.Random(7)
+    noise = "".join(rnd.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(3000))
+    df = frame(spark, [*[(i, prose(i, 200), "xx", "s") for i in range(60)], (999, noise, None, "s")])
+    samples, bounds = L.learn_bounded(df, docs=6)
+    got = L.with_language(df, samples, out="found")
+    assert [r.doc_id for r in got.where(L.rejected("found", bounds)).collect()] == [999]
+
+
+def test_long_texts_count_whole_in_the_bounds(spark):
+    """The part of a text beyond the sample's letters counts too."""
+    rows = [(i, prose(i, 20) + " " + prose(100 + i, 400, "yy"), "xx", "s") for i in range(20)]
+    cut = [(i, t[:200], k, s) for i, t, k, s in rows]
+    assert L.learn_bounded(frame(spark, rows), chars=200)[1]["xx"] > 1.2 * L.learn_bounded(frame(spark, cut), chars=200)[1].get("xx", 0)
