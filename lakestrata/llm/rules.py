@@ -75,10 +75,10 @@ def measured(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_
 
 
 def _measures() -> dict[str, Column]:
-    d = F.col("n_words").cast("double")
-    return {"word_length": F.col("word_chars") / d, "symbols_a_word": F.col("n_symbols") / d,
+    a_word = lambda c: F.try_divide(F.col(c), F.col("n_words").cast("double"))  # noqa: E731  (null without words; tried before base_failed is asked)
+    return {"word_length": a_word("word_chars"), "symbols_a_word": a_word("n_symbols"),
             "repeated_lines": F.when(F.col("n_lines") > 0, F.col("n_dup_lines") / F.col("n_lines").cast("double")).otherwise(F.lit(0.0)),
-            "repeated_words": F.col("n_repeat_words") / d}
+            "repeated_words": a_word("n_repeat_words")}
 
 
 def base_failed() -> Column:

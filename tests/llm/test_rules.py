@@ -62,6 +62,14 @@ def test_edges(spark):
     assert set(CLASHING) <= set(df.columns) and R.quality(df).where("base_failed and kept").count() == 0
 
 
+def test_texts_without_words_are_judged_beside_others(spark):
+    rows = [(i, prose(i, 40), "xx", "s") for i in range(12)] + [(20, "", "xx", "s"), (21, None, "xx", "s"), (22, " \t\n", None, None), (23, "\n\n", "zz", "s")]
+    got = R.quality(frame(spark, rows))
+    assert by_id(got, "n_words", "base_failed", "kept") == {
+        i: [(40, False, True)] if i < 20 else [(0, True, False)] for i, *_ in rows}
+    assert got.where("kept").count() == 12 and got.count() == len(rows)
+
+
 def test_empty_table(spark):
     assert R.quality(empty(spark)).count() == 0
 
